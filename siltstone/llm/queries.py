@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.llm.simhash import near_duplicates
 from siltstone.llm.substring_dedup import dedup_substrings
 from siltstone.llm.suffix_array import dedup_bytes
 
@@ -18,10 +19,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_bytes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op10_suffix_array_dedup)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_dedup, op10_suffix_array_dedup)}
 ORACLE_SQL: dict[str, str] = {}
