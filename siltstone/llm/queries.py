@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.llm.bpe import decode_documents, encode_documents
+from siltstone.llm.decontamination import decontaminate
+from siltstone.llm.sharding import shard_documents
 from siltstone.llm.simhash import near_duplicates
 from siltstone.llm.substring_dedup import dedup_substrings
 from siltstone.llm.suffix_array import dedup_bytes
+from siltstone.llm.toxicity import toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,10 +27,38 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", F.col("n_hit").cast("long"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+def vocabulary_path() -> str:
+    """The public tokenizer that op8 names; only its path is known here."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary_path()
+    out = decode_documents(encode_documents(table(spark, sf_dir, "documents"), path), path)
+    joined = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_bytes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_dedup, op10_suffix_array_dedup)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_dedup, op4_decontamination, op5_toxicity, op7_sharding, op8_bpe, op10_suffix_array_dedup)}
 ORACLE_SQL: dict[str, str] = {}
