@@ -31,7 +31,7 @@ from siltstone.llm._scratch import compress, expand, pack, persist, shuffle_widt
 
 U = np.uint64
 KEY_BITS = 48  # of an anchor's hash that travel for pruning
-CONTEXTS_PER_GROUP = 20_000
+CONTEXTS_PER_GROUP = 60_000
 HIST = (1 << 10, 1 << 14, 1 << 18)  # counters of prefixes of 1, 2 and 3 words
 
 
@@ -262,17 +262,16 @@ def plan_groups(found: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
     """
     width = shuffle_width(found.sparkSession)
     counts = found.where("kind = 'counts'").select(F.pmod(F.hash("block"), F.lit(width)).alias("g"), "blob")
-    parts = counts.groupBy("g").applyInArrow(add_counts, "blob binary").toArrow()
-    total = get(add_counts(parts).column("blob")[0].as_py()) if parts.num_rows else None
-    if total is None:
+    parts = counts.groupBy("g").applyInArrow(add_counts, "blob binary").groupBy(F.lit(0)).applyInArrow(add_counts, "blob binary").first()
+    if parts is None:
         return lambda codes: codes[:, 0]
-    one, two, _ = (np.frombuffer(x, np.int64) for x in total)
+    one, two, three = (np.frombuffer(x, np.int64) for x in get(parts["blob"]))
     small1, small2 = one <= CONTEXTS_PER_GROUP, two <= CONTEXTS_PER_GROUP
-    # short prefixes that are rare share a group, filled up to the bound
-    bin1 = np.cumsum(np.where(small1, one, 0)) // CONTEXTS_PER_GROUP
+    # rare prefixes share a group, filled up to the bound
+    bin1, bin2, bin3 = (np.cumsum(n) // CONTEXTS_PER_GROUP for n in (np.where(small1, one, 0), np.where(small2, two, 0), three))
 
     def of(codes: np.ndarray) -> np.ndarray:
-        return np.where(small1[codes[:, 0]], bin1[codes[:, 0]], np.where(small2[codes[:, 1]], (1 << 40) + codes[:, 1] * len(one) + codes[:, 0], (2 << 40) + codes[:, 2]))
+        return np.where(small1[codes[:, 0]], bin1[codes[:, 0]], np.where(small2[codes[:, 1]], (1 << 40) + bin2[codes[:, 1]], (2 << 40) + bin3[codes[:, 2]]))
 
     return of
 
