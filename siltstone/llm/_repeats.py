@@ -262,7 +262,7 @@ def plan_groups(found: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
     """
     width = shuffle_width(found.sparkSession)
     counts = found.where("kind = 'counts'").select(F.pmod(F.hash("block"), F.lit(width)).alias("g"), "blob")
-    parts = counts.groupBy("g").applyInArrow(add_counts, "blob binary").groupBy(F.lit(0)).applyInArrow(add_counts, "blob binary").first()
+    parts = counts.groupBy("g").applyInArrow(add_counts, "blob binary").withColumn("g", F.lit(0)).groupBy("g").applyInArrow(add_counts, "blob binary").first()
     if parts is None:
         return lambda codes: codes[:, 0]
     one, two, three = (np.frombuffer(x, np.int64) for x in get(parts["blob"]))
