@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.bpe import decode_documents, encode_documents
 from siltstone.llm.decontamination import decontaminate
+from siltstone.llm.embedding_dedup import near_vectors
+from siltstone.llm.pii import replace_pii
 from siltstone.llm.sharding import shard_documents
 from siltstone.llm.simhash import near_duplicates
 from siltstone.llm.substring_dedup import dedup_substrings
@@ -36,6 +38,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_vectors(table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
@@ -55,10 +62,15 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), details=True)
+    return out.select("doc_id", "text", F.size("_entities").alias("n_entities"))
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_bytes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_dedup, op4_decontamination, op5_toxicity, op7_sharding, op8_bpe, op10_suffix_array_dedup)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_dedup, op4_decontamination, op5_toxicity, op6_embedding_dedup, op7_sharding, op8_bpe, op9_pii, op10_suffix_array_dedup)}
 ORACLE_SQL: dict[str, str] = {}

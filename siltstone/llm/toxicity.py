@@ -103,8 +103,8 @@ def counterfactuals(texts: list[bytes], others: int = 3) -> tuple[list[bytes], l
     return given, changed
 
 
-def fit(texts: list[bytes], labels: np.ndarray, penalty: float = 1.0, ridge: float = 0.02, steps: int = 400) -> Model:
-    """Fit on texts and their labels (0 or 1)."""
+def fit(texts: list[bytes], labels: np.ndarray, penalty: float = 1.0, ridge: float = 0.02, steps: int = 400, weight: float = 4.0) -> Model:
+    """Fit on texts and their labels (0 or 1); a row of label 1 counts `weight` times."""
     seen = np.zeros(1 << 20, bool)
     n, positive = len(texts), int(labels.sum())
     share = positive / n if n else 0.0
@@ -138,7 +138,7 @@ def fit(texts: list[bytes], labels: np.ndarray, penalty: float = 1.0, ridge: flo
     v = np.zeros(len(vocabulary) + 1)
     for t in range(1, steps + 1):
         p = 1 / (1 + np.exp(-np.clip(b + np.bincount(row, w[code], n), -40, 40)))
-        off = (p - labels) / n
+        off = (p - labels) * np.where(labels > 0, weight, 1.0) / n
         g = np.bincount(code, off[row], len(w)) + ridge * w / n
         if len(given):
             change = np.bincount(swap_row, w[swap_code] * swap_sign, len(given))
@@ -146,7 +146,7 @@ def fit(texts: list[bytes], labels: np.ndarray, penalty: float = 1.0, ridge: flo
         g = np.append(g, off.sum())
         m = 0.9 * m + 0.1 * g
         v = 0.999 * v + 0.001 * g * g
-        step = 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
+        step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
         w -= step[:-1]
         b -= step[-1]
     seen[vocabulary >> U(44)] = True
