@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from siltstone.llm.bpe import decode_documents, encode_documents
 from siltstone.llm.decontamination import decontaminate
 from siltstone.llm.embedding_dedup import near_vectors
+from siltstone.llm.license_scan import scan_licenses
 from siltstone.llm.pii import replace_pii
 from siltstone.llm.sharding import shard_documents
 from siltstone.llm.simhash import near_duplicates
@@ -29,6 +30,11 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scan_licenses(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "license_id", F.round("coverage", 6).alias("coverage"), "start_word", "end_word", F.size("spans").cast("long").alias("n_spans"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", F.col("n_hit").cast("long"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
@@ -72,5 +78,5 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_dedup, op4_decontamination, op5_toxicity, op6_embedding_dedup, op7_sharding, op8_bpe, op9_pii, op10_suffix_array_dedup)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_dedup, op3_license_scan, op4_decontamination, op5_toxicity, op6_embedding_dedup, op7_sharding, op8_bpe, op9_pii, op10_suffix_array_dedup)}
 ORACLE_SQL: dict[str, str] = {}

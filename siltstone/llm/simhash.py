@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.llm import _hashing as H
 from siltstone.llm._components import connected_components, link_within_groups, split_groups
@@ -180,10 +181,10 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, shingle: int = 3) -> DataFrame:
-    """doc_id, fp, fingerprint (16 hex digits) and component_id, a row for each row of docs.
+    """doc_id, fp, fingerprint (16 hex digits), component_id and root, a row for each row of docs.
 
     component_id is the smallest id that can be reached by fingerprints that differ in
-    at most `radius` bits.
+    at most `radius` bits; root names the component by its smallest fingerprint.
     """
     prints = persist(fingerprint_documents(docs, id_col, text_col, shingle), "fingerprints")
     distinct = persist(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
@@ -198,5 +199,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = connected_components(edges, "a", "b")
     named = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     low = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    component = persist(named.join(low, "root").select("fp", "component_id"), "components")
-    return prints.join(component, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    component = persist(named.join(low, "root").select("fp", "component_id", "root"), "components")
+    return prints.join(component, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root")
+
+
+def with_fingerprints(docs: DataFrame, text_col: str, shingle: int, name: str = "_fp") -> DataFrame:
+    """docs, all columns, and the fingerprint of the text."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for whole in batches:
+            for a in range(0, whole.num_rows, 256):
+                rb = whole.slice(a, 256)
+                fp = fingerprints([t or b"" for t in rb.column(at).cast(pa.binary()).to_pylist()], shingle)
+                yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(fp.view(np.int64))], names=[*rb.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, shingle: int = 3) -> DataFrame:
+    """Rows of docs, all columns, one for each component: that with the smallest id (a null id only if all are), of rows with one id that with the smallest fingerprint."""
+    found = near_duplicates(docs, id_col, text_col, radius, shingle)
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "fp")).alias("b")).select(F.col("b.doc_id").alias("_kept"), F.col("b.fp").alias("_print"))
+    rows = found.groupBy("doc_id").count()
+    best = persist(best.join(rows, F.col("_kept").eqNullSafe(F.col("doc_id"))).select("_kept", "_print", "count"), "kept")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_kept"))
+    out = docs.join(best.where("count = 1"), same, "left_semi")
+    shared = best.where("count > 1")
+    if shared.limit(1).count():  # an id that several rows have: the fingerprint tells them apart
+        marked = with_fingerprints(docs.join(shared, same, "left_semi"), text_col, shingle)
+        chosen = marked.join(shared, same & (F.col("_fp") == F.col("_print")), "left_semi").dropDuplicates([id_col, "_fp"])
+        out = out.unionByName(chosen.select(*docs.columns))
+    return out
