@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm import _hashing as H
-from siltstone.llm._scratch import chunks, ids_column
+from siltstone.llm._repeats import get, put
+from siltstone.llm._scratch import chunks, ids_column, persist
 from siltstone.llm.decontamination import filter_rows
 
 U = np.uint64
@@ -103,65 +104,86 @@ def counterfactuals(texts: list[bytes], others: int = 3) -> tuple[list[bytes], l
     return given, changed
 
 
-def fit(texts: list[bytes], labels: np.ndarray, penalty: float = 1.0, ridge: float = 0.02, steps: int = 400, weight: float = 4.0) -> Model:
-    """Fit on texts and their labels (0 or 1); a row of label 1 counts `weight` times."""
-    seen = np.zeros(1 << 20, bool)
-    n, positive = len(texts), int(labels.sum())
-    share = positive / n if n else 0.0
-    rate = min(max(share, 1e-9), 1 - 1e-9)
-    none = Model(np.empty(0, U), np.empty(0), float(np.log(rate / (1 - rate))), seen)
-    if not 0 < positive < n:
-        return none
-    rows, hashes = [], []
-    for a in range(0, n, 256):
-        r, h = features(texts[a : a + 256])
-        key = np.unique(np.stack([h, r.astype(U)]), axis=1) if len(h) else np.zeros((2, 0), U)
-        rows.append(key[1].astype(np.int64) + a)
-        hashes.append(key[0])
-    row, h = np.concatenate(rows), np.concatenate(hashes)
-    vocabulary, code = np.unique(h, return_inverse=True)
-    total = np.bincount(code, minlength=len(vocabulary))
-    hits = np.bincount(code, labels[row], len(vocabulary))
-    # a clear tie to the label: the share of label 1 is off by four standard errors
-    clear = (total >= 5) & (np.abs(hits - total * share) > 4 * np.sqrt(total * share * (1 - share))) & ((hits > 3 * share * total) | (hits < share * total / 3))
-    pick = np.flatnonzero(clear)
-    if not len(pick):
-        return none
-    new = np.full(len(vocabulary), -1)
-    new[pick] = np.arange(len(pick))
-    keep = new[code] >= 0
-    row, code, vocabulary = row[keep], new[code[keep]], vocabulary[pick]
-    given, changed = counterfactuals(texts)
-    swap_row, swap_code, swap_sign = _swaps(given, changed, vocabulary)
-    w, b = np.zeros(len(vocabulary)), float(np.log(rate / (1 - rate)))
-    m = np.zeros(len(vocabulary) + 1)
-    v = np.zeros(len(vocabulary) + 1)
+def feature_counts(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each feature with the number of texts that have it, and of those of label 1."""
+    row, h = features(texts)
+    order = np.lexsort((row, h))
+    row, h = row[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+    row, h = row[new], h[new]
+    found, at = np.unique(h, return_inverse=True)
+    return found, np.bincount(at, minlength=len(found)), np.bincount(at, labels[row], len(found)).astype(np.int64)
+
+
+def encode(texts: list[bytes], vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and index of each known feature of each text, once each."""
+    row, h = features(texts) if texts else (np.empty(0, np.int64), np.empty(0, U))
+    at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
+    i = np.flatnonzero(vocabulary[at] == h)
+    pair = np.unique(row[i] * len(vocabulary) + at[i])
+    return pair // len(vocabulary), pair % len(vocabulary)
+
+
+def is_clear(total, hits, share: float):
+    """A clear tie to the label: at least five texts, a share of label 1 that is off by four standard errors and a factor of three. Numbers, arrays or columns."""
+    off = (hits - total * share) * (hits - total * share) > 16 * share * (1 - share) * total
+    return (total >= 5) & off & ((hits > total * (3 * share)) | (hits < total * (share / 3)))
+
+
+def solve(labels: np.ndarray, row: np.ndarray, code: np.ndarray, size: int, swaps: tuple[int, np.ndarray, np.ndarray, np.ndarray], penalty: float, ridge: float, steps: int, weight: float) -> tuple[np.ndarray, float]:
+    """Weights and bias. swaps: number of pairs, and pair, feature and sign of what a swap changes."""
+    n, share = len(labels), labels.mean()
+    n_swaps, swap_row, swap_code, swap_sign = swaps
+    w, b = np.zeros(size), float(np.log(share / (1 - share)))
+    m, v = np.zeros(size + 1), np.zeros(size + 1)
     for t in range(1, steps + 1):
         p = 1 / (1 + np.exp(-np.clip(b + np.bincount(row, w[code], n), -40, 40)))
         off = (p - labels) * np.where(labels > 0, weight, 1.0) / n
-        g = np.bincount(code, off[row], len(w)) + ridge * w / n
-        if len(given):
-            change = np.bincount(swap_row, w[swap_code] * swap_sign, len(given))
-            g += 2 * penalty / len(given) * np.bincount(swap_code, change[swap_row] * swap_sign, len(w))
+        g = np.bincount(code, off[row], size) + ridge * w / n
+        if n_swaps:
+            change = np.bincount(swap_row, w[swap_code] * swap_sign, n_swaps)
+            g += 2 * penalty / n_swaps * np.bincount(swap_code, change[swap_row] * swap_sign, size)
         g = np.append(g, off.sum())
         m = 0.9 * m + 0.1 * g
         v = 0.999 * v + 0.001 * g * g
         step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
         w -= step[:-1]
         b -= step[-1]
+    return w, float(b)
+
+
+def make_model(vocabulary: np.ndarray, weights: np.ndarray, bias: float) -> Model:
+    seen = np.zeros(1 << 20, bool)
     seen[vocabulary >> U(44)] = True
-    return Model(vocabulary, w, float(b), seen)
+    return Model(vocabulary, weights, bias, seen)
+
+
+def constant_model(share: float) -> Model:
+    rate = min(max(share, 1e-9), 1 - 1e-9)
+    return make_model(np.empty(0, U), np.empty(0), float(np.log(rate / (1 - rate))))
+
+
+def encode_swaps(texts: list[bytes], vocabulary: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    given, changed = counterfactuals(texts)
+    a, b = encode(given, vocabulary), encode(changed, vocabulary)
+    return len(given), np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]]), np.concatenate([np.ones(len(a[0])), -np.ones(len(b[0]))])
+
+
+PENALTY, RIDGE, STEPS, WEIGHT = 1.0, 0.02, 400, 2.0
 
 
-def _swaps(given: list[bytes], changed: list[bytes], vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    parts = []
-    for texts, sign in ((given, 1.0), (changed, -1.0)):
-        row, h = features(texts) if texts else (np.empty(0, np.int64), np.empty(0, U))
-        at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
-        i = np.flatnonzero(vocabulary[at] == h)
-        pair = np.unique(row[i] * len(vocabulary) + at[i])
-        parts.append((pair // len(vocabulary), pair % len(vocabulary), np.full(len(pair), sign)))
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+def fit(texts: list[bytes], labels: np.ndarray, penalty: float = PENALTY, ridge: float = RIDGE, steps: int = STEPS, weight: float = WEIGHT) -> Model:
+    """Fit on texts and their labels (0 or 1) in memory; a row of label 1 counts `weight` times."""
+    share = float(labels.mean()) if len(labels) else 0.0
+    if not 0 < share < 1:
+        return constant_model(share)
+    found, total, hits = feature_counts(texts, labels)
+    vocabulary = found[is_clear(total, hits, share)]
+    if not len(vocabulary):
+        return constant_model(share)
+    row, code = encode(texts, vocabulary)
+    return make_model(vocabulary, *solve(labels, row, code, len(vocabulary), encode_swaps(texts, vocabulary), penalty, ridge, steps, weight))
 
 
 def held_out(id_col: Column | str) -> Column:
@@ -179,10 +201,45 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = one.where(F.pmod(F.xxhash64("_i"), F.lit(scale)) < int(scale * min(1.0, max_train / n)))
     # at most about max_train pairs of numbers: small by construction
     text = docs.select(F.col(id_col).cast("long").alias("_d"), F.col(text_col).cast("string").alias("_t"))
-    found = text.join(F.broadcast(chosen), text["_d"] == chosen["_i"]).select("_d", "_t", "_y").toArrow()
-    order = np.argsort(found.column("_d").to_numpy(), kind="stable")
-    texts = [t or b"" for t in found.column("_t").cast(pa.binary()).to_pylist()]
-    return fit([texts[i] for i in order.tolist()], found.column("_y").to_numpy().astype(np.float64)[order])
+    rows = persist(text.join(F.broadcast(chosen), text["_d"] == chosen["_i"]).select("_y", "_t"), "training")
+    n, hits = rows.agg(F.count("*"), F.sum("_y")).first()
+    share = (hits or 0) / n if n else 0.0
+    if not 0 < share < 1:
+        return constant_model(share)
+
+    def count(batches):
+        for y, texts in chunks(batches, 2 << 20):
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in feature_counts(texts, y.astype(np.float64))], names=["h", "total", "hits"])
+
+    counted = rows.mapInArrow(count, "h long, total long, hits long").groupBy("h").agg(F.sum("total").alias("total"), F.sum("hits").alias("hits"))
+    clear = counted.where(is_clear(F.col("total"), F.col("hits"), share)).select("h").toArrow()
+    if not clear.num_rows:
+        return constant_model(share)
+    vocabulary = np.sort(clear.column("h").to_numpy().view(U))
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def encoded(batches):
+        for y, texts in chunks(batches, 2 << 20):
+            row, code = encode(texts, shared.value)
+            n_swaps, swap_row, swap_code, sign = encode_swaps(texts, shared.value)
+            blob = put(y.astype(np.float64), row, code, swap_row, swap_code, sign)
+            yield pa.RecordBatch.from_arrays([pa.array([n_swaps], pa.int64()), pa.array([blob], pa.binary())], names=["n_swaps", "blob"])
+
+    labels_, row, code, swap_row, swap_code, sign = ([] for _ in range(6))
+    n = n_swaps = 0
+    # known features of at most about max_train texts: a few numbers each
+    parts = rows.mapInArrow(encoded, "n_swaps long, blob binary").collect()
+    for part in sorted(parts, key=lambda r: r["blob"]):
+        y, r, c, sr, sc, sg = (np.frombuffer(x, t) for x, t in zip(get(part["blob"]), (np.float64, np.int64, np.int64, np.int64, np.int64, np.float64), strict=True))
+        labels_.append(y)
+        row.append(r + n)
+        code.append(c)
+        swap_row.append(sr + n_swaps)
+        swap_code.append(sc)
+        sign.append(sg)
+        n, n_swaps = n + len(y), n_swaps + part["n_swaps"]
+    join = np.concatenate
+    return make_model(vocabulary, *solve(join(labels_), join(row), join(code), len(vocabulary), (n_swaps, join(swap_row), join(swap_code), join(sign)), PENALTY, RIDGE, STEPS, WEIGHT))
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
