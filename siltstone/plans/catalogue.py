@@ -22,13 +22,19 @@ def query(sql: str | None = None) -> Callable:
     return add
 
 
+def _load() -> None:
+    from siltstone.plans import table_queries  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return _QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return _SQL
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return queries()["r08_hybrid"](spark, sf_dir)
