@@ -121,8 +121,8 @@ def l2_norm(a: Column | str) -> Column:
 
 
 def l2_similarity(a: Column | str, b: Column | str) -> Column:
-    """1 / (1 + distance)."""
-    d = F.aggregate(F.zip_with(col(a), col(b), lambda x, y: (x - y).cast("double") * (x - y).cast("double")), F.lit(0.0), lambda s, x: s + x)
+    """1 / (1 + squared distance)."""
+    d = F.aggregate(F.zip_with(col(a), col(b), lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))), F.lit(0.0), lambda s, x: s + x)
     return 1 / (1 + d)
 
 

@@ -7,19 +7,24 @@ like any table: which side is broadcast is up to the optimizer and its size limi
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import window as W
 
 from siltstone.functions.numeric import bm25_idf, bm25_tf, inner_product
-from siltstone.functions.text import bm25_tokens, word_set
+from siltstone.functions.text import BM25_STOPWORDS, TOKEN, bm25_tokens, word_set
 from siltstone.operators.joins import fuse_lists, fused_order
 from siltstone.operators.windows import ranked, top_k
 
+_TOKEN = re.compile(TOKEN)
+
 
 def term_frequencies(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc, term, tf, length). Terms are counted within the row, before anything is shuffled."""
@@ -45,16 +50,27 @@ def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id:
     return top_k(scored, ["qid"], [F.desc(F.round("score", 9)), "doc"], k)
 
 
+def snippet_of(text: str, query: str, window: int = 40, size: int = 500) -> str:
+    """The first stretch of 2 * window words with the most query words, cut to size; short texts whole."""
+    if len(text) <= size:
+        return text
+    terms = {t for t in _TOKEN.findall(query.lower()) if len(t) >= 2 and t not in BM25_STOPWORDS}
+    words = text.split()
+    hit = np.fromiter((bool(terms & set(_TOKEN.findall(w.lower()))) for w in words), np.int64, len(words))
+    total = np.concatenate([[0], np.cumsum(hit)])
+    first = np.arange(max(1, len(words) - 2 * window + 1))
+    best = int(np.argmax(total[np.minimum(first + 2 * window, len(words))] - total[first]))
+    return " ".join(words[best : best + 2 * window])[:size]
+
+
 def best_snippet(text: str, query: str, window: int = 40, size: int = 500) -> Column:
-    """The first stretch of 2 * window words with the most query words; short texts whole."""
-    words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"), lambda w: w != "")
-    terms = bm25_tokens(query)
-    hit = F.transform(words, lambda w: F.array_contains(terms, F.lower(F.regexp_replace(w, r"[^A-Za-z0-9%$€¥£.\-]", ""))).cast("int"))
-    n = F.size(words)
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), n - 2 * window), F.lit(max(1, window // 2)))
-    scored = F.transform(starts, lambda i: F.struct((-F.aggregate(F.slice(hit, i + 1, 2 * window), F.lit(0), lambda a, x: a + x)).alias("h"), i.alias("i")))
-    best = F.element_at(F.array_sort(scored), 1)["i"]
-    return F.when(F.length(text) <= size, F.col(text)).otherwise(F.substring(F.array_join(F.slice(words, best + 1, 2 * window), " "), 1, size))
+    """W11 as a column; null texts give null."""
+
+    @F.pandas_udf(T.StringType())
+    def cut(t: pd.Series, q: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else snippet_of(x, y or "", window, size) for x, y in zip(t, q, strict=True)])
+
+    return cut(F.col(text), F.col(query))
 
 
 def dense(vectors: DataFrame, queries: DataFrame, vec_id: str, vector: str, query_id: str, query_vector: str, k: int = 10, query_block: int = 1024) -> DataFrame:
@@ -183,9 +199,23 @@ def prior_boost(score: str, tag: str, other_years: str, labels: str) -> Column:
     return F.col(score) * by_tag * F.when(F.coalesce(F.col(other_years), F.lit(False)), 0.90).otherwise(1.0) * F.when(F.coalesce(F.size(labels), F.lit(0)) > 0, 1.03).otherwise(1.0)
 
 
-def embed_texts(df: DataFrame, text: str, size: int = 64) -> DataFrame:
-    """Adds embedding, hashed words of unit length; a model can take its place."""
-    words = bm25_tokens(text)
-    slots = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.aggregate(words, F.lit(0.0), lambda s, w: s + F.when(F.pmod(F.xxhash64(w), F.lit(size)) == i, F.when(F.pmod(F.crc32(F.encode(w, "utf-8")), F.lit(2)) == 0, 1.0).otherwise(-1.0)).otherwise(0.0)))
-    out = df.withColumn("_v", slots).withColumn("_n", F.sqrt(inner_product("_v", "_v")))
-    return out.withColumn("embedding", F.transform("_v", lambda x: F.when(F.col("_n") > 0, x / F.col("_n")).otherwise(0.0).cast("float"))).drop("_v", "_n")
+def hashed_embedding(texts: list[str], size: int) -> np.ndarray:
+    """Hashed words with signs, of unit length (zero without words); stands in for a model."""
+    out = np.zeros((len(texts), size))
+    for i, t in enumerate(texts):
+        for w in _TOKEN.findall(t.lower()):
+            if len(w) >= 2 and w not in BM25_STOPWORDS:
+                h = zlib.crc32(w.encode())
+                out[i, h % size] += 1 if h >> 16 & 1 else -1
+    n = np.sqrt((out * out).sum(axis=1, keepdims=True))
+    return np.divide(out, n, out=out, where=n > 0).astype(np.float32)
+
+
+def embed_texts(df: DataFrame, text: str, size: int = 64, encoder: Callable[[list[str], int], np.ndarray] = hashed_embedding) -> DataFrame:
+    """Adds embedding, of unit length; the encoder takes texts in batches."""
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def embed(s: pd.Series) -> pd.Series:
+        return pd.Series(list(encoder([t or "" for t in s], size)))
+
+    return df.withColumn("embedding", embed(F.col(text)))

@@ -117,7 +117,7 @@ def j12_fq_backfill(spark, sf):
     return J.backfill(e, e, ["user_id"], "fq", "event_id").select("event_id", "fq")
 
 
-@query("WITH n AS (SELECT user_id, event_type, count(*) AS n, min(event_id) AS f FROM events GROUP BY 1, 2) SELECT user_id, arg_min(event_type, (-n, f)) AS event_type FROM (SELECT user_id, event_type, n, f, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, f) AS rn FROM n) WHERE rn = 1 GROUP BY user_id".replace("arg_min(event_type, (-n, f))", "any_value(event_type)"))
+@query("WITH n AS (SELECT user_id, event_type, count(*) AS n, min(event_id) AS f FROM events GROUP BY 1, 2) SELECT user_id, event_type FROM (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, f) AS rn FROM n) WHERE rn = 1")
 def j13_dei_mode(spark, sf):
     return J.modal(table(spark, sf, "events"), ["user_id"], "event_type", "event_id")
 
