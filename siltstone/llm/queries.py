@@ -79,4 +79,28 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_dedup, op3_license_scan, op4_decontamination, op5_toxicity, op6_embedding_dedup, op7_sharding, op8_bpe, op9_pii, op10_suffix_array_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_ITEM_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+#: op2, op3, op5, op7 to op10 have none: SQL lacks their hashes, models and tokenizers, or takes too long on whole texts. They are tested against brute force.
+ORACLE_SQL = {
+    "op1_substring_dedup": """
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, list_slice(w, i, i + 12) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w WHERE len(w) >= 13)),
+f AS (SELECT g, min(doc_id) AS f FROM g GROUP BY g),
+m AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM g JOIN f ON g.g = f.g WHERE f < doc_id) GROUP BY 1)
+SELECT w.doc_id, len(w) AS n_words, coalesce(len(ps), 0) AS n_removed, sha256(array_to_string(list_filter(w, lambda x, i: ps IS NULL OR NOT list_contains(ps, i)), ' ')) AS kept_sha256 FROM w LEFT JOIN m ON w.doc_id = m.doc_id""",
+    "op4_decontamination": f"""
+WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents), b AS (SELECT item_id, w, least(len(w), 13) AS n FROM (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, list_slice(w, i, i + n - 1) AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b)),
+dg AS (SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS g FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, i, dg.n, item_id FROM dg JOIN win ON dg.n = win.n AND dg.g = win.g),
+p AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY 1),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY 1)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN p ON d.doc_id = p.doc_id LEFT JOIN t ON d.doc_id = t.doc_id""",
+    "op6_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY 1) LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY 1) ON vec_id = a""",
+}

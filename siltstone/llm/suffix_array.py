@@ -97,8 +97,8 @@ class BlindTrie:
 
 def deep_shallow_sort(rows: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of rows padded with zero bytes to width, and how many bytes neighbours share."""
-    padded = -(-width // 8) * 8
-    flat = b"".join([r.ljust(padded, b"\0") for r in rows])
+    padded = max(8, -(-width // 8) * 8)
+    flat = b"".join([r[:width].ljust(padded, b"\0") for r in rows])
     words = np.frombuffer(flat, ">u8").reshape(len(rows), padded // 8)
     shallow = words[:, : min(SHALLOW, words.shape[1])].astype(np.uint64)
     order: list[int] = []
