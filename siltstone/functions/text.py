@@ -226,14 +226,14 @@ def split_sentences(c: Column | str) -> Column:
     """Pieces that end with . ! ? before white space or the end of a line; CJK marks count as well."""
     s = F.translate(F.coalesce(col(c), F.lit("")), "。！？", ".!?")
     marked = F.regexp_replace(F.regexp_replace(s, r"([.!?])[ \t\n\r]+", "$1\n"), r"[\n\r]+", "\n")
-    return F.filter(F.transform(F.split(marked, "\n"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(marked, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def split_units(c: Column | str) -> Column:
     """Lines; a bullet line is a unit, others are split after . ? ! ; : and dashes."""
     bullet = r"^\s*(?:[•\-–—]|\(\s*(?:[ivxlcdm]+|\d+|[a-zA-Z])\s*\)|(?:\d+\.|[a-zA-Z]\.))\s+"
-    lines = F.filter(F.transform(F.split(F.coalesce(col(c), F.lit("")), r"\r?\n"), F.trim), lambda x: x != "")
-    cut = lambda x: F.filter(F.transform(F.split(x, r"(?<=[.?!。！？;:—–])\s+"), F.trim), lambda y: y != "")
+    lines = F.filter(F.transform(F.split(F.coalesce(col(c), F.lit("")), r"\r?\n"), lambda x: F.trim(x)), lambda x: x != "")
+    cut = lambda x: F.filter(F.transform(F.split(x, r"(?<=[.?!。！？;:—–])\s+"), lambda x: F.trim(x)), lambda y: y != "")
     return F.flatten(F.transform(lines, lambda x: F.when(x.rlike(bullet), F.array(x)).otherwise(cut(x))))
 
 

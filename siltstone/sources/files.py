@@ -18,9 +18,9 @@ def companies(spark: SparkSession, path: str) -> DataFrame:
     """EDGAR companies of the US market, a row for each form and year."""
     raw = spark.read.csv(path, header=True, schema=COMPANY)
     mine = raw.where((F.upper("source") == "EDGAR") & (F.upper("market") == "US"))
-    parts = lambda c: F.filter(F.transform(F.split(c, r"\|"), F.trim), lambda x: x != "")
+    parts = lambda c: F.filter(F.transform(F.split(c, r"\|"), lambda x: F.trim(x)), lambda x: x != "")
     one = mine.select("ticker", F.explode(parts("form_types")).alias("form"), F.filter(parts("years"), lambda y: y.rlike(r"^\d+$")).alias("y"))
-    return one.select("ticker", "form", F.explode("y").cast("int").alias("year"))
+    return one.select("ticker", "form", F.explode("y").alias("year")).withColumn("year", F.col("year").cast("int"))
 
 
 def jsonl(spark: SparkSession, path: str, schema: str | T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
