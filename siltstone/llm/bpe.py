@@ -13,7 +13,9 @@ text are not read, so their names cannot clash.
 from __future__ import annotations
 
 import json
+import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -87,28 +89,22 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _distinct(v: Vocabulary, texts: list[bytes], parts: int) -> tuple[list[list[str]], list[str]]:
-    """Words of each text; distinct words in order of their part and of the word."""
-    import zlib
-
+def _distinct(v: Vocabulary, texts: list[bytes], parts: int) -> tuple[list[list[str]], list[str], np.ndarray]:
+    """Words of each text; distinct words by part, else in order of their first mention; where each part begins and the end."""
     rows = [v.split(t.decode("utf-8", "replace")) for t in texts]
-    seen: set[str] = set()
-    for r in rows:
-        seen.update(r)
-    return rows, sorted(seen, key=lambda w: (zlib.crc32(w.encode()) % parts, w))
+    seen = list(dict.fromkeys(chain.from_iterable(rows)))
+    part = np.fromiter((zlib.crc32(w.encode()) for w in seen), np.int64, len(seen)) % parts
+    order = np.argsort(part, kind="stable")
+    return rows, [seen[i] for i in order.tolist()], np.searchsorted(part[order], np.arange(parts + 1))
 
 
 def ask(path: str, parts: int):
-    import zlib
-
     def run(batches):
         v = vocabulary(path)
         for rb in batches:
             for block, ids, lens, body in zip(*(rb.column(c).to_pylist() for c in ("block", "ids", "lens", "body")), strict=True):
-                _, words = _distinct(v, unpack(ids, lens, body)[1], parts)
+                _, words, cut = _distinct(v, unpack(ids, lens, body)[1], parts)
                 raw = [w.encode() for w in words]
-                part = np.fromiter((zlib.crc32(w) % parts for w in raw), np.int32, len(raw))
-                cut = np.searchsorted(part, np.arange(parts + 1))
                 yield batch(ASKED, [(r, block, put(np.fromiter(map(len, raw[a:z]), np.int32, z - a), b"".join(raw[a:z]))) for r, (a, z) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if z > a])
 
     return run
@@ -146,7 +142,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_i
         v = vocabulary(vocabulary_path)
         for rb in batches:
             for ids, lens, body, said in zip(*(rb.column(c).to_pylist() for c in ("ids", "lens", "body", "said")), strict=True):
-                rows, words = _distinct(v, unpack(ids, lens, body)[1], parts)
+                rows, words, _ = _distinct(v, unpack(ids, lens, body)[1], parts)
                 answers = [get(x["blob"]) for x in sorted(said or (), key=lambda x: x["part"])]
                 size = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(a[0], np.int32) for a in answers)])
                 tokens = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(a[1], np.int32) for a in answers)])
@@ -154,7 +150,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_i
                 index = {w: i for i, w in enumerate(words)}
                 for a in range(0, len(rows), 256):
                     some = rows[a : a + 256]
-                    at = np.fromiter((index[w] for r in some for w in r), np.int64)
+                    at = np.fromiter(map(index.__getitem__, chain.from_iterable(some)), np.int64, sum(map(len, some)))
                     n = size[at].astype(np.int64)
                     ends = np.cumsum(n)
                     out = tokens[np.repeat(start[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
