@@ -12,7 +12,7 @@ distinct entity of the corpus gets one replacement, so mentions stay together:
 * distinct: replacements that meet each other or any entity of the corpus are drawn
   again until none does.
 
-Texts without a digit, an @ or a form of address are passed by. Others meet their
+Texts without a digit, an @, = or : or a form of address are passed by. Others meet their
 replacements by a hash of the text; large groups of copies are split by adaptive
 skew joins.
 
@@ -56,7 +56,8 @@ PATTERN = "|".join(
         rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}\p{{L}}{{1,40}}(?: \p{{Lu}}\p{{L}}{{1,40}})?(?!\p{{L}})",
     ]
 )
-MAY_HOLD = rf"[0-9@]|(?:password|token|secret|pwd|passwd|{_TITLE})"
+#: Every entity but a name has one of these in it or before it.
+MARKS = "[0-9@=:]"
 NAME = rf"^(?:{_TITLE})\.? "
 KINDS = ("email", "ip", "card", "phone", "ssn", "iban", "key", "person", "secret")
 
@@ -184,15 +185,21 @@ def _found(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), 0)
 
 
-def entity_table(texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:
-    """entity, kind, surrogate: each distinct entity of the texts with its replacement; replacements are distinct and are no entity."""
-    found = texts.where(F.col(text_col).rlike(MAY_HOLD)).select(F.explode(_found(F.col(text_col))).alias("entity"))
-    named = persist(found.distinct().withColumn("kind", kind_of(F.col("entity"))).withColumn("attempt", F.lit(0)), "entities")
-    entities = named.select("entity")
+def may_hold(text: Column) -> Column:
+    """Whether the pattern can find anything: every entity has one of a few marks or a form of address."""
+    out = text.rlike(MARKS)
+    for title in [*MALE, *FEMALE, *NEUTRAL]:
+        out = out | text.contains(title)
+    return F.coalesce(out, F.lit(False))
+
+
+def draw_surrogates(entities: DataFrame, key: str) -> DataFrame:
+    """entity, kind, surrogate for distinct entities; replacements are distinct and are no entity."""
+    named = persist(entities.withColumn("kind", kind_of(F.col("entity"))).withColumn("attempt", F.lit(0)), "entities")
+    taken = named.select(F.col("entity").alias("surrogate"), F.lit(True).alias("_taken"))
     while True:
         drawn = persist(named.withColumn("surrogate", surrogate(F.col("entity"), F.col("kind"), F.col("attempt"), key)), "surrogates")
         first = drawn.groupBy("surrogate").agg(F.min("entity").alias("_first"))
-        taken = entities.withColumnRenamed("entity", "surrogate").withColumn("_taken", F.lit(True))
         judged = drawn.join(first, "surrogate").join(taken, "surrogate", "left")
         again = F.coalesce("_taken", F.lit(False)) | (F.col("entity") != F.col("_first"))
         judged = persist(judged.withColumn("_again", again), "judged")
@@ -201,22 +208,31 @@ def entity_table(texts: DataFrame, key: str, text_col: str = "text") -> DataFram
         named = judged.select("entity", "kind", (F.col("attempt") + F.col("_again").cast("int")).alias("attempt"))
 
 
+def entities_by_text(texts: DataFrame, text_col: str = "text") -> DataFrame:
+    """_text_hash and _entities, in order, of each distinct text that holds any."""
+    text = F.col(text_col)
+    return texts.where(may_hold(text)).select(F.sha2(text, 256).alias("_text_hash"), _found(text).alias("_entities")).where(F.size("_entities") > 0).distinct()
+
+
+def entity_table(texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+    """entity, kind, surrogate: each distinct entity of the texts with its replacement."""
+    return draw_surrogates(entities_by_text(texts, text_col).select(F.explode("_entities").alias("entity")).distinct(), key)
+
+
 def replace_pii(docs: DataFrame, key: str = "siltstone", text_col: str = "text", details: bool = False) -> DataFrame:
     """docs with surrogates in place of entities; with details also _entities, what was found, in order."""
-    if taken := {"_text_hash", "_swap", "_entities"} & {c.lower() for c in docs.columns}:
+    if taken := {"_text_hash", "_swap", "_new", "_entities"} & {c.lower() for c in docs.columns}:
         raise ValueError(f"rename these columns first: {sorted(taken)}")
     text = F.col(text_col)
-    table = entity_table(docs.select(text_col), key, text_col)
-    holds = F.coalesce(text.rlike(MAY_HOLD), F.lit(False))
-    candidates = docs.where(holds).withColumn("_text_hash", F.sha2(text, 256))
-    mentions = candidates.select("_text_hash", F.explode(F.array_distinct(_found(text))).alias("entity")).distinct()
+    found = persist(entities_by_text(docs.select(text_col), text_col), "found")
+    table = draw_surrogates(found.select(F.explode("_entities").alias("entity")).distinct(), key)
+    mentions = found.select("_text_hash", F.explode(F.array_distinct("_entities")).alias("entity"))
     swaps = mentions.join(table, "entity").groupBy("_text_hash").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("_swap"))
-    joined = candidates.join(swaps, "_text_hash", "left").drop("_text_hash")
-    joined = joined.withColumn("_entities", F.when(F.col("_swap").isNull(), F.array().cast("array<string>")).otherwise(_found(text)))
-    new = F.transform("_entities", lambda e: F.element_at(F.col("_swap"), e))
+    ready = persist(found.join(swaps, "_text_hash").select("_text_hash", "_entities", F.transform("_entities", lambda e: F.element_at(F.col("_swap"), e)).alias("_new")), "ready")
+    joined = docs.where(may_hold(text)).withColumn("_text_hash", F.sha2(text, 256)).join(ready, "_text_hash", "left").drop("_text_hash")
     parts = F.split(text, PATTERN, -1)
-    whole = F.array_join(F.zip_with(parts, F.array_append(new, F.lit("")), lambda p, s: F.concat(p, s)), "")
-    replaced = joined.withColumn(text_col, F.when(F.size("_entities") > 0, whole).otherwise(text)).drop("_swap")
-    rest = docs.where(~holds).withColumn("_entities", F.array().cast("array<string>"))
-    out = replaced.unionByName(rest)
+    whole = F.array_join(F.zip_with(parts, F.array_append("_new", F.lit("")), lambda p, s: F.concat(p, s)), "")
+    none = F.array().cast("array<string>")
+    replaced = joined.withColumn(text_col, F.when(F.col("_new").isNotNull(), whole).otherwise(text)).withColumn("_entities", F.coalesce("_entities", none)).drop("_new")
+    out = replaced.unionByName(docs.where(~may_hold(text)).withColumn("_entities", none))
     return out if details else out.drop("_entities")
