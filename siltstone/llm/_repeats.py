@@ -391,7 +391,7 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, rule: Rule, clas
     blocks = pack(docs, id_col, text_col, block_bytes)
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     density = (2 / (rule.slack + 2)) / (6 if rule.words else 1)
-    bits = max(4, int(np.ceil(np.log2(max(1.0, total * density / 1.5e6)))))
+    bits = max(6, int(np.ceil(np.log2(max(1.0, total * density / 1.5e6)))))
     keys = blocks.mapInArrow(send_keys(rule, bits), "part int, block long, blob binary")
     shared = keys.groupBy("part").applyInArrow(find_shared, "block long, blob binary")
     found = persist(with_replies(blocks, shared).mapInArrow(send_contexts(rule), "kind string, block long, n long, blob binary"), "contexts")
