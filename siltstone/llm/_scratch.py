@@ -56,6 +56,14 @@ def release(spark: SparkSession) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of an Arrow batch, which else holds 10,000 whole texts. A smaller bound that is set stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    have = str(spark.conf.get(key, None) or "").lower()
+    if not have or have in ("-1", "2147483647b", "67108864b", "67108864", "64m", "64mb"):
+        spark.conf.set(key, str(8 << 20))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -98,6 +106,7 @@ def chunks(batches, block_bytes: int):
 def pack(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Write docs as a table of blocks, bucketed by block, and return it."""
     spark = docs.sparkSession
+    small_batches(spark)
 
     def run(batches):
         first = TaskContext.get().partitionId() << 32

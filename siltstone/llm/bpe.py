@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm._repeats import batch, get, put, split_contents
-from siltstone.llm._scratch import BLOCK_BYTES, ids_column, pack, unpack, with_replies
+from siltstone.llm._scratch import ids_column, pack, unpack, with_replies
 
 #: The pattern of byte-level pre-tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ASKED = [("part", pa.int32()), ("block", pa.int64()), ("blob", pa.binary())]
+#: Of text in a block: its words are Python strings for a while.
+BLOCK_BYTES = 2 << 20
 TOLD = [("block", pa.int64()), ("part", pa.int32()), ("blob", pa.binary())]
 
 
@@ -43,10 +45,10 @@ class Vocabulary:
 
     def __init__(self, path: str) -> None:
         import regex
-        from tokenizers import Tokenizer
 
-        spec = json.load(open(path, encoding="utf-8"))
-        self.model = Tokenizer.from_file(path).model
+        self.path = path
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
         self.letters = byte_letters()
         of = {c: b for b, c in enumerate(self.letters)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -61,6 +63,13 @@ class Vocabulary:
         self.words = regex.compile(PATTERN)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
 
+    @cached_property
+    def model(self):
+        """Loaded only where words are encoded."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path).model
+
     def split(self, text: str) -> list[str]:
         """Words and special tokens of a text, in order; joined they are the text."""
         if self.cut is None or not any(s in text for s in self.special):
@@ -166,10 +175,12 @@ def decode_documents(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
 
     def run(batches):
         v = vocabulary(vocabulary_path)
-        for rb in batches:
-            ids = rb.column(1)
-            offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False)
-            texts = [v.decode(flat[a:z]).decode("utf-8", "replace") for a, z in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([rb.column(0), ids, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                rb = whole.slice(at, 256)
+                ids = rb.column(1)
+                offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False)
+                texts = [v.decode(flat[a:z]).decode("utf-8", "replace") for a, z in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([rb.column(0), ids, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")

@@ -23,12 +23,13 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm import _hashing as H
-from siltstone.llm._scratch import chunks, ids_column
+from siltstone.llm._scratch import chunks, ids_column, small_batches
 
 U = np.uint64
 WINDOW = 13
@@ -169,10 +170,11 @@ def is_contaminated(n_hit: int, n_words: int) -> bool:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, k: int = K, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """Per row of docs: doc_id, n_words, n_hit, items with occurring windows, spans of hit words (end exclusive), contaminated (at least one word in twenty is hit)."""
+    small_batches(docs.sparkSession)
     blocks = index_blocks(benchmark, item_col, item_text_col, window, k, index_bytes)
 
     def run(batches):
-        for ids, texts in chunks(batches, 4 << 20):
+        for ids, texts in chunks(batches, 2 << 20):
             n, hits, items = judge_texts(blocks, texts)
             n_hit = [int(hits[d].sum()) if d in hits else 0 for d in range(len(ids))]
             spans = [[] for _ in ids]
@@ -187,14 +189,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, SCHEMA)
 
 
-def filter_rows(docs: DataFrame, text_col: str, keep: Callable[[list[bytes]], np.ndarray], step: int = 512) -> DataFrame:
-    """Rows of docs, all columns as they are, whose texts `keep` says yes to."""
+def filter_rows(docs: DataFrame, text_col: str, keep: Callable[[list[bytes]], np.ndarray], step_bytes: int = 1 << 20) -> DataFrame:
+    """Rows of docs, all columns as they are, whose texts `keep` says yes to; it sees about step_bytes of text at a time."""
     at = docs.columns.index(text_col)
+    small_batches(docs.sparkSession)
 
     def run(batches):
         for rb in batches:
-            for a in range(0, rb.num_rows, step):
-                part = rb.slice(a, step)
+            size = pc.fill_null(pc.binary_length(rb.column(at)), 0).to_numpy(zero_copy_only=False)
+            step = np.cumsum(size + 16) // step_bytes
+            cut = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), rb.num_rows]
+            for a, z in zip(cut[:-1], cut[1:], strict=True):
+                part = rb.slice(a, z - a)
                 texts = [t or b"" for t in part.column(at).cast(pa.binary()).to_pylist()]
                 yield part.filter(pa.array(keep(texts)))
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm import _hashing as H
-from siltstone.llm._scratch import NULL_ID, chunks
+from siltstone.llm._scratch import NULL_ID, chunks, small_batches
 from siltstone.llm.decontamination import Words, words_of
 
 U = np.uint64
@@ -129,6 +129,7 @@ def scan_texts(index: TemplateIndex, texts: list[bytes], coverage: float) -> lis
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text", coverage: float = COVERAGE) -> DataFrame:
     """A row for each place of a document that matches a template: doc_id, license_id, coverage, first and last matched word (end exclusive), and runs of matched words."""
+    small_batches(docs.sparkSession)
     index = docs.sparkSession.sparkContext.broadcast(TemplateIndex(templates if templates is not None else TEMPLATES))
 
     def run(batches):

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from siltstone.llm import _hashing as H
 from siltstone.llm._components import connected_components, link_within_groups, split_groups
-from siltstone.llm._scratch import chunks, ids_column, persist
+from siltstone.llm._scratch import chunks, ids_column, persist, small_batches
 
 U = np.uint64
 ALL = U(2**64 - 1)
@@ -172,6 +172,7 @@ def link(radius: int):
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """doc_id and fp, the fingerprint as a long, for each row of docs."""
+    small_batches(docs.sparkSession)
 
     def run(batches):
         for ids, texts in chunks(batches, 2 << 20):

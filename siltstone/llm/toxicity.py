@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import _hashing as H
 from siltstone.llm._repeats import get, put
-from siltstone.llm._scratch import chunks, ids_column, persist
+from siltstone.llm._scratch import chunks, ids_column, persist, small_batches
 from siltstone.llm.decontamination import filter_rows
 
 U = np.uint64
@@ -244,10 +244,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and score for each row of docs."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for ids, texts in chunks(batches, 4 << 20):
+        for ids, texts in chunks(batches, 2 << 20):
             yield pa.RecordBatch.from_arrays([ids_column(ids), pa.array(shared.value.score(texts))], names=["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, score double")
