@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -61,12 +63,27 @@ def modal(df: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
     return n.groupBy(*keys).agg(F.min_by(value, F.struct((-F.col("_n")).alias("n"), "_f")).alias(value))
 
 
-def surface_hits(texts: DataFrame, text: str, surfaces: DataFrame, surface: str) -> DataFrame:
-    """Texts with each surface form that they contain.
+def in_blocks(vocabulary: DataFrame, rows: int = 10_000) -> list[DataFrame]:
+    """A stated vocabulary as tables of at most that many rows, each small enough to broadcast."""
+    spark, out, held = vocabulary.sparkSession, [], []
+    for r in vocabulary.toLocalIterator():
+        held.append(tuple(r))
+        if len(held) == rows:
+            out.append(spark.createDataFrame(held, vocabulary.schema))
+            held = []
+    if held or not out:
+        out.append(spark.createDataFrame(held, vocabulary.schema))
+    return out
 
-    surfaces is a stated vocabulary; texts are matched against it where they are read.
-    """
-    return texts.join(F.broadcast(surfaces), F.contains(F.lower(F.col(text)), F.lower(F.col(surface))))
+
+def match_vocabulary(texts: DataFrame, vocabulary: DataFrame, on: Column) -> DataFrame:
+    """Rows of texts with each vocabulary row for which `on` holds; texts stay where they are, the vocabulary comes in blocks."""
+    return reduce(DataFrame.unionByName, [texts.join(F.broadcast(b), on) for b in in_blocks(vocabulary)])
+
+
+def surface_hits(texts: DataFrame, text: str, surfaces: DataFrame, surface: str) -> DataFrame:
+    """Texts with each surface form that they contain."""
+    return match_vocabulary(texts, surfaces, F.contains(F.lower(F.col(text)), F.lower(F.col(surface))))
 
 
 def fuse_lists(a: DataFrame, b: DataFrame, key: list[str], k: float = 60.0, weights: tuple[float, float] = (2.0, 2.0)) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import window as W
 
 from siltstone.functions.numeric import bm25_idf, bm25_tf, inner_product
 from siltstone.functions.text import BM25_STOPWORDS, TOKEN, bm25_tokens, word_set
-from siltstone.operators.joins import fuse_lists, fused_order
+from siltstone.operators.joins import fuse_lists, fused_order, match_vocabulary
 from siltstone.operators.windows import ranked, top_k
 
 _TOKEN = re.compile(TOKEN)
@@ -173,7 +173,7 @@ def rule_rerank(df: DataFrame, by: list[str], dense_score: str, sparse_score: st
 
 def expand_query(queries: DataFrame, query_id: str, query: str, surfaces: DataFrame, relations: DataFrame) -> DataFrame:
     """Qid and terms: surfaces of hit concepts and of related ones, and years of the query. surfaces: concept, surface; relations: concept, related."""
-    hits = queries.select(F.col(query_id).alias("qid"), F.col(query).alias("q")).join(F.broadcast(surfaces), F.contains(F.lower("q"), F.lower("surface"))).select("qid", "concept")
+    hits = match_vocabulary(queries.select(F.col(query_id).alias("qid"), F.col(query).alias("q")), surfaces, F.contains(F.lower("q"), F.lower("surface"))).select("qid", "concept")
     near = hits.join(relations, "concept").select("qid", F.col("related").alias("concept"))
     terms = hits.unionByName(near).distinct().join(surfaces, "concept").select("qid", F.col("surface").alias("term"))
     years = queries.select(F.col(query_id).alias("qid"), F.explode(F.regexp_extract_all(query, F.lit(r"\b(20\d{2})\b"), 1)).alias("term"))
@@ -182,7 +182,7 @@ def expand_query(queries: DataFrame, query_id: str, query: str, surfaces: DataFr
 
 def pattern_expansion(queries: DataFrame, query_id: str, query: str, patterns: DataFrame) -> DataFrame:
     """Terms of the patterns (pattern, term) that match the query."""
-    hit = queries.join(F.broadcast(patterns), F.call_function("rlike", F.lower(F.col(query)), F.col("pattern")))
+    hit = match_vocabulary(queries, patterns, F.call_function("rlike", F.lower(F.col(query)), F.col("pattern")))
     return hit.groupBy(F.col(query_id).alias("qid")).agg(F.sort_array(F.collect_set("term")).alias("terms"))
 
 
