@@ -61,7 +61,7 @@ def small_batches(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     have = str(spark.conf.get(key, None) or "").lower()
     if not have or have in ("-1", "2147483647b", "67108864b", "67108864", "64m", "64mb"):
-        spark.conf.set(key, str(8 << 20))
+        spark.conf.set(key, str(4 << 20))
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -174,7 +174,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     blocks = index_blocks(benchmark, item_col, item_text_col, window, k, index_bytes)
 
     def run(batches):
-        for ids, texts in chunks(batches, 2 << 20):
+        for ids, texts in chunks(batches, 1 << 20):
             n, hits, items = judge_texts(blocks, texts)
             n_hit = [int(hits[d].sum()) if d in hits else 0 for d in range(len(ids))]
             spans = [[] for _ in ids]
@@ -189,7 +189,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, SCHEMA)
 
 
-def filter_rows(docs: DataFrame, text_col: str, keep: Callable[[list[bytes]], np.ndarray], step_bytes: int = 1 << 20) -> DataFrame:
+def filter_rows(docs: DataFrame, text_col: str, keep: Callable[[list[bytes]], np.ndarray], step_bytes: int = 1 << 19) -> DataFrame:
     """Rows of docs, all columns as they are, whose texts `keep` says yes to; it sees about step_bytes of text at a time."""
     at = docs.columns.index(text_col)
     small_batches(docs.sparkSession)

@@ -133,7 +133,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_c
     index = docs.sparkSession.sparkContext.broadcast(TemplateIndex(templates if templates is not None else TEMPLATES))
 
     def run(batches):
-        for ids, texts in chunks(batches, 2 << 20):
+        for ids, texts in chunks(batches, 1 << 20):
             rows = []
             for d, name, share, at in scan_texts(index.value, texts, coverage):
                 spans = []

@@ -175,7 +175,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     small_batches(docs.sparkSession)
 
     def run(batches):
-        for ids, texts in chunks(batches, 2 << 20):
+        for ids, texts in chunks(batches, 1 << 20):
             yield pa.RecordBatch.from_arrays([ids_column(ids), pa.array(fingerprints(texts, shingle).view(np.int64))], names=["doc_id", "fp"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, fp long")

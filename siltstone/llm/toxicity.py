@@ -208,7 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return constant_model(share)
 
     def count(batches):
-        for y, texts in chunks(batches, 2 << 20):
+        for y, texts in chunks(batches, 1 << 19):
             yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in feature_counts(texts, y.astype(np.float64))], names=["h", "total", "hits"])
 
     counted = rows.mapInArrow(count, "h long, total long, hits long").groupBy("h").agg(F.sum("total").alias("total"), F.sum("hits").alias("hits"))
@@ -219,7 +219,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def encoded(batches):
-        for y, texts in chunks(batches, 2 << 20):
+        for y, texts in chunks(batches, 1 << 19):
             row, code = encode(texts, shared.value)
             n_swaps, swap_row, swap_code, sign = encode_swaps(texts, shared.value)
             blob = put(y.astype(np.float64), row, code, swap_row, swap_code, sign)
@@ -248,7 +248,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for ids, texts in chunks(batches, 2 << 20):
+        for ids, texts in chunks(batches, 1 << 19):
             yield pa.RecordBatch.from_arrays([ids_column(ids), pa.array(shared.value.score(texts))], names=["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, score double")
