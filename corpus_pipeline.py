@@ -1,8 +1,8 @@
 """The corpus pipeline: toxicity, near-duplicates, contamination, PII, token ids.
 
 Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept. All but
-the last return the columns of documents. Near-duplicates are those of op2: shingles of
-three words, fingerprints that differ in at most three bits.
+the last return the columns of documents. Near-duplicates share at least 0.8 of their
+distinct shingles of five words (Jaccard); the rule of op2 is that query's alone.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from siltstone.llm.bpe import decode_documents, encode_documents
 from siltstone.llm.decontamination import drop_contaminated
 from siltstone.llm.pii import replace_pii
 from siltstone.llm.queries import table, vocabulary_path
-from siltstone.llm.simhash import keep_one_of_each
+from siltstone.llm.shingle_dedup import keep_one_of_similar
 from siltstone.llm.toxicity import drop_toxic
 
 
@@ -26,7 +26,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest id."""
-    return keep_one_of_each(docs)
+    return keep_one_of_similar(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

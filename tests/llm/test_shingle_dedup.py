@@ -1,0 +1,65 @@
+"""The pipeline's near-duplicates against exact Jaccard similarities of five-word shingles."""
+
+import random
+from itertools import combinations
+
+import pytest
+
+import corpus_pipeline
+from siltstone.llm import shingle_dedup
+from siltstone.llm.simhash import keep_one_of_each
+
+SCHEMA = "doc_id long, text string, lang string"
+
+
+def by_hand(rows):
+    """Rows' sets and the smallest row each reaches by pairs of at least 0.8."""
+    sets = []
+    for _, t, _ in rows:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    label = list(range(len(rows)))
+    pairs = [(i, j) for i, j in combinations(range(len(rows)), 2) if sets[i] == sets[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    while any(label[i] != label[j] for i, j in pairs):
+        for i, j in pairs:
+            label[i] = label[j] = min(label[i], label[j])
+    return label
+
+
+def planted(seed=3):
+    r = random.Random(seed)
+    text = lambda n: [f"w{r.randrange(5000)}" for _ in range(n)]
+    rows = []
+    for i in range(60):
+        base = text(200)
+        rows.append((10 * i, " ".join(base), "en"))
+        for n in range(1, 4):  # 1 to 6 words replaced: similarities of about 0.95 to 0.74
+            copy = list(base)
+            for at in r.sample(range(0, 200, 5), 2 * n - i % 2):
+                copy[at] = "new"
+            rows.append((10 * i + n, " ".join(copy).upper() if n == 1 else "\n".join(copy), "en"))
+    return rows
+
+
+def test_planted_near_copies_go(spark):
+    rows = planted()
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = {rows[x][0] for x in by_hand(rows)}
+    kept = [r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()]
+    assert len(kept) == len(set(kept)) and set(kept) == want
+    assert keep_one_of_each(df).count() > len(want) + 60  # three words and three bits leave most
+
+
+@pytest.mark.parametrize("size", [512, 8])
+def test_odd_rows_and_large_groups(spark, monkeypatch, size):
+    monkeypatch.setattr(shingle_dedup, "SLICE", size)
+    base = [f"v{i}" for i in range(150)]
+    rows = [(1000 + i, " ".join([*base[:i], "new", *base[i + 1 :]]), "x") for i in range(0, 150, 3)]
+    rows += [(1, None, "x"), (2, "", "x"), (None, "  ", "x"), (3, "two words", "x"), (3, "Two  words", "x"), (3, "others", "x"), (None, "alone without id", "x"), (4, "two words", "x"), (2000, None, "x")]
+    got = shingle_dedup.keep_one_of_similar(spark.createDataFrame(rows, SCHEMA))
+    assert got.columns == ["doc_id", "text", "lang"]
+    assert sorted((r.doc_id or 0, " ".join((r.text or "").lower().split())) for r in got.collect()) == [(0, "alone without id"), (1, ""), (3, "others"), (3, "two words"), (1000, " ".join(["new", *base[1:]]))]
+
+
+def test_empty_table(spark):
+    assert shingle_dedup.keep_one_of_similar(spark.createDataFrame([], SCHEMA)).count() == 0
