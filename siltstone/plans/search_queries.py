@@ -40,8 +40,19 @@ def _bm25(spark: SparkSession, sf: str, docs: DataFrame, k: int) -> DataFrame:
     return S.bm25(docs, table(spark, sf, "benchmark"), "doc_id", "text", "item_id", "text", k)
 
 
-def _dense(spark: SparkSession, sf: str, vectors: DataFrame, k: int) -> DataFrame:
-    q = table(spark, sf, "embeddings").where("vec_id < 20").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"))
+def _query_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """The stated queries of vector search: ids divisible by 50."""
+    return table(spark, sf, "embeddings").where("vec_id % 50 = 0")
+
+
+def _item_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """The vector of each benchmark item, that of its id."""
+    items = table(spark, sf, "benchmark").select(F.col("item_id").alias("vec_id"))
+    return table(spark, sf, "embeddings").join(items, "vec_id", "left_semi")
+
+
+def _dense(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    q = queries.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"))
     return S.dense(vectors, q, "vec_id", "embedding", "qid", "qv", k)
 
 
@@ -65,12 +76,12 @@ def r03_bm25_filtered(spark, sf):
 
 @query(f"{_SHOW} ({dense_sql('SELECT * FROM embeddings', 10)})")
 def r04_dense_topk(spark, sf):
-    return _show(_dense(spark, sf, table(spark, sf, "embeddings"), 10))
+    return _show(_dense(_query_vectors(spark, sf), table(spark, sf, "embeddings"), 10))
 
 
 @query(f"{_SHOW} ({dense_sql('SELECT * FROM embeddings WHERE label = 3', 10)})")
 def r04_dense_filtered(spark, sf):
-    return _show(_dense(spark, sf, table(spark, sf, "embeddings").where("label = 3"), 10))
+    return _show(_dense(_query_vectors(spark, sf), table(spark, sf, "embeddings").where("label = 3"), 10))
 
 
 @query("SELECT a.vec_id, round(list_inner_product(list_transform(a.embedding, lambda x: CAST(x AS DOUBLE)), list_transform(b.embedding, lambda x: CAST(x AS DOUBLE))), 6) AS ip, round(1 / (1 + pow(list_distance(list_transform(a.embedding, lambda x: CAST(x AS DOUBLE)), list_transform(b.embedding, lambda x: CAST(x AS DOUBLE))), 2)), 6) AS l2 FROM embeddings a JOIN embeddings b ON a.vec_id + 1 = b.vec_id")
@@ -146,7 +157,7 @@ SELECT qid, doc, CAST(rank AS INT) AS rank, round(final, 6) AS final_score FROM
 def r08_hybrid(spark, sf):
     """The flagship: both legs for all benchmark items, fused, reranked, first eight."""
     docs, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
-    out = S.hybrid(_bm25(spark, sf, docs, 50), _dense(spark, sf, table(spark, sf, "embeddings"), 50), docs, items, "doc_id", "text", "item_id", "text")
+    out = S.hybrid(_bm25(spark, sf, docs, 50), _dense(_item_vectors(spark, sf), table(spark, sf, "embeddings"), 50), docs, items, "doc_id", "text", "item_id", "text")
     return out.select("qid", "doc", "rank", F.round("final_score", 6).alias("final_score"))
 
 
