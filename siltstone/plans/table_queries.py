@@ -71,7 +71,7 @@ def p19_normalise_record(spark, sf):
 
 @query("SELECT l.l_orderkey, l.l_linenumber, round(l.l_extendedprice, 2) AS value, o.o_orderstatus, s.s_name, p.p_name AS label FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey LEFT JOIN (SELECT * FROM (SELECT p_partkey, p_name, row_number() OVER (PARTITION BY p_partkey ORDER BY CASE WHEN p_type = 'x' THEN 0 ELSE 1 END, coalesce(p_brand, ''), p_type) AS rn FROM part) WHERE rn = 1) p ON l.l_partkey = p.p_partkey WHERE l.l_quantity > 45")
 def j01_fact_star(spark, sf):
-    facts = table(spark, sf, "lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_extendedprice", F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("p_partkey"))
+    facts = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_extendedprice", F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("p_partkey"))
     labels = J.ranked_labels(table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_brand"), ["p_partkey"], "p_type", "p_brand", "x").select("p_partkey", F.col("p_name").alias("label"))
     out = J.fact_star(facts, table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), table(spark, sf, "supplier").select("s_suppkey", "s_name"), labels, ["o_orderkey"], ["s_suppkey"], ["p_partkey"])
     return out.select(F.col("o_orderkey").alias("l_orderkey"), "l_linenumber", F.round("l_extendedprice", 2).alias("value"), "o_orderstatus", "s_name", "label")
