@@ -1,0 +1,17 @@
+"""Queries without the cut that their SQL still has: the SQL is read as if without it."""
+
+import pytest
+
+import __spark_entry__ as entry
+from tests.test_entry import SF, con, rows  # noqa: F401
+
+
+@pytest.mark.parametrize(("name", "cut", "whole"), [
+    ("p03_entity_overlap", " WHERE event_id % 3 = 0", ""),
+    ("u04_jaccard", "d.doc_id % 40 = b.item_id", "true"),
+])
+def test_sets(spark, con, name, cut, whole):  # noqa: F811
+    df = entry.queries()[name](spark, SF)
+    want = con.execute(entry.oracle_sql()[name].replace(cut, whole))
+    names = [d[0] for d in want.description]
+    assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(names, want.fetchall())
