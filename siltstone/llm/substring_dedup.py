@@ -1,7 +1,7 @@
 """Substring dedup with prefix-partitioned suffix trees over words.
 
-Suffixes start at anchors (see `_repeats`). Prefixes of one word, or of two or
-three where shorter ones are too frequent, split them into groups that fit a
+Suffixes start at anchors (see `_repeats`). Prefixes of one word, or of two, three
+and more where shorter ones are too frequent, split them into groups that fit a
 task's memory. Each group builds its suffix tree; an internal node at least as
 deep as what a window has to the right of its anchor stands for a repeat, and
 with the like node of the reversed words to the left it stands for the window.
@@ -51,14 +51,14 @@ class SuffixTree:
 def word_classes(window: int, k: int):
     slack = window - k
 
-    def classes(content: list[bytes], left: np.ndarray, right: np.ndarray):
+    def classes(content: list[bytes], left: np.ndarray, right: np.ndarray, lo: int = 0, hi: int = slack):
         codes: dict[bytes, int] = {}
-        rows = np.full((len(content), slack + window), -1, np.int32)
+        rows = np.full((len(content), hi + window - lo), -1, np.int32)
         for i, (c, n) in enumerate(zip(content, left.tolist(), strict=True)):
             words = [codes.setdefault(w, len(codes)) for w in c.split(b" ")]
-            rows[i, slack - n : slack - n + len(words)] = words
-        ahead, back = SuffixTree(rows[:, slack:]), SuffixTree(rows[:, :slack][:, ::-1])
-        for shift in range(slack + 1):
+            rows[i, hi - n : hi - n + len(words)] = words
+        ahead, back = SuffixTree(rows[:, hi:]), SuffixTree(rows[:, :hi][:, ::-1])
+        for shift in range(lo, hi + 1):
             ok = np.flatnonzero((left >= shift) & (right >= window - shift))
             yield ok, back.nodes(shift)[ok] * len(rows) + ahead.nodes(window - shift)[ok]
 

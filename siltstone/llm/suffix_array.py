@@ -130,12 +130,12 @@ def _shared(a: np.ndarray, b: np.ndarray) -> int:
 def byte_classes(window: int, k: int):
     slack = window - k
 
-    def classes(content: list[bytes], left: np.ndarray, right: np.ndarray):
+    def classes(content: list[bytes], left: np.ndarray, right: np.ndarray, lo: int = 0, hi: int = slack):
         n = left.tolist()
-        order_r, share_r = deep_shallow_sort([c[i : i + window] for c, i in zip(content, n, strict=True)], window)
-        order_l, share_l = deep_shallow_sort([c[:i][::-1] for c, i in zip(content, n, strict=True)], slack)
+        order_r, share_r = deep_shallow_sort([c[i : i + window - lo] for c, i in zip(content, n, strict=True)], window - lo)
+        order_l, share_l = deep_shallow_sort([c[:i][::-1] for c, i in zip(content, n, strict=True)], hi)
         cls_l, cls_r = np.empty(len(n), np.int64), np.empty(len(n), np.int64)
-        for shift in range(slack + 1):
+        for shift in range(lo, hi + 1):
             ok = np.flatnonzero((left >= shift) & (right >= window - shift))
             cls_l[order_l] = np.concatenate([[0], np.cumsum(share_l < shift)])
             cls_r[order_r] = np.concatenate([[0], np.cumsum(share_r < window - shift)])
