@@ -38,7 +38,7 @@ def p02_meta_filter_strict(spark, sf):
     return _meta(spark, sf).where(P.metadata_filter("1-urgent", "f", 1995, lenient=False))
 
 
-@query("SELECT user_id, len(types) AS n_types FROM (SELECT user_id, list(DISTINCT event_type) AS types FROM events WHERE event_id % 3 = 0 GROUP BY user_id) WHERE list_has_any(types, ['error', 'purchase'])")
+@query("SELECT user_id, len(types) AS n_types FROM (SELECT user_id, list(DISTINCT event_type) AS types FROM events GROUP BY user_id) WHERE list_has_any(types, ['error', 'purchase'])")
 def p03_entity_overlap(spark, sf):
     g = table(spark, sf, "events").groupBy("user_id").agg(F.collect_set("event_type").alias("types"))
     return g.where(P.entity_filter("types", ["error", "purchase"])).select("user_id", F.size("types").cast("long").alias("n_types"))
@@ -69,7 +69,7 @@ def p19_normalise_record(spark, sf):
     return P.normalise_record(raw)
 
 
-@query("SELECT l.l_orderkey, l.l_linenumber, round(l.l_extendedprice, 2) AS value, o.o_orderstatus, s.s_name, p.p_name AS label FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey LEFT JOIN (SELECT * FROM (SELECT p_partkey, p_name, row_number() OVER (PARTITION BY p_partkey ORDER BY CASE WHEN p_type = 'x' THEN 0 ELSE 1 END, coalesce(p_brand, ''), p_type) AS rn FROM part) WHERE rn = 1) p ON l.l_partkey = p.p_partkey WHERE l.l_quantity > 45")
+@query("SELECT l.l_orderkey, l.l_linenumber, round(l.l_extendedprice, 2) AS value, o.o_orderstatus, s.s_name, p.p_name AS label FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey LEFT JOIN (SELECT * FROM (SELECT p_partkey, p_name, row_number() OVER (PARTITION BY p_partkey ORDER BY CASE WHEN p_type = 'x' THEN 0 ELSE 1 END, coalesce(p_brand, ''), p_type) AS rn FROM part) WHERE rn = 1) p ON l.l_partkey = p.p_partkey")
 def j01_fact_star(spark, sf):
     facts = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_extendedprice", F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("p_partkey"))
     labels = J.ranked_labels(table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_brand"), ["p_partkey"], "p_type", "p_brand", "x").select("p_partkey", F.col("p_name").alias("label"))

@@ -13,6 +13,7 @@ from siltstone.operators import facts as Fx
 from siltstone.operators import html_blocks as Hb
 from siltstone.operators.aggregates import keep_first
 from siltstone.operators.filters import search_entities
+from siltstone.operators.joins import match_vocabulary
 from siltstone.operators.search import best_snippet, term_frequencies
 from siltstone.operators.windows import section_path
 from siltstone.plans.catalogue import query
@@ -75,11 +76,13 @@ def w09_token_windows(spark, sf):
     return w.select("doc_id", F.col("w.start").cast("long").alias("start"), F.col("w.end").cast("long").alias("end"))
 
 
-@query("SELECT d.doc_id, b.item_id, round(len(list_intersect(d.w, b.w)) / len(list_distinct(list_concat(d.w, b.w))), 6) AS jac FROM (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM documents) d JOIN (SELECT item_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM benchmark) b ON d.doc_id % 40 = b.item_id")
+@query("WITH w AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM documents), q AS (SELECT item_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM benchmark WHERE item_id % 50 = 0) SELECT doc_id, item_id, round(len(list_intersect(w.w, q.w)) / len(list_distinct(list_concat(w.w, q.w))), 6) AS jac FROM w, q")
 def u04_jaccard(spark, sf):
+    """The stated queries, items with an id divisible by 50, against all documents, in blocks."""
     words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("[a-z0-9]+"), 0))
     d = table(spark, sf, "documents").select("doc_id", words("text").alias("a"))
-    return d.crossJoin(table(spark, sf, "benchmark").select("item_id", words("text").alias("b"))).select("doc_id", "item_id", F.round(jaccard("a", "b"), 6).alias("jac"))
+    asked = table(spark, sf, "benchmark").where("item_id % 50 = 0").select("item_id", words("text").alias("b"))
+    return match_vocabulary(d, asked, F.lit(True)).select("doc_id", "item_id", F.round(jaccard("a", "b"), 6).alias("jac"))
 
 
 @query()
