@@ -3,7 +3,11 @@
 Texts are split into words by the tokenizer's own pattern, in blocks. Each block asks
 for its distinct words; requests meet by hash, so every distinct word of the corpus is
 encoded once; the ids go back to the blocks that asked and are joined to the words by
-position. Decoding joins ids to the pieces of the vocabulary.
+position. Decoding is a join of ids with the table of pieces (id, piece): that table is
+the tokenizer's vocabulary, whatever the corpus, so it is broadcast and hash-joined.
+
+The tokenizer file says how texts are split. Byte-level files without a normalizer are
+understood; any other setting raises ValueError rather than give other ids.
 
 Results for odd input: a null text is an empty one, with no ids; a null id stays null;
 repeated rows each get a result; an empty table gives no rows. Columns besides id and
@@ -15,10 +19,10 @@ from __future__ import annotations
 import json
 import zlib
 from functools import cached_property, lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +32,9 @@ from siltstone.llm._scratch import ids_column, pack, unpack, with_replies
 #: The pattern of byte-level pre-tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ASKED = [("part", pa.int32()), ("block", pa.int64()), ("blob", pa.binary())]
-#: Of text in a block: its words are Python strings for a while.
-BLOCK_BYTES = 2 << 20
+#: Of text in a block; only SLICE_BYTES of it are Python strings at a time.
+BLOCK_BYTES = 8 << 20
+SLICE_BYTES = 1 << 19
 TOLD = [("block", pa.int64()), ("part", pa.int32()), ("blob", pa.binary())]
 
 
@@ -40,6 +45,21 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+def check(spec: dict) -> None:
+    """Whether a tokenizer file is one whose ids this module gives."""
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = all(not t.get(flag) for t in spec.get("added_tokens", ()) for flag in ("single_word", "lstrip", "rstrip", "normalized"))
+    rules = {
+        "model BPE without unknown token, suffix or dropout": model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")),
+        "no normalizer": not spec.get("normalizer"),
+        "ByteLevel pre-tokenizer with its own pattern and no space before": split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True),
+        "ByteLevel decoder": (spec.get("decoder") or {}).get("type") == "ByteLevel",
+        "added tokens matched as they are": plain,
+    }
+    if broken := [rule for rule, holds in rules.items() if not holds]:
+        raise ValueError(f"this tokenizer file needs: {'; '.join(broken)}")
+
+
 class Vocabulary:
     """A tokenizer file of the byte-level kind: words to ids, ids to bytes."""
 
@@ -49,17 +69,14 @@ class Vocabulary:
         self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        check(spec)
         self.letters = byte_letters()
         of = {c: b for b, c in enumerate(self.letters)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         n = 1 + max([*spec["model"]["vocab"].values(), *self.special.values()])
-        pieces = [b""] * n
-        for piece, i in spec["model"]["vocab"].items():
-            pieces[i] = bytes(of[c] for c in piece)
-        for piece, i in self.special.items():
-            pieces[i] = piece.encode()
-        size = np.fromiter(map(len, pieces), np.int64, n)
-        self.piece_size, self.piece_start, self.piece_bytes = size, np.cumsum(size) - size, np.frombuffer(b"".join(pieces), np.uint8)
+        self.id_type = np.dtype(np.uint16 if n <= 1 << 16 else np.int32)
+        pieces = {i: bytes(of[c] for c in piece) for piece, i in spec["model"]["vocab"].items()} | {i: piece.encode() for piece, i in self.special.items()}
+        self.pieces = pa.table({"id": pa.array(list(pieces), pa.int32()), "piece": pa.array(list(pieces.values()), pa.binary())})
         self.words = regex.compile(PATTERN)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
 
@@ -86,25 +103,48 @@ class Vocabulary:
             return [self.special[word]]
         return [t.id for t in self.model.tokenize("".join([self.letters[b] for b in word.encode()]))]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        size = self.piece_size[ids]
-        ends = np.cumsum(size)
-        at = np.repeat(self.piece_start[ids] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-        return self.piece_bytes[at].tobytes()
-
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _distinct(v: Vocabulary, texts: list[bytes], parts: int) -> tuple[list[list[str]], list[str], np.ndarray]:
-    """Words of each text; distinct words by part, else in order of their first mention; where each part begins and the end."""
-    rows = [v.split(t.decode("utf-8", "replace")) for t in texts]
-    seen = list(dict.fromkeys(chain.from_iterable(rows)))
+class Numbers(dict):
+    """Numbers words in the order of their first mention."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+def slices(texts: list[bytes]):
+    """Ranges of texts of about SLICE_BYTES."""
+    a = size = 0
+    for z, t in enumerate(texts):
+        if z > a and size + len(t) > SLICE_BYTES:
+            yield a, z
+            a, size = z, 0
+        size += len(t)
+    if a < len(texts):
+        yield a, len(texts)
+
+
+def distinct_words(v: Vocabulary, texts: list[bytes], parts: int) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """Words of the texts as numbers and how many each text has; distinct words by part, else in order of their first mention; where each part begins and the end; the place of each number in that order."""
+    numbers = Numbers()
+    codes, n_words = [np.empty(0, np.int32)], []
+    for a, z in slices(texts):
+        for t in texts[a:z]:
+            words = v.split(t.decode("utf-8", "replace"))
+            n_words.append(len(words))
+            codes.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+        codes = [np.concatenate(codes)]
+    seen = list(numbers)
     part = np.fromiter((zlib.crc32(w.encode()) for w in seen), np.int64, len(seen)) % parts
     order = np.argsort(part, kind="stable")
-    return rows, [seen[i] for i in order.tolist()], np.searchsorted(part[order], np.arange(parts + 1))
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    return codes[0], np.array(n_words, np.int64), [seen[i] for i in order.tolist()], np.searchsorted(part[order], np.arange(parts + 1)), place
 
 
 def ask(path: str, parts: int):
@@ -112,13 +152,24 @@ def ask(path: str, parts: int):
         v = vocabulary(path)
         for rb in batches:
             for block, ids, lens, body in zip(*(rb.column(c).to_pylist() for c in ("block", "ids", "lens", "body")), strict=True):
-                _, words, cut = _distinct(v, unpack(ids, lens, body)[1], parts)
+                _, _, words, cut, _ = distinct_words(v, unpack(ids, lens, body)[1], parts)
                 raw = [w.encode() for w in words]
-                yield batch(ASKED, [(r, block, put(np.fromiter(map(len, raw[a:z]), np.int32, z - a), b"".join(raw[a:z]))) for r, (a, z) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if z > a])
+                yield batch(ASKED, [(r, block, put(put_sizes(map(len, raw[a:z]), z - a), b"".join(raw[a:z]))) for r, (a, z) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if z > a])
 
     return run
 
 
+def put_sizes(sizes, n: int) -> bytes:
+    """Counts in as few bytes as hold the largest, which the first byte says."""
+    x = np.fromiter(sizes, np.int64, n)
+    t = next(t for t in (np.uint8, np.uint16, np.int32) if t is np.int32 or not n or x.max() <= np.iinfo(t).max)
+    return bytes([np.dtype(t).itemsize]) + x.astype(t).tobytes()
+
+
+def get_sizes(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, {1: np.uint8, 2: np.uint16, 4: np.int32}[raw[0]], offset=1).astype(np.int32)
+
+
 def tell(path: str):
     def run(t: pa.Table) -> pa.Table:
         v = vocabulary(path)
@@ -127,13 +178,12 @@ def tell(path: str):
         for part, block, blob in zip(*(t.column(c).to_pylist() for c in ("part", "block", "blob")), strict=True):
             sizes, content = get(blob)
             found = []
-            for w in split_contents(np.frombuffer(sizes, np.int32), content):
+            for w in split_contents(get_sizes(sizes), content):
                 ids = known.get(w)
                 if ids is None:
                     ids = known[w] = v.encode_word(w.decode())
                 found.append(ids)
-            n = np.fromiter(map(len, found), np.int32, len(found))
-            rows.append((block, part, put(n, np.array([i for ids in found for i in ids], np.int32))))
+            rows.append((block, part, put(put_sizes(map(len, found), len(found)), np.array([i for ids in found for i in ids], v.id_type))))
         return pa.Table.from_batches([batch(TOLD, rows)])
 
     return run
@@ -151,36 +201,44 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_i
         v = vocabulary(vocabulary_path)
         for rb in batches:
             for ids, lens, body, said in zip(*(rb.column(c).to_pylist() for c in ("ids", "lens", "body", "said")), strict=True):
-                rows, words, _ = _distinct(v, unpack(ids, lens, body)[1], parts)
+                codes, n_words, _, _, place = distinct_words(v, unpack(ids, lens, body)[1], parts)
                 answers = [get(x["blob"]) for x in sorted(said or (), key=lambda x: x["part"])]
-                size = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(a[0], np.int32) for a in answers)])
-                tokens = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(a[1], np.int32) for a in answers)])
-                start = np.cumsum(size) - size
-                index = {w: i for i, w in enumerate(words)}
-                for a in range(0, len(rows), 256):
-                    some = rows[a : a + 256]
-                    at = np.fromiter(map(index.__getitem__, chain.from_iterable(some)), np.int64, sum(map(len, some)))
+                size = np.concatenate([np.zeros(0, np.int32), *(get_sizes(a[0]) for a in answers)])
+                tokens = np.concatenate([np.zeros(0, v.id_type), *(np.frombuffer(a[1], v.id_type) for a in answers)])
+                start = np.cumsum(size, dtype=np.int64) - size
+                bounds = np.concatenate([[0], np.cumsum(n_words)])
+                for a in range(0, len(n_words), 256):
+                    upto = bounds[a : a + 257]
+                    at = place[codes[upto[0] : upto[-1]]]
                     n = size[at].astype(np.int64)
-                    ends = np.cumsum(n)
-                    out = tokens[np.repeat(start[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
-                    words_to = np.cumsum([len(r) for r in some])
-                    offsets = np.concatenate([[0], np.where(words_to > 0, ends[words_to - 1] if len(ends) else 0, 0)])
-                    yield pa.RecordBatch.from_arrays([ids_column(np.frombuffer(ids, np.int64)[a : a + 256]), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(out, pa.int32()))], names=["doc_id", "ids"])
+                    ends = np.concatenate([[0], np.cumsum(n)])
+                    out = tokens[np.repeat(start[at] - ends[:-1], n) + np.arange(ends[-1])]
+                    offsets = ends[upto - upto[0]].astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([ids_column(np.frombuffer(ids, np.int64)[a : a + 256]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.astype(np.int32)))], names=["doc_id", "ids"])
 
     return with_replies(blocks, told).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
-    """Adds text, decoded from ids; bytes that are no UTF-8 become U+FFFD. encoded: doc_id, ids."""
+    """Adds text, decoded from ids; bytes that are no UTF-8 become U+FFFD. encoded: doc_id, ids.
+
+    A hash join of ids with pieces; the pieces of a row keep its order and are put together.
+    An id that the vocabulary does not have, and a null, give no text.
+    """
+    pieces = encoded.sparkSession.sparkContext.broadcast(vocabulary(vocabulary_path).pieces)
 
     def run(batches):
-        v = vocabulary(vocabulary_path)
+        table = pieces.value
+        keys, values = table.column("id").combine_chunks(), table.column("piece").combine_chunks()
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 rb = whole.slice(at, 256)
                 ids = rb.column(1)
-                offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False)
-                texts = [v.decode(flat[a:z]).decode("utf-8", "replace") for a, z in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                flat = ids.flatten()
+                found = pc.fill_null(values.take(pc.index_in(flat, value_set=keys)), b"")
+                offsets = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))]).astype(np.int32)
+                joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), found), b"")
+                texts = [t.decode("utf-8", "replace") for t in joined.to_pylist()]
                 yield pa.RecordBatch.from_arrays([rb.column(0), ids, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
