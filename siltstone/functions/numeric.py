@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siltstone.functions.text import col
+from siltstone.functions.text import col, located
 
 #: Scale words, currency signs and codes.
 SCALES = {"billion": 1e9, "bn": 1e9, "b": 1e9, "million": 1e6, "mn": 1e6, "m": 1e6, "thousand": 1e3, "k": 1e3}
 CURRENCIES = {"$": "USD", "usd": "USD", "us$": "USD", "eur": "EUR", "€": "EUR", "cny": "CNY", "rmb": "CNY", "¥": "CNY", "jpy": "JPY", "gbp": "GBP", "£": "GBP"}
+#: What numbers in text look like, references to rules that are no numbers, and what tells that a date or a tagged name is near.
+NUMBER = r"([$€£¥])?((?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?)\s*"
+SCALE_WORD = r"(billion|million|thousand|bn|mn|m|k)"
+LEGAL = r"\b(?:Rule|Item)\s+\d+[a-z0-9\-]*\b|\bSection\s+\d+(?:\([a-z]\))?\b|§\s*\d+(?:\.\d+)*|\b12b-2\b"
+NEAR_DATE = r"(?i)\b(?:19|20)\d{2}-\d{2}-\d{2}\b|\b(?:january|february|march|april|may|june|july|august|september|october|november|december)\s+\d{1,2},\s*(?:19|20)\d{2}\b"
+NEAR_NAME = r"\b[A-Za-z0-9:.\-]*Member\b|\b(?:us-gaap|dei|srt|ifrs-full):[A-Za-z]\w*"
+MONTHS = r"(?i)\bmonths?\b"
+AROUND = 30
 PLAIN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -38,6 +46,32 @@ def human_number(c: Column | str) -> Column:
     return F.when(negative, -v).otherwise(v)
 
 
+def number_tokens(c: Column | str, legacy: bool = False) -> Column:
+    """Numbers with sign of currency, scale and the letters around; those of legal references are left out.
+
+    References are part of the pattern, so a number in one is never a match of its own.
+    legacy: a scale letter needs no end of word, so that "5 more" is five million.
+    """
+    text = F.coalesce(col(c), F.lit(""))
+    number = NUMBER + (f"{SCALE_WORD}?" if legacy else rf"(?:{SCALE_WORD}\b)?")
+    numbers = F.filter(located(text, f"(?i){LEGAL}|{number}"), lambda m: ~m["raw"].rlike(f"(?i)^(?:{LEGAL})$"))
+    scales = F.create_map(*[F.lit(x) for kv in SCALES.items() for x in kv])
+    signs = F.create_map(*[F.lit(x) for kv in CURRENCIES.items() for x in kv])
+
+    def token(m: Column) -> Column:
+        part = lambda i: F.nullif(F.regexp_extract(m["raw"], f"(?i)^{number}", i), F.lit(""))
+        first = F.greatest(m["start"] - AROUND, F.lit(0))
+        window = F.substring(text, first + 1, m["end"] + AROUND - first)
+        base, unit = F.replace(part(2), F.lit(","), F.lit("")).cast("double"), F.lower(part(3))
+        used = F.when(~((unit == "m") & window.rlike(MONTHS)), unit)
+        return F.struct(
+            F.trim(m["raw"]).alias("raw"), (base * F.coalesce(F.element_at(scales, used), F.lit(1.0))).alias("value"), base.alias("base_value"), unit.alias("unit_token"), used.alias("scale_used"),
+            F.element_at(signs, part(1)).alias("currency"), window.rlike(NEAR_DATE).alias("near_date"), window.rlike(NEAR_NAME).alias("near_xbrl_qname"), window.alias("window"),
+        )
+
+    return F.transform(numbers, token)
+
+
 def percents(c: Column | str) -> Column:
     """n% as fractions, in order."""
     return F.transform(F.regexp_extract_all(F.coalesce(col(c), F.lit("")), F.lit(r"(\d+(?:\.\d+)?)\s*%"), 1), lambda x: x.cast("double") / 100)

@@ -19,12 +19,31 @@ WORD = r"[A-Za-z0-9_\x{4e00}-\x{9fff}]+"
 RECORD_ID = r"^\d{10}-\d{2}-\d{6}::text::chunk-\d+$"
 NOISE_HEADER = r"(?i)^\s*(table\s+of\s+contents|contents|index|page\s+\d+|exhibit\s+\d+|signature[s]?|united\s+states|securities\s+and\s+exchange\s+commission)\s*$"
 ONLY_PUNCTUATION = r"^[^A-Za-z0-9\x{80}-\x{10ffff}]+$"
+#: Bullets of lists, lines that mark a table, and lines that lead into one.
+BULLET = r"^\s*(?:[•\-–—]|\(\s*(?:[ivxlcdm]+|\d+|[a-zA-Z])\s*\)|(?:\d+\.|[a-zA-Z]\.))\s+"
+TABLE_LINE = r"^\s*\[(?:TABLE|Table)\b.*\]\s*$"
+TABLE_LEAD = r"(?i)(the following table|the following|were as follows|are as follows|presented?\s+(?:below|as follows)|\(in (?:millions|thousands)\):)\s*(?:\[\w+\])?\s*$"
 
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def located(c: Column | str, pattern: str) -> Column:
+    """Matches of a pattern that never matches nothing, in order: (raw, start, end), by the lengths of what lies between them."""
+    s = F.coalesce(col(c), F.lit(""))
+    raw, between = F.regexp_extract_all(s, F.lit(pattern), 0), F.split(s, pattern, -1)
+    none = F.array().cast("array<struct<raw:string,start:int,end:int>>")
+    pairs = F.zip_with(raw, F.slice(between, 1, F.size(raw)), lambda m, gap: F.struct(m.alias("raw"), F.length(gap).alias("gap")))
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + x["gap"]
+        end = start + F.length(x["raw"])
+        return F.struct(end.alias("at"), F.array_append(acc["found"], F.struct(x["raw"].alias("raw"), start.alias("start"), end.alias("end"))).alias("found"))
+
+    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda acc: acc["found"])
+
+
 def normalize_spaces(c: Column | str) -> Column:
     """no-break spaces to spaces, runs of blanks and tabs to one, ends trimmed."""
     return F.trim(F.regexp_replace(F.replace(col(c), F.lit(" "), F.lit(" ")), r"[ \t]+", " "))
@@ -97,8 +116,7 @@ def count_fact_tokens(c: Column | str) -> Column:
 
 def is_table_marker(c: Column | str) -> Column:
     """a table marker line, or a line that leads into a table."""
-    lead = r"(?i)(the following table|the following|were as follows|are as follows|presented?\s+(?:below|as follows)|\(in (?:millions|thousands)\):)\s*(?:\[\w+\])?\s*$"
-    return col(c).rlike(r"^\s*\[(?:TABLE|Table)\b.*\]\s*$") | col(c).rlike(lead)
+    return col(c).rlike(TABLE_LINE) | col(c).rlike(TABLE_LEAD)
 
 
 def chunk_number(record_id: Column | str) -> Column:
@@ -208,11 +226,20 @@ def locator_qname(href: Column | str) -> Column:
     return F.regexp_replace(F.substring_index(col(href), "#", -1), "^([^_]*)_", "$1:")
 
 
+#: Standard names of filings' files, the looser ones before them, and accession numbers.
+FILE_NAME = r"(?i)^(?:US_)?([A-Z]{1,10})_(\d{4})_(10-K|10-Q|20-F|40-F|8-K)_(\d{10}-\d{2}-\d{6})(?:_[a-z0-9\-]+)?_(\d{8})(?:[._]\w+)?\.(xml|html|htm|txt)$"
+LEGACY_NAME = r"(?i)^US_(.+?)_(\d{4})_(10-[KQ])_(.+)\.(.+)$"
+ACCESSION = r"(\d{10}-\d{2}-\d{6})"
+
+
 def meta_from_filename(name: Column | str) -> Column:
-    """ticker, year, form, accession and extension of a standard file name; nulls if it is none."""
-    pattern = r"(?i)^(?:US_)?([A-Z]{1,10})_(\d{4})_(10-K|10-Q|20-F|40-F|8-K)_(\d{10}-\d{2}-\d{6}).*?(?:_(\d{8}))?(?:[._]\w+)?\.(xml|html|htm|txt)$"
-    part = lambda i: F.nullif(F.regexp_extract(col(name), pattern, i), F.lit(""))
-    return F.struct(F.upper(part(1)).alias("ticker"), part(2).try_cast("int").alias("year"), F.upper(part(3)).alias("form"), part(4).alias("accno"), part(5).alias("doc_date"), F.lower(part(6)).alias("ext"))
+    """ticker, year, form, accession, date and extension of a standard file name, else of a looser one without a date; nulls if it is neither."""
+    strict = lambda i: F.nullif(F.regexp_extract(col(name), FILE_NAME, i), F.lit(""))
+    loose = lambda i: F.nullif(F.regexp_extract(col(name), LEGACY_NAME, i), F.lit(""))
+    part = lambda i, j: F.coalesce(strict(i), loose(j))
+    accno = part(4, 4)
+    short = F.nullif(F.regexp_extract(accno, ACCESSION, 1), F.lit(""))
+    return F.struct(F.upper(part(1, 1)).alias("ticker"), part(2, 2).try_cast("int").alias("year"), F.upper(part(3, 3)).alias("form"), F.coalesce(short, accno).alias("accno"), strict(5).alias("doc_date"), F.lower(part(6, 5)).alias("ext"))
 
 
 def meta_from_path(path: Column | str) -> Column:
@@ -231,10 +258,9 @@ def split_sentences(c: Column | str) -> Column:
 
 def split_units(c: Column | str) -> Column:
     """Lines; a bullet line is a unit, others are split after . ? ! ; : and dashes."""
-    bullet = r"^\s*(?:[•\-–—]|\(\s*(?:[ivxlcdm]+|\d+|[a-zA-Z])\s*\)|(?:\d+\.|[a-zA-Z]\.))\s+"
     lines = F.filter(F.transform(F.split(F.coalesce(col(c), F.lit("")), r"\r?\n"), lambda x: F.trim(x)), lambda x: x != "")
     cut = lambda x: F.filter(F.transform(F.split(x, r"(?<=[.?!。！？;:—–])\s+"), lambda x: F.trim(x)), lambda y: y != "")
-    return F.flatten(F.transform(lines, lambda x: F.when(x.rlike(bullet), F.array(x)).otherwise(cut(x))))
+    return F.flatten(F.transform(lines, lambda x: F.when(x.rlike(BULLET), F.array(x)).otherwise(cut(x))))
 
 
 def approximate_tokens(c: Column | str) -> Column:

@@ -15,6 +15,7 @@ from siltstone.operators.aggregates import keep_first
 from siltstone.operators.joins import modal
 
 SAFEGUARD, LAMBDA, LEAST_LEFT, PER_HEADING, SIGNATURE_WORDS, HEAD = 0.30, 0.65, 50, 3, 80, 20
+#: Fixed value: where sentences of evidence end.
 _SENTENCE = re.compile(r"(?<=[.|?!。！？；;：:])\s+|(?<=…)\s+|(?<=[—–\-])\s+")
 
 

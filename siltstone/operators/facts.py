@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import xml.etree.ElementTree as ET
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import fiscal, nested, numeric
@@ -177,6 +177,21 @@ def dei(facts: DataFrame, keys: list[str], concept: str, value: str) -> DataFram
     return facts.groupBy(*keys).agg(of("TradingSymbol").alias("ticker"), of("DocumentType").alias("form"), of("DocumentFiscalYearFocus").try_cast("int").alias("fy"), of("DocumentFiscalPeriodFocus").alias("fq"), of("DocumentPeriodEndDate").alias("period_end"), F.regexp_replace(of("CurrentFiscalYearEndDate"), "^-+", "").alias("fye"))
 
 
+def first_record(facts: DataFrame, keys: list[str], order: str, columns: list[str]) -> DataFrame:
+    """given columns of each filing's first record, nulls and all."""
+    return facts.groupBy(*keys).agg(F.min_by(F.struct(*columns), order).alias("_r")).select(*keys, "_r.*")
+
+
+TARGET = "target string, kind string, pattern string, unit string"
+
+
+def extraction_targets(spark: SparkSession, config: dict | list | None = None) -> DataFrame:
+    """What to extract: a list, or one under extraction_targets or targets; without any a single numeric target."""
+    listed = config if isinstance(config, list) else (config or {}).get("extraction_targets") or (config or {}).get("targets")
+    rows = [{"target": t} if isinstance(t, str) else t for t in listed or [{"target": "value"}]]
+    return spark.createDataFrame([(r.get("target") or r.get("name"), r.get("kind") or r.get("type") or "numeric", r.get("pattern"), r.get("unit")) for r in rows], TARGET)
+
+
 def numeric_answers(lines: DataFrame, line: str, pattern: str) -> DataFrame:
     """Numbers that a pattern finds in fact lines (the numeric question path without a model)."""
     return lines.withColumn("answer", numeric.human_number(F.regexp_extract(line, pattern, 1))).where("answer IS NOT NULL")

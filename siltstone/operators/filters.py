@@ -59,6 +59,16 @@ def is_textblock(c: str) -> Column:
     return F.coalesce(F.col(c).contains("TextBlock"), F.lit(False))
 
 
+def concept_like(c: str, part: str) -> Column:
+    """Part of the name, in any case; % and _ are letters like others."""
+    return F.coalesce(F.lower(c).contains(part.lower()), F.lit(False))
+
+
+def keep_columns(df: DataFrame, names: list[str]) -> DataFrame:
+    """The given columns that are there, in the given order, and no others."""
+    return df.select(*[c for c in names if c in df.columns])
+
+
 def coalesce_aliases(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
     """Each field from the first of its names that is there and not blank."""
     out = {}

@@ -18,28 +18,58 @@ BARRIER = {"table": {"tr", "td", "th", "p"}, "ul": {"li", "p"}, "ol": {"li", "p"
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "index")
+    """An element. Pages nest as deep as they like, so nothing here recurses."""
+
+    __slots__ = ("tag", "attrs", "parent", "children", "index", "counts", "table", "row", "has")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None) -> None:
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
-        self.index = 1 + sum(isinstance(c, Node) and c.tag == tag for c in parent.children) if parent else 1
+        self.counts: dict[str, int] = {}
+        self.index = 1
+        #: the table and row that an element is in
+        self.table = self.row = None
+        #: the tags below
+        self.has: set[str] = set()
+        if parent:
+            self.index = parent.counts[tag] = parent.counts.get(tag, 0) + 1
+            self.table = parent if parent.tag == "table" else parent.table
+            self.row = parent if parent.tag == "tr" else None if parent.tag == "table" else parent.row
 
     def text(self) -> str:
-        return " ".join(c if isinstance(c, str) else c.text() for c in self.children)
+        out, stack = [], [self]
+        while stack:
+            x = stack.pop()
+            if isinstance(x, str):
+                out.append(x)
+            else:
+                stack += reversed(x.children)
+        return " ".join(out)
 
     def walk(self) -> Iterator[Node]:
-        for c in self.children:
-            if isinstance(c, Node):
-                yield c
-                yield from c.walk()
+        """All elements below, in order."""
+        stack = [c for c in reversed(self.children) if isinstance(c, Node)]
+        while stack:
+            x = stack.pop()
+            yield x
+            stack += [c for c in reversed(x.children) if isinstance(c, Node)]
+
+    def lineage(self) -> list[Node]:
+        """From the outermost element to this one."""
+        out, x = [], self
+        while x and x.parent:
+            out.append(x)
+            x = x.parent
+        return out[::-1]
 
     def path(self) -> str:
-        return f"{self.parent.path()}/{self.tag}[{self.index}]" if self.parent else ""
+        return "".join(f"/{x.tag}[{x.index}]" for x in self.lineage())
 
     def css(self) -> str:
-        own = self.tag + (f"#{self.attrs['id']}" if self.attrs.get("id") else f":nth-of-type({self.index})")
-        return f"{self.parent.css()} > {own}" if self.parent and self.parent.parent else own
+        return " > ".join(x.tag + (f"#{x.attrs['id']}" if x.attrs.get("id") else f":nth-of-type({x.index})") for x in self.lineage())
+
+
+TOLD = {"b", "strong", "div", "section", *FINE}  # tags that elements know to be below them
 
 
 class Tree(HTMLParser):
@@ -49,49 +79,77 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("", {}, None)
         self.hidden = 0
+        self.open: dict[str, int] = {}
         self.feed(page)
         self.close()
 
+    def up_to(self, node: Node) -> None:
+        """Close all open elements below node, and tell it and those above what they held."""
+        while self.at is not node:
+            self.open[self.at.tag] -= 1
+            self.at.parent.has |= self.at.has
+            self.at = self.at.parent
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in SKIP:
             self.hidden += 1
             return
-        node = self.at
         for open_tag in CLOSES.get(tag, ()):
-            up = node
+            up = self.at if self.open.get(open_tag) else self.root
             while up.parent and not (up.tag in BARRIER and open_tag in BARRIER[up.tag]):
                 if up.tag == open_tag:
-                    self.at = up.parent
+                    self.up_to(up.parent)
                     break
                 up = up.parent
-            node = self.at
         new = Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.children.append(new)
+        if tag in TOLD:
+            self.at.has.add(tag)
         if tag not in VOID:
+            self.open[tag] = self.open.get(tag, 0) + 1
             self.at = new
 
     def handle_endtag(self, tag: str) -> None:
         if tag in SKIP:
             self.hidden = max(0, self.hidden - 1)
             return
+        if not self.open.get(tag):
+            return
         up = self.at
-        while up.parent and up.tag != tag:
+        while up.tag != tag:
             up = up.parent
-        if up.parent:
-            self.at = up.parent
+        self.up_to(up.parent)
 
     def handle_data(self, data: str) -> None:
         if not self.hidden:
             self.at.children.append(data)
 
+    def close(self) -> None:
+        super().close()
+        self.up_to(self.root)
+
 
 def clean(s: str) -> str:
     return re.sub(r"\s+", " ", s.replace("\xa0", " ")).strip()
 
 
+#: Page numbers in attributes, and lines that are one.
+PAGE_ATTRIBUTE = r"\b(?:p(?:age)?[-_]?)(\d{1,4})\b"
+PAGE_LINE = r"(?i)^\s*page\s+(\d{1,4})\b"
+LOOK_BACK = 8
+
+
 def page_number(node: Node) -> int | None:
-    for n in (node, *( [node.parent] if node.parent else [])):
-        m = re.search(r"\b(?:p(?:age)?[-_]?)(\d{1,4})\b", f"{n.attrs.get('id', '')} {n.attrs.get('class', '')}", re.I)
+    """by an attribute of the element or one around it, else by a line "Page N" among the eight siblings before."""
+    for n in reversed(node.lineage()):
+        for name in ("id", "name", "data-page", "aria-label", "class"):
+            m = re.search(PAGE_ATTRIBUTE, n.attrs.get(name, ""), re.I)
+            if m:
+                return int(m[1])
+    around = node.parent.children if node.parent else []
+    at = next((i for i, c in enumerate(around) if c is node), 0)
+    for before in reversed(around[max(0, at - LOOK_BACK) : at]):
+        m = re.match(PAGE_LINE, clean(before.text())) if isinstance(before, Node) else None
         if m:
             return int(m[1])
     return None
@@ -110,13 +168,13 @@ def blocks(page: str) -> list[dict]:
     out, seen = [], set()
     part = item = heading = None
     for n in Tree(page or "").root.walk():
-        if n.tag not in BLOCKS or (n.tag in {"div", "section", "td", "th"} and any(c.tag in FINE or c.tag in {"div", "section"} for c in n.walk())):
+        if n.tag not in BLOCKS or (n.tag in {"div", "section", "td", "th"} and n.has & {"div", "section", *FINE}):
             continue
         t = clean(n.text())
         if len(t) < 3 or t in seen:
             continue
         seen.add(t)
-        bold = n.tag in {"div", "p"} and 5 <= len(t) <= 180 and any(c.tag in {"b", "strong"} for c in n.walk())
+        bold = n.tag in {"div", "p"} and 5 <= len(t) <= 180 and bool(n.has & {"b", "strong"})
         p, i = re.match(r"(?i)^\s*part\s+([ivx]+)\b", t), re.match(r"(?i)^\s*item\s+(\d+(?:\.\d+)*[a-z]?)\b", t)
         if p:
             part, item = p[1].upper(), None
@@ -131,19 +189,15 @@ def blocks(page: str) -> list[dict]:
 
 def tables(page: str) -> list[list[list[str]]]:
     """Rows of cells of every table; cells of inner tables stay with the inner one."""
-
-    def inside(cell: Node, table: Node) -> bool:
-        up = cell.parent
-        while up and up.tag != "table":
-            up = up.parent
-        return up is table
-
-    found = []
-    for t in Tree(page or "").root.walk():
-        if t.tag == "table":
-            rows = [[clean(c.text()) for c in r.walk() if c.tag in {"td", "th"} and inside(c, t)] for r in t.walk() if r.tag == "tr" and inside(r, t)]
-            found.append([r for r in rows if r])
-    return found
+    found: dict[int, dict[int, list[str]]] = {}
+    for n in Tree(page or "").root.walk():
+        if n.tag == "table":
+            found[id(n)] = {}
+        elif n.tag == "tr" and n.table:
+            found[id(n.table)][id(n)] = []
+        elif n.tag in {"td", "th"} and n.row:
+            found[id(n.table)].setdefault(id(n.row), []).append(clean(n.text()))
+    return [[r for r in rows.values() if r] for rows in found.values()]
 
 
 BLOCK_TYPE = "array<struct<ord:int,tag:string,text:string,heading:string,part:string,item:string,section:string,xpath:string,css_path:string,page_anchor:string,page_no:int>>"

@@ -136,6 +136,35 @@ def lexical_overlap(query: str, text: str) -> Column:
     return F.when(F.size(q) > 0, F.size(F.array_intersect(q, word_set(text))) / F.size(q)).otherwise(0.0)
 
 
+def model_scores(logits: np.ndarray) -> np.ndarray:
+    """One logit as it is; of several the softmax of the second."""
+    z = np.asarray(logits, np.float64)
+    z = z.reshape(len(z), -1)
+    if z.shape[1] == 1:
+        return z[:, 0]
+    e = np.exp(z - z.max(axis=1, keepdims=True))
+    return e[:, 1] / e.sum(axis=1)
+
+
+def cross_encoder(model: Callable[[list[tuple[str, str]]], np.ndarray], batch: int = 16) -> Callable[[str, str], Column]:
+    """A scorer for hybrid() from a model that gives a row of logits for each (query, text); it sees `batch` pairs at a time."""
+
+    @F.pandas_udf(T.DoubleType())
+    def score(q: pd.Series, t: pd.Series) -> pd.Series:
+        pairs = list(zip(q.fillna(""), t.fillna(""), strict=True))
+        out = [model_scores(model(pairs[a : a + batch])) for a in range(0, len(pairs), batch)]
+        return pd.Series(np.concatenate(out) if out else np.empty(0))
+
+    return lambda query, text: score(F.col(query), F.col(text))
+
+
+def format_hits(hits: DataFrame, rank: str, score: str, doc: str, heading: str, text: str, width: int = 160) -> DataFrame:
+    """Adds line, a hit as one reads it: rank, score, id, heading and the beginning of the text."""
+    head = F.when(F.coalesce(F.trim(heading), F.lit("")) != "", F.concat(F.lit(" | "), F.trim(heading))).otherwise("")
+    short = F.substring(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")), 1, width)
+    return hits.withColumn("line", F.concat(F.col(rank).cast("string"), F.lit(". ["), F.format_string("%.4f", F.col(score)), F.lit("] "), F.col(doc).cast("string"), head, F.lit(" | "), short))
+
+
 def hybrid(bm25_hits: DataFrame, dense_hits: DataFrame, contents: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str, candidates: int = 256, k: int = 8, rrf_k: float = 60.0, weights: tuple[float, float] = (2.0, 2.0), ce_weight: float = 0.5, score: Callable[[str, str], Column] = lexical_overlap) -> DataFrame:
     """Both lists fused by rank, contents fetched, scored again and mixed: rrf * (1 - w) + min-max(score) * w."""
     fused = ranked(fuse_lists(bm25_hits, dense_hits, ["qid", "doc"], rrf_k, weights), ["qid"], [*fused_order(), "doc"], "_r").where(F.col("_r") <= candidates)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import text as X
-from siltstone.functions.numeric import jaccard
+from siltstone.functions.numeric import jaccard, number_tokens
 from siltstone.operators import chunking as C
 from siltstone.operators import entities as E
 from siltstone.operators import facts as Fx
@@ -116,7 +116,7 @@ def t12_chunks(spark, sf):
 @query()
 def f50_numbers(spark, sf):
     t = F.concat(F.lit("Item 7 paid $"), F.col("p_size").cast("string"), F.lit(".5 million and "), F.col("p_partkey").cast("string"), F.lit(" more under Rule 12b-2"))
-    return table(spark, sf, "part").select("p_partkey", F.transform(C.numbers_detail(t), lambda n: n["value"]).alias("numbers"))
+    return table(spark, sf, "part").select("p_partkey", F.transform(number_tokens(t), lambda n: n["value"]).alias("numbers"))
 
 
 @query()

@@ -144,9 +144,9 @@ def save_index(index: DataFrame, path: str) -> None:
 
 
 def load_index(spark: SparkSession, path: str) -> DataFrame:
-    """Fails if the count differs from that of the build."""
+    """Fails if the count differs from that of the build; Parquet's footers tell it, no vector is read."""
     index, about = spark.read.parquet(f"{path}/index"), spark.read.parquet(f"{path}/build_info").first()
-    if (n := index.count()) != about["n"]:
+    if (n := index.select().count()) != about["n"]:
         raise ValueError(f"index has {n} rows, its build wrote {about['n']}")
     return index
 
@@ -168,6 +168,18 @@ def load_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return nodes, jsonl(spark, f"{path}/edges", "source string, target string, weight long, relation string", "FAILFAST")
 
 
+TIMELINES = "label string, normalized string, total long, entries array<struct<year:int,mentions:long>>"
+
+
+def save_timelines(totals: DataFrame, path: str) -> None:
+    """S30."""
+    write(totals, path, "jsonl")
+
+
+def load_timelines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(TIMELINES).option("mode", "FAILFAST").json(path)
+
+
 def mapping_surfaces(spark: SparkSession, labels: dict[str, list[str]]) -> DataFrame:
     """Concept and surface of a mapping, as it is read from YAML."""
     return spark.createDataFrame([(c, s) for c, forms in sorted(labels.items()) for s in forms], "concept string, surface string")

@@ -63,16 +63,19 @@ def test_sections_follow_headings(spark):
 
 
 @pytest.mark.parametrize(("text", "want"), [("Apple Inc. (AAPL) rose", ["AAPL"]), ("Ticker: MSFT is", ["MSFT"]), ("THE company AND", []), ("CEO of the (LLC) (SEC)", []), ("the stock price rose", ["PRICE"])])
-def test_tickers(text, want):
-    assert [t[0] for t in E.tickers(text)] == want
+def test_tickers(spark, text, want):
+    (found,) = values(spark, E.tickers, [text])
+    assert [t["text"] for t in found] == want and all(text[t["start"] : t["end"]].upper() == t["text"] for t in found)
 
 
-def test_tickers_strict():
-    assert E.tickers("the stock price rose", strict=True) == []
+def test_tickers_strict(spark):
+    assert values(spark, lambda c: E.tickers(c, strict=True), ["the stock price rose", None]) == [[], []]
 
 
-def test_metrics():
-    assert [m[0] for m in E.fin_metrics("EBITDA and EPS, EBITDA; P/E, ROE")] == ["EBITDA", "EPS", "P/E", "ROE"]
+def test_metrics(spark):
+    text = "EBITDA and EPS, EBITDA; P/E, ROE EV/EBITDA SG&A"
+    (found,) = values(spark, E.fin_metrics, [text])
+    assert [m["text"] for m in found] == ["EBITDA", "EPS", "P/E", "ROE", "EV/EBITDA", "SG&A"] and all(text[m["start"] : m["end"]] == m["text"] for m in found)
 
 
 def test_entities_keep_the_most_confident(spark):
@@ -99,14 +102,57 @@ def test_html_tables():
     assert Hb.blocks("") == [] and Hb.tables(None) == []
 
 
+@pytest.mark.parametrize("tag", ["div", "section", "table><tr><td", "li", "p", "span"])
+def test_deep_pages_do_not_recurse(tag):
+    names = [t.strip("<") for t in tag.split(">")]
+    page = "".join(f"<{n}>" for n in names) * 5000 + "the innermost text" + "".join(f"</{n}>" for n in reversed(names)) * 5000
+    got = Hb.blocks(page)
+    assert [b["text"] for b in got][-1:] == (["the innermost text"] if names[0] != "span" else [])
+    assert len(Hb.tables(page)) == (5000 if names[0] == "table" else 0)
+
+
+def test_page_numbers():
+    lines = "".join(f"<p>line {c} of text</p>" for c in "abcdefghij")
+    got = {b["text"]: b["page_no"] for b in Hb.blocks(f"<div>Page 7 of 9</div>{lines}<section id='page-3'><p>inside it</p></section>")}
+    assert [got[f"line {c} of text"] for c in "abcdefghij"] == [7] * 8 + [None, None] and got["inside it"] == 3
+
+
+def test_file_names(spark):
+    names = ["US_aapl_2023_10-k_0000320193-23-000106_aapl-20230930_20230930.htm", "US_BRK.B_2022_10-Q_acc 0000320193-23-000106 x.html", "US_x_2022_10-K_odd.name.txt", "other.txt", None]
+    got = [tuple(r) for r in values(spark, X.meta_from_filename, names)]
+    assert got[:3] == [("AAPL", 2023, "10-K", "0000320193-23-000106", "20230930", "htm"), ("BRK.B", 2022, "10-Q", "0000320193-23-000106", None, "html"), ("X", 2022, "10-K", "odd.name", None, "txt")]
+    assert got[3:] == [(None,) * 6] * 2
+
+
+def test_cross_encoder_scores(spark):
+    import numpy as np
+
+    seen = []
+    f = S.cross_encoder(lambda pairs: np.array([[0.0, float(len(t))] for _, t in pairs]), 2)
+    df = spark.createDataFrame([("q", "a"), ("q", "abc"), ("q", None)], "q string, t string")
+    got = sorted(r[0] for r in df.select(f("q", "t")).collect())
+    assert got == pytest.approx([1 / (1 + np.exp(-n)) for n in (0, 1, 3)]) and not seen
+    assert list(S.model_scores(np.array([[2.0], [-1.0]]))) == [2.0, -1.0]
+
+
+def test_targets(spark):
+    rows = lambda c: [tuple(r) for r in Fx.extraction_targets(spark, c).collect()]
+    assert rows(None) == rows({}) == [("value", "numeric", None, None)]
+    assert rows({"targets": ["a", {"name": "b", "type": "text", "pattern": "x"}]}) == rows([{"target": "a"}, {"target": "b", "kind": "text", "pattern": "x"}]) == [("a", "numeric", None, None), ("b", "text", "x", None)]
+
+
 def test_instance_and_linkbase_survive_junk():
     assert Fx.parse_instance("<not xml") == [] and Fx.parse_linkbase("") == []
 
 
-def test_numbers_skip_legal_references():
-    got = C.number_tokens("Item 7 under Rule 12b-2 paid $5 million, 5 more")
-    assert [n["value"] for n in got] == [5e6, 5.0]
-    assert C.number_tokens("5 more", legacy=True)[0]["value"] == 5e6
+def test_numbers_skip_legal_references(spark):
+    text = "Item 7 under Rule 12b-2 paid $5 million, 5 more on 2024-01-31; 3 m in six months; Section 12(b), § 4.1, 1,250.5 usd x:ClassAMember"
+    got, none, empty = values(spark, numeric.number_tokens, [text, None, ""])
+    assert [n["value"] for n in got] == [5e6, 5.0, 2024.0, 1.0, 31.0, 3.0, 1250.5] and none == empty == []
+    first, three = got[0], got[5]
+    assert (first["raw"], first["base_value"], first["unit_token"], first["scale_used"], first["currency"]) == ("$5 million", 5.0, "million", "million", "USD")
+    assert first["near_date"] and (three["unit_token"], three["scale_used"]) == ("m", None) and got[6]["near_xbrl_qname"] and first["window"] == text[0 : text.index(", 5 more") + 30]
+    assert values(spark, lambda c: numeric.number_tokens(c, legacy=True), ["5 more"])[0][0]["value"] == 5e6
 
 
 @given(st.text(alphabet="ab .?!", max_size=9000))
