@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm._scratch import persist
+from siltstone.llm._scratch import discard, persist
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -29,26 +29,28 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        last = e
         e = persist(small.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        discard(last)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if now == before:
+        if now == before or not now[0]:
             break
         before = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def split_groups(rows: DataFrame, group: str, spread: Column, size: int) -> DataFrame:
-    """Groups of at least two rows, those above `size` as pairs of slices.
+def split_groups(rows: DataFrame, group: str, spread: Column, size: int, weight: Column | None = None) -> DataFrame:
+    """Rows with side, lo and hi: groups above `size` (rows, or their weight) are cut into slices, and pairs of slices.
 
-    Adds side, lo and hi: a task that gets the rows of one (group, lo, hi) compares
-    all its rows if lo = hi, else those of side lo with those of side hi. So every
-    pair of a group meets once, and no task holds more than about two slices.
+    A task that gets the rows of one (group, lo, hi) compares all its rows if lo = hi,
+    else those of side lo with those of side hi. So every pair of a group meets once,
+    and no task holds more than about two slices. Only the large groups are listed, at
+    most as many as the weight of all rows over `size`.
     """
-    n = rows.groupBy(group).agg(F.count("*").alias("_n")).where("_n > 1")
-    parts = F.ceil(F.col("_n") / size).cast("int")
-    out = rows.join(n, group).withColumn("_s", parts).withColumn("side", F.pmod(spread, F.col("_s")).cast("int"))
+    large = persist(rows.groupBy(group).agg(F.sum(weight if weight is not None else F.lit(1)).alias("_n")).where(F.col("_n") > size).select(F.col(group).alias("_g"), F.ceil(F.col("_n") / size).cast("int").alias("_s")), "large")
+    out = rows.join(large, F.col(group) == F.col("_g"), "left").withColumn("_s", F.coalesce("_s", F.lit(1))).withColumn("side", F.pmod(spread, F.col("_s")).cast("int"))
     out = out.withColumn("_o", F.explode(F.when(F.col("_s") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_s") - 1))))
-    return out.withColumns({"lo": F.least("side", "_o"), "hi": F.greatest("side", "_o")}).drop("_n", "_s", "_o")
+    return out.withColumns({"lo": F.least("side", "_o"), "hi": F.greatest("side", "_o")}).drop("_g", "_s", "_o")
 
 
 def whole_groups(batches, key: list[str], at_least: int):

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -21,21 +23,24 @@ from pyspark.sql import functions as F
 NULL_ID = -(2**63)
 BLOCK_BYTES = 4 << 20
 BLOCK_SCHEMA = "block long, n_docs int, n_bytes long, ids binary, lens binary, body binary"
-_MADE: dict[int, list[tuple[str, str | None]]] = {}
+_MADE: dict[int, list[tuple[str, str | None, str | None]]] = {}
+_OWNER: list[str | None] = [None]
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one where that is unset, as in tests."""
+    """The folder in spark.checkpoint.dir. Where it is unset: a temporary one if Spark runs in one process, as in tests, else an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="siltstone-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, what: str) -> str:
+def scratch_path(spark: SparkSession, what: str, table: str | None = None) -> str:
     path = f"{shared_dir(spark)}/siltstone-{uuid.uuid4().hex}/{what}"
-    _MADE.setdefault(id(spark), []).append((path.rsplit("/", 1)[0], None))
+    _MADE.setdefault(id(spark), []).append((path.rsplit("/", 1)[0], table, _OWNER[-1]))
     return path
 
 
@@ -43,19 +48,54 @@ def persist(df: DataFrame, what: str) -> DataFrame:
     """Write and read again: cuts the lineage and survives the loss of executors."""
     path = scratch_path(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path.rsplit("/", 1)[0]
+    return out
 
 
-def release(spark: SparkSession) -> None:
-    """Delete all scratch tables and folders made for this session; call when results are written."""
+@contextmanager
+def owned_by(owner: str):
+    """What is made inside belongs to owner."""
+    _OWNER.append(owner)
+    try:
+        yield
+    finally:
+        _OWNER.pop()
+
+
+def _delete(spark: SparkSession, chosen) -> None:
+    made = _MADE.get(id(spark), [])
+    gone = [m for m in made if chosen(m)]
+    _MADE[id(spark)] = [m for m in made if m not in gone]
     jvm = spark.sparkContext._jvm
-    for path, table in _MADE.pop(id(spark), []):
+    for path, table, _ in gone:
         if table:
             spark.sql(f"DROP TABLE IF EXISTS {table}")
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete what persist() or a block table wrote; nothing may read it any more."""
+    for df in frames:
+        path = getattr(df, "_scratch", None)
+        if path:
+            _delete(df.sparkSession, lambda m: m[0] == path)  # noqa: B023
+
+
+def release_unread(docs: DataFrame, owner: str) -> None:
+    """Delete what belongs to owner, but for what docs reads."""
+    spark = docs.sparkSession
+    if any(m[2] == owner for m in _MADE.get(id(spark), [])):
+        read = {part for f in docs.inputFiles() for part in f.split("/") if part.startswith("siltstone-")}
+        _delete(spark, lambda m: m[2] == owner and m[0].rsplit("/", 1)[1] not in read)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all scratch tables and folders made for this session; call when results are written."""
+    _delete(spark, lambda m: True)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the bytes of an Arrow batch, which else holds 10,000 whole texts. A smaller bound that is set stays."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -115,12 +155,60 @@ def pack(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_B
             row = (first + seq, len(ids), int(lens.sum()), ids.tobytes(), lens.tobytes(), compress(b"".join(texts)))
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=[c.split()[0] for c in BLOCK_SCHEMA.split(", ")])
 
-    table = f"siltstone_blocks_{uuid.uuid4().hex}"
-    path = scratch_path(spark, "blocks")
-    _MADE[id(spark)].append((path, table))
     packed = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, BLOCK_SCHEMA)
-    packed.write.bucketBy(shuffle_width(spark), "block").option("path", path).option("compression", "none").saveAsTable(table)
-    return spark.table(table)
+    return bucketed(packed)
+
+
+def bucketed(blocks: DataFrame) -> DataFrame:
+    """Blocks, written to a table that is bucketed by block."""
+    spark = blocks.sparkSession
+    table = f"siltstone_blocks_{uuid.uuid4().hex}"
+    path = scratch_path(spark, "blocks", table)
+    blocks.write.bucketBy(shuffle_width(spark), "block").option("path", path).option("compression", "none").saveAsTable(table)
+    out = spark.table(table)
+    out._scratch = path.rsplit("/", 1)[0]
+    return out
+
+
+def pack_rows(docs: DataFrame, text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Blocks (block, n_docs, body) of whole rows of docs, all columns whatever their names; see rows_of."""
+    at = docs.columns.index(text_col)
+    small_batches(docs.sparkSession)
+
+    def run(batches):
+        first, seq = TaskContext.get().partitionId() << 32, 0
+        for rows in steps(batches, at, block_bytes):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema) as w:
+                w.write_table(rows)
+            yield pa.RecordBatch.from_arrays([pa.array([first + seq]), pa.array([rows.num_rows], pa.int32()), pa.array([compress(sink.getvalue().to_pybytes())], pa.binary())], names=["block", "n_docs", "body"])
+            seq += 1
+
+    return bucketed(docs.mapInArrow(run, "block long, n_docs int, body binary"))
+
+
+def steps(batches, at: int, step_bytes: int):
+    """Tables of consecutive rows, of about step_bytes in column `at`."""
+    held, size = [], 0
+    for rb in batches:
+        n = pc.fill_null(pc.binary_length(rb.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64
+        a = 0
+        upto = np.cumsum(n)
+        while a < rb.num_rows:
+            z = max(int(np.searchsorted(upto, (upto[a - 1] if a else 0) + step_bytes - size, "right")), a + (not held))
+            if z > a:
+                held.append(rb.slice(a, z - a))
+                size += int(n[a:z].sum())
+            a = z
+            if a < rb.num_rows:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def rows_of(body: bytes) -> pa.Table:
+    return pa.ipc.open_stream(expand(body)).read_all()
 
 
 def unpack(ids: bytes, lens: bytes, body: bytes) -> tuple[np.ndarray, list[bytes]]:

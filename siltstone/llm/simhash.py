@@ -21,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from siltstone.llm import _hashing as H
 from siltstone.llm._components import connected_components, link_within_groups, split_groups
@@ -51,11 +50,16 @@ def fingerprints(texts: list[bytes], shingle: int = 3, seed: int = 42) -> np.nda
     owner = owner[order]
     h = H.xxh64(buf, begin[order], (stop - begin)[order], seed)
     out = np.zeros(len(rows), U)
-    if not len(h):
-        return out
-    # bytes count up to 255, so documents are summed in pieces of that many shingles
-    head = np.flatnonzero(np.diff(owner, prepend=-1))
-    size = np.diff(head, append=len(owner))
+    if len(h):
+        head = np.flatnonzero(np.diff(owner, prepend=-1))
+        out[owner[head]] = majority(h, head)
+    return out
+
+
+def majority(h: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """For each run of hashes, which begin at head, the bits that over half of them have."""
+    # bytes count up to 255, so runs are summed in pieces of that many hashes
+    size = np.diff(head, append=len(h))
     pieces = -(-size // 255)
     piece_of = np.concatenate([[0], np.cumsum(pieces)])[:-1]
     within = np.arange(pieces.sum()) - np.repeat(piece_of, pieces)
@@ -65,16 +69,16 @@ def fingerprints(texts: list[bytes], shingle: int = 3, seed: int = 42) -> np.nda
         part = np.add.reduceat((h >> U(s)) & U(0x0101010101010101), start)
         count[:, s::8] = np.add.reduceat(part.astype("<u8").view(np.uint8).reshape(-1, 8).astype(np.int64), piece_of)
     bits = (2 * count > size[:, None]).astype(np.uint8)
-    out[owner[head]] = np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel()
-    return out
+    return np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel()
 
 
 def planes_of(fp: np.ndarray) -> np.ndarray:
-    """64 rows of words: bit i of row b is bit b of fingerprint i."""
-    n = -(-max(len(fp), 1) // 64) * 64
-    padded = np.zeros(n, "<u8")
-    padded[: len(fp)] = fp
-    bits = np.unpackbits(padded.view(np.uint8).reshape(n, 8), axis=1, bitorder="little")
+    """A row of words for each bit: bit i of row b is bit b of fingerprint i. fp: words, or a row of words each."""
+    words = fp.reshape(len(fp), -1)
+    n, width = -(-max(len(words), 1) // 64) * 64, words.shape[1] if len(words) else 1
+    padded = np.zeros((n, width), "<u8")
+    padded[: len(words)] = words
+    bits = np.unpackbits(padded.view(np.uint8).reshape(n, 8 * width), axis=1, bitorder="little")
     return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view("<u8").astype(U)
 
 
@@ -115,13 +119,13 @@ def near_neighbours(fp: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.
     p = planes_of(fp)
     longest = int(np.bincount(group).max()) if len(group) else 0
     i_all, j_all = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    nxt = np.concatenate([p[:, 1:], np.zeros((64, 1), U)], axis=1)
+    nxt = np.concatenate([p[:, 1:], np.zeros((len(p), 1), U)], axis=1)
     for d in range(1, longest):
         same = np.zeros(p.shape[1] * 64, bool)
         same[: len(group) - d] = group[d:] == group[:-d]
         out = ~np.packbits(same, bitorder="little").view("<u8").astype(U)
         shift, back = U(d), U(64 - d)
-        live, left = far_apart(lambda b, w: p[b][w] ^ ((p[b][w] >> shift) | (nxt[b][w] << back)), 64, out, radius)  # noqa: B023
+        live, left = far_apart(lambda b, w: p[b][w] ^ ((p[b][w] >> shift) | (nxt[b][w] << back)), len(p), out, radius)  # noqa: B023
         i = bits_at(live, left)
         i_all.append(i)
         j_all.append(i + d)
@@ -138,17 +142,18 @@ def near_queries(queries: np.ndarray, fp: np.ndarray, radius: int, step: int = 2
     q_all, f_all = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for a in range(0, len(queries), step):
         q = queries[a : a + step]
-        flip = np.where((q[None, :] >> np.arange(64, dtype=U)[:, None]) & U(1), ALL, U(0))
-        live, left = far_apart(lambda b, w: p[b][w % words] ^ flip[b][w // words], 64, np.tile(tail_out, len(q)), radius)  # noqa: B023
+        bits = np.unpackbits(np.ascontiguousarray(q).astype("<u8").view(np.uint8).reshape(len(q), -1), axis=1, bitorder="little")
+        flip = np.where(bits.T, ALL, U(0))
+        live, left = far_apart(lambda b, w: p[b][w % words] ^ flip[b][w // words], len(p), np.tile(tail_out, len(q)), radius)  # noqa: B023
         at = bits_at(live, left)
         q_all.append(a + at // (words * 64))
         f_all.append(at % (words * 64))
     return np.concatenate(q_all), np.concatenate(f_all)
 
 
-def link(radius: int):
+def link(radius: int, columns: tuple[str, ...] = ("fp",)):
     def run(t: pa.Table, starts: np.ndarray):
-        fp = t.column("fp").to_numpy().view(U)
+        fp = np.stack([t.column(c).to_numpy().view(U) for c in columns], axis=1)
         lo, hi, side = (t.column(c).to_numpy() for c in ("lo", "hi", "side"))
         size = np.diff(starts, append=t.num_rows)
         group = np.repeat(np.arange(len(starts)), size)
@@ -202,33 +207,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     low = named.groupBy("root").agg(F.min("low").alias("component_id"))
     component = persist(named.join(low, "root").select("fp", "component_id", "root"), "components")
     return prints.join(component, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root")
-
-
-def with_fingerprints(docs: DataFrame, text_col: str, shingle: int, name: str = "_fp") -> DataFrame:
-    """docs, all columns, and the fingerprint of the text."""
-    at = docs.columns.index(text_col)
-
-    def run(batches):
-        for whole in batches:
-            for a in range(0, whole.num_rows, 256):
-                rb = whole.slice(a, 256)
-                fp = fingerprints([t or b"" for t in rb.column(at).cast(pa.binary()).to_pylist()], shingle)
-                yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(fp.view(np.int64))], names=[*rb.schema.names, name])
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
-
-
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, shingle: int = 3) -> DataFrame:
-    """Rows of docs, all columns, one for each component: that with the smallest id (a null id only if all are), of rows with one id that with the smallest fingerprint."""
-    found = near_duplicates(docs, id_col, text_col, radius, shingle)
-    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "fp")).alias("b")).select(F.col("b.doc_id").alias("_kept"), F.col("b.fp").alias("_print"))
-    rows = found.groupBy("doc_id").count()
-    best = persist(best.join(rows, F.col("_kept").eqNullSafe(F.col("doc_id"))).select("_kept", "_print", "count"), "kept")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_kept"))
-    out = docs.join(best.where("count = 1"), same, "left_semi")
-    shared = best.where("count > 1")
-    if shared.limit(1).count():  # an id that several rows have: the fingerprint tells them apart
-        marked = with_fingerprints(docs.join(shared, same, "left_semi"), text_col, shingle)
-        chosen = marked.join(shared, same & (F.col("_fp") == F.col("_print")), "left_semi").dropDuplicates([id_col, "_fp"])
-        out = out.unionByName(chosen.select(*docs.columns))
-    return out
