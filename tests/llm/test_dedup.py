@@ -7,8 +7,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from siltstone.llm import embedding_dedup, simhash, suffix_array
-from siltstone.llm.simhash import keep_one_of_each, near_duplicates
+from siltstone.llm import _repeats, embedding_dedup, simhash, suffix_array
+from siltstone.llm.simhash import near_duplicates
 from siltstone.llm.substring_dedup import SuffixTree, dedup_substrings
 from siltstone.llm.suffix_array import dedup_bytes, deep_shallow_sort
 
@@ -56,6 +56,26 @@ def test_words(spark, block):
     assert all(sum(s.end - s.start for s in r.removed_spans) == r.n_removed for r in got)
 
 
+@pytest.mark.parametrize("bound", [40, 400, 4000])
+def test_hot_prefixes_are_split(spark, monkeypatch, bound):
+    """With so small a bound all prefixes are hot; at 40 bytes single windows are as well."""
+    import functools
+
+    monkeypatch.setattr(_repeats, "make_plan", functools.partial(bounded_plan, bound))
+    rows = corpus(6)
+    got = dedup_substrings(spark.createDataFrame(rows, SCHEMA).repartition(3), block_bytes=1 << 11).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got), key=repr) == words_by_hand(rows, 13)
+    test_bytes(spark, 1 << 11, 60)
+
+
+def bounded_plan(bound, rule, found, original=_repeats.make_plan):
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(_repeats, "GROUP_BYTES", bound)
+        plan = original(rule, found)
+    assert len(plan.hot) and (bound > 40 or plan.best)
+    return plan
+
+
 @pytest.mark.parametrize(("block", "window"), [(1 << 10, 60), (1 << 22, 400)])
 def test_bytes(spark, block, window):
     rows = corpus(2)
@@ -132,8 +152,6 @@ def test_near_duplicates(spark):
             ids[label[i]] = min(ids.get(label[i], 10**9), d)
     want = sorted(((d, ids.get(label[i])) for i, (d, _, _) in enumerate(rows)), key=repr)
     assert sorted(((r.doc_id, r.component_id) for r in got), key=repr) == want
-    kept = keep_one_of_each(spark.createDataFrame(rows, SCHEMA))
-    assert kept.columns == ["doc_id", "text", "n_words"] and kept.count() == len(set(label))
 
 
 @pytest.mark.parametrize("n", [1, 20, 70, 300])
@@ -148,6 +166,19 @@ def test_bit_sliced_comparison(n):
     assert set(zip(i.tolist(), j.tolist(), strict=True)) == {(a, b) for a, b in want if a < b and group[a] == group[b]}
 
 
+def test_bit_sliced_comparison_of_wide_prints():
+    r = np.random.default_rng(1)
+    base = r.integers(0, 2**64, (6, 2), np.uint64)
+    fp = base[r.integers(0, 6, 90)]
+    for _ in range(25):
+        fp[np.arange(90), r.integers(0, 2, 90)] ^= np.uint64(1) << r.integers(0, 64, 90).astype(np.uint64)
+    far = lambda a, b: sum(int(x).bit_count() for x in a ^ b)
+    want = {(i, j) for i in range(90) for j in range(90) if far(fp[i], fp[j]) <= 30}
+    assert 90 < len(want) < 8100 and set(zip(*map(np.ndarray.tolist, simhash.near_queries(fp, fp, 30)), strict=True)) == want
+    i, j = simhash.near_neighbours(fp[:30], np.zeros(30, int), 30)
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == {(a, b) for a, b in want if a < b < 30}
+
+
 def test_large_groups_are_cut_into_slices(spark, monkeypatch):
     monkeypatch.setattr(simhash, "SLICE", 16)
     rows = [(i, " ".join(["t"] * 200 + [f"u{i}"]), "x") for i in range(90)]
@@ -172,6 +203,14 @@ def test_vectors(spark, monkeypatch):
     assert got[None].n_links >= 1 and got[None].component_id == 5
 
 
+def test_vectors_of_any_size_and_length(spark):
+    """Very large and small components, and several lengths: only direction and length count."""
+    rows = [(1, [1e200, 0.0]), (2, [1e200, 0.0]), (3, [1e-200, 1e-210]), (4, [5e-324, 0.0]), (5, [0.0, 1e308]), (6, [1.0]), (7, [2.0]), (8, [-3.0]), (9, [1.0, 0.0, 0.0]), (10, [2.0, 0.1, 0.0]), (11, []), (12, [float("inf"), 0.0]), (13, [1.7e308, 1.7e308])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {**dict.fromkeys((1, 2, 3, 4), (3, 1)), 5: (0, 5), 6: (1, 6), 7: (1, 6), 8: (0, 8), 9: (1, 9), 10: (1, 9), 11: (0, 11), 12: (0, 12), 13: (0, 13)}
+    assert embedding_dedup.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+
+
 def test_extra_columns_may_clash(spark):
     df = spark.createDataFrame([(1, "a b c", 1, 2)], "doc_id long, text string, block int, fp int").withColumn("said", F.lit(1))
     assert dedup_substrings(df).count() == dedup_bytes(df).count() == near_duplicates(df).count() == 1
