@@ -4,13 +4,21 @@ Entities (mail and IP addresses, phone, card, account and social security number
 keys and passwords, names after a form of address) are found by one pattern. Every
 distinct entity of the corpus gets one replacement, so mentions stay together:
 
-* keyed: it follows from the key and the entity, through SHA-256;
+* keyed: it follows from the key and the entity, through SHA-256. The key has no default:
+  whoever has it can redo the replacement;
 * of its type: letters stay letters of their case, digits digits, separators where
-  they are; an octet stays one, a card number that passes its check digit still does,
-  a domain is replaced alike wherever it occurs, a name keeps its form of address and
-  gets one of the same gender and script, each part of a name by itself;
-* distinct: replacements that meet each other or any entity of the corpus are drawn
-  again until none does.
+  they are; an octet stays one; check digits of cards and accounts stay right where they
+  were; a name keeps its form of address and gets one of the same gender and script;
+* the same wherever a part recurs: each part of a name and each domain is an entity of
+  its own with its own table, so "Mr Smith", "Mrs Smith" and "Mr John Smith" share a
+  surname and all addresses of a domain share one;
+* distinct: replacements that meet each other or anything of their kind in the corpus
+  are drawn again until none does; names and domains grow by a syllable or a letter
+  with further draws, so there is always one left.
+
+Phone numbers are found in international form, in North American form, in French form
+(five pairs of digits), and in German form (area code from 0, then five digits or more);
+national numbers of other forms are too like plain numbers to tell.
 
 Texts without a digit, an @, = or : or a form of address are passed by. Others meet their
 replacements by a hash of the text; large groups of copies are split by adaptive
@@ -18,16 +26,19 @@ skew joins.
 
 Results for odd input: null and empty texts stay as they are; ids are not used, so
 null and repeated ones do not matter; repeated rows each get the same result; an
-empty table gives no rows. All columns of the input are kept. One named like an
-added column must be renamed first, which is checked.
+empty table gives no rows. All columns of the input are kept, whatever their names; with
+details one called _entities gives way to the added one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm._scratch import persist
+from siltstone.llm._scratch import discard, persist
 
 #: Forms of address, by gender.
 MALE = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"]
@@ -39,16 +50,25 @@ SYLLABLES = {
     "cyrillic": "ба бе ви да де ди га ге за зе ка ке ла ле ли ма ме ми на не ни па пе ра ре ри са се та те ти".split(),
     "greek": "βα βε δα δε δι γα γε κα κε λα λε λι μα με μι να νε νι πα πε ρα ρε σα σε τα τε τι".split(),
 }
-ENDINGS = {"latin": ("rdo", "lina", "s"), "cyrillic": ("слав", "лина", "н"), "greek": ("δης", "λια", "ς")}
+#: By script: endings of first names (male, female) and of surnames (male, female).
+ENDINGS = {"latin": ("rdo", "lina", "s", "s"), "cyrillic": ("слав", "лина", "н", "на"), "greek": ("δης", "λια", "ς", "")}
 
 _TITLE = "|".join([*MALE, *FEMALE, *NEUTRAL])
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+#: Forms of phone numbers: North American, international, French, German.
+_PHONES = [
+    r"(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}",
+    r"\+(?=(?:[ .\-/()]{0,2}\d){8,15}(?!\d))[1-9]\d{0,2}(?:[ .\-/]?\(?\d{1,6}\)?){2,6}",
+    r"0[1-9](?:[ .]\d{2}){4}",
+    r"0[1-9]\d{1,3}[ /]\d{5,8}",
+]
 #: Alternatives in order of preference. Each starts where a token does, so that long tokens are not tried again at each letter.
 PATTERN = "|".join(
     [
         r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
-        r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)",
+        rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
         r"(?<![\w-])\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?![\w-])",
-        r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\w)",
+        rf"(?<![\w+.])(?:{'|'.join(_PHONES)})(?!\w)",
         r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
         r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
         r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)",
@@ -66,9 +86,9 @@ def kind_of(e: Column) -> Column:
     """Type of an entity that the pattern found."""
     rules = [
         ("email", r"@"),
-        ("ip", r"^\d{1,3}(\.\d{1,3}){3}$"),
+        ("ip", rf"^{_OCTET}(\.{_OCTET}){{3}}$"),
         ("card", r"^\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}$"),
-        ("phone", r"^(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}$"),
+        ("phone", rf"^(?:{'|'.join(_PHONES)})$"),
         ("ssn", r"^\d{3}-\d{2}-\d{4}$"),
         ("key", r"^AKIA[0-9A-Z]{16}$"),
         ("iban", r"^[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}"),
@@ -126,57 +146,78 @@ def _card(e: Column, seed: Column) -> Column:
     return F.call_function("array_join", F.transform(F.array(*(F.lit(i) for i in (1, 5, 9, 13))), lambda i: F.substr(new, i, F.lit(4))), sep)
 
 
-def _email(e: Column, seed: Column, key: str) -> Column:
-    local, domain = F.substring_index(e, "@", 1), F.substring_index(e, "@", -1)
-    top = F.substring_index(domain, ".", -1)
-    rest = F.substr(domain, F.lit(1), F.length(domain) - F.length(top))
-    return F.concat(scramble(local, seed), F.lit("@"), scramble(rest, F.concat(F.lit(f"{key}|domain|"), F.lower(domain))), top)
+def mod97(text: Column) -> Column:
+    """Remainder modulo 97 of a text of digits and capitals, which stand for 10 to 35."""
+    value = lambda c: F.when(c.between("0", "9"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
+    return F.aggregate(_chars(text), F.lit(0), lambda r, c: (r * F.when(c.between("0", "9"), 10).otherwise(100) + value(c)) % 97)
+
+
+def _iban(e: Column, seed: Column) -> Column:
+    """Country, separators and classes stay; check digits are right if they were."""
+    bare = F.replace(e, F.lit(" "), F.lit(""))
+    country = F.substr(e, F.lit(1), F.lit(2))
+    valid = mod97(F.concat(F.substr(bare, F.lit(5), F.length(bare)), F.substr(bare, F.lit(1), F.lit(4)))) == 1
+    rest = scramble(F.substr(e, F.lit(5), F.length(e)), seed)
+    check = F.lpad((98 - mod97(F.concat(F.replace(rest, F.lit(" "), F.lit("")), country, F.lit("00")))).cast("string"), 2, "0")
+    plain = scramble(F.substr(e, F.lit(3), F.lit(2)), F.concat(seed, F.lit("check")))
+    return F.concat(country, F.when(valid, check).otherwise(plain), rest)
 
 
 def _phone(e: Column, seed: Column) -> Column:
-    country = F.regexp_extract(e, r"^\+\d{1,3}[ .-]?", 0)
-    return F.concat(country, scramble(F.substr(e, F.length(country) + 1, F.length(e)), seed))
+    """The country code, or the 0 of an area code, stays."""
+    head = F.regexp_extract(e, r"^(\+\d{1,3}[ .\-/]?|0)", 0)
+    return F.concat(head, scramble(F.substr(e, F.length(head) + 1, F.length(e)), seed))
 
 
 def _script(w: Column) -> Column:
     return F.when(w.rlike(r"\p{IsCyrillic}"), "cyrillic").when(w.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
-def _name_part(w: Column, gender: Column, last: Column, attempt: Column, key: str) -> Column:
-    """A part of a name: it follows from the part alone, so that it is the same in each mention."""
-    seed = F.concat(F.lit(f"{key}|name|"), F.lower(w), F.when(attempt > 0, F.concat(F.lit("|"), attempt.cast("string"))).otherwise(""))
+def _by_script(script: Column, of: Callable[[str], Column]) -> Column:
+    return F.when(script == "cyrillic", of("cyrillic")).when(script == "greek", of("greek")).otherwise(of("latin"))
+
+
+def _grown(c: Column, attempt: Column, free: int) -> Column:
+    """c, longer by a letter for each draw after the first `free`."""
+    return F.concat(c, F.repeat(F.lit("a"), F.greatest(attempt - free, F.lit(0))))
+
+
+def name_stem(word: Column, last: Column, attempt: Column, key: str) -> Column:
+    """Three syllables, one more with each further draw."""
+    seed = F.concat(F.lit(f"{key}|name|"), word, F.lit("|"), last.cast("string"), F.lit("|"), attempt.cast("string"))
 
     def of(script: str) -> Column:
         parts = F.array(*map(F.lit, SYLLABLES[script]))
-        n = len(SYLLABLES[script])
-        some = [F.element_at(parts, _draw(seed, F.lit(i)) % n + 1) for i in range(3)]
-        male, female, surname = ENDINGS[script]
-        return F.concat(*some, F.when(last, surname).when(gender == "f", female).otherwise(male))
+        some = F.transform(F.sequence(F.lit(0), attempt + 2), lambda i: F.element_at(parts, _draw(seed, i) % len(SYLLABLES[script]) + 1))
+        return F.array_join(some, "")
 
-    out = F.when(_script(w) == "cyrillic", of("cyrillic")).when(_script(w) == "greek", of("greek")).otherwise(of("latin"))
-    return F.when(F.upper(w) == w, F.upper(out)).otherwise(F.initcap(out))
+    return _by_script(_script(word), of)
 
 
-def _person(e: Column, attempt: Column, key: str) -> Column:
-    title = F.regexp_extract(e, NAME, 0)
-    bare = F.regexp_extract(e, r"^\p{L}+", 0)
-    gender = F.when(bare.isin(MALE), "m").when(bare.isin(FEMALE), "f").otherwise("n")
-    words = F.split(F.substr(e, F.length(title) + 1, F.length(e)), " ")
-    return F.concat(title, F.array_join(F.transform(words, lambda w, i: _name_part(w, gender, i == F.size(words) - 1, attempt, key)), " "))
+def name_forms(word: Column, stem: Column, last: Column) -> Column:
+    """Male and female form."""
+    return _by_script(_script(word), lambda s: F.when(last, F.array(F.concat(stem, F.lit(ENDINGS[s][2])), F.concat(stem, F.lit(ENDINGS[s][3])))).otherwise(F.array(F.concat(stem, F.lit(ENDINGS[s][0])), F.concat(stem, F.lit(ENDINGS[s][1])))))
+
 
+def domain_surrogate(domain: Column, attempt: Column, key: str) -> Column:
+    """Of a domain in lower case; its last part stays."""
+    seed = F.concat(F.lit(f"{key}|domain|"), domain, F.lit("|"), attempt.cast("string"))
+    top = F.substring_index(domain, ".", -1)
+    rest = F.substr(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
+    return F.concat(scramble(_grown(rest, attempt, 4), seed), F.lit("."), top)
 
-def surrogate(e: Column, kind: Column, attempt: Column, key: str) -> Column:
-    """Replacement of an entity at a given attempt."""
+
+def surrogate(e: Column, kind: Column, attempt: Column, domain: Column, key: str) -> Column:
+    """Replacement of an entity that is no name at a given attempt; domain: that of an address, replaced."""
     seed = F.concat(F.lit(f"{key}|"), kind, F.lit("|"), e, F.lit("|"), attempt.cast("string"))
     octets = F.array_join(F.transform(F.split(e, r"\."), lambda o, i: ((o.cast("int") + _draw(seed, i)) % 256).cast("string")), ".")
     return (
-        F.when(kind == "email", _email(e, seed, key))
+        F.when(kind == "email", F.concat(scramble(_grown(F.substring_index(e, "@", 1), attempt, 4), seed), F.lit("@"), domain))
         .when(kind == "ip", octets)
         .when(kind == "card", _card(e, seed))
         .when(kind == "phone", _phone(e, seed))
         .when(kind == "key", F.concat(F.lit("AKIA"), scramble(F.substr(e, F.lit(5), F.length(e)), seed)))
-        .when(kind == "iban", F.concat(F.substr(e, F.lit(1), F.lit(2)), scramble(F.substr(e, F.lit(3), F.length(e)), seed)))
-        .when(kind == "person", _person(e, attempt, key))
+        .when(kind == "iban", _iban(e, seed))
         .otherwise(scramble(e, seed))
     )
 
@@ -193,19 +234,57 @@ def may_hold(text: Column) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+def draw_distinct(items: DataFrame, item: str, candidate: Callable[[Column], Column], claims: Callable[[Column], Column], taken: DataFrame) -> DataFrame:
+    """items with `new`, drawn by candidate(attempt) until no two items claim the same and none claims what is taken.
+
+    claims: the strings that an item with a `new` claims, as an array. taken: one column.
+    Each round draws again only for items that lost; the least item keeps a claim.
+    """
+    named = persist(items.withColumn("attempt", F.lit(0)), "items")
+    while True:
+        drawn = persist(named.withColumn("new", candidate(F.col("attempt"))), "drawn")
+        claimed = drawn.select(F.col(item).alias("_item"), F.explode(F.array_distinct(claims(F.col("new")))).alias("claim"))
+        first = claimed.groupBy("claim").agg(F.min("_item").alias("first"))
+        lost = claimed.join(first, "claim").where("_item <> first").select("_item")
+        against = claimed.join(taken.toDF("claim"), "claim", "left_semi").select("_item")
+        again = persist(lost.unionByName(against).distinct(), "again")
+        if not again.limit(1).count():
+            discard(named, again)
+            return drawn.drop("attempt")
+        redo = F.col("_item").isNotNull().cast("int")
+        after = persist(drawn.drop("new").join(again, F.col(item) == F.col("_item"), "left").withColumn("attempt", F.col("attempt") + redo).drop("_item"), "items")
+        discard(named, drawn, again)
+        named = after
+
+
+def draw_names(persons: DataFrame, key: str) -> DataFrame:
+    """entity, kind, surrogate of names with their form of address: each word by itself."""
+    e = F.col("entity")
+    title, bare = F.regexp_extract(e, NAME, 0), F.regexp_extract(e, r"^\p{L}+", 0)
+    gender = F.when(bare.isin(MALE), "m").when(bare.isin(FEMALE), "f").otherwise("n")
+    words = F.split(F.substr(e, F.length(title) + 1, F.length(e)), " ")
+    listed = persons.select("entity", title.alias("title"), gender.alias("gender"), F.size(words).alias("n"), F.posexplode(words).alias("i", "shown"))
+    listed = persist(listed.withColumns({"word": F.lower("shown"), "last": F.col("i") == F.col("n") - 1}), "words")
+    atoms = listed.select("word", "last").distinct().withColumn("atom", F.concat_ws("|", "word", F.col("last").cast("string")))
+    drawn = draw_distinct(atoms, "atom", lambda attempt: name_stem(F.col("word"), F.col("last"), attempt, key), lambda new: name_forms(F.col("word"), new, F.col("last")), listed.select("word").distinct())
+    # without a gender a surname follows its own ending, a first name is male
+    female = (F.col("gender") == "f") | ((F.col("gender") == "n") & F.col("last") & F.col("word").rlike("[аяηα]$"))
+    chosen = F.element_at(name_forms(F.col("word"), F.col("new"), F.col("last")), F.when(female, 2).otherwise(1))
+    cased = F.when(F.upper("shown") == F.col("shown"), F.upper(chosen)).otherwise(F.initcap(chosen))
+    parts = listed.join(drawn.select("word", "last", "new"), ["word", "last"]).select("entity", "title", "i", cased.alias("part"))
+    whole = parts.groupBy("entity", "title").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "part"))), lambda x: x["part"]), " ").alias("name"))
+    return whole.select("entity", F.lit("person").alias("kind"), F.concat("title", "name").alias("surrogate"))
+
+
 def draw_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """entity, kind, surrogate for distinct entities; replacements are distinct and are no entity."""
-    named = persist(entities.withColumn("kind", kind_of(F.col("entity"))).withColumn("attempt", F.lit(0)), "entities")
-    taken = named.select(F.col("entity").alias("surrogate"), F.lit(True).alias("_taken"))
-    while True:
-        drawn = persist(named.withColumn("surrogate", surrogate(F.col("entity"), F.col("kind"), F.col("attempt"), key)), "surrogates")
-        first = drawn.groupBy("surrogate").agg(F.min("entity").alias("_first"))
-        judged = drawn.join(first, "surrogate").join(taken, "surrogate", "left")
-        again = F.coalesce("_taken", F.lit(False)) | (F.col("entity") != F.col("_first"))
-        judged = persist(judged.withColumn("_again", again), "judged")
-        if not judged.where("_again").limit(1).count():
-            return drawn.select("entity", "kind", "surrogate")
-        named = judged.select("entity", "kind", (F.col("attempt") + F.col("_again").cast("int")).alias("attempt"))
+    named = persist(entities.withColumn("kind", kind_of(F.col("entity"))), "entities")
+    others = named.where("kind <> 'person'").withColumn("domain", F.when(F.col("kind") == "email", F.lower(F.substring_index("entity", "@", -1))))
+    domains = others.where("domain IS NOT NULL").select("domain").distinct()
+    new_domains = draw_distinct(domains, "domain", lambda attempt: domain_surrogate(F.col("domain"), attempt, key), F.array, domains).withColumnRenamed("new", "new_domain")
+    joined = others.join(new_domains, "domain", "left")
+    drawn = draw_distinct(joined, "entity", lambda attempt: surrogate(F.col("entity"), F.col("kind"), attempt, F.col("new_domain"), key), F.array, named.select("entity"))
+    return drawn.select("entity", "kind", F.col("new").alias("surrogate")).unionByName(draw_names(named.where("kind = 'person'"), key))
 
 
 def entities_by_text(texts: DataFrame, text_col: str = "text") -> DataFrame:
@@ -219,20 +298,31 @@ def entity_table(texts: DataFrame, key: str, text_col: str = "text") -> DataFram
     return draw_surrogates(entities_by_text(texts, text_col).select(F.explode("_entities").alias("entity")).distinct(), key)
 
 
-def replace_pii(docs: DataFrame, key: str = "siltstone", text_col: str = "text", details: bool = False) -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The key in spark.siltstone.pii.key; where that is unset, a random one for this session."""
+    name = "spark.siltstone.pii.key"
+    if not spark.conf.get(name, None):
+        spark.conf.set(name, secrets.token_hex(32))
+    return spark.conf.get(name)
+
+
+def replace_pii(docs: DataFrame, key: str, text_col: str = "text", details: bool = False) -> DataFrame:
     """docs with surrogates in place of entities; with details also _entities, what was found, in order."""
-    if taken := {"_text_hash", "_swap", "_new", "_entities"} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"rename these columns first: {sorted(taken)}")
-    text = F.col(text_col)
+    if not key:
+        raise ValueError("a key is needed")
+    # rows travel in a struct, so that names of columns cannot clash
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    text = F.col("text")
     found = persist(entities_by_text(docs.select(text_col), text_col), "found")
     table = draw_surrogates(found.select(F.explode("_entities").alias("entity")).distinct(), key)
     mentions = found.select("_text_hash", F.explode(F.array_distinct("_entities")).alias("entity"))
     swaps = mentions.join(table, "entity").groupBy("_text_hash").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("_swap"))
     ready = persist(found.join(swaps, "_text_hash").select("_text_hash", "_entities", F.transform("_entities", lambda e: F.element_at(F.col("_swap"), e)).alias("_new")), "ready")
-    joined = docs.where(may_hold(text)).withColumn("_text_hash", F.sha2(text, 256)).join(ready, "_text_hash", "left").drop("_text_hash")
+    joined = rows.where(may_hold(text)).withColumn("_text_hash", F.sha2(text, 256)).join(ready, "_text_hash", "left")
     parts = F.split(text, PATTERN, -1)
     whole = F.array_join(F.zip_with(parts, F.array_append("_new", F.lit("")), lambda p, s: F.concat(p, s)), "")
     none = F.array().cast("array<string>")
-    replaced = joined.withColumn(text_col, F.when(F.col("_new").isNotNull(), whole).otherwise(text)).withColumn("_entities", F.coalesce("_entities", none)).drop("_new")
-    out = replaced.unionByName(docs.where(~may_hold(text)).withColumn("_entities", none))
-    return out if details else out.drop("_entities")
+    replaced = joined.select("row", F.when(F.col("_new").isNotNull(), whole).otherwise(text).alias("text"), F.coalesce("_entities", none).alias("found"))
+    out = replaced.unionByName(rows.where(~may_hold(text)).select("row", "text", none.alias("found")))
+    columns = [F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if not (details and c == "_entities")]
+    return out.select(*columns, *([F.col("found").alias("_entities")] if details else []))

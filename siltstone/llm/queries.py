@@ -9,7 +9,7 @@ from siltstone.llm.bpe import decode_documents, encode_documents
 from siltstone.llm.decontamination import decontaminate
 from siltstone.llm.embedding_dedup import near_vectors
 from siltstone.llm.license_scan import scan_licenses
-from siltstone.llm.pii import replace_pii
+from siltstone.llm.pii import replace_pii, session_key
 from siltstone.llm.sharding import shard_documents
 from siltstone.llm.simhash import near_duplicates
 from siltstone.llm.substring_dedup import dedup_substrings
@@ -69,7 +69,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), details=True)
+    out = replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), session_key(spark), details=True)
     return out.select("doc_id", "text", F.size("_entities").alias("n_entities"))
 
 

@@ -4,18 +4,25 @@ Rows are ordered by a hash of the text, then by a hash of the id. Candidate
 boundaries are probed: every partition counts exactly how many bytes of it lie below
 each, the counts are added up, and probes close in on the places where the next shard
 has to begin until all are within the tolerance. A boundary lies between texts, so
-equal texts stay in one shard, unless they alone weigh more than the tolerance: such
-texts, found by an exact sum, may be cut between ids. Then rows move once.
+equal texts are one group and stay in one shard. Then rows move once.
+
+Texts whose rows together weigh more than the tolerance are found by an exact sum; there
+are at most n_shards / tolerance of them. They are given to shards first, the heaviest
+first, each whole to the shard with the most room; boundaries of the other texts then
+fill up the room that is left. Only a text for which no shard has room (its rows weigh
+more than a shard, or such texts leave gaps too small for it) is cut, between ids, into
+pieces that fill the shards with the most room, as shards could not be equal otherwise.
 
 Results for odd input: a null text weighs as an empty one; a null id is an id like
 others and stays null; rows equal in id and text are one unit and stay in one shard;
-an empty table gives no rows. Other columns ride along unless they are named like one
-that is added: those must be renamed first, which is checked.
+an empty table gives no rows. Other columns ride along; one that is named like an added
+one gives way to it.
 """
 
 from __future__ import annotations
 
 import bisect
+import heapq
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +36,12 @@ SPAN = 1 << 64
 HALF = 1 << 63
 PROBES = 24
 ADDED = ("size", "text_crc32", "shard", "slot")
+HI, LO, FINE, COUNT = "_silt_hi", "_silt_lo", "_silt_fine", "_silt_n"
 
 
-def _keys(id_col: str, text_col: str) -> dict[str, Column]:
+def _keys(id_col: str, text_col: str) -> list[Column]:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return {"_hi": F.xxhash64(text), "_lo": F.xxhash64(F.col(id_col)), "size": F.octet_length(text).cast("long") + 16, "text_crc32": F.crc32(F.encode(text, "utf-8"))}
+    return [F.xxhash64(text).alias(HI), F.xxhash64(F.col(id_col)).alias(LO), (F.octet_length(text).cast("long") + 16).alias("size"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32")]
 
 
 def _as_bytes(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
@@ -57,20 +65,17 @@ def bytes_below(keys: DataFrame, probes: list[int]) -> list[int]:
             total += sums[np.searchsorted(k[order], asked)]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(asked), dtype=np.int32)), pa.array(total)], names=["p", "n"])
 
-    rows = keys.select("_hi", "_lo", "size").mapInArrow(run, "p int, n long").groupBy("p").agg(F.sum("n").alias("n")).collect()
+    rows = keys.select(HI, LO, "size").mapInArrow(run, "p int, n long").groupBy("p").agg(F.sum("n").alias("n")).collect()
     found = {r.p: r.n for r in rows}
     return [found.get(i, 0) for i in range(len(probes))]
 
 
-def find_splitters(keys: DataFrame, n_shards: int, tolerance: float) -> list[int]:
-    """n_shards - 1 keys of 128 bits; a row belongs to the shard after the last splitter at or below its key."""
+def find_splitters(keys: DataFrame, targets: list[int], allowed: int, step: int = SPAN) -> list[int]:
+    """For each target a key of 128 bits below which about so many bytes lie; boundaries are multiples of step (SPAN: between texts)."""
     total = keys.agg(F.sum("size")).first()[0] or 0
-    allowed = max(1, int(total / n_shards * tolerance))
-    heavy = sorted((r["_hi"] + HALF) for r in keys.groupBy("_hi").agg(F.sum("size").alias("n")).where(F.col("n") > allowed).select("_hi").toLocalIterator())
-    heavy_set = set(heavy)
     known = {0: 0, SPAN * SPAN: total}
-    targets = [total * j // n_shards for j in range(1, n_shards)]
-    probes = sorted({SPAN * (SPAN * i // (n_shards * 8)) for i in range(1, n_shards * 8)} | {h * SPAN for h in heavy} | {(h + 1) * SPAN for h in heavy if h + 1 < SPAN})
+    n = 8 * (len(targets) + 1)
+    probes = sorted({SPAN * SPAN * i // n // step * step for i in range(1, n)} - known.keys())
     while probes:
         for at in range(0, len(probes), 4096):
             some = probes[at : at + 4096]
@@ -79,14 +84,10 @@ def find_splitters(keys: DataFrame, n_shards: int, tolerance: float) -> list[int
         sums = [known[k] for k in order]
         new: set[int] = set()
         for t in targets:
-            i = bisect.bisect_right(sums, t) - 1
-            i = min(i, len(order) - 2)
+            i = min(bisect.bisect_right(sums, t) - 1, len(order) - 2)
             if min(t - sums[i], sums[i + 1] - t) <= allowed // 2:
                 continue
-            lo, hi = order[i], order[i + 1]
-            # inside a heavy text ids may be parted, elsewhere only texts
-            step = 1 if lo // SPAN in heavy_set and hi <= (lo // SPAN + 1) * SPAN else SPAN
-            a, z = -(-(lo + 1) // step), (hi - 1) // step
+            a, z = -(-(order[i] + 1) // step), (order[i + 1] - 1) // step
             n = z - a + 1
             new.update((a + (n - 1) * j // max(PROBES - 1, 1)) * step for j in range(PROBES) if n > 0)
         probes = sorted(new - known.keys())
@@ -94,31 +95,78 @@ def find_splitters(keys: DataFrame, n_shards: int, tolerance: float) -> list[int
     sums = [known[k] for k in order]
     out = []
     for t in targets:
-        i = bisect.bisect_left(sums, t)
+        i = min(bisect.bisect_left(sums, t), len(sums) - 1)
         out.append(order[i] if i == 0 or sums[i] - t <= t - sums[i - 1] else order[i - 1])
     return out
 
 
+def place_groups(groups: list[tuple[int, int]], share: int, n_shards: int, allowed: int) -> tuple[list[tuple[int, list[tuple[int, int]]]], list[int]]:
+    """Heavy groups (key, bytes) to shards: (key, [(shard, bytes) of each piece]), and the room left in each shard."""
+    room = [share] * n_shards
+    free = [(-share, s) for s in range(n_shards)]
+    heapq.heapify(free)
+    out = []
+    for key, weight in sorted(groups, key=lambda g: (-g[1], g[0])):
+        pieces, left = [], weight
+        while left > 0:
+            most, s = heapq.heappop(free)
+            # the last piece, and a whole group, may go over the share by the tolerance
+            part = left if left <= max(-most, 0) + allowed or -most <= 0 else -most
+            pieces.append((s, part))
+            room[s] -= part
+            left -= part
+            heapq.heappush(free, (-room[s], s))
+        out.append((key, pieces))
+    return out, room
+
+
+def plan(keys: DataFrame, n_shards: int, tolerance: float) -> tuple[list[tuple[int, int, int]], list[int]]:
+    """Pieces of heavy texts (hash, first id hash, shard), and the splitters of all others."""
+    total = keys.agg(F.sum("size")).first()[0] or 0
+    allowed = max(1, int(total / n_shards * tolerance))
+    heavy = [(r[HI], r["n"]) for r in keys.groupBy(HI).agg(F.sum("size").alias("n")).where(F.col("n") > allowed).collect()]
+    placed, room = place_groups(heavy, -(-total // n_shards), n_shards, allowed)
+    pieces = []
+    for key, parts in placed:
+        cuts = [0]
+        if len(parts) > 1:
+            ends = np.cumsum([w for _, w in parts])[:-1].tolist()
+            own = keys.where(F.col(HI) == key).select(F.lit(-HALF).cast("long").alias(HI), LO, "size")
+            cuts += find_splitters(own, ends, allowed, 1)
+        pieces += [(key, min(cut, SPAN - 1) - HALF, s) for cut, (s, _) in zip(cuts, parts, strict=True)]
+    light = keys.join(F.broadcast(keys.sparkSession.createDataFrame([(k,) for k, _ in heavy], f"{HI} long")), HI, "left_anti") if heavy else keys
+    ends = np.cumsum([max(r, 0) for r in room])
+    rest = light.agg(F.sum("size")).first()[0] or 0
+    targets = [int(e) * rest // max(int(ends[-1]), 1) for e in ends[:-1].tolist()]
+    return pieces, find_splitters(light, targets, allowed)
+
+
 def _at_or_after(splitter: int) -> Column:
     if splitter >= SPAN * SPAN:
         return F.lit(0)
     hi, lo = splitter // SPAN - HALF, splitter % SPAN - HALF
-    return ((F.col("_hi") > hi) | ((F.col("_hi") == hi) & (F.col("_lo") >= lo))).cast("int")
+    return ((F.col(HI) > hi) | ((F.col(HI) == hi) & (F.col(LO) >= lo))).cast("int")
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text", tolerance: float = 0.005, rows_per_task: int = 100_000) -> DataFrame:
     """Adds size, text_crc32, shard (from 0) and slot (gapless from 0 in each shard) to docs."""
-    if taken := {c.lower() for c in docs.columns} & {*ADDED, "_hi", "_lo", "_fine"}:
-        raise ValueError(f"rename these columns first: {sorted(taken)}")
-    keyed = docs.withColumns(_keys(id_col, text_col))
-    keys = persist(keyed.select("_hi", "_lo", "size"), "keys")
-    splitters = find_splitters(keys, n_shards, tolerance)
-    rows = keys.count()
-    fine = max(-(-rows // (n_shards * rows_per_task)), -(-2 * shuffle_width(docs.sparkSession) // n_shards))
-    shard = sum((_at_or_after(s) for s in splitters), F.lit(0))
-    place = {"shard": shard, "_fine": F.pmod(F.xxhash64("_lo", "_hi"), F.lit(fine)).cast("int")}
-    counts = keys.withColumns(place).groupBy("shard", "_fine").count()
-    before = counts.withColumn("_before", F.sum("count").over(W.Window.partitionBy("shard").orderBy("_fine")) - F.col("count")).drop("count")
-    within = W.Window.partitionBy("shard", "_fine").orderBy("_hi", "_lo")
-    placed = keyed.withColumns(place).withColumn("_n", F.row_number().over(within)).join(before, ["shard", "_fine"])
-    return placed.withColumn("slot", F.col("_before") + F.col("_n") - 1).select(*docs.columns, *ADDED)
+    spark = docs.sparkSession
+    carried = [c for c in docs.columns if c.lower() not in ADDED]
+    keyed = docs.select(F.struct(*carried).alias("row"), *_keys(id_col, text_col))
+    keys = persist(keyed.select(HI, LO, "size"), "keys")
+    pieces, splitters = plan(keys, n_shards, tolerance)
+    # at most n_shards / tolerance texts, of pieces at most n_shards more
+    listed = spark.createDataFrame(pieces, f"{HI} long, first long, shard int").groupBy(HI).agg(F.sort_array(F.collect_list(F.struct("first", "shard"))).alias("pieces"))
+    by_key = sum((_at_or_after(s) for s in splitters), F.lit(0))
+    by_piece = F.element_at(F.filter("pieces", lambda p: p["first"] <= F.col(LO)), -1)["shard"]
+
+    def place(df: DataFrame) -> DataFrame:
+        with_pieces = df.join(F.broadcast(listed), HI, "left") if pieces else df.withColumn("pieces", F.lit(None).cast("array<struct<first:long,shard:int>>"))
+        return with_pieces.withColumns({"shard": F.when(F.col("pieces").isNotNull(), by_piece).otherwise(by_key), FINE: F.pmod(F.xxhash64(LO, HI), F.lit(fine)).cast("int")}).drop("pieces")
+
+    fine = max(-(-keys.count() // (n_shards * rows_per_task)), -(-2 * shuffle_width(spark) // n_shards))
+    counts = place(keys).groupBy("shard", FINE).count()
+    before = counts.withColumn(COUNT, F.sum("count").over(W.Window.partitionBy("shard").orderBy(FINE)) - F.col("count")).drop("count")
+    within = W.Window.partitionBy("shard", FINE).orderBy(HI, LO)
+    placed = place(keyed).withColumn("number", F.row_number().over(within)).join(before, ["shard", FINE])
+    return placed.select("row.*", "size", "text_crc32", "shard", (F.col(COUNT) + F.col("number") - 1).alias("slot"))
