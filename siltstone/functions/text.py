@@ -256,6 +256,15 @@ def split_sentences(c: Column | str) -> Column:
     return F.filter(F.transform(F.split(marked, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
+#: Fixed value: where sentences of evidence end.
+EVIDENCE_END = r"(?<=[.|?!。！？;；:：])\s+|(?<=…)\s+|(?<=[—–\-])\s+"
+
+
+def evidence_sentences(c: Column | str) -> Column:
+    """Pieces that end with a mark, a bar or a dash before white space."""
+    return F.filter(F.split(F.coalesce(col(c), F.lit("")), EVIDENCE_END), lambda x: F.trim(x) != "")
+
+
 def split_units(c: Column | str) -> Column:
     """Lines; a bullet line is a unit, others are split after . ? ! ; : and dashes."""
     lines = F.filter(F.transform(F.split(F.coalesce(col(c), F.lit("")), r"\r?\n"), lambda x: F.trim(x)), lambda x: x != "")

@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from siltstone.functions.numeric import year_decay
-from siltstone.functions.text import EVIDENCE_STOPWORDS
+from siltstone.functions.text import EVIDENCE_END, EVIDENCE_STOPWORDS
 from siltstone.operators.aggregates import keep_first
 from siltstone.operators.joins import modal
 
 SAFEGUARD, LAMBDA, LEAST_LEFT, PER_HEADING, SIGNATURE_WORDS, HEAD = 0.30, 0.65, 50, 3, 80, 20
-#: Fixed value: where sentences of evidence end.
-_SENTENCE = re.compile(r"(?<=[.|?!。！？；;：:])\s+|(?<=…)\s+|(?<=[—–\-])\s+")
+_SENTENCE = re.compile(EVIDENCE_END)
 
 
 def anchors(hits: DataFrame, by: list[str], rank: str, column: str, head: int = HEAD) -> DataFrame:

@@ -57,6 +57,12 @@ def backfill(rows: DataFrame, facts: DataFrame, keys: list[str], value: str, ord
     return rows.join(first, keys, "left").withColumn(value, new).drop("_fill")
 
 
+def fill_from(rows: DataFrame, meta: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Given columns of rows, where they are null those of meta; meta has one row a key."""
+    other = meta.select(*keys, *[F.col(c).alias(f"_meta_{c}") for c in columns])
+    return rows.join(other, keys, "left").withColumns({c: F.coalesce(c, f"_meta_{c}") for c in columns}).drop(*[f"_meta_{c}" for c in columns])
+
+
 def modal(df: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
     """Commonest value of each key, of equally common ones the first in order."""
     n = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"), F.min(order).alias("_f"))

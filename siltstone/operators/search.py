@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
 
-from siltstone.functions.numeric import bm25_idf, bm25_tf, inner_product
+from siltstone.functions.numeric import bm25_idf, bm25_tf
 from siltstone.functions.text import BM25_STOPWORDS, TOKEN, bm25_tokens, word_set
 from siltstone.operators.joins import fuse_lists, fused_order, match_vocabulary
 from siltstone.operators.windows import ranked, top_k

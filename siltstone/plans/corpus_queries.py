@@ -13,16 +13,30 @@ from siltstone.plans.table_queries import table
 from siltstone.sources.files import record_type
 
 
-@query("SELECT o_orderkey, '0000000001-24-' || lpad(CAST(o_orderkey AS VARCHAR), 6, '0') AS accno, '10-K' AS form, strftime(o_orderdate, '%Y%m%d') AS doc_date, 'ABC' AS ticker, CASE WHEN month(o_orderdate) % 3 = 0 THEN 'Q' || CAST(month(o_orderdate) // 3 AS VARCHAR) END AS fq FROM orders")
+_FORM = "CASE o_orderkey % 3 WHEN 0 THEN '10-K' WHEN 1 THEN '10-Q' END"
+_TICKER = "CASE WHEN o_custkey % 4 < 3 THEN ['ABC', 'X', 'LONGNAME'][o_custkey % 4 + 1] END"
+
+
+@query(f"SELECT o_orderkey, '000000000' || o_custkey % 10 || '-24-' || lpad(CAST(o_orderkey AS VARCHAR), 6, '0') AS accno, {_FORM} AS form, CASE WHEN o_orderkey % 5 > 0 THEN strftime(o_orderdate, '%Y%m%d') END AS doc_date, {_TICKER} AS ticker, CASE WHEN o_orderkey % 5 > 0 AND month(o_orderdate) % 3 = 0 THEN 'Q' || CAST(month(o_orderdate) // 3 AS VARCHAR) END AS fq FROM orders")
 def f12_sniff_meta(spark, sf):
-    p = F.concat(F.lit("/d/10-K/0000000001–24–"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0"), F.lit("/abc-"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit(".xml"))
+    """Dashes of three kinds, two dates of which the last counts, tickers and forms that are missing at times."""
+    k, t = F.col("o_orderkey"), F.col("o_custkey") % 4
+    dash = F.when(k % 2 == 0, "–").otherwise("-")
+    form = F.when(k % 3 == 0, "10-K").when(k % 3 == 1, "10-q").otherwise("other")
+    name = F.when(t == 0, "abc-").when(t == 1, "US_x_").when(t == 2, "LongName-").otherwise("12-")
+    day = F.when(k % 5 > 0, F.date_format("o_orderdate", "yyyyMMdd")).otherwise("none")
+    first = F.when(k % 5 > 0, "19990101").otherwise("first")
+    p = F.concat(F.lit("/d/"), form, F.lit("/"), first, F.lit("/000000000"), (F.col("o_custkey") % 10).cast("string"), dash, F.lit("24"), dash, F.lpad(k.cast("string"), 6, "0"), F.lit("/"), name, day, F.lit(".xml"))
     m = table(spark, sf, "orders").select("o_orderkey", filing.sniff_meta(p).alias("m"))
     return m.select("o_orderkey", "m.accno", "m.form", "m.doc_date", "m.ticker", "m.fq")
 
 
-@query("SELECT o_orderkey, 'T' || CAST(o_custkey AS VARCHAR) AS ticker, year(o_orderdate) AS year, '10-Q' AS form, '0000000001-24-000001' AS accno FROM orders")
+@query("SELECT o_orderkey, 'T' || CAST(o_custkey AS VARCHAR) AS ticker, CASE WHEN o_orderkey % 4 > 0 THEN year(o_orderdate) END AS year, CASE WHEN o_orderkey % 2 = 0 THEN '10-Q' ELSE '8-K' END AS form, CASE WHEN o_orderkey % 3 > 0 THEN 'a_' || o_orderkey ELSE '' END AS accno FROM orders")
 def f14_meta_from_path(spark, sf):
-    p = F.concat(F.lit("/data/t"), F.col("o_custkey").cast("string"), F.lit("/"), F.year("o_orderdate").cast("string"), F.lit("/10-q_0000000001-24-000001/text.jsonl"))
+    k = F.col("o_orderkey")
+    year = F.when(k % 4 > 0, F.year("o_orderdate").cast("string")).otherwise("undated")
+    form = F.when(k % 2 == 0, "10-q").otherwise("8-K")
+    p = F.concat(F.lit("/data/t"), F.col("o_custkey").cast("string"), F.lit("/"), year, F.lit("/"), form, F.when(k % 3 > 0, F.concat(F.lit("_a_"), k.cast("string"))).otherwise(""), F.lit("/text.jsonl"))
     m = table(spark, sf, "orders").select("o_orderkey", X.meta_from_path(p).alias("m"))
     return m.select("o_orderkey", "m.ticker", "m.year", "m.form", "m.accno")
 
@@ -35,18 +49,19 @@ def f33_humanize_header(spark, sf):
     return d.select("p_partkey", filing.humanize_header("p_name", F.col("u.unit"), F.col("u.currency")).alias("h"))
 
 
-@query("SELECT n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN 'standard' WHEN 1 THEN 'terse' ELSE 'other' END AS role, CASE n_nationkey % 2 WHEN 0 THEN 'en-US' ELSE 'zh' END AS lang, 'us-gaap:Cash_And' AS qname FROM nation")
+@query("SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN 'standard' WHEN 1 THEN 'terse' WHEN 2 THEN n_name ELSE 'standard' END AS role, CASE n_nationkey % 3 WHEN 0 THEN 'en-US' WHEN 1 THEN 'zh' ELSE 'x-' || n_nationkey END AS lang, 'us-gaap:' || n_name AS qname FROM nation")
 def f34_roles(spark, sf):
     k = F.col("n_nationkey")
-    uri = F.when(k % 3 == 0, "http://www.xbrl.org/2003/role/label").when(k % 3 == 1, "http://www.xbrl.org/2003/role/terseLabel").otherwise("http://x/role/other")
-    lang = F.when(k % 2 == 0, " EN-us").otherwise("zh-CN")
-    return table(spark, sf, "nation").select("n_nationkey", X.short_role(uri).alias("role"), X.canonical_lang(lang).alias("lang"), X.locator_qname(F.lit("a.xsd#us-gaap_Cash_And")).alias("qname"))
+    uri = F.when(k % 4 == 0, "http://www.xbrl.org/2003/role/label").when(k % 4 == 1, "http://www.xbrl.org/2003/role/terseLabel").when(k % 4 == 2, F.concat(F.lit("http://x/role/"), "n_name"))
+    lang = F.when(k % 3 == 0, " EN-us").when(k % 3 == 1, "zh-CN").otherwise(F.concat(F.lit("x-"), k.cast("string")))
+    href = F.concat(F.lit("a.xsd#us-gaap_"), "n_name")
+    return table(spark, sf, "nation").select("n_nationkey", X.short_role(uri).alias("role"), X.canonical_lang(lang).alias("lang"), X.locator_qname(href).alias("qname"))
 
 
-@query("SELECT p_partkey, 'a*b' || CASE WHEN p_partkey % 2 = 0 THEN '/c' ELSE '' END AS u FROM part")
+@query("SELECT p_partkey, p_brand || CASE WHEN p_size % 3 = 0 THEN '*' || p_type ELSE '' END || CASE WHEN p_partkey % 2 = 0 THEN '/' || p_name ELSE '' END AS u FROM part")
 def f31_unit_string(spark, sf):
     none = F.array().cast("array<string>")
-    return table(spark, sf, "part").select("p_partkey", nested.unit_string(F.array(F.lit("a"), F.lit("b")), F.when(F.col("p_partkey") % 2 == 0, F.array(F.lit("c"))).otherwise(none)).alias("u"))
+    return table(spark, sf, "part").select("p_partkey", nested.unit_string(F.when(F.col("p_size") % 3 == 0, F.array("p_brand", "p_type")).otherwise(F.array("p_brand")), F.when(F.col("p_partkey") % 2 == 0, F.array("p_name")).otherwise(none)).alias("u"))
 
 
 @query("SELECT event_id, CASE event_type WHEN 'error' THEN 'fact' WHEN 'click' THEN 'text' ELSE 'label_long' END AS kind FROM events")
@@ -65,12 +80,6 @@ def r02_build_index(spark, sf):
     return _index(spark, sf).select("id", "id64", "title", "text_hash")
 
 
-@query()
-def r12_query_entities(spark, sf):
-    q = table(spark, sf, "part").select("p_partkey", F.concat(F.lit("EPS of ("), F.upper(F.substring("p_name", 1, 4)), F.lit(")")).alias("q"))
-    return runner.query_entities(q, "p_partkey", "q").select("p_partkey", F.array_join("tickers", ",").alias("tickers"), F.array_join("fin_metrics", ",").alias("fin_metrics"))
-
-
 @query()
 def r20_run_query(spark, sf):
     q = table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("query"))

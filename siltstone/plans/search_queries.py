@@ -198,19 +198,29 @@ def r09_rule_rerank(spark, sf):
     return S.rule_rerank(e, ["user_id"], "value", "event_id", S.rule_score("q", "h", "c", "cs")).select("event_id", F.round("score", 6).alias("score"))
 
 
-@query("SELECT p_partkey AS qid, CASE WHEN p_size % 2 = 0 THEN '2024,cost of sales,revenue,sales' ELSE '2023' END AS terms FROM part")
+_SURFACES = [("widget", "widget"), ("widget", "small gadget"), ("bolt", "bolt"), ("rod", "rod"), ("rod", "iron bar")]
+_RELATED = [("widget", "bolt"), ("bolt", "rod")]
+_HIT = "SELECT p_partkey AS qid, s.concept FROM part JOIN s ON contains(lower('Which ' || p_name || ' was sold in ' || (2000 + p_size) || ' and 1999'), s.surface)"
+
+
+def _values(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" for x in r) + ")" for r in rows)
+
+
+@query(f"WITH s(concept, surface) AS (VALUES {_values(_SURFACES)}), r(concept, related) AS (VALUES {_values(_RELATED)}), h AS ({_HIT}), c AS (SELECT qid, concept FROM h UNION SELECT qid, related FROM h JOIN r ON h.concept = r.concept), t AS (SELECT qid, surface AS term FROM c JOIN s ON c.concept = s.concept UNION SELECT p_partkey, CAST(2000 + p_size AS VARCHAR) FROM part) SELECT qid, string_agg(term, ',' ORDER BY term) AS terms FROM t GROUP BY 1")
 def r10_query_expand(spark, sf):
-    q = table(spark, sf, "part").select("p_partkey", F.when(F.col("p_size") % 2 == 0, "What was Revenue in 2024").otherwise("What in 2023").alias("q"))
-    surfaces = spark.createDataFrame([("rev", "revenue"), ("rev", "sales"), ("cost", "cost of sales")], "concept string, surface string")
-    out = S.expand_query(q, "p_partkey", "q", surfaces, spark.createDataFrame([("rev", "cost")], "concept string, related string"))
+    q = table(spark, sf, "part").select("p_partkey", F.concat(F.lit("Which "), F.upper("p_name"), F.lit(" was sold in "), (2000 + F.col("p_size")).cast("string"), F.lit(" and 1999")).alias("q"))
+    out = S.expand_query(q, "p_partkey", "q", spark.createDataFrame(_SURFACES, "concept string, surface string"), spark.createDataFrame(_RELATED, "concept string, related string"))
     return out.select("qid", F.array_join("terms", ",").alias("terms"))
 
 
-@query("SELECT p_partkey AS qid, 'eps,per share' AS terms FROM part WHERE p_size % 2 = 0")
+_PATTERNS = [("widget|bolt", "hardware"), ("^[a-c]", "early"), (r"\brod$", "metal"), ("o{2}", "round"), (r"(red|blue)\s+\w+", "coloured")]
+
+
+@query(f"WITH p(pattern, term) AS (VALUES {_values(_PATTERNS)}) SELECT p_partkey AS qid, string_agg(DISTINCT term, ',' ORDER BY term) AS terms FROM part JOIN p ON regexp_matches(lower(p_name), p.pattern) GROUP BY 1")
 def r11_pattern_expansion(spark, sf):
-    q = table(spark, sf, "part").select("p_partkey", F.when(F.col("p_size") % 2 == 0, "Diluted earnings per share?").otherwise("Cash").alias("q"))
-    p = spark.createDataFrame([("earnings per share", "eps"), (r"per\s+share", "per share"), ("dividend", "payout")], "pattern string, term string")
-    return S.pattern_expansion(q, "p_partkey", "q", p).select("qid", F.array_join("terms", ",").alias("terms"))
+    p = spark.createDataFrame(_PATTERNS, "pattern string, term string")
+    return S.pattern_expansion(table(spark, sf, "part").select("p_partkey", F.initcap("p_name").alias("q")), "p_partkey", "q", p).select("qid", F.array_join("terms", ",").alias("terms"))
 
 
 def _evidence(spark: SparkSession, sf: str) -> DataFrame:

@@ -11,7 +11,7 @@ from siltstone.operators import aggregates as A
 from siltstone.operators import filters as P
 from siltstone.operators import joins as J
 from siltstone.operators import windows as Wn
-from siltstone.operators.facts import clean_edges, explode_textblocks, fact_document, fact_line, hint_overrides, numeric_answers, rag_text
+from siltstone.operators.facts import clean_edges, fact_document, fact_line, hint_overrides, numeric_answers, rag_text
 from siltstone.plans.catalogue import query
 from siltstone.sources.files import primary_document, unprocessed
 
@@ -446,12 +446,6 @@ def r22_numeric_answers(spark, sf):
     return numeric_answers(table(spark, sf, "part").select("p_partkey", line.alias("line")), "line", r"^Revenue: ([\d.,]+)").select("p_partkey", "answer")
 
 
-@query()
-def t10_textblock(spark, sf):
-    facts = table(spark, sf, "part").select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, "us-gaap:DebtTextBlock").otherwise("us-gaap:Debt").alias("concept"), F.concat(F.lit("<p>In 2023 paid "), F.col("p_size").cast("string"), F.lit(",100</p>")).alias("html"), F.lit("").alias("dims_signature"))
-    return explode_textblocks(facts, "concept", "html", "dims_signature").select("p_partkey", "concept", "value", "dims_signature")
-
-
 @query("SELECT page_id FROM pages WHERE page_id NOT IN (SELECT page_id FROM pages WHERE page_id % 3 = 0)")
 def s19_manifest_skip(spark, sf):
     p = table(spark, sf, "pages").select("page_id")

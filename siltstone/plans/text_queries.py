@@ -6,16 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import text as X
-from siltstone.functions.numeric import jaccard, number_tokens
+from siltstone.functions.numeric import jaccard
 from siltstone.operators import chunking as C
 from siltstone.operators import entities as E
-from siltstone.operators import facts as Fx
 from siltstone.operators import html_blocks as Hb
 from siltstone.operators.aggregates import keep_first
 from siltstone.operators.filters import search_entities
 from siltstone.operators.joins import match_vocabulary
-from siltstone.operators.search import best_snippet, term_frequencies
-from siltstone.operators.windows import section_path
+from siltstone.operators.search import term_frequencies
 from siltstone.plans.catalogue import query
 from siltstone.plans.table_queries import table
 
@@ -85,80 +83,23 @@ def u04_jaccard(spark, sf):
     return match_vocabulary(d, asked, F.lit(True)).select("doc_id", "item_id", F.round(jaccard("a", "b"), 6).alias("jac"))
 
 
-@query()
-def w03_section_path(spark, sf):
-    rows = table(spark, sf, "orders").select("o_custkey", "o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, "Part II. x").when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("Item "), (F.col("o_orderkey") % 9).cast("string"), F.lit("A. Text"))).otherwise("body").alias("t"))
-    return section_path(rows, ["o_custkey"], ["o_orderkey"], "t").select("o_orderkey", "part", "item", "section_path")
-
-
-@query()
-def t03_long_split(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.posexplode(C.long_pieces("text")).alias("pos", "piece")).select("doc_id", "pos", F.length("piece").alias("n"))
-
-
 @query()
 def t04_clean_rows(spark, sf):
     lines = C.document_lines(table(spark, sf, "documents"), "doc_id", "text")
     return C.clean_rows(lines, "doc", "line", "text").select("doc", "line", "sentence_no", "piece_no", "heading", "length", "numbers", "percents")
 
 
-@query()
-def t05_units(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.size(X.split_units("text")).alias("n_units"))
-
-
 @query()
 def t12_chunks(spark, sf):
     lines = C.document_lines(table(spark, sf, "documents"), "doc_id", "text").withColumn("h", C.heading_of("text"))
     return C.chunk_documents(lines, "doc", "line", "h", "text").select("doc", "section", "chunk_index", "chunk_count", F.length("content").alias("n"))
 
 
-@query()
-def f50_numbers(spark, sf):
-    t = F.concat(F.lit("Item 7 paid $"), F.col("p_size").cast("string"), F.lit(".5 million and "), F.col("p_partkey").cast("string"), F.lit(" more under Rule 12b-2"))
-    return table(spark, sf, "part").select("p_partkey", F.transform(number_tokens(t), lambda n: n["value"]).alias("numbers"))
-
-
-@query()
-def w11_snippet(spark, sf):
-    d = table(spark, sf, "documents").withColumn("q", F.lit("thion ening and"))
-    return d.select("doc_id", F.length(best_snippet("text", "q")).alias("n"))
-
-
 @query()
 def t01_html_blocks(spark, sf):
     return Hb.html_blocks(table(spark, sf, "pages"), "page_id", "html").select("doc", "ord", "tag", "heading", "xpath", F.length("text").alias("n"))
 
 
-@query()
-def t08_tables(spark, sf):
-    made = F.concat(F.lit("<table><tr><th>Item</th><th>2023 Q4</th><th>2024 Q4</th></tr><tr><td>Cash</td><td>1,000</td><td>"), F.col("page_id").cast("string"), F.lit("</td></tr></table>"))
-    return Hb.table_cells(table(spark, sf, "pages").select("page_id", F.concat("html", made).alias("html")), "page_id", "html")
-
-
-@query()
-def t09_compact_columns(spark, sf):
-    return Hb.compact_columns(t08_tables(spark, sf))
-
-
-@query()
-def t14_xbrl(spark, sf):
-    x = F.concat(
-        F.lit('<xbrl xmlns:us-gaap="http://g" xmlns:xbrldi="http://d"><context id="c1"><entity><identifier>'), F.col("p_brand"), F.lit('</identifier><segment><xbrldi:explicitMember dimension="a:Axis">m:One</xbrldi:explicitMember></segment></entity><period><instant>2024-12-31</instant></period></context><unit id="u"><measure>iso4217:USD</measure></unit><us-gaap:Assets contextRef="c1" unitRef="u" decimals="-3">'), F.col("p_size").cast("string"), F.lit("</us-gaap:Assets></xbrl>")
-    )
-    facts = Fx.xbrl_facts(table(spark, sf, "part").select("p_partkey", x.alias("xml")), "p_partkey", "xml")
-    clean = Fx.clean_facts(facts, F.lit("TCK"), F.lit("10-K"), F.col("p_partkey").cast("string"), F.lit(2024))
-    return clean.select("p_partkey", "qname", "value_num", "unit_normalized", "dims_signature", "statement_hint", "period_label", "rag_text")
-
-
-@query()
-def t11_linkbase(spark, sf):
-    x = F.concat(
-        F.lit('<linkbase xmlns:link="http://l" xmlns:xlink="http://www.w3.org/1999/xlink"><link:calculationLink xlink:role="r"><link:loc xlink:label="a" xlink:href="x.xsd#us-gaap_'), F.translate("n_name", " ", ""), F.lit('"/><link:loc xlink:label="b" xlink:href="x.xsd#us-gaap_Part"/><link:calculationArc xlink:from="a" xlink:to="b" xlink:arcrole="s" order="1" weight="-1"/><link:calculationArc xlink:from="a" xlink:to="zz" order="2"/></link:calculationLink></linkbase>')
-    )
-    return Fx.xbrl_arcs(table(spark, sf, "nation").select("n_nationkey", x.alias("xml")), "n_nationkey", "xml").select("n_nationkey", "kind", "from_concept", "to_concept", "weight", "ord")
-
-
 def _filing_text() -> F.Column:
     return F.concat(F.lit("Contoso "), F.col("p_brand"), F.lit(" Holdings Inc. ("), F.upper(F.substring("p_name", 1, 3)), F.lit(") raised EBITDA and EPS to $"), F.col("p_size").cast("string"), F.lit(" million. Ticker: ABCD"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -23,3 +25,14 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
     for k, v in (SETTINGS | conf).items():
         b = b.config(k, v)
     return b.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir. Where it is unset: a temporary one if Spark runs in one process, as in tests, else an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="siltstone-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
