@@ -39,16 +39,22 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def split_groups(rows: DataFrame, group: str, spread: Column, size: int, weight: Column | None = None) -> DataFrame:
+def split_groups(rows: DataFrame, group: str, spread: Column, size: int, weight: Column | None = None, single: bool = True) -> DataFrame:
     """Rows with side, lo and hi: groups above `size` (rows, or their weight) are cut into slices, and pairs of slices.
 
     A task that gets the rows of one (group, lo, hi) compares all its rows if lo = hi,
     else those of side lo with those of side hi. So every pair of a group meets once,
-    and no task holds more than about two slices. Only the large groups are listed, at
-    most as many as the weight of all rows over `size`.
+    and no task holds more than about two slices. With `single` only the large groups are
+    listed, at most as many as the weight of all rows over `size`; without it groups of one
+    row are left out here, which pays where most groups are and rows get wider later.
     """
-    large = persist(rows.groupBy(group).agg(F.sum(weight if weight is not None else F.lit(1)).alias("_n")).where(F.col("_n") > size).select(F.col(group).alias("_g"), F.ceil(F.col("_n") / size).cast("int").alias("_s")), "large")
-    out = rows.join(large, F.col(group) == F.col("_g"), "left").withColumn("_s", F.coalesce("_s", F.lit(1))).withColumn("side", F.pmod(spread, F.col("_s")).cast("int"))
+    counts = rows.groupBy(group).agg(F.sum(weight if weight is not None else F.lit(1)).alias("_n"), F.count("*").alias("_rows"))
+    parts = F.ceil(F.col("_n") / size).cast("int").alias("_s")
+    if single:
+        listed = persist(counts.where(F.col("_n") > size).select(F.col(group).alias("_g"), parts), "large")
+    else:
+        listed = counts.where("_rows > 1").select(F.col(group).alias("_g"), parts)
+    out = rows.join(listed, F.col(group) == F.col("_g"), "left" if single else "inner").withColumn("_s", F.coalesce("_s", F.lit(1))).withColumn("side", F.pmod(spread, F.col("_s")).cast("int"))
     out = out.withColumn("_o", F.explode(F.when(F.col("_s") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_s") - 1))))
     return out.withColumns({"lo": F.least("side", "_o"), "hi": F.greatest("side", "_o")}).drop("_g", "_s", "_o")
 

@@ -54,10 +54,11 @@ def table_shape(n: int, threshold: float, recall: float = RECALL) -> tuple[int,
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Unit vectors of a column of arrays of one length."""
+    """Unit vectors of a column of arrays of one length, scaled by their largest component first."""
     a = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     flat = a.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     v = flat.reshape(len(a), -1)
+    v = v / np.abs(v).max(axis=1, keepdims=True)
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
@@ -147,11 +148,11 @@ def _count(threshold: float):
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9, recall: float = RECALL, seed: int = 42) -> DataFrame:
     """vec_id, n_links (other vectors linked directly) and component_id (smallest id reachable), a row for each row of vectors."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("raw"))
-    finite = F.forall("raw", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("raw", lambda x: x != 0)
+    given = vectors.select(vector_col).schema[0].dataType.simpleString()
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<float>" if given == "array<float>" else "array<double>").alias("vector"))
+    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0)
     rows = rows.withColumn("sound", F.coalesce(finite, F.lit(False)))
-    largest = F.array_max(F.transform("raw", lambda x: F.abs(x)))
-    good = rows.where("sound").withColumn("vector", F.transform("raw", lambda x: x / largest)).drop("raw")
+    good = rows.where("sound")
     distinct = persist(good.groupBy("vector").agg(F.count("*").alias("n"), F.min("vec_id").alias("low")).withColumns({"node": F.monotonically_increasing_id(), "d": F.size("vector")}), "vectors")
     k, tables = table_shape(distinct.count(), threshold, recall)
     rng = np.random.default_rng(seed)
@@ -169,7 +170,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
                     yield pa.RecordBatch.from_arrays([pa.array(np.repeat(t.column("node").to_numpy(), tables)), pa.array(key.view(np.int64).ravel())], names=["node", "g"])
 
     bucketed = distinct.select("node", "vector", "d").mapInArrow(buckets, "node long, g long")
-    met = split_groups(bucketed, "g", F.xxhash64("node"), SLICE).join(distinct.select("node", "vector", "d"), "node")
+    met = split_groups(bucketed, "g", F.xxhash64("node"), SLICE, single=False).join(distinct.select("node", "vector", "d"), "node")
     edges = link_within_groups(met, ["d", "g", "lo", "hi"], _link(threshold), "node", 20_000)
     roots = persist(connected_components(edges, "a", "b"), "roots")
     members = distinct.join(roots, "node")

@@ -200,7 +200,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     keys = [F.xxhash64(F.lit(n), F.col("fp").bitwiseAND(F.lit(signed(mask(i) | mask(j))))) for n, (i, j) in enumerate(combinations(range(pieces), 2))]
     buckets = distinct.select("fp", F.explode(F.array(*keys)).alias("g"))
-    dealt = split_groups(buckets, "g", F.xxhash64("fp"), SLICE)
+    dealt = split_groups(buckets, "g", F.xxhash64("fp"), SLICE, single=False)
     edges = link_within_groups(dealt, ["g", "lo", "hi"], link(radius), "fp")
     roots = connected_components(edges, "a", "b")
     named = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
