@@ -6,9 +6,12 @@ an item, the match is extended word by word to both sides. Two texts that share
 k + w - 1 words share a kept k-gram, so no shared span of that length is missed. An
 item shorter than that is one k-gram of its own length.
 
-The index of the benchmark is built in blocks of bounded size (`index_bytes`) and
-each block is applied to all documents in the same pass, so documents are read once
-and never shuffled.
+Fingerprints of documents and of items are joined by length and hash. While all texts of
+the benchmark together are at most `index_bytes`, which is summed up first, its side of
+the join is an index that is broadcast: documents are read once and not moved. A larger
+benchmark is never gathered in one place: documents are written in blocks, each block's
+distinct fingerprints meet those of the items in a shuffled join, and each block is sent
+the items it shares a fingerprint with, to which its matches are extended.
 
 Results for odd input: a null text has no words and no hit; an item without words is
 ignored; rows of the benchmark with one id are one item; an item with a null id marks
@@ -19,7 +22,7 @@ and text are not read, so their names cannot clash.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm import _hashing as H
-from siltstone.llm._scratch import chunks, ids_column, small_batches
+from siltstone.llm._scratch import chunks, ids_column, pack, pack_rows, persist, rows_of, small_batches, unpack, with_replies
 
 U = np.uint64
 WINDOW = 13
 K = 5
 INDEX_BYTES = 16 << 20
+BLOCK_BYTES = 1 << 20
 #: Lower case for A-Z, and a blank for ASCII that is neither a letter nor a digit.
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 SCHEMA = "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>, contaminated boolean"
@@ -92,24 +96,46 @@ class Index:
             self.tables[size] = (h[order], item[order], (p - words.start[words.text[p]])[order])
 
 
-def index_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, k: int, index_bytes: int) -> list[Broadcast]:
-    """The benchmark as broadcast indexes, each over at most index_bytes of text (or one item)."""
-    context = benchmark.sparkSession.sparkContext
-    out: list[Broadcast] = []
-    ids: list[str | None] = []
-    texts: list[bytes] = []
-    size = 0
-    for i, t in benchmark.select(F.col(id_col).cast("string"), F.col(text_col).cast("string")).toLocalIterator():
-        t = (t or "").encode()
-        if ids and size + len(t) > index_bytes:
-            out.append(context.broadcast(Index(ids, texts, window, k)))
-            ids, texts, size = [], [], 0
-        ids.append(i)
-        texts.append(t)
-        size += len(t)
-    if ids:
-        out.append(context.broadcast(Index(ids, texts, window, k)))
-    return out
+def broadcast_index(items: DataFrame, window: int, k: int, index_bytes: int) -> Broadcast | None:
+    """The index of all items (id, text), if their texts are together at most index_bytes."""
+    total = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    if total > index_bytes:
+        return None
+    rows = [(r["id"], (r["text"] or "").encode()) for r in items.select("id", "text").collect()]
+    return items.sparkSession.sparkContext.broadcast(Index([i for i, _ in rows], [t for _, t in rows], window, k))
+
+
+def join_fingerprints(blocks: DataFrame, texts_of: Callable[[dict], list[bytes]], columns: list[str], items: DataFrame, window: int, k: int) -> DataFrame:
+    """blocks, each with the items (id, text) that share a fingerprint with it, in `said`."""
+    numbered = persist(items.withColumn("item", F.monotonically_increasing_id()), "items")
+
+    def of_items(batches):
+        for rb in batches:
+            for item, text in zip(rb.column("item").to_pylist(), rb.column("text").cast(pa.binary()).to_pylist(), strict=True):
+                index = Index([None], [text or b""], window, k)
+                for size, (h, _, _) in index.tables.items():
+                    u = np.unique(h)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), size, np.int32)), pa.array(u.view(np.int64)), pa.array(np.full(len(u), item, np.int64))], names=["size", "hash", "item"])
+
+    prints = persist(numbered.select("item", "text").mapInArrow(of_items, "size int, hash long, item long"), "prints")
+    sizes = sorted(r["size"] for r in prints.select("size").distinct().collect())  # at most `window`
+
+    def of_blocks(batches):
+        for rb in batches:
+            for row in rb.to_pylist():
+                docs = Words(texts_of(row))
+                for size in sizes:
+                    _, h = docs.grams(size) if size < window else docs.kept(k, window)
+                    u = np.unique(h)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), size, np.int32)), pa.array(u.view(np.int64)), pa.array(np.full(len(u), row["block"], np.int64))], names=["size", "hash", "block"])
+
+    asked = blocks.select("block", *columns).mapInArrow(of_blocks, "size int, hash long, block long")
+    met = asked.join(prints, ["size", "hash"]).select("block", "item").distinct()
+    return with_replies(blocks.select("block", *columns), met.join(numbered, "item").select("block", "id", "text"))
+
+
+def index_of(said: list[dict] | None, window: int, k: int) -> Index | None:
+    return Index([x["id"] for x in said], [(x["text"] or "").encode() for x in said], window, k) if said else None
 
 
 def find_hits(index: Index, docs: Words, hits: dict[int, np.ndarray], items: dict[int, set[str]]) -> None:
@@ -152,15 +178,13 @@ def find_hits(index: Index, docs: Words, hits: dict[int, np.ndarray], items: dic
                         items[d].add(index.ids[item])
 
 
-def judge_texts(blocks: Iterable[Broadcast], texts: list[bytes]) -> tuple[np.ndarray, dict[int, np.ndarray], dict[int, set[str]]]:
+def judge_texts(index: Index | None, texts: list[bytes]) -> tuple[np.ndarray, dict[int, np.ndarray], dict[int, set[str]]]:
     """Number of words of each text; by text with hits, the marks and the items."""
     docs = Words(texts)
     hits: dict[int, np.ndarray] = {}
     items: dict[int, set[str]] = {}
-    for b in blocks:
-        find_hits(b.value, docs, hits, items)
-        if len(blocks) > 1:
-            del b._value  # read again from disk when needed: one block in memory at a time
+    if index:
+        find_hits(index, docs, hits, items)
     return np.diff(docs.start), hits, items
 
 
@@ -171,22 +195,36 @@ def is_contaminated(n_hit: int, n_words: int) -> bool:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, k: int = K, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """Per row of docs: doc_id, n_words, n_hit, items with occurring windows, spans of hit words (end exclusive), contaminated (at least one word in twenty is hit)."""
     small_batches(docs.sparkSession)
-    blocks = index_blocks(benchmark, item_col, item_text_col, window, k, index_bytes)
+    listed = benchmark.select(F.col(item_col).cast("string").alias("id"), F.col(item_text_col).cast("string").alias("text"))
+    index = broadcast_index(listed, window, k, index_bytes)
 
-    def run(batches):
-        for ids, texts in chunks(batches, 1 << 20):
-            n, hits, items = judge_texts(blocks, texts)
-            n_hit = [int(hits[d].sum()) if d in hits else 0 for d in range(len(ids))]
-            spans = [[] for _ in ids]
-            for d, m in hits.items():
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], m.astype(np.int8), [0]]))).tolist()
-                spans[d] = [{"start": s, "end": e} for s, e in zip(edge[::2], edge[1::2], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [ids_column(ids), pa.array(n.astype(np.int64)), pa.array(n_hit, pa.int64()), pa.array([sorted(items.get(d, ())) for d in range(len(ids))], pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array([is_contaminated(x, int(y)) for x, y in zip(n_hit, n, strict=True)])],
-                names=["doc_id", "n_words", "n_hit", "items", "spans", "contaminated"],
-            )
+    def judged(ids: np.ndarray, texts: list[bytes], own: Index | None) -> pa.RecordBatch:
+        n, hits, items = judge_texts(own, texts)
+        n_hit = [int(hits[d].sum()) if d in hits else 0 for d in range(len(ids))]
+        spans = [[] for _ in ids]
+        for d, m in hits.items():
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], m.astype(np.int8), [0]]))).tolist()
+            spans[d] = [{"start": s, "end": e} for s, e in zip(edge[::2], edge[1::2], strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [ids_column(ids), pa.array(n.astype(np.int64)), pa.array(n_hit, pa.int64()), pa.array([sorted(items.get(d, ())) for d in range(len(ids))], pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array([is_contaminated(x, int(y)) for x, y in zip(n_hit, n, strict=True)])],
+            names=["doc_id", "n_words", "n_hit", "items", "spans", "contaminated"],
+        )
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, SCHEMA)
+    if index is not None:
+
+        def run(batches):
+            for ids, texts in chunks(batches, 1 << 20):
+                yield judged(ids, texts, index.value)
+
+        return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, SCHEMA)
+
+    def run_blocks(batches):
+        for rb in batches:
+            for row in rb.to_pylist():
+                yield judged(*unpack(row["ids"], row["lens"], row["body"]), index_of(row["said"], window, k))
+
+    columns = ["ids", "lens", "body"]
+    return join_fingerprints(pack(docs, id_col, text_col, BLOCK_BYTES), lambda row: unpack(*(row[c] for c in columns))[1], columns, listed, window, k).mapInArrow(run_blocks, SCHEMA)
 
 
 def filter_rows(docs: DataFrame, text_col: str, keep: Callable[[list[bytes]], np.ndarray], step_bytes: int = 1 << 19) -> DataFrame:
@@ -209,13 +247,28 @@ def filter_rows(docs: DataFrame, text_col: str, keep: Callable[[list[bytes]], np
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, k: int = K, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """Rows of docs that are not contaminated, with all their columns."""
-    blocks = index_blocks(benchmark, item_col, item_text_col, window, k, index_bytes)
+    listed = benchmark.select(F.col(item_col).cast("string").alias("id"), F.col(item_text_col).cast("string").alias("text"))
+    index = broadcast_index(listed, window, k, index_bytes)
+    at = docs.columns.index(text_col)
 
-    def keep(texts: list[bytes]) -> np.ndarray:
-        n, hits, _ = judge_texts(blocks, texts)
+    def keep(texts: list[bytes], own: Index | None) -> np.ndarray:
+        n, hits, _ = judge_texts(own, texts)
         out = np.ones(len(texts), bool)
         for d, m in hits.items():
             out[d] = not is_contaminated(int(m.sum()), int(n[d]))
         return out
 
-    return filter_rows(docs, text_col, keep)
+    if index is not None:
+        return filter_rows(docs, text_col, lambda texts: keep(texts, index.value))
+
+    def texts_in(rows: pa.Table) -> list[bytes]:
+        return [t or b"" for t in rows.column(at).cast(pa.binary()).to_pylist()]
+
+    def run(batches):
+        for rb in batches:
+            for row in rb.to_pylist():
+                rows = rows_of(row["body"])
+                yield from rows.filter(pa.array(keep(texts_in(rows), index_of(row["said"], window, k)))).to_batches()
+
+    joined = join_fingerprints(pack_rows(docs, text_col, BLOCK_BYTES), lambda row: texts_in(rows_of(row["body"])), ["body"], listed, window, k)
+    return joined.mapInArrow(run, docs.schema)
