@@ -1,6 +1,7 @@
 """Licenses, contamination, toxicity, sharding, BPE and PII."""
 
 import hashlib
+import pathlib
 import random
 import zlib
 
@@ -27,6 +28,80 @@ def test_licenses(spark):
     assert 0.9 < r.coverage < 1 and r.start_word == 2 and len(r.spans) >= 2
 
 
+def best_by_hand(template, words):
+    """Most words of a template in order within any stretch of its length and eight more, by a full alignment."""
+    best = 0
+    for start in range(max(1, len(words))):
+        row = [0] * (len(template) + 1)
+        for w in words[start : start + len(template) + license_scan.BAND]:
+            new = [0]
+            for i, x in enumerate(template):
+                new.append(row[i] + 1 if x == w else max(new[i], row[i + 1]))
+            row = new
+        best = max(best, row[-1])
+    return best
+
+
+def test_licenses_against_full_alignment(spark):
+    """Short templates with words replaced and left out: found exactly where a full alignment reaches the coverage."""
+    r = random.Random(12)
+    templates = {n: t for n, t in license_scan.TEMPLATES.items() if len(t.split()) < 22} | {"odd": "", "tiny": "public domain"}
+    rows = []
+    for i in range(150):
+        words = list(r.choice(list(templates.values())).split())
+        for _ in range(r.randint(0, 3)):
+            if words and r.random() < 0.7:
+                words[r.randrange(len(words))] = "other"
+            elif words:
+                words.pop(r.randrange(len(words)))
+        rows.append((i, " ".join(["before"] * r.randint(0, 12) + words + ["after"] * r.randint(0, 12)), "x"))
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, SCHEMA), templates).collect()
+    found = {(x.doc_id, x.license_id): x.coverage for x in got}
+    assert len(found) == len(got)
+    for i, text, _ in rows:
+        for name, template in templates.items():
+            t = words_of(template.encode())
+            n = best_by_hand(t, words_of(text.encode())) if t else 0
+            assert ((i, name) in found) == (bool(t) and n >= 0.8 * len(t) - 1e-9), (text, name)
+            assert (i, name) not in found or abs(found[i, name] - n / len(t)) < 1e-9
+
+
+def test_licenses_on_odd_rows(spark, tmp_path):
+    notice = license_scan.TEMPLATES["MIT-notice"]
+    rows = [(1, "word " * 300_000 + notice + " " + notice, "a", 1), (2, None, "b", 2), (None, notice, "c", 3), (3, notice, "d", 4), (3, notice, "e", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, license_id string, coverage int")
+    got = sorted(((x.doc_id or 0, x.license_id, x.start_word) for x in license_scan.scan_licenses(df).collect()), key=repr)
+    assert got == [(0, "MIT-notice", 0), (1, "MIT-notice", 300_000), (1, "MIT-notice", 300_005), (3, "MIT-notice", 0), (3, "MIT-notice", 0)]
+    assert license_scan.scan_licenses(df.limit(0)).count() == 0
+    (tmp_path / "Own-1.0.txt").write_text("You may do with this\nwhat you like on Sundays only.")
+    own = license_scan.read_templates(spark, str(tmp_path))
+    (one,) = license_scan.scan_licenses(spark.createDataFrame([(1, "so you may do with this what you like on Sundays", "x")], SCHEMA), own).collect()
+    assert one.license_id == "Own-1.0" and one.coverage == 10 / 11
+
+
+FULL = pathlib.Path("/usr/share/common-licenses")
+
+
+@pytest.mark.skipif(not (FULL / "GPL-3").exists(), reason="no license texts on this machine")
+def test_full_texts_of_long_licenses(spark):
+    """Each long license is found in a copy of it with a word in twenty replaced, and with nothing replaced in whole."""
+    names = ["Apache-2.0", "GPL-3", "LGPL-2.1", "MPL-2.0"]
+    templates = {n: (FULL / n).read_text() for n in names}
+    r = random.Random(4)
+    edited = {n: " ".join("changed" if r.random() < 0.05 else w for w in t.split()) for n, t in templates.items()}
+    rows = [(i, f"before it {t} after it", "x") for i, t in enumerate([*templates.values(), *edited.values()])]
+    got = {(x.doc_id, x.license_id): x.coverage for x in license_scan.scan_licenses(spark.createDataFrame(rows, SCHEMA), templates).collect()}
+    assert all(got[i, n] == 1 for i, n in enumerate(names)) and all(0.9 < got[i + 4, n] < 0.98 for i, n in enumerate(names))
+
+
+def test_a_place_is_reported_once():
+    """Repeated words of a template make several diagonals, which lead to one place."""
+    template = "a b c a b c a b c d e f a b c a b c x y z"
+    index = license_scan.TemplateIndex({"t": template})
+    assert [x[3][0] for x in license_scan.scan_texts(index, [f"q q {template} q".encode()], 0.8)] == [2]
+    assert len(license_scan.scan_texts(index, [f"{template} {template}".encode()], 0.8)) == 2
+
+
 def test_alignment_by_hand():
     t, w = [b"a", b"b", b"c", b"d"], [b"x", b"a", b"c", b"y", b"d"]
     assert license_scan.align(t, w, 1) == [(0, 1), (2, 2), (3, 4)]
@@ -61,13 +136,27 @@ def test_contamination(spark):
                     hit[j : j + n] = [True] * n
                     found |= grams[tuple(w[j : j + n])]
         want.append((i, len(w), sum(hit), sorted(map(str, found - {None})), sum(hit) > 0 and 20 * sum(hit) >= len(w)))
-    for size in (1 << 24, 50):  # one block of the benchmark, and many
+    for size in (1 << 24, 50):  # a benchmark that is broadcast, and one that is joined by shuffles
         got = decontaminate(docs, bench, index_bytes=size).collect()
         assert sorted(((r.doc_id, r.n_words, r.n_hit, list(r["items"]), r.contaminated) for r in got), key=repr) == sorted(want, key=repr)
-    assert drop_contaminated(docs, bench).count() == sum(not x[4] for x in want)
+        named = docs.withColumns({"block": F.lit(1), "said": F.lit("x"), "body": F.lit(None).cast("string")})
+        left = drop_contaminated(named, bench, index_bytes=size)
+        assert left.schema == named.schema and sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(((i, t) for (i, t, _), w in zip(rows, want, strict=True) if not w[4]), key=repr)
+        assert decontaminate(docs.limit(0), bench, index_bytes=size).count() == drop_contaminated(docs.limit(0), bench, index_bytes=size).count() == 0
     assert decontaminate(docs, bench.limit(0)).where("n_hit > 0").count() == 0 and decontaminate(docs.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("size", [1 << 24, 50])
+def test_contamination_at_the_threshold(spark, size):
+    """One word in twenty counts, one in twenty-one does not; a very long text is judged whole."""
+    item = " ".join(f"i{x}" for x in range(13))
+    rows = [(1, f"{item} " + "w " * (260 - 13)), (2, f"{item} " + "w " * (261 - 13)), (3, "x " * 300_000 + item), (4, (f"{item} " + "y " * 200) * 800)]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.contaminated) for r in decontaminate(docs, bench, index_bytes=size).collect()}
+    assert got == {1: (260, 13, True), 2: (261, 13, False), 3: (300_013, 13, False), 4: (213 * 800, 13 * 800, True)}
+    assert sorted(r.doc_id for r in drop_contaminated(docs, bench, index_bytes=size).collect()) == [2, 3]
+
+
 def toxic_corpus(n=600):
     r = random.Random(11)
     words = [f"word{i}" for i in range(200)]
