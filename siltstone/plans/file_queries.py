@@ -74,10 +74,10 @@ def s10_standard_name(spark, sf):
 @query("SELECT n_nationkey AS k, n_nationkey % 2 = 0 AS is_xml, length(n_name) AS n FROM nation")
 def s11_whole_texts(spark, sf):
     path = _place(spark, "texts")
-    t = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("<?xml?>"), "n_name")).otherwise(F.concat(F.lit("<html> "), "n_name"))
+    t = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("<?xml?>\n"), "n_name")).otherwise(F.concat(F.lit("<html>\n"), "n_name"))
     table(spark, sf, "nation").select(F.col("n_nationkey").alias("k"), t.alias("value")).repartition("k").write.partitionBy("k").text(path)
     out = Fs.texts(spark, path, "*.txt")
-    return out.select(F.regexp_extract("path", r"k=(\d+)", 1).cast("int").alias("k"), "is_xml", F.length(F.regexp_replace("text", r"^<[^>]*> ?|\n$", "")).cast("long").alias("n"))
+    return out.select(F.regexp_extract("path", r"k=(\d+)", 1).cast("int").alias("k"), "is_xml", F.length(F.regexp_replace("text", r"^<[^>]*>\s|\s$", "")).cast("long").alias("n"))
 
 
 @query("SELECT CASE WHEN n_nationkey % 5 > 0 THEN n_nationkey END AS k, n_nationkey % 5 = 0 AS bad FROM nation")

@@ -41,7 +41,7 @@ def record_type(path: Column) -> Column:
 
 def texts(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Path, whole text and whether it looks like XML."""
-    raw = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    raw = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     return raw.withColumn("is_xml", F.substring("text", 1, 200).rlike(r"(?i)<\?xml") & ~F.substring("text", 1, 200).rlike(r"(?i)<html"))
 
 
