@@ -58,18 +58,22 @@ def number_tokens(c: Column | str, legacy: bool = False) -> Column:
     scales = F.create_map(*[F.lit(x) for kv in SCALES.items() for x in kv])
     signs = F.create_map(*[F.lit(x) for kv in CURRENCIES.items() for x in kv])
 
-    def token(m: Column) -> Column:
+    # step by step, so that each part is made once
+    def parts(m: Column) -> Column:
         part = lambda i: F.nullif(F.regexp_extract(m["raw"], f"(?i)^{number}", i), F.lit(""))
         first = F.greatest(m["start"] - AROUND, F.lit(0))
         window = F.substring(text, first + 1, m["end"] + AROUND - first)
-        base, unit = F.replace(part(2), F.lit(","), F.lit("")).cast("double"), F.lower(part(3))
-        used = F.when(~((unit == "m") & window.rlike(MONTHS)), unit)
+        return F.struct(F.trim(m["raw"]).alias("raw"), F.replace(part(2), F.lit(","), F.lit("")).cast("double").alias("base"), F.lower(part(3)).alias("unit"), part(1).alias("sign"), window.alias("window"))
+
+    def token(p: Column) -> Column:
+        used = F.when(~((p["unit"] == "m") & p["window"].rlike(MONTHS)), p["unit"])
         return F.struct(
-            F.trim(m["raw"]).alias("raw"), (base * F.coalesce(F.element_at(scales, used), F.lit(1.0))).alias("value"), base.alias("base_value"), unit.alias("unit_token"), used.alias("scale_used"),
-            F.element_at(signs, part(1)).alias("currency"), window.rlike(NEAR_DATE).alias("near_date"), window.rlike(NEAR_NAME).alias("near_xbrl_qname"), window.alias("window"),
+            p["raw"].alias("raw"), (p["base"] * F.coalesce(F.element_at(scales, used), F.lit(1.0))).alias("value"), p["base"].alias("base_value"), p["unit"].alias("unit_token"), used.alias("scale_used"),
+            F.element_at(signs, p["sign"]).alias("currency"), p["window"].rlike(NEAR_DATE).alias("near_date"), p["window"].rlike(NEAR_NAME).alias("near_xbrl_qname"), p["window"].alias("window"),
         )
 
-    return F.transform(numbers, token)
+    none = F.array().cast("array<struct<raw:string,value:double,base_value:double,unit_token:string,scale_used:string,currency:string,near_date:boolean,near_xbrl_qname:boolean,window:string>>")
+    return F.when(text.rlike(r"\d"), F.transform(F.transform(numbers, parts), token)).otherwise(none)
 
 
 def percents(c: Column | str) -> Column:

@@ -41,7 +41,8 @@ def located(c: Column | str, pattern: str) -> Column:
         end = start + F.length(x["raw"])
         return F.struct(end.alias("at"), F.array_append(acc["found"], F.struct(x["raw"].alias("raw"), start.alias("start"), end.alias("end"))).alias("found"))
 
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda acc: acc["found"])
+    # most texts have none: one look tells
+    return F.when(s.rlike(pattern), F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda acc: acc["found"])).otherwise(none)
 
 
 def normalize_spaces(c: Column | str) -> Column:
@@ -62,9 +63,9 @@ def strip_html(c: Column | str) -> Column:
 
 def bm25_tokens(c: Column | str, stopwords: list[str] | None = None, min_length: int = 2) -> Column:
     """lower-case tokens of at least min_length that are no stopwords."""
-    stop = F.array(*map(F.lit, BM25_STOPWORDS if stopwords is None else stopwords))
+    stop = BM25_STOPWORDS if stopwords is None else stopwords
     found = F.regexp_extract_all(F.lower(F.coalesce(col(c), F.lit(""))), F.lit(TOKEN), 0)
-    return F.filter(found, lambda t: (F.length(t) >= min_length) & ~F.array_contains(stop, t))
+    return F.filter(found, lambda t: (F.length(t) >= min_length) & ~t.isin(stop))
 
 
 def mapping_tokens(c: Column | str) -> Column:
@@ -74,8 +75,7 @@ def mapping_tokens(c: Column | str) -> Column:
 
 def word_set(c: Column | str) -> Column:
     """distinct lower-case words that are no evidence stopwords."""
-    stop = F.array(*map(F.lit, EVIDENCE_STOPWORDS))
-    return F.array_distinct(F.filter(F.regexp_extract_all(F.lower(F.coalesce(col(c), F.lit(""))), F.lit(WORD), 0), lambda t: ~F.array_contains(stop, t)))
+    return F.array_distinct(F.filter(F.regexp_extract_all(F.lower(F.coalesce(col(c), F.lit(""))), F.lit(WORD), 0), lambda t: ~t.isin(EVIDENCE_STOPWORDS)))
 
 
 def label_tokens(c: Column | str) -> Column:

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import ahocorasick
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import window as W
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def ranked_labels(labels: DataFrame, keys: list[str], role: str, lang: str, preferred: str | None = None) -> DataFrame:
@@ -87,9 +91,49 @@ def match_vocabulary(texts: DataFrame, vocabulary: DataFrame, on: Column) -> Dat
     return reduce(DataFrame.unionByName, [texts.join(F.broadcast(b), on) for b in in_blocks(vocabulary)])
 
 
-def surface_hits(texts: DataFrame, text: str, surfaces: DataFrame, surface: str) -> DataFrame:
-    """Texts with each surface form that they contain."""
-    return match_vocabulary(texts, surfaces, F.contains(F.lower(F.col(text)), F.lower(F.col(surface))))
+def surface_hits(texts: DataFrame, text: str, surfaces: DataFrame, surface: str, rows: int = 200_000) -> DataFrame:
+    """Texts with each surface form that they contain, in any case.
+
+    An automaton of all surfaces finds them in one reading of a text, however many there
+    are; a vocabulary of more than `rows` comes in several. An empty surface is in every text.
+    """
+    fields = [*texts.schema.fields, *surfaces.schema.fields]
+    schema = T.StructType(fields)
+    lowered = surfaces.where(F.col(surface).isNotNull()).withColumn("_l", F.lower(surface))
+    asked = texts.where(F.col(text).isNotNull()).withColumn("_l", F.lower(text))
+    arrow = to_arrow_schema(surfaces.schema)
+
+    def finder(listed: list[Row]):
+        places: dict[str, list[int]] = {}
+        for i, r in enumerate(listed):
+            places.setdefault(r["_l"], []).append(i)
+        columns = [pa.array([r[i] for r in listed], f.type) for i, f in enumerate(arrow)]
+
+        def run(batches):
+            automaton = ahocorasick.Automaton()
+            for s, at in places.items():
+                if s:
+                    automaton.add_word(s, at)
+            automaton.make_automaton()
+            for rb in batches:
+                row, found = [], []
+                for n, t in enumerate(rb.column(rb.num_columns - 1).to_pylist()):
+                    seen = {i for _, at in automaton.iter(t) for i in at} if len(automaton) else set()
+                    seen.update(places.get("", ()))
+                    row += [n] * len(seen)
+                    found += sorted(seen)
+                at, which = pa.array(row, pa.int64()), pa.array(found, pa.int64())
+                yield pa.RecordBatch.from_arrays([*(c.take(at) for c in rb.columns[:-1]), *(c.take(which) for c in columns)], names=schema.fieldNames())
+
+        return run
+
+    out, held = [], []
+    for r in lowered.toLocalIterator():  # a stated vocabulary
+        held.append(r)
+        if len(held) == rows:
+            out.append(asked.mapInArrow(finder(held), schema))
+            held = []
+    return reduce(DataFrame.unionByName if len(set(schema.fieldNames())) == len(fields) else DataFrame.union, [*out, asked.mapInArrow(finder(held), schema)])
 
 
 def fuse_lists(a: DataFrame, b: DataFrame, key: list[str], k: float = 60.0, weights: tuple[float, float] = (2.0, 2.0)) -> DataFrame:

@@ -1,8 +1,8 @@
 """Keyword, vector and hybrid search over batches of queries.
 
 A single question is a table of one row. Statistics of keyword search are those of
-the documents that are left after the filter. Query tables and their terms are joined
-like any table: which side is broadcast is up to the optimizer and its size limit.
+the documents that are left after the filter. Queries are a stated set: their terms and
+vectors go to the tasks, up to a stated number, beyond which they are joined.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,29 +22,116 @@ from pyspark.sql import window as W
 
 from siltstone.functions.numeric import bm25_idf, bm25_tf
 from siltstone.functions.text import BM25_STOPWORDS, TOKEN, bm25_tokens, word_set
-from siltstone.operators.joins import fuse_lists, fused_order, match_vocabulary
+from siltstone.operators.joins import fuse_lists, fused_order, match_vocabulary, surface_hits
 from siltstone.operators.windows import ranked, top_k
+from siltstone.session import written
 
 _TOKEN = re.compile(TOKEN)
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Row of each item of an array column without nulls, and the items."""
+    n = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(n)), n), column.flatten()
+
+
 def term_frequencies(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc, term, tf, length). Terms are counted within the row, before anything is shuffled."""
+    """(doc, length, term, tf). Terms are counted where their document is; nothing is shuffled."""
     tokens = docs.select(F.col(doc_id).alias("doc"), bm25_tokens(text).alias("t"))
-    return tokens.select("doc", F.size("t").alias("length"), F.explode("t").alias("term")).groupBy("doc", "length", "term").agg(F.count("*").alias("tf"))
 
+    def count(batches):
+        for rb in batches:
+            row, flat = _flat(rb.column(1))
+            coded = flat.dictionary_encode()
+            size = max(len(coded.dictionary), 1)
+            pair, tf = np.unique(row * size + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            at = pair // size
+            length = np.bincount(row, minlength=rb.num_rows).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([rb.column(0).take(pa.array(at)), pa.array(length[at]), coded.dictionary.take(pa.array(pair % size)), pa.array(tf)], names=["doc", "length", "term", "tf"])
+
+    return tokens.mapInArrow(count, f"doc {tokens.schema['doc'].dataType.simpleString()}, length int, term string, tf long")
+
+
+LISTED = 500_000  # pairs of question and term that travel to the tasks
 
-def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str, k: int = 10, k1: float = 1.5, b: float = 0.75) -> DataFrame:
+
+def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str, k: int = 10, k1: float = 1.5, b: float = 0.75, listed: int = LISTED) -> DataFrame:
     """Qid, doc, score, rank of the k best documents of each query with a score above 0.
 
-    Only occurrences of query terms are exploded. Repeated query terms count once;
-    ties go to the smaller document id.
+    Repeated query terms count once; ties go to the smaller document id. Texts are read
+    and split once: what is kept of a document is its length and the query terms in it,
+    and lengths and document frequencies come from that. Each task then scores its
+    documents and sends the k best of each query only (and what equals the k-th). A set of
+    queries with more than `listed` terms is joined instead, like any table.
     """
     terms = queries.select(F.col(query_id).alias("qid"), F.explode(F.array_distinct(bm25_tokens(query))).alias("term"))
+    pairs = terms.limit(listed + 1).toArrow()
+    if pairs.num_rows > listed:
+        return _bm25_joined(docs, terms, doc_id, text, k, k1, b)
+    spark = docs.sparkSession
+    words = pairs.column("term").combine_chunks().unique()
+    tokens = docs.select(F.col(doc_id).alias("doc"), bm25_tokens(text).alias("t"))
+    doc_type = tokens.schema["doc"].dataType.simpleString()
+
+    def narrow(batches):
+        for rb in batches:
+            row, flat = _flat(rb.column(1))
+            ids = pc.index_in(flat, value_set=words)
+            known = ids.is_valid().to_numpy(zero_copy_only=False)
+            kept = ids.drop_null().cast(pa.int32())
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row[known], minlength=rb.num_rows))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([rb.column(0), pc.list_value_length(rb.column(1)), pa.ListArray.from_arrays(pa.array(ends), kept)], names=["doc", "length", "ids"])
+
+    kept = written(tokens.mapInArrow(narrow, f"doc {doc_type}, length int, ids array<int>"), "terms")
+    total = kept.agg(F.count("*").alias("n"), F.avg("length").alias("avg_len")).first()
+    # one number for each listed term
+    df = np.zeros(len(words))
+    for r in kept.select(F.explode(F.array_distinct("ids")).alias("i")).groupBy("i").count().collect():
+        df[r["i"]] = r["count"]
+    average = total["avg_len"] or 0.0
+    idf = np.log((total["n"] - df + 0.5) / (df + 0.5) + 1)
+    qids = pairs.column("qid").combine_chunks().unique()
+    of_query = pc.index_in(pairs.column("qid").combine_chunks(), value_set=qids).to_numpy(zero_copy_only=False)
+    of_term = pc.index_in(pairs.column("term").combine_chunks(), value_set=words).to_numpy(zero_copy_only=False)
+    order = np.argsort(of_term, kind="stable")
+    asking, first = of_query[order].astype(np.int64), np.searchsorted(of_term[order], np.arange(len(words) + 1))
+
+    def score(batches):
+        step = max(1, min(2048, (4 << 20) // len(qids)))  # documents times queries that are scored at once
+        for whole in batches:
+            for a in range(0, whole.num_rows, step):
+                rb = whole.slice(a, step)
+                row, flat = _flat(rb.column(2))
+                if not len(row):
+                    continue
+                pair, tf = np.unique(row * len(words) + flat.to_numpy(zero_copy_only=False), return_counts=True)
+                at, term = pair // len(words), pair % len(words)
+                length = rb.column(1).to_numpy()[at]
+                w = idf[term] * (tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / (average + 1e-9)) + 1e-12))
+                n = first[term + 1] - first[term]
+                ends = np.cumsum(n)
+                place = np.repeat(first[term] - ends + n, n) + np.arange(ends[-1])
+                sums = np.bincount(asking[place] * rb.num_rows + np.repeat(at, n), np.repeat(w, n), len(qids) * rb.num_rows).reshape(len(qids), rb.num_rows)
+                i, j = np.nonzero((sums > 0) & (np.round(sums, 9) >= np.round(kth(sums, k), 9)))
+                yield pa.RecordBatch.from_arrays([qids.take(pa.array(i)), rb.column(0).take(pa.array(j)), pa.array(sums[i, j])], names=["qid", "doc", "score"])
+
+    schema = f"qid {terms.schema['qid'].dataType.simpleString()}, doc {doc_type}, score double"
+    return top_k(kept.mapInArrow(score, schema), ["qid"], [F.desc(F.round("score", 9)), "doc"], k) if len(words) else top_k(spark.createDataFrame([], schema), ["qid"], ["doc"], k)
+
+
+def kth(scores: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest of each row, as a column; the least where there are fewer."""
+    if scores.shape[1] <= k:
+        return scores.min(axis=1, keepdims=True)
+    return np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k][:, None]
+
+
+def _bm25_joined(docs: DataFrame, terms: DataFrame, doc_id: str, text: str, k: int, k1: float, b: float) -> DataFrame:
+    """bm25() for any number of queries: only occurrences of query terms are counted, and joined with the queries that ask for them."""
     wanted = terms.select("term").distinct()
     tokens = docs.select(F.col(doc_id).alias("doc"), bm25_tokens(text).alias("t")).withColumn("length", F.size("t"))
     total = tokens.agg(F.count("*").alias("n"), F.avg("length").alias("avg_len"))
-    tf = tokens.select("doc", "length", F.explode("t").alias("term")).join(wanted, "term").groupBy("doc", "length", "term").agg(F.count("*").alias("tf"))
+    tf = written(tokens.select("doc", "length", F.explode("t").alias("term")).join(wanted, "term").groupBy("doc", "length", "term").agg(F.count("*").alias("tf")), "terms")
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     weights = df.join(F.broadcast(total)).withColumn("idf", bm25_idf(F.col("n"), F.col("df")))
     hits = tf.join(weights, "term").withColumn("w", F.col("idf") * bm25_tf(F.col("tf"), F.col("length"), F.col("avg_len"), k1, b))
@@ -131,9 +220,8 @@ def fuse_scores(df: DataFrame, by: list[str], dense_score: str, ce_score: str |
 
 
 def lexical_overlap(query: str, text: str) -> Column:
-    """Stands in for a cross-encoder: share of the query's words in the text."""
-    q = word_set(query)
-    return F.when(F.size(q) > 0, F.size(F.array_intersect(q, word_set(text))) / F.size(q)).otherwise(0.0)
+    """Stands in for a cross-encoder: share of the query's words in the text; columns are word sets."""
+    return F.when(F.size(query) > 0, F.size(F.array_intersect(query, text)) / F.size(query)).otherwise(0.0)
 
 
 def model_scores(logits: np.ndarray) -> np.ndarray:
@@ -165,11 +253,17 @@ def format_hits(hits: DataFrame, rank: str, score: str, doc: str, heading: str,
     return hits.withColumn("line", F.concat(F.col(rank).cast("string"), F.lit(". ["), F.format_string("%.4f", F.col(score)), F.lit("] "), F.col(doc).cast("string"), head, F.lit(" | "), short))
 
 
-def hybrid(bm25_hits: DataFrame, dense_hits: DataFrame, contents: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str, candidates: int = 256, k: int = 8, rrf_k: float = 60.0, weights: tuple[float, float] = (2.0, 2.0), ce_weight: float = 0.5, score: Callable[[str, str], Column] = lexical_overlap) -> DataFrame:
-    """Both lists fused by rank, contents fetched, scored again and mixed: rrf * (1 - w) + min-max(score) * w."""
+def hybrid(bm25_hits: DataFrame, dense_hits: DataFrame, contents: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str, candidates: int = 256, k: int = 8, rrf_k: float = 60.0, weights: tuple[float, float] = (2.0, 2.0), ce_weight: float = 0.5, score: Callable[[str, str], Column] = lexical_overlap, prepare: Callable[[str], Column] | None = word_set) -> DataFrame:
+    """Both lists fused by rank, contents fetched, scored again and mixed: rrf * (1 - w) + min-max(score) * w.
+
+    prepare: what score() wants to see of a text or query, made once for each and not for
+    each pair; None for the text itself, as a cross-encoder wants it.
+    """
     fused = ranked(fuse_lists(bm25_hits, dense_hits, ["qid", "doc"], rrf_k, weights), ["qid"], [*fused_order(), "doc"], "_r").where(F.col("_r") <= candidates)
-    texts = contents.select(F.col(doc_id).alias("doc"), F.col(text).alias("_text"))
-    asked = queries.select(F.col(query_id).alias("qid"), F.col(query).alias("_query"))
+    shown = prepare or F.col
+    found = contents.join(fused.select(F.col("doc").alias(doc_id)).distinct(), doc_id, "left_semi")
+    texts = found.select(F.col(doc_id).alias("doc"), shown(text).alias("_text"))
+    asked = queries.select(F.col(query_id).alias("qid"), shown(query).alias("_query"))
     pairs = fused.join(texts, "doc").join(asked, "qid").withColumn("ce", score("_query", "_text"))
     mixed = pairs.withColumn("ce_norm", normalised(["qid"], "ce", "minmax", None)).withColumn("final_score", F.col("rrf") * (1 - ce_weight) + F.col("ce_norm") * ce_weight)
     best = top_k(mixed, ["qid"], [F.desc(F.round("final_score", 9)), F.col("_r")], k)
@@ -202,7 +296,7 @@ def rule_rerank(df: DataFrame, by: list[str], dense_score: str, sparse_score: st
 
 def expand_query(queries: DataFrame, query_id: str, query: str, surfaces: DataFrame, relations: DataFrame) -> DataFrame:
     """Qid and terms: surfaces of hit concepts and of related ones, and years of the query. surfaces: concept, surface; relations: concept, related."""
-    hits = match_vocabulary(queries.select(F.col(query_id).alias("qid"), F.col(query).alias("q")), surfaces, F.contains(F.lower("q"), F.lower("surface"))).select("qid", "concept")
+    hits = surface_hits(queries.select(F.col(query_id).alias("qid"), F.col(query).alias("q")), "q", surfaces, "surface").select("qid", "concept")
     near = hits.join(relations, "concept").select("qid", F.col("related").alias("concept"))
     terms = hits.unionByName(near).distinct().join(surfaces, "concept").select("qid", F.col("surface").alias("term"))
     years = queries.select(F.col(query_id).alias("qid"), F.explode(F.regexp_extract_all(query, F.lit(r"\b(20\d{2})\b"), 1)).alias("term"))

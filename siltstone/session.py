@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -36,3 +37,22 @@ def shared_dir(spark: SparkSession) -> str:
         base = "file://" + tempfile.mkdtemp(prefix="siltstone-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
+
+
+_WRITTEN: dict[int, list[str]] = {}
+
+
+def written(df: DataFrame, what: str) -> DataFrame:
+    """df, written to the shared folder and read again: several readers, one computation, which survives lost executors."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/siltstone-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{what}")
+    _WRITTEN.setdefault(id(spark), []).append(path)
+    return spark.read.schema(df.schema).parquet(f"{path}/{what}")
+
+
+def release_written(spark: SparkSession) -> None:
+    """Delete what written() has left; call when no result that reads it is needed any more."""
+    for path in _WRITTEN.pop(id(spark), []):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

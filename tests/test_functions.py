@@ -188,6 +188,32 @@ def test_bm25_statistics_follow_the_filter(spark):
     assert {r.doc for r in all_} == {r.doc for r in some} == {1, 2} and all_[0].score != some[0].score
 
 
+def test_bm25_listed_and_joined_agree(spark):
+    import random
+
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(40)] + ["the", "50%"]
+    docs = spark.createDataFrame([(i, " ".join(r.choice(words) for _ in range(r.randint(0, 60)))) for i in range(300)] + [(900, None), (901, "")], "d int, t string")
+    q = spark.createDataFrame([(f"q{i}", " ".join(r.choice(words) for _ in range(4))) for i in range(30)] + [("none", None), ("stop", "the")], "q string, x string")
+    got = [sorted((x.qid, x.rank, x.doc, round(x.score, 8)) for x in S.bm25(docs, q, "d", "t", "q", "x", 7, listed=n).collect()) for n in (10_000, 5)]
+    assert got[0] == got[1] and len(got[0]) == 210
+    assert S.bm25(docs.limit(0), q, "d", "t", "q", "x").count() == S.bm25(docs, q.limit(0), "d", "t", "q", "x").count() == 0
+
+
+def test_surfaces_by_automaton(spark):
+    import random
+
+    r = random.Random(5)
+    texts = [(i, "".join(r.choice("abC é") for _ in range(r.randint(0, 30)))) for i in range(200)] + [(900, None), (901, "")]
+    surfaces = [(i, "".join(r.choice("aBcÉ ") for _ in range(r.randint(1, 4)))) for i in range(60)] + [(60, None), (61, "ab"), (62, "ab"), (63, "")]
+    want = sorted((i, j) for i, t in texts if t is not None for j, s in surfaces if s is not None and s.lower() in t.lower())
+    from siltstone.operators.joins import surface_hits
+
+    for rows in (1000, 7):
+        got = surface_hits(spark.createDataFrame(texts, "i int, t string"), "t", spark.createDataFrame(surfaces, "j int, s string"), "s", rows)
+        assert sorted((x.i, x.j) for x in got.collect()) == want
+
+
 def test_dense_ties_go_to_the_smaller_id(spark):
     v = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(5)], "i int, v array<float>")
     q = spark.createDataFrame([(1, [1.0, 0.0])], "q int, w array<float>")
