@@ -2,9 +2,10 @@
 
 Suffixes start at anchors (see `_repeats`). Prefixes of one word, or of two, three
 and more where shorter ones are too frequent, split them into groups that fit a
-task's memory. Each group builds its suffix tree; an internal node at least as
-deep as what a window has to the right of its anchor stands for a repeat, and
-with the like node of the reversed words to the left it stands for the window.
+task's memory. Each group builds its suffix tree; its internal nodes that are deep
+enough are repeats, as long as their leaves share words. The node that a suffix
+crosses at the depth of what a window has to the right of its anchor, with the like
+node of the reversed words to the left, stands for all places of that window.
 
 Results for odd input: a null text has no words; a null id counts as the smallest
 and stays null; rows with the same id never remove words from each other, rows
@@ -28,23 +29,42 @@ SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 class SuffixTree:
     """Suffix tree of the rows of a matrix of symbols, each row a suffix.
 
-    The leaves in order and the depth of the lowest node above each two
-    neighbours hold the whole tree: an internal node of depth d is a maximal
-    run of leaves with all depths between them d or more.
+    Suffixes are put in order; where neighbours part is the depth of the lowest node above
+    both. From that the internal nodes follow in one pass with a stack: each has a depth,
+    the depth of its parent, and the leaves below it, which are a run. A node is a repeat
+    of its depth in symbols, the longest that all its leaves share.
     """
 
-    def __init__(self, rows: np.ndarray) -> None:
+    def __init__(self, rows: np.ndarray, least: int = 0) -> None:
+        """least: shallower nodes are not kept, as no window is decided by them."""
         n, width = rows.shape
         as_bytes = np.ascontiguousarray((rows.astype(np.int64) + 1).astype(">u4")).view(f"V{4 * width}").ravel() if width else np.zeros(n, "V1")
         self.leaves = np.argsort(as_bytes, kind="stable")
         ordered = rows[self.leaves]
         differ = ordered[1:] != ordered[:-1]
-        self.depth = np.where(differ.any(axis=1), differ.argmax(axis=1), width) if width else np.zeros(max(n - 1, 0), np.int64)
+        parting = np.where(differ.any(axis=1), differ.argmax(axis=1), width) if width else np.zeros(max(n - 1, 0), np.int64)
+        found: list[tuple[int, int, int, int]] = []
+        path: list[tuple[int, int]] = []  # depth and first leaf of the open nodes, from the root down
+        for leaf, d in enumerate([*parting.tolist(), -1]):
+            first = leaf
+            while path and path[-1][0] > d:
+                depth, first = path.pop()
+                found.append((depth, max(d, path[-1][0] if path else -1), first, leaf + 1))
+            if d >= least and (not path or path[-1][0] < d):
+                path.append((d, first))
+        self.depth, self.above, self.first, self.end = np.array(found, np.int64).reshape(-1, 4).T
 
     def nodes(self, d: int) -> np.ndarray:
-        """For each row the node that its path crosses at depth d."""
-        out = np.empty(len(self.leaves), np.int64)
-        out[self.leaves] = np.concatenate([[0], np.cumsum(self.depth < d)]) if len(out) else 0
+        """For each row the number of the node that its path crosses at depth d, its own number if it shares so much with none."""
+        n = len(self.leaves)
+        of_leaf = np.arange(n, 2 * n)
+        crossed = np.flatnonzero((self.depth >= d) & (self.above < d))
+        size = self.end[crossed] - self.first[crossed]
+        ends = np.cumsum(size)
+        places = np.repeat(self.first[crossed] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+        of_leaf[places] = np.repeat(np.arange(len(crossed)), size)
+        out = np.empty(n, np.int64)
+        out[self.leaves] = of_leaf
         return out
 
 
@@ -57,10 +77,10 @@ def word_classes(window: int, k: int):
         for i, (c, n) in enumerate(zip(content, left.tolist(), strict=True)):
             words = [codes.setdefault(w, len(codes)) for w in c.split(b" ")]
             rows[i, hi - n : hi - n + len(words)] = words
-        ahead, back = SuffixTree(rows[:, hi:]), SuffixTree(rows[:, :hi][:, ::-1])
+        ahead, back = SuffixTree(rows[:, hi:], window - hi), SuffixTree(rows[:, :hi][:, ::-1])
         for shift in range(lo, hi + 1):
             ok = np.flatnonzero((left >= shift) & (right >= window - shift))
-            yield ok, back.nodes(shift)[ok] * len(rows) + ahead.nodes(window - shift)[ok]
+            yield ok, back.nodes(shift)[ok] * 2 * len(rows) + ahead.nodes(window - shift)[ok]
 
     return classes
 

@@ -190,6 +190,58 @@ def test_naming_a_group_says_nothing():
     assert gap(toxicity.fit(texts, y, penalty=50)) < 0.3 * gap(toxicity.fit(texts, y, penalty=0))
 
 
+def test_default_penalty_lowers_false_positives():
+    """A group that toxic texts often name: neutral texts that name it are flagged without the penalty, not with the default one."""
+    def noisy(n, seed):
+        r = random.Random(seed)
+        rows, labels = [], []
+        for _ in range(n):
+            bad = r.random() < 0.25
+            t = [f"word{r.randrange(200)}" for _ in range(30)]
+            if bad and r.random() < 0.6:
+                t.insert(3, "stupidhead")
+            if r.random() < (0.8 if bad else 0.08):
+                t.insert(0, "women")
+            rows.append(" ".join(t).encode())
+            labels.append(float(bad))
+        return rows, np.array(labels)
+
+    texts, y = noisy(2000, 1)
+    r = random.Random(5)
+    neutral = [("women " + " ".join(f"word{r.randrange(200)}" for _ in range(30))).encode() for _ in range(400)]
+    flagged = lambda penalty: (toxicity.fit(texts, y, penalty=penalty).score(neutral) >= toxicity.THRESHOLD).mean()
+    assert flagged(0) > 0.9 and flagged(toxicity.PENALTY) < 0.1
+
+
+def scores_by_hand(model, texts):
+    """The same model, read word by word."""
+    weight = dict(zip(model.hashes.tolist(), model.weights.tolist(), strict=True))
+    out = []
+    for t in texts:
+        words = (t or "").encode().translate(toxicity._LETTERS).split()
+        known = set()
+        for w in set(words):
+            h = toxicity.features([w])[1]
+            known.update(int(x) for x in h if int(x) in weight)
+        out.append(1 / (1 + np.exp(-(model.bias + sum(weight[h] for h in known)))))
+    return out
+
+
+def test_scores_against_a_second_reading(spark):
+    rows, labels = toxic_corpus(300)
+    texts = [t for _, t, _ in rows] + [None, "", "x " * 300_000 + "stupidhead", "STUPIDHEAD!stupidhead"]
+    model = toxicity.fit([t.encode() for _, t, _ in rows], np.array([b for _, b in labels], float))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score_documents(df, model).collect()}
+    assert len(model.hashes) and np.allclose([got[i] for i in range(len(texts))], scores_by_hand(model, texts))
+
+
+def test_a_score_at_the_threshold_is_toxic(spark):
+    at = float(np.log(toxicity.THRESHOLD / (1 - toxicity.THRESHOLD)))
+    scores = {b: toxicity.make_model(np.empty(0, np.uint64), np.empty(0), b).score([b"x"])[0] for b in (at - 1e-9, at + 1e-9)}
+    assert [s >= toxicity.THRESHOLD for s in scores.values()] == [False, True]
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame(ODD, SCHEMA)
     for labels in ([], [(902, 1)]):
