@@ -83,12 +83,9 @@ def discard(*frames: DataFrame) -> None:
             _delete(df.sparkSession, lambda m: m[0] == path)  # noqa: B023
 
 
-def release_unread(docs: DataFrame, owner: str) -> None:
-    """Delete what belongs to owner, but for what docs reads."""
-    spark = docs.sparkSession
-    if any(m[2] == owner for m in _MADE.get(id(spark), [])):
-        read = {part for f in docs.inputFiles() for part in f.split("/") if part.startswith("siltstone-")}
-        _delete(spark, lambda m: m[2] == owner and m[0].rsplit("/", 1)[1] not in read)
+def release_owned(spark: SparkSession, owner: str) -> None:
+    """Delete what belongs to owner; no frame that reads it may be needed any more."""
+    _delete(spark, lambda m: m[2] == owner)
 
 
 def release(spark: SparkSession) -> None:
