@@ -12,12 +12,12 @@ of each other; an empty table gives no rows; columns besides doc_id and text rid
 
 from __future__ import annotations
 
-from functools import wraps
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm._scratch import discard, owned_by, persist, release_unread
+from siltstone.llm._scratch import discard, owned_by, persist, release_owned
 from siltstone.llm.bpe import decode_documents, encode_documents
 from siltstone.llm.decontamination import drop_contaminated
 from siltstone.llm.pii import replace_pii, session_key
@@ -26,43 +26,26 @@ from siltstone.llm.simhash_similar import keep_one_of_similar
 from siltstone.llm.toxicity import drop_toxic
 
 
-def stage(f):
-    """f, after scratch data of stages before it is deleted, but for what its docs still read."""
-
-    @wraps(f)
-    def staged(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release_unread(docs, "pipeline")
-        with owned_by("pipeline"):
-            return f(spark, docs, sf_dir)
-
-    return staged
-
-
-@stage
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that do not score as toxic."""
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
-@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest id."""
     return keep_one_of_similar(docs)
 
 
-@stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than one word in twenty lies in a benchmark window."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-@stage
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced; n_chars follows the text."""
     return replace_pii(docs, session_key(spark)).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
-@stage
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token ids and the text decoded from them."""
     path = vocabulary_path()
@@ -74,10 +57,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on documents, each written to the shared folder before the next, which then replaces it."""
+    """All stages on documents, each written to the shared folder before the next, which then replaces it and its scratch data."""
     docs = table(spark, sf_dir, "documents")
     for name, f in STAGES[:-1]:
-        kept = persist(f(spark, docs, sf_dir), name)
+        owner = f"{name}-{uuid.uuid4().hex}"
+        with owned_by(owner):
+            out = f(spark, docs, sf_dir)
+        kept = persist(out, name)
+        release_owned(spark, owner)
         discard(docs)
         docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
