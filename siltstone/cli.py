@@ -1,4 +1,4 @@
-"""Command line: the stages, one by one or in a row, questions over an index, and facts to a store."""
+"""Command line: the stages, one by one (V07) or in a row (V06), questions over an index, both legs alone (V11), and facts to a store."""
 
 from __future__ import annotations
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators import entities as E
+from siltstone.operators.chunking import document_lines
 from siltstone.plans.catalogue import query
 from siltstone.plans.table_queries import table
 from siltstone.plans.text_queries import _EDGES, _MENTIONS, _edges, _mentions
@@ -80,6 +81,12 @@ def s11_whole_texts(spark, sf):
     return out.select(F.regexp_extract("path", r"k=(\d+)", 1).cast("int").alias("k"), "is_xml", F.length(F.regexp_replace("text", r"^<[^>]*>\s|\s$", "")).cast("long").alias("n"))
 
 
+@query("SELECT doc_id, count(*) AS n_lines, sum(length(t)) AS letters FROM (SELECT doc_id, t, row_number() OVER (PARTITION BY doc_id, trim(t, ' ')) AS rn FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS t FROM documents) WHERE trim(t, ' ') <> '') WHERE rn = 1 GROUP BY 1")
+def s12_text_lines(spark, sf):
+    lines = document_lines(table(spark, sf, "documents"), "doc_id", "text")
+    return lines.groupBy(F.col("doc").alias("doc_id")).agg(F.count("*").alias("n_lines"), F.sum(F.length("text")).alias("letters"))
+
+
 @query("SELECT CASE WHEN n_nationkey % 5 > 0 THEN n_nationkey END AS k, n_nationkey % 5 = 0 AS bad FROM nation")
 def s13_bad_lines(spark, sf):
     path = _place(spark, "lines")

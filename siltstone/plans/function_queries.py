@@ -308,6 +308,6 @@ WITH d AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '\\s+'),
 h AS (SELECT *, list_transform(w, lambda x: CASE WHEN list_has_any(regexp_extract_all(lower(x), '[A-Za-z0-9%$€¥£.\\-]+'), ['thion', 'ening']) THEN 1 ELSE 0 END) AS h FROM d),
 b AS (SELECT *, {_BEST} AS s FROM h)
 SELECT doc_id, md5(CASE WHEN length(text) <= 500 THEN text ELSE substr(array_to_string(list_slice(w, list_position(s, list_max(s)), list_position(s, list_max(s)) + 79), ' '), 1, 500) END) AS m FROM b""")
-def w11_best_snippet(spark, sf):
+def w11_f39_best_snippet(spark, sf):
     d = table(spark, sf, "documents").withColumn("q", F.lit("thion ening and"))
     return d.select("doc_id", F.md5(S.best_snippet("text", "q")).alias("m"))

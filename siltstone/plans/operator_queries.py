@@ -186,6 +186,12 @@ def w05_overlap(spark, sf):
     return c.select(F.col("doc").alias("p_partkey"), "chunk_index", F.when(F.col("chunk_index") > 0, F.size(F.split(F.split("content", "\n")[1], " "))).otherwise(0).alias("overlap"))
 
 
+@query(f"{_SHOW} ({dense_sql('SELECT * FROM embeddings WHERE label IN (1, 2)', 5)})")
+def o02_dense_topk(spark, sf):
+    """The filter comes before the best are chosen, so none is lost to it."""
+    return _show(_dense(_query_vectors(spark, sf), table(spark, sf, "embeddings").where("label IN (1, 2)"), 5))
+
+
 @query("SELECT o_orderkey, rank FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY score DESC, r) AS rank FROM (SELECT *, (o_orderkey % 17) * 1.0 / r AS score FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r <= 12)) WHERE rank <= 3")
 def o03_two_level_limit(spark, sf):
     first = Wn.ranked(table(spark, sf, "orders"), ["o_custkey"], [F.desc("o_totalprice"), "o_orderkey"], "r").where("r <= 12")
@@ -329,6 +335,22 @@ def r02_s26_index_rows(spark, sf):
     return index.groupBy("id", "title", "text_hash", "snippet").agg(F.count("*").cast("int").alias("n"))
 
 
+_LEN, _ES = "length(text)", "(length(text) - length(replace(text, 'e', '')))"
+
+
+@query(f"SELECT doc_id, list_transform([{_LEN}, {_ES}, 1], lambda x: round(x / sqrt({_LEN} * {_LEN} + {_ES} * {_ES} + 1.0), 4)) AS v FROM documents")
+def r01_embed_texts(spark, sf):
+    """With an encoder that is passed in, of unit length; it sees texts in batches."""
+    import numpy as np
+
+    def encoder(texts: list[str], size: int) -> np.ndarray:
+        v = np.array([[len(t), t.count("e"), 1.0] for t in texts]).reshape(-1, size)
+        return (v / np.sqrt((v * v).sum(axis=1, keepdims=True))).astype(np.float32)
+
+    d = S.embed_texts(table(spark, sf, "documents"), "text", 3, encoder)
+    return d.select("doc_id", F.transform("embedding", lambda x: F.round(x.cast("double"), 4)).alias("v"))
+
+
 @query("SELECT p_partkey, round(1 / (1 + exp(length(p_name) - length(p_brand))), 9) AS ce FROM part")
 def r07_cross_encoder(spark, sf):
     import numpy as np
