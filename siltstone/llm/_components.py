@@ -9,31 +9,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm._scratch import discard, persist
+from siltstone.llm._scratch import discard, persist, trimmed
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) for every node with an edge; root is the smallest node of its component.
 
     Large-star and small-star steps in turn until no edge changes. Each round is
-    written to the shared folder, so that its lineage does not grow. So is the least
-    neighbour of each node: a join of two plain shuffles is one whose hot keys adaptive
-    execution can split, so a node with very many neighbours is not one task's. Only a
-    count and a checksum reach the driver.
+    written to the shared folder, so that its lineage does not grow. Only a count
+    and a checksum reach the driver.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
     e = persist(e, "edges")
     before = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = persist(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "low")
+        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        down = persist(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "down")
+        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         last = e
         e = persist(small.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-        discard(last, low, down)
+        discard(last)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == before or not now[0]:
             break
@@ -124,4 +122,4 @@ def link_within_groups(rows: DataFrame, key: list[str], link: Callable, node: st
             yield pa.RecordBatch.from_arrays([pa.array(node_of[off]), pa.array(node_of[label[off]])], names=["a", "b"])
 
     dealt = rows.repartition(*key).sortWithinPartitions(*key)
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(trimmed(run), "a long, b long")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm import _hashing as H
-from siltstone.llm._scratch import compress, expand, pack, persist, shuffle_width, unpack, with_replies
+from siltstone.llm._scratch import compress, expand, pack, persist, shuffle_width, trimmed, unpack, with_replies
 
 U = np.uint64
 KEY_BITS = 48  # of an anchor's hash that travel for pruning
@@ -105,7 +105,8 @@ def anchors(rule: Rule, b: Block) -> tuple[np.ndarray, np.ndarray]:
         valid[:n] = b.doc[a : a + n] == b.doc[a + rule.window - 1 : z]
         p = H.winnow(grams, valid, rule.slack + 1)
         places.append(p + a)
-        keys.append(grams[p] >> U(64 - KEY_BITS))
+        # winnowing prefers small hashes; mixed once more, keys are even over the ranges they are dealt by
+        keys.append(H.mix(grams[p]) >> U(64 - KEY_BITS))
     return np.concatenate(places), np.concatenate(keys)
 
 
@@ -287,7 +288,7 @@ def plan_prefixes(found: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
     """
     width = shuffle_width(found.sparkSession)
     counts = found.where("kind = 'counts'").select(F.pmod(F.hash("block"), F.lit(width)).alias("g"), "blob")
-    parts = counts.groupBy("g").applyInArrow(add_counts, "blob binary").withColumn("g", F.lit(0)).groupBy("g").applyInArrow(add_counts, "blob binary").first()
+    parts = counts.groupBy("g").applyInArrow(trimmed(add_counts), "blob binary").withColumn("g", F.lit(0)).groupBy("g").applyInArrow(trimmed(add_counts), "blob binary").first()
     if parts is None:
         return lambda codes: codes[:, 0]
     one, two, three = (np.frombuffer(x, np.int64) for x in get(parts["blob"]))
@@ -378,7 +379,7 @@ def make_plan(rule: Rule, found: DataFrame) -> Plan:
     total = sent.agg(F.sum("n")).first()[0] or 0
     plan = Plan(rule, plan_prefixes(found) if rule.words else None, max(1, -(-2 * total // GROUP_BYTES)), np.empty(0, np.int64), {})
     while True:
-        weights = sent.select("blob").mapInArrow(weigh(plan), "code long, single boolean, n long, least long, times long").groupBy("code", "single").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.sum("times").alias("times"))
+        weights = sent.select("blob").mapInArrow(trimmed(weigh(plan)), "code long, single boolean, n long, least long, times long").groupBy("code", "single").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.sum("times").alias("times"))
         more = weights.where(F.col("n") > GROUP_BYTES).collect()
         split = [r["code"] for r in more if not r["single"]]
         if not split:
@@ -545,12 +546,12 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, rule: Rule, clas
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     density = (2 / (rule.slack + 2)) / (6 if rule.words else 1)
     bits = max(6, int(np.ceil(np.log2(max(1.0, total * density / 1.5e6)))))
-    keys = blocks.mapInArrow(send_keys(rule, bits), "part int, block long, blob binary")
-    shared = keys.groupBy("part").applyInArrow(find_shared, "block long, blob binary")
-    found = persist(with_replies(blocks, shared).mapInArrow(send_contexts(rule), "kind string, block long, n long, blob binary"), "contexts")
+    keys = blocks.mapInArrow(trimmed(send_keys(rule, bits)), "part int, block long, blob binary")
+    shared = keys.groupBy("part").applyInArrow(trimmed(find_shared), "block long, blob binary")
+    found = persist(with_replies(blocks, shared).mapInArrow(trimmed(send_contexts(rule)), "kind string, block long, n long, blob binary"), "contexts")
     plan = make_plan(rule, found)
-    sent = found.where("kind = 'contexts'").select("block", "blob").mapInArrow(deal(plan), "dest long, block long, lo int, hi int, blob binary")
-    answers = sent.where(F.col("dest") != SETTLED).groupBy("dest").applyInArrow(judge(rule, classes), "block long, blob binary")
+    sent = found.where("kind = 'contexts'").select("block", "blob").mapInArrow(trimmed(deal(plan)), "dest long, block long, lo int, hi int, blob binary")
+    answers = sent.where(F.col("dest") != SETTLED).groupBy("dest").applyInArrow(trimmed(judge(rule, classes)), "block long, blob binary")
     if plan.best:
         answers = answers.unionByName(sent.where(F.col("dest") == SETTLED).select("block", "blob"))
     said = found.where("kind = 'state'").select("block", "kind", "blob").unionByName(answers.withColumn("kind", F.lit("answer")))
@@ -561,4 +562,4 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, rule: Rule, clas
                 b = read_block(rule, *unpack(ids, lens, body))
                 yield from finish(b, covered(starts_of(rule, b, said), rule.window))
 
-    return with_replies(blocks, said).mapInArrow(run, schema)
+    return with_replies(blocks, said).mapInArrow(trimmed(run), schema)

@@ -7,9 +7,11 @@ about a block can be joined back to it without moving the text again.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from contextlib import contextmanager
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -101,6 +103,35 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(4 << 20))
 
 
+@lru_cache(maxsize=1)
+def _libc():
+    libc = ctypes.CDLL(None)
+    return libc if hasattr(libc, "malloc_trim") else None
+
+
+def trimmed(f):
+    """f over batches or a table; then memory that is free goes back to the system, which a worker that waits would keep."""
+
+    def give_back() -> None:
+        pa.default_memory_pool().release_unused()
+        if _libc():
+            _libc().malloc_trim(0)
+
+    @wraps(f)
+    def run(data):
+        if isinstance(data, pa.Table):
+            out = f(data)
+            give_back()
+            return out
+        return over(data)
+
+    def over(batches):
+        yield from f(batches)
+        give_back()
+
+    return run
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -152,7 +183,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_B
             row = (first + seq, len(ids), int(lens.sum()), ids.tobytes(), lens.tobytes(), compress(b"".join(texts)))
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=[c.split()[0] for c in BLOCK_SCHEMA.split(", ")])
 
-    packed = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, BLOCK_SCHEMA)
+    packed = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(trimmed(run), BLOCK_SCHEMA)
     return bucketed(packed)
 
 
@@ -181,7 +212,7 @@ def pack_rows(docs: DataFrame, text_col: str, block_bytes: int = BLOCK_BYTES) ->
             yield pa.RecordBatch.from_arrays([pa.array([first + seq]), pa.array([rows.num_rows], pa.int32()), pa.array([compress(sink.getvalue().to_pybytes())], pa.binary())], names=["block", "n_docs", "body"])
             seq += 1
 
-    return bucketed(docs.mapInArrow(run, "block long, n_docs int, body binary"))
+    return bucketed(docs.mapInArrow(trimmed(run), "block long, n_docs int, body binary"))
 
 
 def steps(batches, at: int, step_bytes: int):

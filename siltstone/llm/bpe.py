@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm._repeats import batch, get, put, split_contents
-from siltstone.llm._scratch import ids_column, pack, unpack, with_replies
+from siltstone.llm._scratch import ids_column, pack, trimmed, unpack, with_replies
 
 #: The pattern of byte-level pre-tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -194,8 +194,8 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_i
     blocks = pack(docs, id_col, text_col, block_bytes)
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     parts = max(8, -(-total // (24 << 20)))
-    asked = blocks.mapInArrow(ask(vocabulary_path, parts), "part int, block long, blob binary")
-    told = asked.groupBy("part").applyInArrow(tell(vocabulary_path), "block long, part int, blob binary")
+    asked = blocks.mapInArrow(trimmed(ask(vocabulary_path, parts)), "part int, block long, blob binary")
+    told = asked.groupBy("part").applyInArrow(trimmed(tell(vocabulary_path)), "block long, part int, blob binary")
 
     def run(batches):
         v = vocabulary(vocabulary_path)
@@ -216,7 +216,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_i
                     offsets = ends[upto - upto[0]].astype(np.int32)
                     yield pa.RecordBatch.from_arrays([ids_column(np.frombuffer(ids, np.int64)[a : a + 256]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.astype(np.int32)))], names=["doc_id", "ids"])
 
-    return with_replies(blocks, told).mapInArrow(run, "doc_id long, ids array<int>")
+    return with_replies(blocks, told).mapInArrow(trimmed(run), "doc_id long, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
@@ -241,4 +241,4 @@ def decode_documents(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
                 texts = [t.decode("utf-8", "replace") for t in joined.to_pylist()]
                 yield pa.RecordBatch.from_arrays([rb.column(0), ids, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(trimmed(run), "doc_id long, ids array<int>, text string")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm import _hashing as H
-from siltstone.llm._scratch import chunks, ids_column, pack, pack_rows, persist, rows_of, small_batches, unpack, with_replies
+from siltstone.llm._scratch import chunks, ids_column, pack, pack_rows, persist, rows_of, small_batches, trimmed, unpack, with_replies
 
 U = np.uint64
 WINDOW = 13
@@ -117,7 +117,7 @@ def join_fingerprints(blocks: DataFrame, texts_of: Callable[[dict], list[bytes]]
                     u = np.unique(h)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), size, np.int32)), pa.array(u.view(np.int64)), pa.array(np.full(len(u), item, np.int64))], names=["size", "hash", "item"])
 
-    prints = persist(numbered.select("item", "text").mapInArrow(of_items, "size int, hash long, item long"), "prints")
+    prints = persist(numbered.select("item", "text").mapInArrow(trimmed(of_items), "size int, hash long, item long"), "prints")
     sizes = sorted(r["size"] for r in prints.select("size").distinct().collect())  # at most `window`
 
     def of_blocks(batches):
@@ -129,7 +129,7 @@ def join_fingerprints(blocks: DataFrame, texts_of: Callable[[dict], list[bytes]]
                     u = np.unique(h)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), size, np.int32)), pa.array(u.view(np.int64)), pa.array(np.full(len(u), row["block"], np.int64))], names=["size", "hash", "block"])
 
-    asked = blocks.select("block", *columns).mapInArrow(of_blocks, "size int, hash long, block long")
+    asked = blocks.select("block", *columns).mapInArrow(trimmed(of_blocks), "size int, hash long, block long")
     met = asked.join(prints, ["size", "hash"]).select("block", "item").distinct()
     return with_replies(blocks.select("block", *columns), met.join(numbered, "item").select("block", "id", "text"))
 
@@ -216,7 +216,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             for ids, texts in chunks(batches, 1 << 20):
                 yield judged(ids, texts, index.value)
 
-        return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, SCHEMA)
+        return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(trimmed(run), SCHEMA)
 
     def run_blocks(batches):
         for rb in batches:
@@ -224,7 +224,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 yield judged(*unpack(row["ids"], row["lens"], row["body"]), index_of(row["said"], window, k))
 
     columns = ["ids", "lens", "body"]
-    return join_fingerprints(pack(docs, id_col, text_col, BLOCK_BYTES), lambda row: unpack(*(row[c] for c in columns))[1], columns, listed, window, k).mapInArrow(run_blocks, SCHEMA)
+    return join_fingerprints(pack(docs, id_col, text_col, BLOCK_BYTES), lambda row: unpack(*(row[c] for c in columns))[1], columns, listed, window, k).mapInArrow(trimmed(run_blocks), SCHEMA)
 
 
 def filter_rows(docs: DataFrame, text_col: str, keep: Callable[[list[bytes]], np.ndarray], step_bytes: int = 1 << 19) -> DataFrame:
@@ -242,7 +242,7 @@ def filter_rows(docs: DataFrame, text_col: str, keep: Callable[[list[bytes]], np
                 texts = [t or b"" for t in part.column(at).cast(pa.binary()).to_pylist()]
                 yield part.filter(pa.array(keep(texts)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, k: int = K, index_bytes: int = INDEX_BYTES) -> DataFrame:
@@ -271,4 +271,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                 yield from rows.filter(pa.array(keep(texts_in(rows), index_of(row["said"], window, k)))).to_batches()
 
     joined = join_fingerprints(pack_rows(docs, text_col, BLOCK_BYTES), lambda row: texts_in(rows_of(row["body"])), ["body"], listed, window, k)
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(trimmed(run), docs.schema)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import _hashing as H
 from siltstone.llm._components import connected_components, link_within_groups, split_groups
-from siltstone.llm._scratch import chunks, ids_column, persist, small_batches
+from siltstone.llm._scratch import chunks, ids_column, persist, small_batches, trimmed
 
 U = np.uint64
 ALL = U(2**64 - 1)
@@ -183,7 +183,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
         for ids, texts in chunks(batches, 1 << 20):
             yield pa.RecordBatch.from_arrays([ids_column(ids), pa.array(fingerprints(texts, shingle).view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(trimmed(run), "doc_id long, fp long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, shingle: int = 3) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import _hashing as H
 from siltstone.llm._components import connected_components, link_within_groups, split_groups
-from siltstone.llm._scratch import discard, pack_rows, persist, rows_of, with_replies
+from siltstone.llm._scratch import discard, pack_rows, persist, rows_of, trimmed, with_replies
 from siltstone.llm.simhash import link as near_by_bits
 from siltstone.llm.simhash import majority
 
@@ -43,7 +43,8 @@ RADIUS = 30
 AGREE = 0.8485  # share of bits that sets at a Jaccard similarity of 0.8 have in common
 MISS = 0.01  # of pairs at the threshold, were all bits independent
 SLICE = 2048
-SET_SLICE = 1 << 20  # shingles of a candidate group that are compared at once
+SET_SLICE = 1 << 19  # shingles of a candidate group that are compared at once
+FEW_SETS = 256  # rows of sets, whole groups at least, that a task holds
 STEP = 1 << 20
 SPREAD = np.random.default_rng(42).integers(0, 2**64, WORDS, U)
 PRINTS = [f"f{i}" for i in range(WORDS)]
@@ -163,7 +164,7 @@ def similar_rows(blocks: DataFrame, id_at: int, text_at: int, shingle: int = 5,
                         names=["block", "row", "id", "node", "size", *PRINTS],
                     )
 
-    signed = persist(blocks.select("block", "body").mapInArrow(sign, "block long, row int, id long, node long, size long, " + ", ".join(f"{f} long" for f in PRINTS)), "signed")
+    signed = persist(blocks.select("block", "body").mapInArrow(trimmed(sign), "block long, row int, id long, node long, size long, " + ", ".join(f"{f} long" for f in PRINTS)), "signed")
     sets = persist(signed.where("node <> 0").groupBy("node").agg(F.min(F.struct("block", "row")).alias("at"), F.first("size").alias("size"), *(F.first(f).alias(f) for f in PRINTS)), "sets")
     bits, tables = table_shape(sets.count())
     rng = np.random.default_rng(42)
@@ -179,7 +180,7 @@ def similar_rows(blocks: DataFrame, id_at: int, text_at: int, shingle: int = 5,
                 key = bit[:, chosen].astype(np.int64) @ worth + (np.arange(tables, dtype=np.int64) << bits)
                 yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), *(pa.array(np.repeat(rb.column(c).to_numpy(), tables)) for c in ("node", *PRINTS[:2]))], names=["g", "node", *PRINTS[:2]])
 
-    met = sets.select("node", *PRINTS).mapInArrow(buckets, "g long, node long, f0 long, f1 long")
+    met = sets.select("node", *PRINTS).mapInArrow(trimmed(buckets), "g long, node long, f0 long, f1 long")
     near = link_within_groups(split_groups(met, "g", F.xxhash64("node"), SLICE), ["g", "lo", "hi"], near_by_bits(RADIUS, tuple(PRINTS[:2])), "node")
     groups = persist(connected_components(near, "a", "b").withColumnRenamed("root", "g"), "groups")
     asked = persist(groups.join(sets.select("node", "at", "size"), "node").select("node", "g", "size", F.col("at.block").alias("block"), F.col("at.row").alias("row")), "asked")
@@ -197,9 +198,9 @@ def similar_rows(blocks: DataFrame, id_at: int, text_at: int, shingle: int = 5,
                         ask = [wanted[first + i] for i in mine]
                         yield pa.RecordBatch.from_arrays([pa.array([x["node"] for x in ask], pa.int64()), pa.array([x["g"] for x in ask], pa.int64()), pa.array([x["size"] for x in ask], pa.int64()), pa.array([h[a:z].tobytes() for a, z in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], names=["node", "g", "size", "hashes"])
 
-    held = with_replies(blocks.select("block", "body"), asked).mapInArrow(collect, "node long, g long, size long, hashes binary")
+    held = with_replies(blocks.select("block", "body"), asked).mapInArrow(trimmed(collect), "node long, g long, size long, hashes binary")
     held = persist(held, "hashes")
-    edges = link_within_groups(split_groups(held, "g", F.xxhash64("node"), SET_SLICE, F.col("size")), ["g", "lo", "hi"], link_sets(similarity), "node", 2000)
+    edges = link_within_groups(split_groups(held, "g", F.xxhash64("node"), SET_SLICE, F.col("size")), ["g", "lo", "hi"], link_sets(similarity), "node", FEW_SETS)
     roots = connected_components(edges, "a", "b").withColumnRenamed("node", "_node")
     out = persist(signed.select("block", "row", "id", "node").join(roots, F.col("node") == F.col("_node"), "left").select("block", "row", "id", "node", F.coalesce("root", "node").alias("root")), "similar")
     discard(signed, sets, groups, asked, held)
@@ -223,4 +224,4 @@ def keep_one_of_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 if said:
                     yield from rows_of(body).take(sorted(x["row"] for x in said)).to_batches()
 
-    return with_replies(blocks.select("block", "body"), kept).mapInArrow(run, docs.schema)
+    return with_replies(blocks.select("block", "body"), kept).mapInArrow(trimmed(run), docs.schema)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import _hashing as H
 from siltstone.llm._repeats import get, put
-from siltstone.llm._scratch import chunks, ids_column, persist, small_batches
+from siltstone.llm._scratch import chunks, ids_column, persist, small_batches, trimmed
 from siltstone.llm.decontamination import filter_rows
 
 U = np.uint64
@@ -211,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for y, texts in chunks(batches, 1 << 19):
             yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in feature_counts(texts, y.astype(np.float64))], names=["h", "total", "hits"])
 
-    counted = rows.mapInArrow(count, "h long, total long, hits long").groupBy("h").agg(F.sum("total").alias("total"), F.sum("hits").alias("hits"))
+    counted = rows.mapInArrow(trimmed(count), "h long, total long, hits long").groupBy("h").agg(F.sum("total").alias("total"), F.sum("hits").alias("hits"))
     clear = counted.where(is_clear(F.col("total"), F.col("hits"), share)).select("h").toArrow()
     if not clear.num_rows:
         return constant_model(share)
@@ -228,7 +228,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     labels_, row, code, swap_row, swap_code, sign = ([] for _ in range(6))
     n = n_swaps = 0
     # known features of at most about max_train texts: a few numbers each
-    parts = rows.mapInArrow(encoded, "n_swaps long, blob binary").collect()
+    parts = rows.mapInArrow(trimmed(encoded), "n_swaps long, blob binary").collect()
     for part in sorted(parts, key=lambda r: r["blob"]):
         y, r, c, sr, sc, sg = (np.frombuffer(x, t) for x, t in zip(get(part["blob"]), (np.float64, np.int64, np.int64, np.int64, np.int64, np.float64), strict=True))
         labels_.append(y)
@@ -251,7 +251,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
         for ids, texts in chunks(batches, 1 << 19):
             yield pa.RecordBatch.from_arrays([ids_column(ids), pa.array(shared.value.score(texts))], names=["doc_id", "score"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, score double")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(trimmed(run), "doc_id long, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
