@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from siltstone.llm.bpe import decode_documents, encode_documents
 from siltstone.llm.decontamination import decontaminate
 from siltstone.llm.embedding_dedup import near_vectors
+from siltstone.llm.hard_negatives import mine_hard_negatives
 from siltstone.llm.license_scan import scan_licenses
 from siltstone.llm.pii import replace_pii, session_key
+from siltstone.llm.quality import quality
 from siltstone.llm.sharding import shard_documents
 from siltstone.llm.simhash import near_duplicates
 from siltstone.llm.substring_dedup import dedup_substrings
 from siltstone.llm.suffix_array import dedup_bytes
 from siltstone.llm.toxicity import toxicity
+from siltstone.llm.vector_codes import compress_vectors, with_label_error
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,11 +81,42 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_dedup, op3_license_scan, op4_decontamination, op5_toxicity, op6_embedding_dedup, op7_sharding, op8_bpe, op9_pii, op10_suffix_array_dedup)}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", changed), F.col("vec_id") % 100 == 0)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = compress_vectors(table(spark, sf_dir, "embeddings"))
+    return with_label_error(coded).select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_dedup, op3_license_scan, op4_decontamination, op5_toxicity, op6_embedding_dedup, op7_sharding, op8_bpe, op9_pii, op10_suffix_array_dedup, op11_hard_negatives, op12_vector_codes, op13_quality)}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ITEM_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
-#: op2, op3, op5, op7 to op10 have none: SQL lacks their hashes, models and tokenizers, or takes too long on whole texts. They are tested against brute force.
+_SOUND = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+_INTEGERS = "list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))"
+
+
+def _assigned(books: str) -> str:
+    """Nearest entry and squared distance of every part, as distance * 64 + entry."""
+    distance = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    return f"SELECT vec_id, label, p.part, x, CAST(min({distance} * 64 + e) AS BIGINT) AS k FROM p JOIN {books} b ON p.part = b.part GROUP BY ALL"
+
+
+def _moved(books: str, codes: str) -> str:
+    """Floored means of the parts of each entry, old entries where there are none."""
+    sums = f"SELECT part, k % 64 AS e, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n FROM {codes}, range(1, 5) t(i) GROUP BY ALL"
+    means = f"SELECT part, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM ({sums}) GROUP BY ALL"
+    return f"SELECT b.part, b.e, coalesce(m.c, b.c) AS c FROM {books} b LEFT JOIN ({means}) m ON b.part = m.part AND b.e = m.e"
+
+
+#: op2, op3, op5, op7 to op10, op13 have none: SQL lacks their hashes, models and tokenizers, or takes too long on whole texts. They are tested against brute force.
 ORACLE_SQL = {
     "op1_substring_dedup": """
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
@@ -98,6 +132,18 @@ hit AS (SELECT doc_id, i, dg.n, item_id FROM dg JOIN win ON dg.n = win.n AND dg.
 p AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY 1),
 t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY 1)
 SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN p ON d.doc_id = p.doc_id LEFT JOIN t ON d.doc_id = t.doc_id""",
+    "op11_hard_negatives": f"""
+WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform({_INTEGERS}, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings WHERE label IS NOT NULL AND {_SOUND}),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, vec_id AS negative_id, positive_score, score AS negative_score FROM p JOIN s ON p.anchor_id = s.anchor_id WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5""",
+    "op12_vector_codes": f"""
+WITH p AS MATERIALIZED (SELECT vec_id, label, part, list_slice(x, part * 4 + 1, part * 4 + 4) AS x FROM (SELECT vec_id, label, {_INTEGERS} AS x FROM embeddings WHERE {_SOUND}), range(16) t(part)),
+c0 AS MATERIALIZED (SELECT part, row_number() OVER w - 1 AS e, x AS c FROM p WINDOW w AS (PARTITION BY part ORDER BY vec_id) QUALIFY row_number() OVER w <= 64),
+a0 AS MATERIALIZED ({_assigned('c0')}), c1 AS MATERIALIZED ({_moved('c0', 'a0')}), a1 AS MATERIALIZED ({_assigned('c1')}), c2 AS MATERIALIZED ({_moved('c1', 'a1')}), a2 AS MATERIALIZED ({_assigned('c2')}),
+r AS (SELECT vec_id, label, string_agg(lower(printf('%02x', k % 64)), '' ORDER BY part) AS code, CAST(sum(k // 64) AS BIGINT) AS error FROM a2 GROUP BY 1, 2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, e)) FROM c2) AS codebooks_sha256 FROM r""",
     "op6_embedding_dedup": """
 WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
