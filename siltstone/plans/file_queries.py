@@ -16,7 +16,7 @@ from siltstone.session import shared_dir
 from siltstone.sources import files as Fs
 
 
-def _place(spark: SparkSession, name: str) -> str:
+def place(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/siltstone-{uuid.uuid4().hex}/{name}"
 
 
@@ -28,7 +28,7 @@ def _s(c: str) -> Column:
 def s01_companies(spark, sf):
     s = table(spark, sf, "supplier")
     rows = s.select(F.col("s_name").alias("ticker"), F.when(F.col("s_nationkey") % 3 == 2, "HK").when(F.col("s_nationkey") % 3 == 1, "us").otherwise("US").alias("market"), F.when(F.col("s_suppkey") % 4 == 3, "HKEX").when(F.col("s_suppkey") % 4 == 2, "edgar").otherwise("EDGAR").alias("source"), F.lit("10-K| 10-Q|").alias("form_types"), F.concat((2000 + F.col("s_nationkey")).cast("string"), F.lit("|x|2021")).alias("years"), F.lit("").alias("notes"))
-    path = _place(spark, "companies")
+    path = place(spark, "companies")
     Fs.write(rows, path, "csv")
     return Fs.companies(spark, path)
 
@@ -45,7 +45,7 @@ def s05_cik_chain(spark, sf):
 @query("SELECT event_type AS status, 2 * count(*) AS n FROM events GROUP BY 1")
 def s06_log_append(spark, sf):
     log = table(spark, sf, "events").select("event_id", F.col("event_type").alias("status"))
-    path = _place(spark, "log")
+    path = place(spark, "log")
     for _ in range(2):
         Fs.write(log, path, "csv", mode="append")
     return spark.read.schema("event_id long, status string").csv(path, header=True).groupBy("status").agg(F.count("*").alias("n"))
@@ -74,7 +74,7 @@ def s10_standard_name(spark, sf):
 
 @query("SELECT n_nationkey AS k, n_nationkey % 2 = 0 AS is_xml, length(n_name) AS n FROM nation")
 def s11_whole_texts(spark, sf):
-    path = _place(spark, "texts")
+    path = place(spark, "texts")
     t = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("<?xml?>\n"), "n_name")).otherwise(F.concat(F.lit("<html>\n"), "n_name"))
     table(spark, sf, "nation").select(F.col("n_nationkey").alias("k"), t.alias("value")).repartition("k").write.partitionBy("k").text(path)
     out = Fs.texts(spark, path, "*.txt")
@@ -89,7 +89,7 @@ def s12_text_lines(spark, sf):
 
 @query("SELECT CASE WHEN n_nationkey % 5 > 0 THEN n_nationkey END AS k, n_nationkey % 5 = 0 AS bad FROM nation")
 def s13_bad_lines(spark, sf):
-    path = _place(spark, "lines")
+    path = place(spark, "lines")
     line = F.when(F.col("n_nationkey") % 5 == 0, "{oops").otherwise(F.concat(F.lit('{"k": '), _s("n_nationkey"), F.lit("}")))
     table(spark, sf, "nation").select(line.alias("value")).write.text(path)
     return Fs.jsonl(spark, path, "k int").select("k", F.col("_corrupt_record").isNotNull().alias("bad"))
@@ -99,7 +99,7 @@ _CUSTOMER = "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer"
 
 
 def _again(spark: SparkSession, sf: str, fmt: str, by: list[str] | None = None) -> DataFrame:
-    c, path = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"), _place(spark, fmt)
+    c, path = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"), place(spark, fmt)
     Fs.write(c, path, fmt, by=by)
     r = spark.read.schema(c.schema)
     return (r.json(path) if fmt == "jsonl" else r.csv(path, header=True) if fmt == "csv" else r.parquet(path)).select(*c.columns)
@@ -127,7 +127,7 @@ def s17_partitions(spark, sf):
 
 @query("SELECT p_partkey, '{\"name\":\"' || p_name || '\",\"tags\":[\"' || p_brand || '\"]}' AS info FROM part")
 def s18_nested_to_csv(spark, sf):
-    path = _place(spark, "nested")
+    path = place(spark, "nested")
     Fs.write(table(spark, sf, "part").select("p_partkey", F.struct(F.col("p_name").alias("name"), F.array("p_brand").alias("tags")).alias("info")), path, "csv")
     return spark.read.schema("p_partkey long, info string").option("escape", "\\").csv(path, header=True)
 
@@ -143,7 +143,7 @@ def s20_newer_inputs(spark, sf):
 @query("SELECT o_orderstatus AS filing_id, o_orderkey AS doc_order, o_orderpriority AS value_raw, '[\"USD\"]' AS measures FROM orders")
 def s24_s25_store(spark, sf):
     """Loading twice leaves one copy of each filing."""
-    o, path = table(spark, sf, "orders"), _place(spark, "store")
+    o, path = table(spark, sf, "orders"), place(spark, "store")
     none = F.lit(None).cast("string")
     facts = o.select(F.col("o_orderstatus").alias("filing_id"), F.lit("x:y").alias("qname"), F.col("o_orderpriority").alias("value_raw"), F.lit(False).alias("is_numeric"), none.alias("decimals"), F.lit("u").alias("unit_id"), F.lit("c").alias("context_id"), none.alias("label_role"), none.alias("footnote_refs"), F.col("o_orderkey").alias("doc_order"))
     units = o.select(F.col("o_orderstatus").alias("filing_id"), F.lit("u").alias("unit_id"), F.lit('["USD"]').alias("measures")).distinct()
@@ -156,7 +156,7 @@ def s24_s25_store(spark, sf):
 
 @query("SELECT vec_id AS id, len(embedding) AS dim, label FROM embeddings")
 def s26_s27_index(spark, sf):
-    path = _place(spark, "index")
+    path = place(spark, "index")
     Fs.save_index(table(spark, sf, "embeddings").withColumnRenamed("vec_id", "id"), path)
     return Fs.load_index(spark, path).select("id", F.size("embedding").cast("long").alias("dim"), "label")
 
@@ -169,7 +169,7 @@ def s28_flat_meta(spark, sf):
 
 @query(f"SELECT source AS a, target AS b, weight AS n FROM ({_EDGES}) UNION ALL SELECT label || '::' || upper(name), array_to_string(list_sort(list_distinct(list(ticker))), ','), count(*) FROM ({_MENTIONS}) GROUP BY label || '::' || upper(name)")
 def s29_graph(spark, sf):
-    path = _place(spark, "graph")
+    path = place(spark, "graph")
     Fs.save_graph(E.graph_nodes(_mentions(spark, sf)), _edges(spark, sf), path)
     nodes, edges = Fs.load_graph(spark, path)
     return edges.select(F.col("source").alias("a"), F.col("target").alias("b"), F.col("weight").alias("n")).unionByName(nodes.select(F.col("node_id").alias("a"), F.array_join("tickers", ",").alias("b"), F.col("mention_count").alias("n")))
@@ -177,7 +177,7 @@ def s29_graph(spark, sf):
 
 @query(f"SELECT label, name AS normalized, count(*) AS total, count(DISTINCT y) AS years FROM ({_MENTIONS}) GROUP BY 1, 2")
 def s30_timelines(spark, sf):
-    path = _place(spark, "timelines")
+    path = place(spark, "timelines")
     Fs.save_timelines(E.timeline_totals(E.timeline(_mentions(spark, sf), "sid")), path)
     return Fs.load_timelines(spark, path).select("label", "normalized", "total", F.size("entries").cast("long").alias("years"))
 

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.numeric import inner_product, l2_similarity
 from siltstone.operators import evidence as Ev
+from siltstone.operators import keyword_index as K
 from siltstone.operators import search as S
 from siltstone.operators.filters import metadata_filter
 from siltstone.operators.joins import fuse_lists, fused_order
 from siltstone.operators.windows import ranked, top_k
 from siltstone.plans.catalogue import query
+from siltstone.plans.file_queries import place
 from siltstone.plans.table_queries import table
 from siltstone.plans.text_queries import TOKENS
 
@@ -74,6 +76,31 @@ def r03_bm25_filtered(spark, sf):
     return _show(_bm25(spark, sf, d.where(metadata_filter("en", names=("lang", "source", "n_chars"))), 10))
 
 
+@query(f"{_SHOW} ({bm25_sql('SELECT * FROM documents', 10)})")
+def r03_stored_index(spark, sf):
+    """The same answers from a stored index: built, and read by term."""
+    store = K.build(table(spark, sf, "documents"), place(spark, "keywords"), "doc_id", "text", parts=4)
+    return _show(K.search(store, table(spark, sf, "benchmark"), "item_id", "text", 10))
+
+
+@query(f"{_SHOW} ({bm25_sql('SELECT * FROM documents WHERE upper(lang) = upper(chr(101) || chr(110))', 10)})")
+def r03_stored_filtered(spark, sf):
+    """A filter on stored columns; statistics are those of the documents that pass."""
+    store = K.build(table(spark, sf, "documents"), place(spark, "keywords"), "doc_id", "text", ["lang"], 4)
+    return _show(K.search(store, table(spark, sf, "benchmark"), "item_id", "text", 10, F.upper("lang") == "EN"))
+
+
+@query(f"{_SHOW} ({bm25_sql('SELECT * FROM documents', 10)})")
+def s20_index_upkeep(spark, sf):
+    """An index of an older state, brought up to date: documents of one language were missing, those of one source had other texts, and some are there no longer."""
+    docs = table(spark, sf, "documents").withColumn("at", F.when(F.col("source") == "src3", 2).otherwise(1))
+    then = docs.where("lang <> 'de'").withColumns({"text": F.when(F.col("source") == "src3", "an older text").otherwise(F.col("text")), "at": F.lit(1)})
+    vanished = docs.where("source = 'src5'").withColumns({"doc_id": -1 - F.col("doc_id"), "at": F.lit(1)})
+    store = K.build(then.unionByName(vanished), place(spark, "keywords"), "doc_id", "text", ["at"], 4)
+    K.sync(store, docs, "doc_id", "text", "at")
+    return _show(K.search(store, table(spark, sf, "benchmark"), "item_id", "text", 10))
+
+
 @query(f"{_SHOW} ({dense_sql('SELECT * FROM embeddings', 10)})")
 def r04_dense_topk(spark, sf):
     return _show(_dense(_query_vectors(spark, sf), table(spark, sf, "embeddings"), 10))

@@ -336,9 +336,9 @@ def f30_unit(spark, sf):
     return table(spark, sf, "part").select("p_partkey", numeric.normalize_unit(u, F.lit("x"), shown).alias("u")).select("p_partkey", "u.unit", "u.family")
 
 
-@query("SELECT l_orderkey, l_linenumber, CASE WHEN v >= 1e9 THEN format('{:.3f} B', v / 1e9) WHEN v >= 1e6 THEN format('{:.3f} M', v / 1e6) ELSE format('{:.3f} K', v / 1e3) END AS shown FROM (SELECT l_orderkey, l_linenumber, round(l_extendedprice) * 1000 AS v FROM lineitem WHERE l_extendedprice >= 2)")
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN v >= 1e9 THEN format('{:.3f} B', v / 1e9) WHEN v >= 1e6 THEN format('{:.3f} M', v / 1e6) ELSE format('{:.3f} K', v / 1e3) END AS shown FROM (SELECT l_orderkey, l_linenumber, round(l_extendedprice) * 1000 AS v FROM lineitem)")
 def f36_value_short(spark, sf):
-    return table(spark, sf, "lineitem").where("l_extendedprice >= 2").select("l_orderkey", "l_linenumber", numeric.short_value(F.round("l_extendedprice") * 1000).alias("shown"))
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", numeric.short_value(F.round("l_extendedprice") * 1000).alias("shown"))
 
 
 @query("SELECT p_partkey, p_name || ': ' || CAST(p_size AS VARCHAR) || ' (FY2024; ' || p_brand || ' 10-K accno=' || CAST(p_partkey AS VARCHAR) || ')' AS t FROM part")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.operators.aggregates import keep_first
+from siltstone.sources.snapshots import SnapshotStore
 
 COMPANY = "ticker string, market string, source string, form_types string, years string, notes string"
 BLOCK = "schema_version string, source_path string, ticker string, form string, year int, accno string, doc_date string, css_path string, language string, tokens int, created_at string, id string, section string, heading string, statement_hint string, text string, tag string, idx_source int, chunk_tok_start int, chunk_tok_end int, part string, item string, page_no int, page_anchor string, xpath string"
@@ -123,29 +124,55 @@ STORE = {
 }
 
 
-def save_store(tables: dict[str, DataFrame], path: str) -> None:
-    """Each table by filing; loading a filing again replaces it."""
-    for name, df in tables.items():
+def save_store(tables: dict[str, DataFrame], path: str) -> int:
+    """All tables in one commit, by filing; loading a filing again replaces it in all of them. Returns the version.
+
+    A filing that is in any of these tables is replaced in each of them: what it no longer
+    has goes. Columns beyond those of STORE are added; nested ones are stored as JSON.
+    """
+    for name in tables:
         if name not in STORE:
             raise ValueError(f"unknown table {name!r}")
-        write(df, f"{path}/{name}", by=["filing_id"])
-
-
-def load_store(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """S25."""
-    return {name: spark.read.schema(schema).parquet(f"{path}/{name}") for name, schema in STORE.items()}
+    spark = next(iter(tables.values())).sparkSession
+    store = SnapshotStore(spark, path)
+    with store.transaction() as tx:
+        for name, schema in STORE.items():
+            tx.declare(name, T.StructType.fromDDL(schema), "filing_id")
+        # partitions written: at most one for each filing that is loaded
+        written = {name: set(tx.replace(name, as_stored(df, STORE[name]), "filing_id")) for name, df in tables.items()}
+        loaded = set().union(*written.values())
+        for name, own in written.items():
+            tx.drop(name, loaded - own)
+    return store.version()
+
+
+def as_stored(df: DataFrame, schema: str) -> DataFrame:
+    """The columns of a table of the store, null where df lacks them, and df's others; nested ones as JSON."""
+    want = T.StructType.fromDDL(schema)
+    out = df.withColumns({f.name: F.to_json(f.name) for f in df.schema if isinstance(f.dataType, T.ArrayType | T.MapType | T.StructType)})
+    known = [(F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in want]
+    return out.select(*known, *(c for c in df.columns if c not in want.names))
+
+
+def load_store(spark: SparkSession, path: str, filings: list[str] | None = None, version: int | None = None) -> dict[str, DataFrame]:
+    """The tables as of one version, the last by default; with filings only their files are opened."""
+    store = SnapshotStore(spark, path)
+    version = store.version() if version is None else version
+    return {name: store.read(name, filings, version) for name in STORE}
 
 
 def save_index(index: DataFrame, path: str) -> None:
-    """Vectors with ids and meta, and a row about the build."""
-    write(index, f"{path}/index")
+    """Vectors with ids and meta, and a row about the build, in one commit."""
     about = index.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim"), F.count_distinct("id").alias("ids"))
-    write(about, f"{path}/build_info")
+    with SnapshotStore(index.sparkSession, path).transaction() as tx:
+        tx.replace("index", index)
+        tx.replace("build_info", about)
 
 
 def load_index(spark: SparkSession, path: str) -> DataFrame:
     """Fails if the count differs from that of the build; Parquet's footers tell it, no vector is read."""
-    index, about = spark.read.parquet(f"{path}/index"), spark.read.parquet(f"{path}/build_info").first()
+    store = SnapshotStore(spark, path)
+    index, about = store.read("index"), store.read("build_info").first()
     if (n := index.select().count()) != about["n"]:
         raise ValueError(f"index has {n} rows, its build wrote {about['n']}")
     return index

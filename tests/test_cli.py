@@ -3,6 +3,7 @@
 import pytest
 
 from siltstone import cli
+from siltstone.sources import files
 
 
 def test_pages_to_answers(spark, tmp_path, capsys):
@@ -26,6 +27,7 @@ def test_ingest(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "filing-1.xml").write_text(xml)
     cli.main(["ingest", "--input", f"{tmp_path}/in", "--store", f"{tmp_path}/store"], spark)
-    (fact,) = spark.read.parquet(f"{tmp_path}/store/facts").collect()
+    (fact,) = files.load_store(spark, f"{tmp_path}/store")["facts"].collect()
     assert (fact.filing_id, fact.qname, fact.value_raw, fact.is_numeric) == ("filing-1", "us-gaap:Assets", "12", True)
-    assert spark.read.parquet(f"{tmp_path}/store/units").count() == spark.read.parquet(f"{tmp_path}/store/contexts").count() == 1
+    store = files.load_store(spark, f"{tmp_path}/store")
+    assert store["units"].count() == store["contexts"].count() == 1

@@ -26,7 +26,7 @@ def test_store_replaces_a_filing(spark, tmp_path):
     row = lambda v: spark.createDataFrame([("f1", "u1", v)], "filing_id string, unit_id string, measures string")
     for v in ("a", "b"):
         files.save_store({"units": row(v)}, str(tmp_path))
-    assert [r.measures for r in spark.read.parquet(f"{tmp_path}/units").collect()] == ["b"]
+    assert [r.measures for r in files.load_store(spark, str(tmp_path))["units"].collect()] == ["b"]
 
 
 def test_index_round_trip(spark, tmp_path):
