@@ -61,8 +61,8 @@ def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id:
     Repeated query terms count once; ties go to the smaller document id. Texts are read
     and split once: what is kept of a document is its length and the query terms in it,
     and lengths and document frequencies come from that. Each task then scores its
-    documents and sends the k best of each query only (and what equals the k-th). A set of
-    queries with more than `listed` terms is joined instead, like any table.
+    documents and sends the k best of each query only. A set of queries with more than
+    `listed` terms is joined instead, like any table.
     """
     terms = queries.select(F.col(query_id).alias("qid"), F.explode(F.array_distinct(bm25_tokens(query))).alias("term"))
     pairs = terms.limit(listed + 1).toArrow()
@@ -97,10 +97,10 @@ def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id:
     asking, first = of_query[order].astype(np.int64), np.searchsorted(of_term[order], np.arange(len(words) + 1))
 
     def score(batches):
-        step = max(1, min(2048, (4 << 20) // len(qids)))  # documents times queries that are scored at once
+        best = Leaders(len(qids), k)
         for whole in batches:
-            for a in range(0, whole.num_rows, step):
-                rb = whole.slice(a, step)
+            for a in range(0, whole.num_rows, CHUNK):
+                rb = whole.slice(a, CHUNK)
                 row, flat = _flat(rb.column(2))
                 if not len(row):
                     continue
@@ -111,14 +111,63 @@ def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id:
                 n = first[term + 1] - first[term]
                 ends = np.cumsum(n)
                 place = np.repeat(first[term] - ends + n, n) + np.arange(ends[-1])
-                sums = np.bincount(asking[place] * rb.num_rows + np.repeat(at, n), np.repeat(w, n), len(qids) * rb.num_rows).reshape(len(qids), rb.num_rows)
-                i, j = np.nonzero((sums > 0) & (np.round(sums, 9) >= np.round(kth(sums, k), 9)))
-                yield pa.RecordBatch.from_arrays([qids.take(pa.array(i)), rb.column(0).take(pa.array(j)), pa.array(sums[i, j])], names=["qid", "doc", "score"])
+                who, doc, w = asking[place], np.repeat(at, n), np.repeat(w, n)
+                order = np.argsort(who, kind="stable")
+                who, doc, w = who[order], doc[order], w[order]
+                cut = np.searchsorted(who, np.arange(0, len(qids) + CHUNK, CHUNK))
+                for q, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
+                    if j > i:
+                        size = min(CHUNK, len(qids) - q * CHUNK)
+                        sums = np.bincount((who[i:j] - q * CHUNK) * rb.num_rows + doc[i:j], w[i:j], size * rb.num_rows).reshape(size, rb.num_rows)
+                        best.add(q * CHUNK, sums, rb.column(0), sums > 0)
+        yield from best.batches(qids)
 
     schema = f"qid {terms.schema['qid'].dataType.simpleString()}, doc {doc_type}, score double"
     return top_k(kept.mapInArrow(score, schema), ["qid"], [F.desc(F.round("score", 9)), "doc"], k) if len(words) else top_k(spark.createDataFrame([], schema), ["qid"], ["doc"], k)
 
 
+CHUNK = 2048  # of documents, and of questions, that are scored at once
+
+
+class Leaders:
+    """The k best of each question through all that a task sees: largest score to nine places, then smallest document."""
+
+    def __init__(self, n: int, k: int) -> None:
+        self.n, self.k, self.least, self.held, self.rows = n, k, np.full(n, -np.inf), [], 0
+
+    def add(self, first: int, scores: np.ndarray, docs: pa.Array, ok: np.ndarray | None = None) -> None:
+        """scores: questions from `first` on by documents; ok: which of them count."""
+        shown = np.round(scores, 9)
+        if ok is not None:
+            shown = np.where(ok, shown, -np.inf)
+        edge = np.maximum(kth(shown, self.k), self.least[first : first + len(shown), None])
+        q, d = np.nonzero((shown >= edge) & (shown > -np.inf))
+        if len(q):
+            self.held.append(pa.table({"q": pa.array((q + first).astype(np.int32)), "shown": shown[q, d], "doc": docs.take(pa.array(d)), "score": scores[q, d]}))
+            self.rows += len(q)
+        if self.rows > 2 * self.n * self.k + (1 << 16):
+            self.settle()
+
+    def settle(self) -> pa.Table | None:
+        if not self.held:
+            return None
+        t = pa.concat_tables(self.held).combine_chunks()
+        t = t.take(pc.sort_indices(t, sort_keys=[("q", "ascending"), ("shown", "descending"), ("doc", "ascending")], null_placement="at_start"))
+        q = t.column("q").to_numpy()
+        rank = np.arange(len(q)) - np.searchsorted(q, q)
+        full = rank == self.k - 1
+        self.least[q[full]] = t.column("shown").to_numpy()[full]
+        t = t.filter(pa.array(rank < self.k))
+        self.held, self.rows = [t], t.num_rows
+        return t
+
+    def batches(self, qids: pa.Array):
+        t = self.settle()
+        if t is not None:
+            out = pa.table({"qid": qids.take(t.column("q").combine_chunks()), "doc": t.column("doc"), "score": t.column("score")})
+            yield from out.combine_chunks().to_batches(max_chunksize=1 << 16)
+
+
 def kth(scores: np.ndarray, k: int) -> np.ndarray:
     """The k-th largest of each row, as a column; the least where there are fewer."""
     if scores.shape[1] <= k:
@@ -162,41 +211,57 @@ def best_snippet(text: str, query: str, window: int = 40, size: int = 500) -> Co
     return cut(F.col(text), F.col(query))
 
 
-def dense(vectors: DataFrame, queries: DataFrame, vec_id: str, vector: str, query_id: str, query_vector: str, k: int = 10, query_block: int = 1024) -> DataFrame:
+SENT_BYTES = 64 << 20  # of query vectors that travel to all tasks, and of vectors that meet a block of queries
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    """Rows of a column of arrays of one length."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), -1)
+
+
+def dense(vectors: DataFrame, queries: DataFrame, vec_id: str, vector: str, query_id: str, query_vector: str, k: int = 10, sent_bytes: int = SENT_BYTES) -> DataFrame:
     """Qid, doc, score, rank of the k vectors with the largest inner product; filters come before.
 
-    Queries are a stated set and are sent to the vectors in blocks of query_block. Each
-    task keeps the k best of every batch only, so what is shuffled does not grow with
-    the number of vectors times queries.
+    Query vectors of up to sent_bytes in all, which are counted first, are sent to the vectors;
+    beyond, both are dealt into blocks of about that size, and each pair of blocks meets
+    once. Either way a task sends the k best of each of its queries only.
     """
-    blocks = []
-    ids, rows = [], []
-    for q in queries.select(query_id, query_vector).toLocalIterator():
-        ids.append(q[0])
-        rows.append(q[1])
-        if len(ids) == query_block:
-            blocks.append((ids, np.array(rows, np.float64)))
-            ids, rows = [], []
-    if ids:
-        blocks.append((ids, np.array(rows, np.float64)))
-
-    def run(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            v = np.array(pdf["v"].tolist(), np.float64)
-            doc = pdf["doc"].to_numpy()
-            for qids, q in blocks:
-                s = q @ v.T
-                top = np.argsort(-s, axis=1, kind="stable")[:, :k] if s.shape[1] > k else np.tile(np.arange(s.shape[1]), (len(q), 1))
-                # ties at the edge: all that equal the k-th are kept
-                edge = np.take_along_axis(s, top[:, -1:], axis=1)
-                i, j = np.nonzero(s >= edge - 1e-12)
-                yield pd.DataFrame({"qid": [qids[x] for x in i], "doc": doc[j], "score": s[i, j]})
-
-    schema = f"qid {queries.schema[query_id].dataType.simpleString()}, doc {vectors.schema[vec_id].dataType.simpleString()}, score double"
-    near = vectors.select(F.col(vec_id).alias("doc"), F.col(vector).alias("v")).mapInPandas(run, schema)
-    return top_k(near, ["qid"], [F.desc(F.round("score", 9)), "doc"], k)
+    spark = vectors.sparkSession
+    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vector).alias("v")).where("v IS NOT NULL")
+    near = vectors.select(F.col(vec_id).alias("doc"), F.col(vector).alias("v")).where("v IS NOT NULL")
+    schema = f"qid {q.schema['qid'].dataType.simpleString()}, doc {near.schema['doc'].dataType.simpleString()}, score double"
+    order = [F.desc(F.round("score", 9)), "doc"]
+    size = q.agg(F.sum(8 * F.size("v"))).first()[0] or 0
+
+    def best_of(qids: pa.Array, asked: np.ndarray, batches):
+        best = Leaders(len(qids), k)
+        for whole in batches:
+            for a in range(0, whole.num_rows, CHUNK):
+                rb = whole.slice(a, CHUNK)
+                v = matrix(rb.column(1))
+                for i in range(0, len(asked), CHUNK):
+                    best.add(i, asked[i : i + CHUNK] @ v.T, rb.column(0))
+        yield from best.batches(qids)
+
+    if not size:
+        return top_k(spark.createDataFrame([], schema), ["qid"], ["doc"], k)
+    if size <= sent_bytes:
+        t = q.toArrow()  # at most sent_bytes
+        shared = spark.sparkContext.broadcast((t.column("qid").combine_chunks(), matrix(t.column("v").combine_chunks())))
+        return top_k(near.mapInArrow(lambda batches: best_of(*shared.value, batches), schema), ["qid"], order, k)
+    blocks = -(-size // sent_bytes)
+    slices = max(1, -(-(near.agg(F.sum(8 * F.size("v"))).first()[0] or 0) // sent_bytes))
+    deal = lambda df, own, n, other, m: df.withColumns({own: F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int"), other: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))})
+
+    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+        rows = b.select(["doc", "v"]).combine_chunks().to_batches() if len(a) else []
+        out = list(best_of(a.column("qid").combine_chunks(), matrix(a.column("v").combine_chunks()), rows)) if len(a) else []
+        empty = pa.table({"qid": a.column("qid").slice(0, 0), "doc": b.column("doc").slice(0, 0), "score": pa.array([], pa.float64())})
+        return pa.Table.from_batches(out) if out else empty
+
+    sides = deal(q, "_block", blocks, "_slice", slices).groupBy("_block", "_slice"), deal(near, "_slice", slices, "_block", blocks).groupBy("_block", "_slice")
+    return top_k(sides[0].cogroup(sides[1]).applyInArrow(meet, schema), ["qid"], order, k)
 
 
 def normalised(by: list[str], score: str, kind: str = "minmax", constant: float | None = 0.5) -> Column:
