@@ -9,6 +9,7 @@ from siltstone.functions.numeric import inner_product, l2_similarity
 from siltstone.operators import evidence as Ev
 from siltstone.operators import keyword_index as K
 from siltstone.operators import search as S
+from siltstone.operators import vector_index as V
 from siltstone.operators.filters import metadata_filter
 from siltstone.operators.joins import fuse_lists, fused_order
 from siltstone.operators.windows import ranked, top_k
@@ -111,6 +112,13 @@ def r04_dense_filtered(spark, sf):
     return _show(_dense(_query_vectors(spark, sf), table(spark, sf, "embeddings").where("label = 3"), 10))
 
 
+@query(f"{_SHOW} ({dense_sql('SELECT * FROM embeddings WHERE label = 3', 10)})")
+def r04_cell_index(spark, sf):
+    """A stored index of cells, filtered by a stored column; cells that could hold better ones are read as well."""
+    store = V.build(table(spark, sf, "embeddings"), place(spark, "cells"), "vec_id", "embedding", ["label"])
+    return _show(V.search(store, _query_vectors(spark, sf), "vec_id", "embedding", 10, exact=True, where=F.col("label") == 3))
+
+
 @query("SELECT a.vec_id, round(list_inner_product(list_transform(a.embedding, lambda x: CAST(x AS DOUBLE)), list_transform(b.embedding, lambda x: CAST(x AS DOUBLE))), 6) AS ip, round(1 / (1 + pow(list_distance(list_transform(a.embedding, lambda x: CAST(x AS DOUBLE)), list_transform(b.embedding, lambda x: CAST(x AS DOUBLE))), 2)), 6) AS l2 FROM embeddings a JOIN embeddings b ON a.vec_id + 1 = b.vec_id")
 def f60_inner_product(spark, sf):
     e = table(spark, sf, "embeddings")
