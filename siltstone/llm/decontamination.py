@@ -1,10 +1,13 @@
 """Benchmark decontamination by winnowing.
 
 Of the k-grams of words in each sliding window the one with the least hash is kept,
-in benchmark items and in documents alike. Where a document's kept k-gram is one of
-an item, the match is extended word by word to both sides. Two texts that share
-k + w - 1 words share a kept k-gram, so no shared span of that length is missed. An
-item shorter than that is one k-gram of its own length.
+in benchmark items and in documents alike. Where a document's kept k-gram is one of an
+item, the match is extended to both sides: to every window of k + w - 1 words that holds
+it and is one of an item, word by word. Two texts that share so many words share a kept
+k-gram, so no shared span of that length is missed; longer spans are the union of their
+windows. An item shorter than that is one k-gram of its own length. A window is looked up
+among the distinct windows of all items, so that a long run of one word on both sides
+takes time in proportion to its length.
 
 Fingerprints of documents and of items are joined by length and hash. While all texts of
 the benchmark together are at most `index_bytes`, which is summed up first, its side of
@@ -78,22 +81,51 @@ class Words:
 
 
 class Index:
-    """Fingerprints of some benchmark items: by length of k-gram, sorted hashes with item and position."""
+    """Of some benchmark items by length of window: kept fingerprints, and the distinct windows with their items."""
 
     def __init__(self, ids: list[str | None], texts: list[bytes], window: int, k: int) -> None:
         self.window, self.k, self.ids = window, k, ids
-        self.items = [words_of(t) for t in texts]
-        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        sizes = {len(w) for w in self.items if 0 < len(w) < window}
+        items = [words_of(t) for t in texts]
+        self.word_ids: dict[bytes, int] = {}
+        for words in items:
+            for w in words:
+                self.word_ids.setdefault(w, len(self.word_ids))
+        self.tables: dict[int, Windows] = {}
+        sizes = {len(w) for w in items if 0 < len(w) < window}
         for size in sorted(sizes | {window}):
-            own = [i for i, w in enumerate(self.items) if (len(w) == size if size < window else len(w) >= window)]
-            if not own:
-                continue
-            words = Words([texts[i] for i in own])
-            p, h = words.grams(size) if size < window else words.kept(k, window)
-            order = np.argsort(h, kind="stable")
-            item = np.array(own)[words.text[p]]
-            self.tables[size] = (h[order], item[order], (p - words.start[words.text[p]])[order])
+            own = [i for i, w in enumerate(items) if (len(w) == size if size < window else len(w) >= window)]
+            if own:
+                flat = np.array([self.word_ids[w] for i in own for w in items[i]], np.int64)
+                self.tables[size] = Windows(Words([texts[i] for i in own]), np.array(own), flat, size, window, k)
+
+
+class Windows:
+    """Windows of `size` words of the items in `own`. words: numbers of their words."""
+
+    def __init__(self, text: Words, own: np.ndarray, words: np.ndarray, size: int, window: int, k: int) -> None:
+        self.size, self.words = size, words
+        self.prints = np.unique(text.grams(size)[1] if size < window else text.kept(k, window)[1])
+        p, h = text.grams(size)
+        item = own[text.text[p]]
+        order = np.lexsort((p, h))
+        p, h, item = p[order], h[order], item[order]
+        new = np.diff(h, prepend=h[:1] - U(1)) != 0
+        #: Hash of each distinct window, and where it stands first.
+        self.hashes, self.at = h[new], p[new]
+        group = np.cumsum(new) - 1
+        # windows of one hash that are not the same words: none, in all likelihood; they are listed apart
+        odd = ~self.same(words, p, self.at[group])
+        self.odd = [(int(h[i]), int(p[i]), int(item[i])) for i in np.flatnonzero(odd)]
+        pair = np.unique(group[~odd] * (int(own.max()) + 1) + item[~odd])
+        self.items = pair % (int(own.max()) + 1)
+        self.first = np.searchsorted(pair // (int(own.max()) + 1), np.arange(len(self.hashes) + 1))
+
+    def same(self, words: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the windows at `a` of words are those at `b` of the items, word by word."""
+        out = np.ones(len(a), bool)
+        for j in range(self.size):
+            out &= words[a + j] == self.words[b + j]
+        return out
 
 
 def broadcast_index(items: DataFrame, window: int, k: int, index_bytes: int) -> Broadcast | None:
@@ -113,8 +145,8 @@ def join_fingerprints(blocks: DataFrame, texts_of: Callable[[dict], list[bytes]]
         for rb in batches:
             for item, text in zip(rb.column("item").to_pylist(), rb.column("text").cast(pa.binary()).to_pylist(), strict=True):
                 index = Index([None], [text or b""], window, k)
-                for size, (h, _, _) in index.tables.items():
-                    u = np.unique(h)
+                for size, table in index.tables.items():
+                    u = table.prints
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), size, np.int32)), pa.array(u.view(np.int64)), pa.array(np.full(len(u), item, np.int64))], names=["size", "hash", "item"])
 
     prints = persist(numbered.select("item", "text").mapInArrow(trimmed(of_items), "size int, hash long, item long"), "prints")
@@ -140,42 +172,44 @@ def index_of(said: list[dict] | None, window: int, k: int) -> Index | None:
 
 def find_hits(index: Index, docs: Words, hits: dict[int, np.ndarray], items: dict[int, set[str]]) -> None:
     """Mark hit words in hits and list items, by document."""
-    cache: dict[int, list[bytes]] = {}
-    for size, (hashes, item_of, at) in index.tables.items():
-        p, h = docs.grams(size) if size < index.window else docs.kept(index.k, index.window)
-        a = np.searchsorted(hashes, h, "left")
-        found = np.flatnonzero(hashes[np.minimum(a, len(hashes) - 1)] == h)
-        b = np.searchsorted(hashes, h[found], "right")
-        done: dict[tuple[int, int, int], int] = {}
-        for pos, first, last in zip(p[found].tolist(), a[found].tolist(), b.tolist(), strict=True):
-            d = int(docs.text[pos])
-            words = cache.get(d)
-            if words is None:
-                cache.clear()
-                words = cache[d] = words_of(docs.texts[d])
-            i = pos - int(docs.start[d])
-            for m in range(first, last):
-                item, q = int(item_of[m]), int(at[m])
-                if done.get((d, item, i - q), -1) > i:
-                    continue  # inside a span that is extended already
-                other = index.items[item]
-                n = size if size < index.window else index.k
-                if words[i : i + n] != other[q : q + n]:
-                    continue
-                lo = 0
-                while lo < min(i, q) and words[i - lo - 1] == other[q - lo - 1]:
-                    lo += 1
-                hi = n
-                while i + hi < len(words) and q + hi < len(other) and words[i + hi] == other[q + hi]:
-                    hi += 1
-                done[d, item, i - q] = i + hi
-                if lo + hi >= min(size, index.window):
-                    if d not in hits:
-                        hits[d] = np.zeros(len(words), bool)
-                        items[d] = set()
-                    hits[d][i - lo : i + hi] = True
-                    if index.ids[item] is not None:
-                        items[d].add(index.ids[item])
+    for size, table in index.tables.items():
+        short = size < index.window
+        p, h = docs.grams(size) if short else docs.kept(index.k, index.window)
+        met = p[table.prints[np.minimum(np.searchsorted(table.prints, h), len(table.prints) - 1)] == h]
+        if not len(met):
+            continue
+        # the windows around a shared fingerprint that stay in its document
+        reach = 0 if short else index.window - index.k
+        near = np.zeros(len(docs.text) + 1, np.int64)
+        np.add.at(near, np.maximum(met - reach, 0), 1)
+        np.add.at(near, met + 1, -1)
+        q, g = docs.grams(size)
+        ok = np.cumsum(near)[q] > 0
+        q, g = q[ok], g[ok]
+        at = np.minimum(np.searchsorted(table.hashes, g), len(table.hashes) - 1)
+        ok = table.hashes[at] == g
+        q, at, g = q[ok], at[ok], g[ok]
+        for d in np.unique(docs.text[q]).tolist():
+            a, z = int(docs.start[d]), int(docs.start[d + 1])
+            own = slice(*np.searchsorted(q, [a, z]))
+            words = np.array([index.word_ids.get(w, -1) for w in words_of(docs.texts[d])], np.int64)
+            ok = table.same(words, q[own] - a, table.at[at[own]])
+            starts = (q[own] - a)[ok]
+            found = set()
+            for c in np.unique(at[own][ok]).tolist():
+                found.update(table.items[table.first[c] : table.first[c + 1]].tolist())
+            for x, first, i in table.odd:
+                same = (g[own] == U(x)) & table.same(words, q[own] - a, np.full(len(q[own]), first))
+                starts = np.concatenate([starts, (q[own] - a)[same]])
+                found |= {i} if same.any() else set()
+            if not len(starts):
+                continue
+            edge = np.zeros(z - a + 1, np.int64)
+            np.add.at(edge, starts, 1)
+            np.add.at(edge, starts + size, -1)
+            mark = hits.setdefault(d, np.zeros(z - a, bool))
+            mark |= np.cumsum(edge[:-1]) > 0
+            items.setdefault(d, set()).update(index.ids[i] for i in found if index.ids[i] is not None)
 
 
 def judge_texts(index: Index | None, texts: list[bytes]) -> tuple[np.ndarray, dict[int, np.ndarray], dict[int, set[str]]]:

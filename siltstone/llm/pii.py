@@ -1,13 +1,16 @@
 """PII surrogates, in DataFrame and SQL functions only.
 
 Entities (mail and IP addresses, phone, card, account and social security numbers,
-keys and passwords, names after a form of address) are found by one pattern. Every
-distinct entity of the corpus gets one replacement, so mentions stay together:
+keys and passwords, names after a form of address) are found by one pattern, each to the
+end of its token: secrets and addresses of any length, names of up to twelve words with
+initials, particles, hyphens and apostrophes. Names without a form of address are not found.
+Every distinct entity of the corpus gets one replacement, so mentions stay together:
 
 * keyed: it follows from the key and the entity, through SHA-256. The key has no default:
-  whoever has it can redo the replacement;
-* of its type: letters stay letters of their case, digits digits, separators where
-  they are; an octet stays one; check digits of cards and accounts stay right where they
+  whoever has it can redo the replacement. It is read from a one-row table by a scalar
+  subquery, so that no plan and no event log shows it;
+* of its type: letters stay letters of their case and script, digits digits, separators where
+  they are; particles of names stay; an octet stays one; check digits of cards and accounts stay right where they
   were; a name keeps its form of address and gets one of the same gender and script;
 * the same wherever a part recurs: each part of a name and each domain is an entity of
   its own with its own table, so "Mr Smith", "Mrs Smith" and "Mr John Smith" share a
@@ -17,8 +20,9 @@ distinct entity of the corpus gets one replacement, so mentions stay together:
   with further draws, so there is always one left.
 
 Phone numbers are found in international form, in North American form, in French form
-(five pairs of digits), and in German form (area code from 0, then five digits or more);
-national numbers of other forms are too like plain numbers to tell.
+(five pairs of digits), in German form (area code from 0, then five digits or more), and in
+British form (0 and ten digits in three groups); national numbers of other forms are too
+like plain numbers to tell.
 
 Texts without a digit, an @, = or : or a form of address are passed by. Others meet their
 replacements by a hash of the text; large groups of copies are split by adaptive
@@ -61,33 +65,46 @@ _PHONES = [
     r"\+(?=(?:[ .\-/()]{0,2}\d){8,15}(?!\d))[1-9]\d{0,2}(?:[ .\-/]?\(?\d{1,6}\)?){2,6}",
     r"0[1-9](?:[ .]\d{2}){4}",
     r"0[1-9]\d{1,3}[ /]\d{5,8}",
+    r"\(?0[1-9]\d{1,3}\)?[ -]\d{3,4}[ -]\d{3,4}",
 ]
+#: Particles of names, which stay.
+PARTICLES = "van von vom de der den del della di da dos das du des la le ter ten zu zur zum bin ibn al el af av".split()
+_LETTER = r"[\p{L}\p{M}]"
+_WORD = rf"(?:\p{{Lu}}['’])?\p{{Lu}}{_LETTER}++(?:['’-]\p{{L}}{_LETTER}++)*+"
+_BEFORE = rf"(?:(?:\p{{Lu}}\. ?|(?:{'|'.join(PARTICLES)}) |[dl]['’](?=\p{{Lu}}))){{0,6}}"
+_HEX = r"[0-9A-Fa-f]{1,4}"
+#: All eight groups, or fewer around a double colon, with a digit somewhere.
+_IPV6 = rf"(?<![\w:.])(?=[0-9A-Fa-f:]{{2,39}}(?![\w:]))(?=[A-Fa-f:]*\d)(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}(?::{_HEX}){{0,6}})?::(?:{_HEX}(?::{_HEX}){{0,6}})?)(?![\w:])"
+_MAIL = r"[\p{L}\p{M}\p{N}._%+-]++@[\p{L}\p{M}\p{N}-]++(?:\.[\p{L}\p{M}\p{N}-]++)++"
 #: Alternatives in order of preference. Each starts where a token does, so that long tokens are not tried again at each letter.
 PATTERN = "|".join(
     [
-        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
+        r"(?<=(?i:password|passwd|pwd|token|secret|api_key|apikey)\s{0,2}[=:]\s{0,2}[\"']?)[\p{L}\p{N}+/_$!#%*.~^&-][^\s\"'<>,;]{6,}[\p{L}\p{N}+/_=$!#%*~^&-]",
+        rf"(?<![\p{{L}}\p{{M}}\p{{N}}._%+-]){_MAIL}",
         rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
+        _IPV6,
         r"(?<![\w-])\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?![\w-])",
+        r"(?<![\w-])3[47]\d{2}([ -]?)\d{6}\2\d{5}(?![\w-])",
         rf"(?<![\w+.])(?:{'|'.join(_PHONES)})(?!\w)",
         r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
         r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
         r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)",
-        r"(?<=(?i:password|passwd|pwd|token|secret|api_key|apikey)\s{0,2}[=:]\s{0,2}[\"']?)[A-Za-z0-9+/_-]{8,512}+",
-        rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}\p{{L}}{{1,40}}(?: \p{{Lu}}\p{{L}}{{1,40}})?(?!\p{{L}})",
+        rf"(?<!\p{{L}})(?:{_TITLE})\.? {_BEFORE}{_WORD}(?: {_BEFORE}{_WORD}){{0,11}}+(?!{_LETTER})",
     ]
 )
 #: Every entity but a name has one of these in it or before it.
 MARKS = "[0-9@=:]"
 NAME = rf"^(?:{_TITLE})\.? "
-KINDS = ("email", "ip", "card", "phone", "ssn", "iban", "key", "person", "secret")
+KINDS = ("email", "ip", "ip6", "card", "phone", "ssn", "iban", "key", "person", "secret")
 
 
 def kind_of(e: Column) -> Column:
     """Type of an entity that the pattern found."""
     rules = [
-        ("email", r"@"),
+        ("email", rf"^{_MAIL}$"),
         ("ip", rf"^{_OCTET}(\.{_OCTET}){{3}}$"),
-        ("card", r"^\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}$"),
+        ("ip6", rf"^(?=.*:.*:)[0-9A-Fa-f:]+$"),
+        ("card", r"^(?:\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}|3[47]\d{2}([ -]?)\d{6}\2\d{5})$"),
         ("phone", rf"^(?:{'|'.join(_PHONES)})$"),
         ("ssn", r"^\d{3}-\d{2}-\d{4}$"),
         ("key", r"^AKIA[0-9A-Z]{16}$"),
@@ -110,17 +127,30 @@ def _turn(c: Column, first: str, n: int, k: Column) -> Column:
     return F.char((F.ascii(c) - ord(first) + k) % n + ord(first))
 
 
+#: Letters that stand for letters of other scripts than the basic Latin one.
+OTHER_LETTERS = {"IsCyrillic": "абвгдежзиклмнопрстуфхцчшщэюя", "IsGreek": "αβγδεζηθικλμνξοπρστυφχψω", "L": "abcdefghijklmnopqrstuvwxyz"}
+
+
 def scramble(s: Column, seed: Column) -> Column:
-    """s with each letter or digit turned by what the seed says; hex stays hex."""
-    is_hex = s.rlike("^[0-9a-f]+$")
+    """s with each letter or digit turned by what the seed says; hex stays hex. Letters beyond A to Z become some of their script, or Latin ones."""
+    is_hex, is_upper_hex = s.rlike("^[0-9a-f:]+$"), s.rlike("^[0-9A-F:]+$")
+
+    def other(c: Column, k: Column) -> Column:
+        out = c
+        for script, letters in reversed(OTHER_LETTERS.items()):
+            own = F.substr(F.lit(letters), k % len(letters) + 1, F.lit(1))
+            out = F.when(c.rlike(rf"\p{{{script}}}"), F.when(c.rlike(r"\p{Lu}"), F.upper(own)).otherwise(own)).otherwise(out)
+        return out
 
     def one(c: Column, i: Column) -> Column:
         k = _draw(seed, i)
         return (
             F.when(c.between("0", "9"), _turn(c, "0", 10, k))
-            .when(is_hex, _turn(c, "a", 6, k))
+            .when(is_hex & c.between("a", "f"), _turn(c, "a", 6, k))
+            .when(is_upper_hex & c.between("A", "F"), _turn(c, "A", 6, k))
             .when(c.between("a", "z"), _turn(c, "a", 26, k))
             .when(c.between("A", "Z"), _turn(c, "A", 26, k))
+            .when(F.ascii(c) > 127, other(c, k))
             .otherwise(c)
         )
 
@@ -138,12 +168,15 @@ def luhn_digit(digits: Column) -> Column:
 
 
 def _card(e: Column, seed: Column) -> Column:
+    """The first digit, both for 15 digits, and separators stay; the check digit is right if it was."""
     digits = F.regexp_replace(e, "[^0-9]", "")
-    valid = luhn_digit(F.substr(digits, F.lit(1), F.lit(15))) == F.substr(digits, F.lit(16), F.lit(1))
-    body = F.concat(F.substr(digits, F.lit(1), F.lit(1)), scramble(F.substr(digits, F.lit(2), F.lit(14)), seed))
-    new = F.concat(body, F.when(valid, luhn_digit(body)).otherwise(scramble(F.substr(digits, F.lit(16), F.lit(1)), seed)))
-    sep = F.regexp_extract(e, "[ -]", 0)
-    return F.call_function("array_join", F.transform(F.array(*(F.lit(i) for i in (1, 5, 9, 13))), lambda i: F.substr(new, i, F.lit(4))), sep)
+    n = F.length(digits)
+    kept = F.when(n == 15, 2).otherwise(1)
+    valid = luhn_digit(F.substr(digits, F.lit(1), n - 1)) == F.substr(digits, n, F.lit(1))
+    body = F.concat(F.substr(digits, F.lit(1), kept), scramble(F.substr(digits, kept + 1, n - 1 - kept), seed))
+    new = F.concat(body, F.when(valid, luhn_digit(body)).otherwise(scramble(F.substr(digits, n, F.lit(1)), seed)))
+    before = lambda i: F.length(F.regexp_replace(F.substr(e, F.lit(1), i + 1), "[^0-9]", ""))
+    return F.array_join(F.transform(_chars(e), lambda c, i: F.when(c.between("0", "9"), F.substr(new, before(i), F.lit(1))).otherwise(c)), "")
 
 
 def mod97(text: Column) -> Column:
@@ -165,7 +198,7 @@ def _iban(e: Column, seed: Column) -> Column:
 
 def _phone(e: Column, seed: Column) -> Column:
     """The country code, or the 0 of an area code, stays."""
-    head = F.regexp_extract(e, r"^(\+\d{1,3}[ .\-/]?|0)", 0)
+    head = F.regexp_extract(e, r"^(\+\d{1,3}[ .\-/]?|\(?0)", 0)
     return F.concat(head, scramble(F.substr(e, F.length(head) + 1, F.length(e)), seed))
 
 
@@ -182,9 +215,8 @@ def _grown(c: Column, attempt: Column, free: int) -> Column:
     return F.concat(c, F.repeat(F.lit("a"), F.greatest(attempt - free, F.lit(0))))
 
 
-def name_stem(word: Column, last: Column, attempt: Column, key: str) -> Column:
+def name_stem(word: Column, attempt: Column, seed: Column) -> Column:
     """Three syllables, one more with each further draw."""
-    seed = F.concat(F.lit(f"{key}|name|"), word, F.lit("|"), last.cast("string"), F.lit("|"), attempt.cast("string"))
 
     def of(script: str) -> Column:
         parts = F.array(*map(F.lit, SYLLABLES[script]))
@@ -199,17 +231,15 @@ def name_forms(word: Column, stem: Column, last: Column) -> Column:
     return _by_script(_script(word), lambda s: F.when(last, F.array(F.concat(stem, F.lit(ENDINGS[s][2])), F.concat(stem, F.lit(ENDINGS[s][3])))).otherwise(F.array(F.concat(stem, F.lit(ENDINGS[s][0])), F.concat(stem, F.lit(ENDINGS[s][1])))))
 
 
-def domain_surrogate(domain: Column, attempt: Column, key: str) -> Column:
+def domain_surrogate(domain: Column, attempt: Column, seed: Column) -> Column:
     """Of a domain in lower case; its last part stays."""
-    seed = F.concat(F.lit(f"{key}|domain|"), domain, F.lit("|"), attempt.cast("string"))
     top = F.substring_index(domain, ".", -1)
     rest = F.substr(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
     return F.concat(scramble(_grown(rest, attempt, 4), seed), F.lit("."), top)
 
 
-def surrogate(e: Column, kind: Column, attempt: Column, domain: Column, key: str) -> Column:
+def surrogate(e: Column, kind: Column, attempt: Column, domain: Column, seed: Column) -> Column:
     """Replacement of an entity that is no name at a given attempt; domain: that of an address, replaced."""
-    seed = F.concat(F.lit(f"{key}|"), kind, F.lit("|"), e, F.lit("|"), attempt.cast("string"))
     octets = F.array_join(F.transform(F.split(e, r"\."), lambda o, i: ((o.cast("int") + _draw(seed, i)) % 256).cast("string")), ".")
     return (
         F.when(kind == "email", F.concat(scramble(_grown(F.substring_index(e, "@", 1), attempt, 4), seed), F.lit("@"), domain))
@@ -234,15 +264,17 @@ def may_hold(text: Column) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def draw_distinct(items: DataFrame, item: str, candidate: Callable[[Column], Column], claims: Callable[[Column], Column], taken: DataFrame) -> DataFrame:
+def draw_distinct(items: DataFrame, item: str, candidate: Callable[[Column], Column], claims: Callable[[Column], Column], taken: DataFrame, secret: Column, scope: Column) -> DataFrame:
     """items with `new`, drawn by candidate(attempt) until no two items claim the same and none claims what is taken.
 
     claims: the strings that an item with a `new` claims, as an array. taken: one column.
+    candidate finds what replacements follow from in the column SEED: a hash of the key, scope,
+    item and attempt.
     Each round draws again only for items that lost; the least item keeps a claim.
     """
     named = persist(items.withColumn("attempt", F.lit(0)), "items")
     while True:
-        drawn = persist(named.withColumn("new", candidate(F.col("attempt"))), "drawn")
+        drawn = persist(named.withColumn(SEED, seed_of(secret, scope, F.col(item), F.col("attempt"))).withColumn("new", candidate(F.col("attempt"))).drop(SEED), "drawn")
         claimed = drawn.select(F.col(item).alias("_item"), F.explode(F.array_distinct(claims(F.col("new")))).alias("claim"))
         first = claimed.groupBy("claim").agg(F.min("_item").alias("first"))
         lost = claimed.join(first, "claim").where("_item <> first").select("_item")
@@ -257,34 +289,59 @@ def draw_distinct(items: DataFrame, item: str, candidate: Callable[[Column], Col
         named = after
 
 
-def draw_names(persons: DataFrame, key: str) -> DataFrame:
+def draw_names(persons: DataFrame, secret: Column) -> DataFrame:
     """entity, kind, surrogate of names with their form of address: each word by itself."""
     e = F.col("entity")
     title, bare = F.regexp_extract(e, NAME, 0), F.regexp_extract(e, r"^\p{L}+", 0)
     gender = F.when(bare.isin(MALE), "m").when(bare.isin(FEMALE), "f").otherwise("n")
     words = F.split(F.substr(e, F.length(title) + 1, F.length(e)), " ")
-    listed = persons.select("entity", title.alias("title"), gender.alias("gender"), F.size(words).alias("n"), F.posexplode(words).alias("i", "shown"))
-    listed = persist(listed.withColumns({"word": F.lower("shown"), "last": F.col("i") == F.col("n") - 1}), "words")
-    atoms = listed.select("word", "last").distinct().withColumn("atom", F.concat_ws("|", "word", F.col("last").cast("string")))
-    drawn = draw_distinct(atoms, "atom", lambda attempt: name_stem(F.col("word"), F.col("last"), attempt, key), lambda new: name_forms(F.col("word"), new, F.col("last")), listed.select("word").distinct())
+    listed = persons.select("entity", title.alias("title"), gender.alias("gender"), F.size(words).alias("n"), F.posexplode(words).alias("i", "w"))
+    listed = listed.select("entity", "title", "gender", "n", "i", F.posexplode(F.regexp_extract_all("w", F.lit(rf"{_LETTER}+|[^\p{{L}}\p{{M}}]+"), 0)).alias("j", "shown"), "w")
+    # of a word's pieces: particles, punctuation and the O of O'Brien stay; an initial becomes another
+    stays = ~F.col("shown").rlike(rf"^{_LETTER}") | F.col("w").isin(PARTICLES) | ((F.length("shown") == 1) & F.col("w").rlike("^.['’]") & (F.col("j") == 0))
+    kind = F.when(stays, "stays").when(F.length("shown") == 1, "initial").otherwise("name")
+    listed = persist(listed.withColumns({"word": F.lower("shown"), "last": F.col("i") == F.col("n") - 1, "piece": kind}).drop("w"), "words")
+    atoms = listed.where("piece = 'name'").select("word", "last").distinct().withColumn("atom", F.concat_ws("|", "word", F.col("last").cast("string")))
+    drawn = draw_distinct(atoms, "atom", lambda attempt: name_stem(F.col("word"), attempt, F.col(SEED)), lambda new: name_forms(F.col("word"), new, F.col("last")), listed.where("piece = 'name'").select("word").distinct(), secret, F.lit("name"))
     # without a gender a surname follows its own ending, a first name is male
     female = (F.col("gender") == "f") | ((F.col("gender") == "n") & F.col("last") & F.col("word").rlike("[аяηα]$"))
     chosen = F.element_at(name_forms(F.col("word"), F.col("new"), F.col("last")), F.when(female, 2).otherwise(1))
     cased = F.when(F.upper("shown") == F.col("shown"), F.upper(chosen)).otherwise(F.initcap(chosen))
-    parts = listed.join(drawn.select("word", "last", "new"), ["word", "last"]).select("entity", "title", "i", cased.alias("part"))
-    whole = parts.groupBy("entity", "title").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "part"))), lambda x: x["part"]), " ").alias("name"))
+    # an initial is never itself
+    letters = F.lit("ABCDEFGHIJKLMNOPRSTVW")
+    turned = (_draw(F.col(SEED), F.lit(0)) % 20 + F.call_function("instr", letters, F.col("shown"))) % 21
+    initial = F.substr(letters, turned + 1, F.lit(1))
+    part = F.when(F.col("piece") == "stays", F.col("shown")).when(F.col("piece") == "initial", initial).otherwise(cased)
+    parts = listed.join(drawn.select("word", "last", "new", F.lit("name").alias("piece")), ["word", "last", "piece"], "left").withColumn(SEED, seed_of(secret, F.lit("initial"), F.col("shown"), F.lit(0))).select("entity", "title", "i", "j", part.alias("part"))
+    word = parts.groupBy("entity", "title", "i").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("j", "part"))), lambda x: x["part"]), "").alias("part"))
+    whole = word.groupBy("entity", "title").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "part"))), lambda x: x["part"]), " ").alias("name"))
     return whole.select("entity", F.lit("person").alias("kind"), F.concat("title", "name").alias("surrogate"))
 
 
+#: The column that replacements are drawn from; it is dropped before anything is written.
+SEED = "_silt_seed"
+
+
+def seed_of(secret: Column, scope: Column, item: Column, attempt: Column) -> Column:
+    """Of one length whatever the item's, as it is hashed again for the letters."""
+    return F.sha2(F.concat(secret, F.lit("|"), scope, F.lit("|"), item, F.lit("|"), attempt.cast("string")), 256)
+
+
+def hidden(spark: SparkSession, key: str) -> Column:
+    """The key as a scalar subquery over a one-row table: plans name the table and not what it holds."""
+    return spark.createDataFrame([(key,)], "secret string").scalar()
+
+
 def draw_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """entity, kind, surrogate for distinct entities; replacements are distinct and are no entity."""
+    secret = hidden(entities.sparkSession, key)
     named = persist(entities.withColumn("kind", kind_of(F.col("entity"))), "entities")
     others = named.where("kind <> 'person'").withColumn("domain", F.when(F.col("kind") == "email", F.lower(F.substring_index("entity", "@", -1))))
     domains = others.where("domain IS NOT NULL").select("domain").distinct()
-    new_domains = draw_distinct(domains, "domain", lambda attempt: domain_surrogate(F.col("domain"), attempt, key), F.array, domains).withColumnRenamed("new", "new_domain")
+    new_domains = draw_distinct(domains, "domain", lambda attempt: domain_surrogate(F.col("domain"), attempt, F.col(SEED)), F.array, domains, secret, F.lit("domain")).withColumnRenamed("new", "new_domain")
     joined = others.join(new_domains, "domain", "left")
-    drawn = draw_distinct(joined, "entity", lambda attempt: surrogate(F.col("entity"), F.col("kind"), attempt, F.col("new_domain"), key), F.array, named.select("entity"))
-    return drawn.select("entity", "kind", F.col("new").alias("surrogate")).unionByName(draw_names(named.where("kind = 'person'"), key))
+    drawn = draw_distinct(joined, "entity", lambda attempt: surrogate(F.col("entity"), F.col("kind"), attempt, F.col("new_domain"), F.col(SEED)), F.array, named.select("entity"), secret, F.col("kind"))
+    return drawn.select("entity", "kind", F.col("new").alias("surrogate")).unionByName(draw_names(named.where("kind = 'person'"), secret))
 
 
 def entities_by_text(texts: DataFrame, text_col: str = "text") -> DataFrame:

@@ -8,10 +8,13 @@ equal texts are one group and stay in one shard. Then rows move once.
 
 Texts whose rows together weigh more than the tolerance are found by an exact sum; there
 are at most n_shards / tolerance of them. They are given to shards first, the heaviest
-first, each whole to the shard with the most room; boundaries of the other texts then
-fill up the room that is left. Only a text for which no shard has room (its rows weigh
-more than a shard, or such texts leave gaps too small for it) is cut, between ids, into
-pieces that fill the shards with the most room, as shards could not be equal otherwise.
+first, each whole to the shard that has least so far. If that makes shards more even, texts
+of several rows for which no shard has room are taken apart, at first only those that weigh
+more than a shard: rows that are heavy
+themselves are given to shards one by one, and the light rest is cut between ids into
+pieces that fill the shards with the most room. A single row is never cut. The light
+texts then fill shards up to one level. All boundaries are probed together, a job a round,
+so the number of jobs does not grow with the number of texts.
 
 Results for odd input: a null text weighs as an empty one; a null id is an id like
 others and stays null; rows equal in id and text are one unit and stay in one shard;
@@ -70,15 +73,17 @@ def bytes_below(keys: DataFrame, probes: list[int]) -> list[int]:
     return [found.get(i, 0) for i in range(len(probes))]
 
 
-def find_splitters(keys: DataFrame, targets: list[int], allowed: int, step: int = SPAN) -> list[int]:
-    """For each target a key of 128 bits below which about so many bytes lie; boundaries are multiples of step (SPAN: between texts)."""
+def find_splitters(keys: DataFrame, targets: list[int], allowed: int, step: int = SPAN, given: dict[int, int] | None = None) -> list[int]:
+    """For each target a key of 128 bits below which about so many bytes lie; boundaries are multiples of step (SPAN: between texts). given: sums below keys that are known already."""
+    if not targets:
+        return []
     total = keys.agg(F.sum("size")).first()[0] or 0
-    known = {0: 0, SPAN * SPAN: total}
+    known = {0: 0, SPAN * SPAN: total} | (given or {})
     n = 8 * (len(targets) + 1)
-    probes = sorted({SPAN * SPAN * i // n // step * step for i in range(1, n)} - known.keys())
-    while probes:
-        for at in range(0, len(probes), 4096):
-            some = probes[at : at + 4096]
+    probes = [] if given else sorted({SPAN * SPAN * i // n // step * step for i in range(1, n)} - known.keys())
+    while True:
+        for at in range(0, len(probes), 1 << 16):
+            some = probes[at : at + (1 << 16)]
             known.update(zip(some, bytes_below(keys, some), strict=True))
         order = sorted(known)
         sums = [known[k] for k in order]
@@ -89,10 +94,14 @@ def find_splitters(keys: DataFrame, targets: list[int], allowed: int, step: int
                 continue
             a, z = -(-(order[i] + 1) // step), (order[i + 1] - 1) // step
             n = z - a + 1
-            new.update((a + (n - 1) * j // max(PROBES - 1, 1)) * step for j in range(PROBES) if n > 0)
+            # hashes are even over their range: look closest where the target should be
+            at = a + (n - 1) * (t - sums[i]) // max(sums[i + 1] - sums[i], 1)
+            near = [at + sign * (n >> (4 * e)) for e in range(1, PROBES // 4) for sign in (-1, 1)]
+            even = [a + (n - 1) * j // max(PROBES - 1, 1) for j in range(PROBES)]
+            new.update(p * step for p in (*near, at, *even) if a <= p <= z)
         probes = sorted(new - known.keys())
-    order = sorted(known)
-    sums = [known[k] for k in order]
+        if not probes:
+            break
     out = []
     for t in targets:
         i = min(bisect.bisect_left(sums, t), len(sums) - 1)
@@ -100,69 +109,137 @@ def find_splitters(keys: DataFrame, targets: list[int], allowed: int, step: int
     return out
 
 
-def place_groups(groups: list[tuple[int, int]], share: int, n_shards: int, allowed: int) -> tuple[list[tuple[int, list[tuple[int, int]]]], list[int]]:
-    """Heavy groups (key, bytes) to shards: (key, [(shard, bytes) of each piece]), and the room left in each shard."""
-    room = [share] * n_shards
-    free = [(-share, s) for s in range(n_shards)]
-    heapq.heapify(free)
-    out = []
-    for key, weight in sorted(groups, key=lambda g: (-g[1], g[0])):
-        pieces, left = [], weight
+def place_groups(groups: list[tuple[int, int, list[tuple[int, int]], int]], share: int, n_shards: int, allowed: int, apart_from: int = 0) -> tuple[dict[int, int], dict[tuple[int, int], int], dict[int, list[tuple[int, int]]], list[int]]:
+    """Heavy texts to shards, heaviest first, each to the one with least.
+
+    groups: key, bytes, heavy rows (key, bytes) and number of rows. A text of several rows
+    is taken apart if it does not fit and weighs more than apart_from. Returns the shard of
+    each whole text, that of each heavy row of texts that are taken apart, pieces
+    (shard, bytes) of what is left of these, and the bytes of each shard.
+    """
+    used = [(0, s) for s in range(n_shards)]
+    heapq.heapify(used)
+    whole: dict[int, int] = {}
+    single: dict[tuple[int, int], int] = {}
+    todo = [(-weight, key, None, tuple(rows), n) for key, weight, rows, n in groups]
+    heapq.heapify(todo)
+    fluid: list[tuple[int, int]] = []
+    while todo:
+        weight, key, row, rows, n = heapq.heappop(todo)
+        weight = -weight
+        have, s = used[0]
+        if row is None and n > 1 and weight > apart_from and have + weight > share + allowed:
+            for r, w in rows:
+                heapq.heappush(todo, (-w, key, r, (), 1))
+            if rest := weight - sum(w for _, w in rows):
+                fluid.append((key, rest))
+            continue
+        heapq.heapreplace(used, (have + weight, s))
+        if row is None:
+            whole[key] = s
+        else:
+            single[key, row] = s
+    pieces: dict[int, list[tuple[int, int]]] = {}
+    for key, left in sorted(fluid, key=lambda g: (-g[1], g[0])):
         while left > 0:
-            most, s = heapq.heappop(free)
-            # the last piece, and a whole group, may go over the share by the tolerance
-            part = left if left <= max(-most, 0) + allowed or -most <= 0 else -most
-            pieces.append((s, part))
-            room[s] -= part
+            have, s = used[0]
+            # the last piece may go over the share by the tolerance
+            part = left if have >= share or left <= share - have + allowed else share - have
+            pieces.setdefault(key, []).append((s, part))
+            heapq.heapreplace(used, (have + part, s))
             left -= part
-            heapq.heappush(free, (-room[s], s))
-        out.append((key, pieces))
-    return out, room
+    return whole, single, pieces, [w for w, _ in sorted(used, key=lambda u: u[1])]
+
+
+def fill_to_level(used: list[int], more: int) -> list[int]:
+    """How much of `more` each shard gets, so that all that get any end at one level."""
+    order = sorted(range(len(used)), key=lambda s: used[s])
+    level, spare = used[order[0]], more
+    for i, s in enumerate(order):
+        need = i * (used[s] - level)
+        if need > spare:
+            break
+        level, spare, n = used[s], spare - need, i + 1
+    out = [0] * len(used)
+    for i, s in enumerate(order[:n]):
+        out[s] = level - used[s] + spare // n + (i < spare % n)
+    return out
 
 
-def plan(keys: DataFrame, n_shards: int, tolerance: float) -> tuple[list[tuple[int, int, int]], list[int]]:
-    """Pieces of heavy texts (hash, first id hash, shard), and the splitters of all others."""
+def plan(keys: DataFrame, n_shards: int, tolerance: float) -> tuple[list[tuple[int, list[tuple[int, int]], list[tuple[int, int]]]], list[int]]:
+    """Of heavy texts (hash, [(first id hash, shard)] of pieces, [(id hash, shard)] of rows); the splitters of all others."""
     total = keys.agg(F.sum("size")).first()[0] or 0
     allowed = max(1, int(total / n_shards * tolerance))
-    heavy = [(r[HI], r["n"]) for r in keys.groupBy(HI).agg(F.sum("size").alias("n")).where(F.col("n") > allowed).collect()]
-    placed, room = place_groups(heavy, -(-total // n_shards), n_shards, allowed)
-    pieces = []
-    for key, parts in placed:
-        cuts = [0]
-        if len(parts) > 1:
-            ends = np.cumsum([w for _, w in parts])[:-1].tolist()
-            own = keys.where(F.col(HI) == key).select(F.lit(-HALF).cast("long").alias(HI), LO, "size")
-            cuts += find_splitters(own, ends, allowed, 1)
-        pieces += [(key, min(cut, SPAN - 1) - HALF, s) for cut, (s, _) in zip(cuts, parts, strict=True)]
-    light = keys.join(F.broadcast(keys.sparkSession.createDataFrame([(k,) for k, _ in heavy], f"{HI} long")), HI, "left_anti") if heavy else keys
-    ends = np.cumsum([max(r, 0) for r in room])
-    rest = light.agg(F.sum("size")).first()[0] or 0
-    targets = [int(e) * rest // max(int(ends[-1]), 1) for e in ends[:-1].tolist()]
-    return pieces, find_splitters(light, targets, allowed)
-
-
-def _at_or_after(splitter: int) -> Column:
-    if splitter >= SPAN * SPAN:
+    # rows equal in id and text are one
+    rows = keys.groupBy(HI, LO).agg(F.sum("size").alias("w"))
+    large = F.filter(F.collect_list(F.when(F.col("w") > allowed, F.struct(F.col(LO).alias("lo"), "w"))), lambda x: x.isNotNull())
+    # at most n_shards / tolerance texts, and as many heavy rows
+    heavy = [(r[HI], r["n"], [(x["lo"], x["w"]) for x in r["large"]], r["rows"]) for r in rows.groupBy(HI).agg(F.sum("w").alias("n"), F.count("*").alias("rows"), large.alias("large")).where(F.col("n") > allowed).collect()]
+    share, rest = -(-total // n_shards), total - sum(h[1] for h in heavy)
+    ways = [place_groups(heavy, share, n_shards, allowed, most) for most in (total, share, 0)]
+    after = [[u + x for u, x in zip(used, fill_to_level(used, rest), strict=True)] for *_, used in ways]
+    spread = [max(a) - min(a) for a in after]
+    # texts are taken apart, first those above a share, only if that makes shards more even
+    whole, single, pieces, used = next(w for w, x in zip(ways, spread, strict=True) if x <= min(spread) + allowed)
+    spark = keys.sparkSession
+    told: dict[int, tuple[list, list]] = {k: ([(-HALF, s)], []) for k, s in whole.items()}
+    for (k, lo), s in single.items():
+        told.setdefault(k, ([], []))[1].append((lo, s))
+    if pieces:
+        ends = {k: np.cumsum([w for _, w in parts]).tolist() for k, parts in pieces.items()}
+        apart = spark.createDataFrame([(k,) for k in pieces], f"{HI} long")
+        own = keys.join(F.broadcast(apart), HI, "left_semi")
+        if single:
+            taken = spark.createDataFrame(list(single), f"{HI} long, {LO} long")
+            own = own.join(F.broadcast(taken), [HI, LO], "left_anti")
+        known, targets, base = {}, [], 0
+        for k in sorted(pieces):
+            known[(k + HALF) * SPAN] = base
+            targets += [base + e for e in ends[k][:-1]]
+            base += ends[k][-1]
+            known[(k + HALF + 1) * SPAN] = base
+        cuts = iter(find_splitters(own, targets, allowed, 1, known))
+        for k in sorted(pieces):
+            first = [-HALF] + [min(max(next(cuts) - (k + HALF) * SPAN, 0), SPAN - 1) - HALF for _ in pieces[k][1:]]
+            told.setdefault(k, ([], []))[0].extend(zip(first, (s for s, _ in pieces[k]), strict=True))
+    light = keys.join(F.broadcast(spark.createDataFrame([(h[0],) for h in heavy], f"{HI} long")), HI, "left_anti") if heavy else keys
+    ends = np.cumsum(fill_to_level(used, rest)).tolist()
+    return [(k, *lists) for k, lists in told.items()], find_splitters(light, ends[:-1], allowed) if rest else [SPAN * SPAN] * (n_shards - 1)
+
+
+def shard_of(splitters: list[int]) -> Column:
+    """How many splitters are at or below the key: first among groups of them, then within one."""
+    n = max(1, int(len(splitters) ** 0.5))
+    # one at the very end is above every key
+    keys = [(s // SPAN - HALF, s % SPAN - HALF) for s in splitters if s < SPAN * SPAN]
+    groups = [keys[i : i + n] for i in range(0, len(keys), n)]
+    if not groups:
         return F.lit(0)
-    hi, lo = splitter // SPAN - HALF, splitter % SPAN - HALF
-    return ((F.col(HI) > hi) | ((F.col(HI) == hi) & (F.col(LO) >= lo))).cast("int")
+    kind = "array<struct<hi:long,lo:long>>"
+    at = F.struct(F.col(HI).alias("hi"), F.col(LO).alias("lo"))
+    listed = lambda g: F.array(*(F.struct(F.lit(h).cast("long").alias("hi"), F.lit(x).cast("long").alias("lo")) for h, x in g)).cast(kind)
+    below = lambda a: F.size(F.filter(a, lambda s: s <= at))
+    group = below(listed([g[0] for g in groups]))
+    inside = F.element_at(F.array(*(listed(g) for g in groups)), group)
+    return F.when(group == 0, 0).otherwise((group - 1) * n + below(inside)).cast("int")
 
 
-def shard_documents(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text", tolerance: float = 0.005, rows_per_task: int = 100_000) -> DataFrame:
+def shard_documents(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text", tolerance: float = 0.0025, rows_per_task: int = 100_000) -> DataFrame:
     """Adds size, text_crc32, shard (from 0) and slot (gapless from 0 in each shard) to docs."""
     spark = docs.sparkSession
     carried = [c for c in docs.columns if c.lower() not in ADDED]
     keyed = docs.select(F.struct(*carried).alias("row"), *_keys(id_col, text_col))
     keys = persist(keyed.select(HI, LO, "size"), "keys")
-    pieces, splitters = plan(keys, n_shards, tolerance)
-    # at most n_shards / tolerance texts, of pieces at most n_shards more
-    listed = spark.createDataFrame(pieces, f"{HI} long, first long, shard int").groupBy(HI).agg(F.sort_array(F.collect_list(F.struct("first", "shard"))).alias("pieces"))
-    by_key = sum((_at_or_after(s) for s in splitters), F.lit(0))
-    by_piece = F.element_at(F.filter("pieces", lambda p: p["first"] <= F.col(LO)), -1)["shard"]
+    told, splitters = plan(keys, n_shards, tolerance)
+    kind = "array<struct<lo:long,shard:int>>"
+    # at most n_shards / tolerance texts, rows and pieces
+    listed = spark.createDataFrame(told, f"{HI} long, pieces {kind}, rows {kind}").select(HI, F.sort_array("pieces").alias("pieces"), "rows")
+    by_piece = F.coalesce(F.get(F.filter("rows", lambda p: p["lo"] == F.col(LO)), F.lit(0))["shard"], F.get(F.reverse(F.filter("pieces", lambda p: p["lo"] <= F.col(LO))), F.lit(0))["shard"])
+    by_key = shard_of(splitters)
 
     def place(df: DataFrame) -> DataFrame:
-        with_pieces = df.join(F.broadcast(listed), HI, "left") if pieces else df.withColumn("pieces", F.lit(None).cast("array<struct<first:long,shard:int>>"))
-        return with_pieces.withColumns({"shard": F.when(F.col("pieces").isNotNull(), by_piece).otherwise(by_key), FINE: F.pmod(F.xxhash64(LO, HI), F.lit(fine)).cast("int")}).drop("pieces")
+        known = df.join(F.broadcast(listed), HI, "left") if told else df.withColumns({"pieces": F.lit(None).cast(kind), "rows": F.lit(None).cast(kind)})
+        return known.withColumns({"shard": F.when(F.col("pieces").isNotNull(), by_piece).otherwise(by_key), FINE: F.pmod(F.xxhash64(LO, HI), F.lit(fine)).cast("int")}).drop("pieces", "rows")
 
     fine = max(-(-keys.count() // (n_shards * rows_per_task)), -(-2 * shuffle_width(spark) // n_shards))
     counts = place(keys).groupBy("shard", FINE).count()

@@ -173,6 +173,52 @@ def toxic_corpus(n=600):
     return rows, labels
 
 
+def test_long_runs_of_one_word_take_linear_time():
+    """Marks and items as by all windows, in time in proportion to the texts."""
+    import time
+
+    from siltstone.llm import decontamination as D
+
+    def by_hand(texts, items):
+        out = []
+        for t in texts:
+            words, mark, got = words_of(t), set(), set()
+            for name, x in items.items():
+                w = words_of(x)
+                n = min(13, len(w))
+                own = {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if n else set()
+                for i in range(len(words) - n + 1 if n else 0):
+                    if tuple(words[i : i + n]) in own:
+                        mark.update(range(i, i + n))
+                        got.add(name)
+            out.append((len(words), mark, got))
+        return out
+
+    r = random.Random(3)
+    texts = [b"a " * 300, b"b " + b"a " * 40 + b"c", b" ".join(r.choice([b"a", b"b"]) for _ in range(400)), b"x y z", b"", b"a"]
+    items = {"run": b"a " * 90, "short": b"a", "two": b"a b", "mix": b" ".join(r.choice([b"a", b"b"]) for _ in range(300)), "none": b"", "copy": b"a " * 90, "z": b"y z"}
+    index = D.Index(list(items), list(items.values()), 13, 5)
+    n, hits, found = D.judge_texts(index, texts)
+    for d, (size, mark, names) in enumerate(by_hand(texts, items)):
+        assert n[d] == size and set(np.flatnonzero(hits[d]) if d in hits else ()) == mark and found.get(d, set()) == names
+    index = D.Index(["1", "2", "3"], [b"a " * 20_000] * 3, 13, 5)
+    start = time.process_time()
+    n, hits, found = D.judge_texts(index, [b"a " * 20_000])
+    assert time.process_time() - start < 2 and hits[0].all() and found[0] == {"1", "2", "3"}
+
+
+def test_windows_of_one_hash(monkeypatch):
+    """Were all windows to have one hash, words would still tell them apart."""
+    from siltstone.llm import decontamination as D
+
+    grams = D.Words.grams
+    monkeypatch.setattr(D.Words, "grams", lambda self, k: (lambda p, h: (p, h * np.uint64(0) + np.uint64(9)))(*grams(self, k)))
+    monkeypatch.setattr(D.Words, "kept", lambda self, k, w: self.grams(k))
+    index = D.Index(["1", "2"], [b"a b c d e f g h i j k l m n", b"q w e r t z u i o p a s d f"], 13, 5)
+    n, hits, found = D.judge_texts(index, [b"x b c d e f g h i j k l m n", b"q w e r t z u i o p a s d x", b"no " * 20])
+    assert found == {0: {"1"}, 1: {"2"}} and hits[0].tolist() == [False] + [True] * 13 and hits[1].tolist() == [True] * 13 + [False]
+
+
 def test_toxicity(spark):
     rows, labels = toxic_corpus()
     out = toxicity.toxicity(spark.createDataFrame(rows + ODD, SCHEMA), spark.createDataFrame([*labels, (None, 1), (3, None)], "doc_id long, toxic int")).collect()
@@ -284,12 +330,68 @@ def test_equal_texts_share_a_shard(spark):
 
 @pytest.mark.parametrize("seed", range(20))
 def test_places_of_heavy_groups(seed):
+    """Nothing is lost; rows stay whole; where light rows can even it out, no shard is above its share by more than a row or the tolerance."""
+    r = random.Random(seed)
+    groups = []
+    for i in range(r.randint(1, 60)):
+        rows = [(j, r.choice([6, 60, 500, 2000])) for j in range(r.choice([0, 1, 1, 3]))]
+        light = r.choice([0, 0, 40, 700]) if rows else r.choice([6, 40, 700])
+        groups.append((i, sum(w for _, w in rows) + light, rows, len(rows) + light))
+    share = max(sum(g[1] for g in groups) // 8 + r.choice([1, 50, 900]), 10)
+    whole, single, pieces, used = sharding.place_groups(groups, share, 8, 5)
+    given = [0] * 8
+    for key, weight, rows, n in groups:
+        if key in whole:
+            assert key not in pieces and not any((key, j) in single for j, _ in rows)
+            given[whole[key]] += weight
+            continue
+        assert n > 1 and all((key, j) in single for j, _ in rows)
+        assert sum(w for _, w in pieces.get(key, ())) == weight - sum(w for _, w in rows)
+        for j, w in rows:
+            given[single[key, j]] += w
+        for s, w in pieces.get(key, ()):
+            given[s] += w
+    assert given == used and max(used) <= max(share + 5, share + max((w for _, _, rows, _ in groups for _, w in rows), default=0), *(g[1] for g in groups if g[3] == 1), 0)
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_level(seed):
     r = random.Random(seed)
-    groups = [(i, r.choice([5, 60, 500, 2000])) for i in range(r.randint(1, 60))]
-    share = max(sum(w for _, w in groups) // 8 + r.choice([1, 50, 900]), 10)
-    placed, room = sharding.place_groups(groups, share, 8, 5)
-    assert all(sum(w for _, w in parts) == dict(groups)[k] for k, parts in placed) and min(room) >= -5
-    assert sorted(share - x for x in room) == sorted(sum(w for _, parts in placed for s, w in parts if s == i) for i in range(8))
+    used = [r.randint(0, 50) for _ in range(9)]
+    for more in (0, 1, 7, 100, 1000):
+        out = sharding.fill_to_level(used, more)
+        after = [u + x for u, x in zip(used, out, strict=True)]
+        assert sum(out) == more and min(out) >= 0
+        filled = [a for a, x in zip(after, out, strict=True) if x]
+        assert not filled or (max(filled) - min(filled) <= 1 and min(after) >= min(filled) - 1)
+
+
+def test_few_large_rows_and_few_jobs(spark, monkeypatch):
+    """Rows near a shard's share: as even as whole rows given to the emptiest shard, in a number of probe jobs that does not follow from the number of texts."""
+    jobs = []
+    probe = sharding.bytes_below
+    monkeypatch.setattr(sharding, "bytes_below", lambda keys, probes: jobs.append(len(probes)) or probe(keys, probes))
+    for sf, least in (("sf0.001", 11_900), (None, None)):
+        jobs.clear()
+        if sf:
+            docs, n = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text"), 40
+        else:
+            r = random.Random(4)
+            rows = [f"t{i} " + "x" * r.choice([50, 900, 4000]) for i in range(60)] + ["copies " + "y" * 700] * 40 + ["few " + "z" * 3000] * 5
+            docs, n = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), 12
+        out = sharding.shard_documents(docs, n).toPandas()
+        size = out.groupby("shard")["size"].sum()
+        emptiest = [0] * n
+        for w in sorted(out.groupby(["text", "doc_id"], dropna=False)["size"].sum() if least is None else out.groupby("text")["size"].sum(), reverse=True):
+            emptiest[emptiest.index(min(emptiest))] += w
+        assert len(size) == n and size.min() >= (least or 0.97 * min(emptiest)) and size.max() <= 1.03 * max(emptiest)
+        assert len(jobs) <= 30 and all(sorted(g) == list(range(len(g))) for _, g in out.groupby("shard").slot)
+
+
+def test_many_shards(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    out = sharding.shard_documents(docs, 3000, tolerance=0.2).groupBy("shard").agg(F.sum("size").alias("n")).toPandas()
+    assert len(out) > 2950 and out.n.max() < 4 * out.n.mean()
 
 
 def test_bpe(spark):
