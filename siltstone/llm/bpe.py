@@ -1,6 +1,9 @@
 """Byte-level BPE encoding and decoding through a table of distinct words.
 
-Texts are split into words by the tokenizer's own pattern, in blocks. Each block asks
+Texts are split into words by the tokenizer's own pattern, in blocks. What is a letter or a
+number follows the library's Unicode version: characters beyond Armenian are looked up in
+the library once each, and those that it tells apart otherwise than the pattern's engine
+are read as a character of their class. Each block asks
 for its distinct words; requests meet by hash, so every distinct word of the corpus is
 encoded once; the ids go back to the blocks that asked and are joined to the words by
 position. Decoding is a join of ids with the table of pieces (id, piece): that table is
@@ -60,6 +63,45 @@ def check(spec: dict) -> None:
         raise ValueError(f"this tokenizer file needs: {'; '.join(broken)}")
 
 
+class Classes:
+    """Characters that the library puts in another class (letter, number, other) than the engine of the pattern. All below FIRST agree, and so does white space."""
+
+    FIRST = 0x558
+    LEAD = chr(FIRST).encode()[0]
+
+    def __init__(self) -> None:
+        import regex
+
+        self.letter, self.number = regex.compile(r"\p{L}"), regex.compile(r"\p{N}")
+        self.known: set[str] = set()
+        self.odd: dict[int, str] = {}
+
+    @cached_property
+    def library(self):
+        from tokenizers import pre_tokenizers
+
+        return pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
+
+    def _with(self, mark: str, chars: list[str]) -> set[str]:
+        """Those of chars that the library leaves in one word with a mark before them."""
+        pieces = self.library.pre_tokenize_str("".join(f"{mark}{c}\n" for c in chars))
+        return {chars[a // 3] for _, (a, z) in pieces if a % 3 == 0 and z - a >= 2}
+
+    def stand_ins(self, text: str) -> dict[int, str]:
+        """For odd characters of a text one that the engine puts in the right class: x, 1 or a dot, which begin no contraction."""
+        chars = {c for c in set(text) if ord(c) >= self.FIRST}
+        new = sorted(c for c in chars - self.known if not c.isspace())
+        self.known |= chars
+        if new:
+            letters, numbers = self._with("a", new), self._with("1", new)
+            for c in new:
+                ours = "x" if self.letter.match(c) else "1" if self.number.match(c) else "."
+                theirs = "x" if c in letters else "1" if c in numbers else "."
+                if ours != theirs:
+                    self.odd[ord(c)] = theirs
+        return {ord(c): self.odd[ord(c)] for c in chars if ord(c) in self.odd}
+
+
 class Vocabulary:
     """A tokenizer file of the byte-level kind: words to ids, ids to bytes."""
 
@@ -78,6 +120,7 @@ class Vocabulary:
         pieces = {i: bytes(of[c] for c in piece) for piece, i in spec["model"]["vocab"].items()} | {i: piece.encode() for piece, i in self.special.items()}
         self.pieces = pa.table({"id": pa.array(list(pieces), pa.int32()), "piece": pa.array(list(pieces.values()), pa.binary())})
         self.words = regex.compile(PATTERN)
+        self.classes = Classes()
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
 
     @cached_property
@@ -87,16 +130,22 @@ class Vocabulary:
 
         return Tokenizer.from_file(self.path).model
 
-    def split(self, text: str) -> list[str]:
-        """Words and special tokens of a text, in order; joined they are the text."""
+    def split(self, text: str, plain: bool = False) -> list[str]:
+        """Words and special tokens of a text, in order; joined they are the text. plain: it has no character from Classes.FIRST on."""
         if self.cut is None or not any(s in text for s in self.special):
-            return self.words.findall(text)
+            return self._words(text, plain)
         out, at = [], 0
         for m in self.cut.finditer(text):
-            out += self.words.findall(text[at : m.start()])
+            out += self._words(text[at : m.start()], plain)
             out.append(m[0])
             at = m.end()
-        return out + self.words.findall(text[at:])
+        return out + self._words(text[at:], plain)
+
+    def _words(self, text: str, plain: bool) -> list[str]:
+        swap = {} if plain else self.classes.stand_ins(text)
+        if not swap:
+            return self.words.findall(text)
+        return [text[m.start() : m.end()] for m in self.words.finditer(text.translate(swap))]
 
     def encode_word(self, word: str) -> list[int]:
         if word in self.special:
@@ -135,7 +184,7 @@ def distinct_words(v: Vocabulary, texts: list[bytes], parts: int) -> tuple[np.nd
     codes, n_words = [np.empty(0, np.int32)], []
     for a, z in slices(texts):
         for t in texts[a:z]:
-            words = v.split(t.decode("utf-8", "replace"))
+            words = v.split(t.decode("utf-8", "replace"), not t or np.frombuffer(t, np.uint8).max() < Classes.LEAD)
             n_words.append(len(words))
             codes.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
         codes = [np.concatenate(codes)]

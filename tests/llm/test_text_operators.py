@@ -434,6 +434,38 @@ def test_other_tokenizer_files(spark, tmp_path):
         bpe.vocabulary(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def test_words_end_where_the_library_ends_them():
+    """All code points of the first two planes, and some of the others, between letters, digits, marks and spaces."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    v = bpe.vocabulary(vocabulary_path())
+    library = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
+    chars = [chr(c) for c in [*range(1, 0xD800), *range(0xE000, 0x20000), *range(0x20000, 0x110000, 97)]]
+    for a in range(0, len(chars), 20_000):
+        for context in (".{0}'s", "a{0}1{0} {0}{0}b"):
+            text = "\n".join(context.format(c) for c in chars[a : a + 20_000])
+            words = [text[x:z] for _, (x, z) in library.pre_tokenize_str(text)]
+            assert v.split(text) == words
+    t = Tokenizer.from_file(vocabulary_path())
+    for text in (".\u0558's", "x\u0558\u058b 1\U00031350\U00031350 don\u2019t \u208f's", "<|endoftext|>\u0558'll<|endoftext|>"):
+        assert [i for w in v.split(text) for i in v.encode_word(w)] == t.encode(text, add_special_tokens=False).ids
+    assert len(v.classes.odd) > 300 and min(v.classes.odd) == bpe.Classes.FIRST
+
+
+def test_bpe_of_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b", 7, "x", 3)], "doc_id long, text string, ids int, block string, said int")
+    assert [tuple(r) for r in bpe.encode_documents(df, vocabulary_path()).collect()] == [tuple(r) for r in bpe.encode_documents(df.select("doc_id", "text"), vocabulary_path()).collect()]
+
+
+def test_toxicity_of_clashing_columns(spark):
+    rows, labels = toxic_corpus(60)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    clash = docs.withColumns({"score": F.lit("x"), "held_out": F.lit(3), "_d": F.lit(1), "_t": F.lit(2), "_i": F.lit(4), "toxic": F.lit(9)})
+    a, b = (sorted(map(tuple, toxicity.toxicity(d, m).collect())) for d, m in ((docs, marks), (clash, marks.withColumn("_y", F.lit(5)))))
+    assert a == b
+
+
 def test_decode_odd_ids(spark):
     rows = [(1, [464, None, 99_999_999]), (2, None), (3, [])]
     got = {r.doc_id: r.text for r in bpe.decode_documents(spark.createDataFrame(rows, "doc_id long, ids array<int>"), vocabulary_path()).collect()}
