@@ -46,6 +46,20 @@ def cap_signatures(hits: DataFrame, by: list[str], sig: str, score: str, order:
     return keep_first(hits, [*by, sig], [F.desc(score), order], 10 if coverage else 2)
 
 
+def accept_if_it_fits(df: DataFrame, by: list[str], order: list[str], size: str, budget: int, columns: list[str]) -> DataFrame:
+    """Rows of each group in order, each accepted if it still fits: one that does not is passed by, and a smaller one after it may fit.
+
+    A fold over the group's list with what is used and what is chosen; groups are the hits
+    of a question. Rows with a null size are passed by.
+    """
+    listed = F.array_sort(F.collect_list(F.struct(*order, F.col(size).cast("long").alias("_n"), F.struct(*columns).alias("_row"))))
+    kind = dict(df.select(F.struct(*columns).alias("r")).dtypes)["r"]
+    start = F.struct(F.lit(0).cast("long").alias("used"), F.array().cast(f"array<{kind}>").alias("chosen"))
+    step = lambda s, x: F.when(s["used"] + x["_n"] <= budget, F.struct((s["used"] + x["_n"]).alias("used"), F.array_append(s["chosen"], x["_row"]).alias("chosen"))).otherwise(s)
+    folded = df.groupBy(*by).agg(F.aggregate(listed, start, step)["chosen"].alias("_chosen"))
+    return folded.select(*by, F.explode("_chosen").alias("_row")).select(*by, "_row.*")
+
+
 def tokens(s: str) -> int:
     """a token each for CJK letters, else one for four letters."""
     wide = sum("一" <= c <= "鿿" for c in s)

@@ -335,17 +335,23 @@ def hybrid(bm25_hits: DataFrame, dense_hits: DataFrame, contents: DataFrame, que
     return best.select("qid", "doc", "rank", "rrf", "ce", "final_score")
 
 
-#: Intents of a query that the rule reranker knows.
-YOY, FX, MARGIN, RESEARCH = r"year[- ]over[- ]year|yoy|compared", r"foreign|exchange|currency|fx", r"gross margin", r"r&d|research and development"
+#: Intents of a query that the rule reranker knows, and a row of three years.
+YOY = r"\b(yoy|year[- ]over[- ]year|compared to 20\d{2}|increased? \d+%|decreased? \d+%)\b"
+FX = r"\b(foreign exchange|fx|currency|currencies|u\.s\. dollar|usd)\b"
+MARGIN = r"\bgross margin( percentage| %)\b"
+RESEARCH = r"\b(r&d|research and development)\b"
+THREE_YEARS = r"\b20\d{2}\b.*\b20\d{2}\b.*\b20\d{2}\b"
 
 
-def rule_score(query: str, heading: str, content: str, concepts: str) -> Column:
-    """Bonus of the rules, -0.2 at least."""
+def rule_score(query: str, heading: str, content: str, concepts: str, labels: str | None = None) -> Column:
+    """Bonus of the rules, -0.2 at least. labels: main labels of the concepts, which count if the heading has one."""
     q, h, t = (F.lower(F.coalesce(F.col(c), F.lit(""))) for c in (query, heading, content))
     points = lambda ok, x: F.when(F.coalesce(ok, F.lit(False)), x).otherwise(0.0)
+    named = F.exists(labels, lambda x: F.coalesce((x != "") & F.contains(h, F.lower(x)), F.lit(False))) if labels else F.lit(False)
     total = (
         points(F.size(concepts) > 0, 0.15)
-        + points(q.rlike(YOY) & t.contains("compared to"), 0.08)
+        + points(named, 0.05)
+        + points(q.rlike(YOY) & (t.contains("compared to") | t.rlike(THREE_YEARS)), 0.08)
         + points(q.rlike(FX) & t.rlike("foreign|currency|u\\.s\\. dollar|usd"), 0.08)
         + points(q.rlike(MARGIN) & (h.contains("gross margin") | t.contains("%")), 0.08)
         + points(q.rlike(RESEARCH) & (h.contains("operating expenses") | t.contains("research and development")), 0.08)

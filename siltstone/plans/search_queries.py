@@ -229,10 +229,40 @@ def r15_anchor(spark, sf):
 @query("SELECT event_id, round(0.6 * (" + _MM.format("value").replace("0.5 END", "0.0 END") + ") + 0.3 * (" + _MM.format("event_id").replace("0.5 END", "0.0 END") + ") + CASE event_id % 3 WHEN 0 THEN 0.23 WHEN 1 THEN -0.15 ELSE 0.0 END, 6) AS score FROM events WINDOW w AS (PARTITION BY user_id)")
 def r09_rule_rerank(spark, sf):
     k = F.col("event_id") % 3
-    e = table(spark, sf, "events").withColumns({"q": F.lit("gross margin"), "h": F.when(k == 0, "Gross Margin").when(k == 1, "Index").otherwise("x"), "c": F.lit("plain"), "cs": F.when(k == 0, F.array(F.lit("c"))).otherwise(F.array().cast("array<string>"))})
+    e = table(spark, sf, "events").withColumns({"q": F.lit("gross margin percentage"), "h": F.when(k == 0, "Gross Margin").when(k == 1, "Index").otherwise("x"), "c": F.lit("plain"), "cs": F.when(k == 0, F.array(F.lit("c"))).otherwise(F.array().cast("array<string>"))})
     return S.rule_rerank(e, ["user_id"], "value", "event_id", S.rule_score("q", "h", "c", "cs")).select("event_id", F.round("score", 6).alias("score"))
 
 
+#: Questions, headings, contents and labels that each rule is hit by, or only just missed.
+_Q = ["YoY growth", "sales compared to 2022", "gross margin percentage", "r&d spend", "fx effects", "exchange of shares", "fixed costs", "compared"]
+_H = ["Net Sales of Widgets", "Gross Margin", "Operating Expenses", "Signatures", "Index", None, "Cover of Widgets"]
+_C = ["more compared to before", "2023 2022 2021", "12% of it", "Research and Development", "in USD", "2023 and 2022", None, "nothing"]
+
+
+def _pick(values: list, n: str) -> str:
+    return "(CASE " + n + "".join(f" WHEN {i} THEN {'NULL' if v is None else repr(v)}" for i, v in enumerate(values)) + " END)"
+
+
+_RULES = f"""SELECT l_orderkey, l_linenumber, lower({_pick(_Q, 'l_orderkey % 8')}) AS q, lower(coalesce({_pick(_H, 'l_partkey % 7')}, '')) AS h, lower(coalesce({_pick(_C, 'l_suppkey % 8')}, '')) AS t, l_linenumber % 2 = 0 AS tagged FROM lineitem"""
+
+
+@query(
+    f"""SELECT l_orderkey, l_linenumber, round(greatest(-0.2, CASE WHEN tagged THEN 0.15 ELSE 0 END + CASE WHEN tagged AND contains(h, 'widgets') THEN 0.05 ELSE 0 END
++ CASE WHEN regexp_matches(q, '\\byoy\\b|year[- ]over[- ]year|compared to 20[0-9][0-9]') AND (contains(t, 'compared to') OR regexp_matches(t, '20[0-9][0-9].*20[0-9][0-9].*20[0-9][0-9]')) THEN 0.08 ELSE 0 END
++ CASE WHEN regexp_matches(q, '\\b(foreign exchange|fx|currency|currencies|usd)\\b') AND regexp_matches(t, 'foreign|currency|usd') THEN 0.08 ELSE 0 END
++ CASE WHEN contains(q, 'gross margin percentage') AND (contains(h, 'gross margin') OR contains(t, '%')) THEN 0.08 ELSE 0 END
++ CASE WHEN contains(q, 'r&d') AND (contains(h, 'operating expenses') OR contains(t, 'research and development')) THEN 0.08 ELSE 0 END
+- CASE WHEN regexp_matches(h, 'signature|cover|index') THEN 0.15 ELSE 0 END), 6) AS s FROM ({_RULES})"""
+)
+def r09_rules(spark, sf):
+    """Every rule, for all lines; 'exchange', 'fixed' and 'compared' alone are no intents."""
+    one = lambda values, n: F.element_at(F.array(*(F.lit(v).cast("string") for v in values)), (F.col(n) % len(values) + 1).cast("int"))
+    tagged = F.col("l_linenumber") % 2 == 0
+    none = F.array().cast("array<string>")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", one(_Q, "l_orderkey").alias("q"), one(_H, "l_partkey").alias("h"), one(_C, "l_suppkey").alias("t"), F.when(tagged, F.array(F.lit("c"))).otherwise(none).alias("c"), F.when(tagged, F.array(F.lit(""), F.lit(None).cast("string"), F.lit("Widgets"))).otherwise(none).alias("l"))
+    return rows.select("l_orderkey", "l_linenumber", F.round(S.rule_score("q", "h", "t", "c", "l"), 6).alias("s"))
+
+
 _SURFACES = [("widget", "widget"), ("widget", "small gadget"), ("bolt", "bolt"), ("rod", "rod"), ("rod", "iron bar")]
 _RELATED = [("widget", "bolt"), ("bolt", "rod")]
 _HIT = "SELECT p_partkey AS qid, s.concept FROM part JOIN s ON contains(lower('Which ' || p_name || ' was sold in ' || (2000 + p_size) || ' and 1999'), s.surface)"
@@ -286,3 +316,14 @@ def w12_running_budget(spark, sf):
 @query()
 def r01_embed(spark, sf):
     return S.embed_texts(table(spark, sf, "benchmark"), "text", 16).select("item_id", F.round(F.sqrt(inner_product("embedding", "embedding")), 4).alias("norm"))
+
+
+@query(
+    """WITH RECURSIVE e AS (SELECT event_id, user_id, event_id % 50 AS n, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+r AS (SELECT user_id, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS used, CAST(NULL AS BIGINT) AS took FROM (SELECT DISTINCT user_id FROM events)
+UNION ALL SELECT r.user_id, e.i, CASE WHEN used + n <= 240 THEN used + n ELSE used END, CASE WHEN used + n <= 240 THEN e.event_id END FROM r JOIN e ON e.user_id = r.user_id AND e.i = r.i + 1)
+SELECT user_id, took AS event_id FROM r WHERE took IS NOT NULL"""
+)
+def w12_accept_if_fits(spark, sf):
+    """Each row is taken if it still fits; later, smaller ones may fit where one did not."""
+    return Ev.accept_if_it_fits(table(spark, sf, "events").withColumn("n", F.col("event_id") % 50), ["user_id"], ["ts", "event_id"], "n", 240, ["event_id"]).select("user_id", "event_id")

@@ -208,6 +208,17 @@ def t21_disambiguate(spark, sf):
     return E.disambiguate(ents, reg, "ctx").select("s_suppkey", "resolved_ticker", F.round("confidence", 6).alias("confidence"))
 
 
+@query("SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'T' || s_suppkey WHEN 1 THEN 'OWN' || s_suppkey END AS ticker, round(CASE WHEN s_suppkey % 4 < 2 THEN 1.0 WHEN s_suppkey % 4 = 3 THEN 0.98 WHEN s_suppkey % 3 = 0 THEN 0.99 ELSE 0.97 END, 6) AS confidence, CASE WHEN s_suppkey % 4 < 3 THEN s_suppkey % 4 < 2 OR s_suppkey % 3 = 0 END AS is_company FROM (SELECT *, s_suppkey AS k FROM supplier)")
+def t21_own_company(spark, sf):
+    """By the registry, by the document's own company, by financial context, and what is no organisation."""
+    s, k = table(spark, sf, "supplier"), F.col("s_suppkey") % 4
+    key = F.col("s_suppkey").cast("string")
+    ents = s.select("s_suppkey", F.when(k == 3, "GPE").otherwise("ORG").alias("label"), F.upper("s_name").alias("normalized"), F.when(k == 3, 0.98).otherwise(0.97).alias("confidence"), F.when(F.col("s_suppkey") % 3 == 0, "quarter revenue").otherwise("nothing").alias("ctx"), F.lower(F.concat(F.lit("own"), key)).alias("own"))
+    registry = s.where("s_suppkey % 4 = 0").select(F.col("s_name").alias("variant"), F.concat(F.lit("T"), key).alias("ticker"))
+    names = s.where("s_suppkey % 4 <> 2").select(F.concat(F.lit("OWN"), key).alias("ticker"), F.col("s_name").alias("variant"))
+    return E.disambiguate(ents, registry, "ctx", "own", names).select("s_suppkey", F.col("resolved_ticker").alias("ticker"), F.round("confidence", 6).alias("confidence"), "is_company")
+
+
 @query("SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1")
 def a24_filing_dedup(spark, sf):
     return keep_first(table(spark, sf, "documents"), ["source", "lang"], ["doc_id"]).select("doc_id", "lang")
