@@ -2,105 +2,20 @@
 
 from __future__ import annotations
 
-import re
-import xml.etree.ElementTree as ET
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import fiscal, nested, numeric
 from siltstone.functions import text as X
-
-FACT_TYPE = "array<struct<ord:int,qname:string,value:string,context_id:string,unit_id:string,decimals:string,entity:string,period_start:string,period_end:string,instant:string,dimensions:map<string,string>,unit:string>>"
-ARC_TYPE = "array<struct<kind:string,linkrole:string,from_label:string,to_label:string,from_concept:string,to_concept:string,arcrole:string,ord:double,weight:double,preferred_label:string,text:string,lang:string,role:string>>"
-_XLINK = "{http://www.w3.org/1999/xlink}"
-
-
-def _local(tag: str) -> str:
-    return tag.rsplit("}", 1)[-1]
-
-
-def parse_instance(xml: str) -> list[dict]:
-    """Facts of an instance with context and unit; nil ones are skipped; no facts if it is no XML."""
-    try:
-        root = ET.fromstring(xml)
-    except ET.ParseError:
-        return []
-    prefixes = dict(re.findall(r'xmlns:([\w.-]+)="([^"]+)"', xml))
-    prefix_of = {uri: p for p, uri in prefixes.items()}
-    contexts, units, out = {}, {}, []
-    for e in root:
-        if _local(e.tag) == "context":
-            got = {"entity": None, "period_start": None, "period_end": None, "instant": None, "dimensions": {}}
-            for x in e.iter():
-                name, value = _local(x.tag), (x.text or "").strip()
-                if name == "identifier":
-                    got["entity"] = value
-                elif name in {"startDate", "endDate", "instant"}:
-                    got[{"startDate": "period_start", "endDate": "period_end", "instant": "instant"}[name]] = value
-                elif name == "explicitMember":
-                    got["dimensions"][x.get("dimension", "")] = value
-            contexts[e.get("id")] = got
-        elif _local(e.tag) == "unit":
-            top = [(m.text or "").strip() for m in e.iter() if _local(m.tag) == "measure"]
-            div = [x for x in e.iter() if _local(x.tag) == "divide"]
-            if div:
-                side = lambda n: "*".join((m.text or "").strip() for x in div[0] if _local(x.tag) == n for m in x.iter() if _local(m.tag) == "measure")
-                units[e.get("id")] = f"{side('unitNumerator')}/{side('unitDenominator')}"
-            else:
-                units[e.get("id")] = "*".join(top)
-    for e in root:
-        if e.get("contextRef") is None or e.get("{http://www.w3.org/2001/XMLSchema-instance}nil") == "true":
-            continue
-        uri, _, name = e.tag[1:].partition("}")
-        c = contexts.get(e.get("contextRef"), {"entity": None, "period_start": None, "period_end": None, "instant": None, "dimensions": {}})
-        out.append({"ord": len(out), "qname": f"{prefix_of.get(uri, 'ns')}:{name}", "value": "".join(e.itertext()).strip(), "context_id": e.get("contextRef"), "unit_id": e.get("unitRef"), "decimals": e.get("decimals"), **c, "unit": units.get(e.get("unitRef"))})
-    return out
-
-
-def parse_linkbase(xml: str) -> list[dict]:
-    """Label, calculation, presentation and definition arcs with both ends resolved; others are dropped."""
-    try:
-        root = ET.fromstring(xml)
-    except ET.ParseError:
-        return []
-    out = []
-    for link in root.iter():
-        kind = {"labelLink": "label", "calculationLink": "calculation", "presentationLink": "presentation", "definitionLink": "definition"}.get(_local(link.tag))
-        if not kind:
-            continue
-        where, texts = {}, {}
-        for e in link:
-            if _local(e.tag) == "loc":
-                where[e.get(f"{_XLINK}label")] = (e.get(f"{_XLINK}href") or "").rsplit("#", 1)[-1].replace("_", ":", 1)
-            elif _local(e.tag) == "label":
-                texts.setdefault(e.get(f"{_XLINK}label"), []).append(((e.text or "").strip(), e.get("{http://www.w3.org/XML/1998/namespace}lang"), e.get(f"{_XLINK}role")))
-        for e in link:
-            if not _local(e.tag).endswith("Arc"):
-                continue
-            a, b = e.get(f"{_XLINK}from"), e.get(f"{_XLINK}to")
-            row = {"kind": kind, "linkrole": link.get(f"{_XLINK}role"), "from_label": a, "to_label": b, "from_concept": where.get(a), "to_concept": where.get(b), "arcrole": e.get(f"{_XLINK}arcrole"), "ord": float(e.get("order") or 0), "weight": float(e.get("weight")) if e.get("weight") else None, "preferred_label": e.get("preferredLabel"), "text": None, "lang": None, "role": None}
-            if kind == "label":
-                out += [row | {"text": t, "lang": lang, "role": role} for t, lang, role in texts.get(b, ()) if a in where]
-            elif a in where and b in where:
-                out.append(row)
-    return out
-
-
-def instance_facts(c: Column) -> Column:
-    return F.pandas_udf(lambda s: s.map(lambda x: parse_instance(x or "")), FACT_TYPE)(c)
-
-
-def linkbase_arcs(c: Column) -> Column:
-    return F.pandas_udf(lambda s: s.map(lambda x: parse_linkbase(x or "")), ARC_TYPE)(c)
+from siltstone.operators import xml_files
 
 
 def xbrl_facts(files: DataFrame, key: str, xml: str) -> DataFrame:
-    return files.select(key, F.explode(instance_facts(F.col(xml))).alias("f")).select(key, "f.*")
+    return xml_files.facts(files, key, xml)
 
 
 def xbrl_arcs(files: DataFrame, key: str, xml: str) -> DataFrame:
-    return files.select(key, F.explode(linkbase_arcs(F.col(xml))).alias("a")).select(key, "a.*")
+    return xml_files.arcs(files, key, xml)
 
 
 #: What the hint of a statement follows from.

@@ -23,7 +23,7 @@ def query(sql: str | None = None) -> Callable:
 
 
 def _load() -> None:
-    from siltstone.plans import corpus_queries, file_queries, function_queries, operator_queries, search_queries, table_queries, text_queries  # noqa: F401
+    from siltstone.plans import corpus_queries, file_queries, function_queries, operator_queries, search_queries, table_queries, taxonomy_queries, text_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

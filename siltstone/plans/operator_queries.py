@@ -16,6 +16,7 @@ from siltstone.operators import html_blocks as Hb
 from siltstone.operators import joins as J
 from siltstone.operators import search as S
 from siltstone.operators import windows as Wn
+from siltstone.operators import xml_files as Xml
 from siltstone.plans import runner
 from siltstone.plans.catalogue import query
 from siltstone.plans.search_queries import _SHOW, _dense, _query_vectors, _show, dense_sql
@@ -267,6 +268,14 @@ def t14_t15_s21_instance(spark, sf):
     return clean.select("p_partkey", "qname", "value_num", "unit_normalized", "dims_signature", "statement_hint", "period_label", "rag_text")
 
 
+@query("SELECT p_partkey AS id, ['no text', 'empty', 'no element', 'not well-formed', 'not well-formed'][p_size % 7 + 1] AS error FROM part WHERE p_size % 7 < 5")
+def s21_unreadable(spark, sf):
+    """Files that are no XML, by the kind of what is wrong with them."""
+    bad = F.array(F.lit(None).cast("string"), F.lit(" "), F.col("p_name"), F.concat(F.lit("<a>"), "p_name"), F.concat(F.lit("<a><b>"), "p_name", F.lit("</a></b>")), F.concat(F.lit("<a>"), "p_name", F.lit("</a>")), F.concat(F.lit("<p:a xmlns:p='u' q='"), "p_brand", F.lit("'/>")))
+    files = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.get(bad, F.col("p_size") % 7).alias("xml"))
+    return Xml.unreadable(files, "id", "xml").select("id", "error")
+
+
 _BLOCKED = ", ".join(f"'{w}'" for w in E.TICKER_BLOCKLIST)
 
 

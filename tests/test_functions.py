@@ -141,10 +141,6 @@ def test_targets(spark):
     assert rows({"targets": ["a", {"name": "b", "type": "text", "pattern": "x"}]}) == rows([{"target": "a"}, {"target": "b", "kind": "text", "pattern": "x"}]) == [("a", "numeric", None, None), ("b", "text", "x", None)]
 
 
-def test_instance_and_linkbase_survive_junk():
-    assert Fx.parse_instance("<not xml") == [] and Fx.parse_linkbase("") == []
-
-
 def test_numbers_skip_legal_references(spark):
     text = "Item 7 under Rule 12b-2 paid $5 million, 5 more on 2024-01-31; 3 m in six months; Section 12(b), § 4.1, 1,250.5 usd x:ClassAMember"
     got, none, empty = values(spark, numeric.number_tokens, [text, None, ""])
