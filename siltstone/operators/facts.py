@@ -70,13 +70,38 @@ def fact_document(lines: DataFrame, keys: list[str], order: str, line: str) -> D
     return lines.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, line))), lambda x: x[line]), "\n").alias("document"))
 
 
+def block_lines(html: str) -> Column:
+    """Lines of a text block: of each table row its cells; without rows the texts between tags. Characters given by number count as blanks."""
+    plain = lambda c: X.strip_html(F.regexp_replace(F.regexp_replace(c, r"&#x?[0-9A-Fa-f]+;|&nbsp;", " "), "&amp;", "&"))
+    cells = lambda r: F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)(?=<t[dh]\b|</t[dh]\s*>|\z)"), F.lit(1))
+    rows = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<tr\b[^>]*>(.*?)(?=<tr\b|</tr\s*>|</table|\z)"), F.lit(1))
+    by_row = F.filter(F.transform(rows, lambda r: F.trim(F.array_join(F.filter(F.transform(cells(r), plain), lambda x: x != ""), " "))), lambda x: x != "")
+    between = F.filter(F.transform(F.split(html, r"<[^>]*>|\n"), plain), lambda x: x != "")
+    return F.when(F.size(by_row) > 0, by_row).otherwise(between)
+
+
 def explode_textblocks(facts: DataFrame, concept: str, html: str, signature: str) -> DataFrame:
-    """A row for each number of a text block in place of the block; ungrouped numbers stay whole."""
-    block = F.coalesce(F.col(concept).contains("TextBlock"), F.lit(False))
-    plain = X.strip_html(html)
-    tokens = F.regexp_extract_all(plain, F.lit(r"\(?\$?\d{1,3}(?:,\d{3})+(?:\.\d+)?\)?|\(?\$?\d+(?:\.\d+)?\)?"), 0)
-    rows = facts.where(block).withColumn("_x", F.explode(tokens)).withColumns({"value": F.col("_x"), "excerpt": F.substring(plain, 1, 256), signature: F.concat_ws("|", F.nullif(F.col(signature), F.lit("")), F.lit("extracted=textblock"))}).drop("_x")
-    return facts.where(~block).withColumns({"value": F.col(html), "excerpt": F.lit(None).cast("string")}).unionByName(rows.select(*facts.where(~block).withColumns({"value": F.col(html), "excerpt": F.lit(None).cast("string")}).columns))
+    """A row for each number of a text block in place of the block, with the table row or line it stands in as excerpt.
+
+    Ungrouped numbers stay whole. value_num and unit ($, %) are those of the number; other
+    rows keep theirs, null if there are none. Blocks without markup give no rows.
+    """
+    block = F.coalesce(F.lower(concept).contains("textblock"), F.lit(False))
+    own = {"value": F.col(html), "excerpt": F.lit(None).cast("string")} | {c: F.lit(None).cast(t) for c, t in (("value_num", "double"), ("unit", "string")) if c not in facts.columns}
+    others = facts.where(~block).withColumns(own)
+    lines = facts.where(block & F.col(html).contains("<") & F.col(html).contains(">")).withColumn("_line", F.explode(block_lines(html)))
+    found = lines.withColumn("_x", F.explode(F.regexp_extract_all("_line", F.lit(r"\(?\$?\d{1,3}(?:,\d{3})+(?:\.\d+)?\)?%?|\(?\$?\d+(?:\.\d+)?\)?%?"), F.lit(0))))
+    number, percent = numeric.human_number(F.regexp_replace("_x", "%$", "")), F.col("_x").endswith("%")
+    rows = found.withColumns(
+        {
+            "value": F.col("_x"),
+            "value_num": F.when(percent, number / 100).otherwise(number),
+            "unit": F.when(percent, "%").when(F.col("_x").rlike(r"^\(?\$") | F.col("_line").contains(" $"), "$").otherwise(F.col("unit") if "unit" in facts.columns else F.lit(None)),
+            "excerpt": F.when(F.length("_line") > 256, F.concat(F.substring("_line", 1, 256), F.lit("…"))).otherwise(F.col("_line")),
+            signature: F.concat_ws("|", F.nullif(F.col(signature), F.lit("")), F.lit("extracted=textblock")),
+        }
+    )
+    return others.unionByName(rows.select(*others.columns))
 
 
 def clean_edges(edges: DataFrame, columns: list[str], doubles: list[str], ints: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
 FINE = {"p", "li", "h1", "h2", "h3", "h4"}
 BLOCKS = [*sorted(FINE), "div", "section", "td", "th"]
@@ -224,19 +225,27 @@ def table_cells(pages: DataFrame, page_id: str, html: str) -> DataFrame:
 
 
 def compact_columns(cells: DataFrame) -> DataFrame:
-    """Of each table the column with most words (account) and the two latest period columns (period)."""
+    """Of each table the column with most words (account) and the two latest period columns (period).
+
+    The first row with text is the header. A period column has numbers in over half of the
+    first 50 rows below, or a period as header; a table without any takes its last two
+    columns, the account as well. Empty rows and columns do not count.
+    """
     from siltstone.functions.numeric import is_numeric_like
-    from siltstone.operators.windows import period_weight
+    from siltstone.operators.windows import period_weight, top_k
 
     keys = ["doc", "table"]
-    filled = cells.where(F.trim("text") != "")
+    at = W.Window.partitionBy(*keys)
+    filled = cells.where(F.trim("text") != "").withColumn("n", F.dense_rank().over(at.orderBy("row")) - 1)
     words = F.col("text").rlike("[A-Za-z]") & ~is_numeric_like("text")
-    by_col = filled.groupBy(*keys, "col").agg(F.count_if((F.col("row") < 50) & words).alias("words"), F.avg(is_numeric_like("text").cast("int")).alias("numeric"), F.min_by("text", "row").alias("header"))
+    rows = filled.groupBy(*keys).agg(F.least(F.max("n"), F.lit(50)).alias("rows"))
+    by_col = filled.groupBy(*keys, "col").agg(F.count_if((F.col("n") <= 50) & words).alias("words"), F.count_if(F.col("n").between(1, 50) & is_numeric_like("text")).alias("numeric"), F.min_by("text", "row").alias("header"))
     account = by_col.groupBy(*keys).agg(F.min_by("col", F.struct((-F.col("words")).alias("n"), "col")).alias("account"))
-    others = by_col.join(account, keys).where("col <> account").withColumn("weight", period_weight("header")).where((F.col("numeric") > 0.5) | (F.col("weight") > 0))
-    from siltstone.operators.windows import top_k
-
-    period = top_k(others, keys, [F.desc("weight"), F.desc("col")], 2).select(*keys, "col", F.lit("period").alias("kind"))
+    every = by_col.join(account, keys).join(rows, keys).withColumn("weight", period_weight("header"))
+    dated = (F.col("col") != F.col("account")) & ((F.col("numeric") / F.greatest("rows", F.lit(1)) > 0.5) | (F.col("weight") > 0))
+    marked = every.withColumns({"dated": dated, "any": F.max(dated).over(at), "back": F.row_number().over(at.orderBy(F.desc("col")))})
+    candidates = marked.where(F.col("dated") | (~F.col("any") & (F.col("back") <= 2)))
+    period = top_k(candidates, keys, [F.desc("weight"), F.desc("col")], 2).select(*keys, "col", F.lit("period").alias("kind"))
     return account.select(*keys, F.col("account").alias("col"), F.lit("account").alias("kind")).unionByName(period)
 
 

@@ -318,12 +318,18 @@ def format_hits(hits: DataFrame, rank: str, score: str, doc: str, heading: str,
     return hits.withColumn("line", F.concat(F.col(rank).cast("string"), F.lit(". ["), F.format_string("%.4f", F.col(score)), F.lit("] "), F.col(doc).cast("string"), head, F.lit(" | "), short))
 
 
-def hybrid(bm25_hits: DataFrame, dense_hits: DataFrame, contents: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str, candidates: int = 256, k: int = 8, rrf_k: float = 60.0, weights: tuple[float, float] = (2.0, 2.0), ce_weight: float = 0.5, score: Callable[[str, str], Column] = lexical_overlap, prepare: Callable[[str], Column] | None = word_set) -> DataFrame:
+def hybrid(bm25_hits: DataFrame, dense_hits: DataFrame, contents: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str, candidates: int = 256, k: int = 8, rrf_k: float = 60.0, weights: tuple[float, float] = (2.0, 2.0), ce_weight: float = 0.5, score: Callable[[str, str], Column] = lexical_overlap, prepare: Callable[[str], Column] | None = word_set, strict: Column | None = None) -> DataFrame:
     """Both lists fused by rank, contents fetched, scored again and mixed: rrf * (1 - w) + min-max(score) * w.
 
     prepare: what score() wants to see of a text or query, made once for each and not for
-    each pair; None for the text itself, as a cross-encoder wants it.
+    each pair; None for the text itself, as a cross-encoder wants it. strict: a filter over
+    contents (P04) that hits of both lists must pass before they are fused; those left
+    move up in rank.
     """
+    if strict is not None:
+        hit = bm25_hits.select("doc").unionByName(dense_hits.select("doc")).distinct()
+        passed = contents.where(strict).select(F.col(doc_id).alias("doc")).join(hit, "doc", "left_semi").distinct()
+        bm25_hits, dense_hits = (ranked(h.join(passed, "doc", "left_semi"), ["qid"], ["rank", "doc"]) for h in (bm25_hits, dense_hits))
     fused = ranked(fuse_lists(bm25_hits, dense_hits, ["qid", "doc"], rrf_k, weights), ["qid"], [*fused_order(), "doc"], "_r").where(F.col("_r") <= candidates)
     shown = prepare or F.col
     found = contents.join(fused.select(F.col("doc").alias(doc_id)).distinct(), doc_id, "left_semi")

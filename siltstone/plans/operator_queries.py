@@ -227,6 +227,16 @@ def u05_v04_frontier(spark, sf):
     return E.subgraph(edges, start, 2)[0].join(E.subgraph(edges, start, 1)[0], "node", "left_anti")
 
 
+@query("SELECT p_partkey, x.value, x.value_num, x.unit, x.excerpt FROM (SELECT p_partkey, unnest([{'value': '$' || p_size || ',100', 'value_num': p_size * 1000.0 + 100, 'unit': '$', 'excerpt': 'Cash of ' || p_brand[1:5] || ' $' || p_size || ',100'}, {'value': '5%', 'value_num': 0.05, 'unit': '%', 'excerpt': 'Rate & p 5% (3)'}, {'value': '(3)', 'value_num': -3.0, 'unit': NULL, 'excerpt': 'Rate & p 5% (3)'}, {'value': '9', 'value_num': 9.0, 'unit': NULL, 'excerpt': repeat('x ', 128) || '…'}]) AS x FROM part WHERE p_size % 3 = 0 UNION ALL SELECT p_partkey, unnest([{'value': '2023', 'value_num': 2023.0, 'unit': NULL, 'excerpt': 'In 2023'}, {'value': CAST(p_size AS VARCHAR), 'value_num': CAST(p_size AS DOUBLE), 'unit': NULL, 'excerpt': 'paid ' || p_size}]) FROM part WHERE p_size % 3 = 1)")
+def t10_table_rows(spark, sf):
+    """Numbers of text blocks by table row, by line where there are no rows, none where there is no markup."""
+    rows = F.concat(F.lit("<p>no 77</p><table><tr><td>Cash of "), F.substring("p_brand", 1, 5), F.lit("</td><td>&#160;$"), _s("p_size"), F.lit(",100</td></tr><tr><th>Rate &amp; <b>p</b><td> 5%\n<td>(3)<tr><td></td></tr><tr><td>"), F.repeat(F.lit("x "), 150), F.lit("9</td></tr></table>"))
+    lines = F.concat(F.lit("<p>In 2023</p><p>paid\t"), _s("p_size"), F.lit("</p>"))
+    html = F.when(F.col("p_size") % 3 == 0, rows).when(F.col("p_size") % 3 == 1, lines).otherwise(F.concat(F.lit("plain "), _s("p_size")))
+    facts = table(spark, sf, "part").select("p_partkey", F.lit("x:DebtTextblock").alias("concept"), html.alias("html"), F.lit("").alias("dims_signature"))
+    return Fx.explode_textblocks(facts, "concept", "html", "dims_signature").select("p_partkey", "value", "value_num", "unit", "excerpt")
+
+
 @query("SELECT p_partkey AS doc, b.ord, b.tag, b.text, b.heading, b.item, b.section FROM (SELECT p_partkey, unnest([{'ord': 0, 'tag': 'h1', 'text': 'Part II of ' || p_name, 'heading': 'Part II of ' || p_name, 'item': NULL, 'section': 'Part II / Part II of ' || p_name}, {'ord': 1, 'tag': 'p', 'text': 'Item ' || p_size || '. Sales & costs', 'heading': 'Item ' || p_size || '. Sales & costs', 'item': CAST(p_size AS VARCHAR), 'section': 'Part II / Item ' || p_size || ' / Item ' || p_size || '. Sales & costs'}, {'ord': 2, 'tag': 'li', 'text': p_brand || ' in a list', 'heading': 'Item ' || p_size || '. Sales & costs', 'item': CAST(p_size AS VARCHAR), 'section': 'Part II / Item ' || p_size || ' / Item ' || p_size || '. Sales & costs'}, {'ord': 3, 'tag': 'div', 'text': 'bold ' || p_type, 'heading': 'bold ' || p_type, 'item': CAST(p_size AS VARCHAR), 'section': 'Part II / Item ' || p_size || ' / bold ' || p_type}]) AS b FROM part)")
 def t01_f10_blocks(spark, sf):
     h = F.concat(F.lit("<html><body><script>var x = 1;</script><h1>Part II of "), "p_name", F.lit("</h1><div><p>Item "), _s("p_size"), F.lit(". Sales &amp; costs<p>ab<ul><li>"), "p_brand", F.lit(" in\n a list<li>"), "p_brand", F.lit(" in a list</ul></div><div><b>bold "), "p_type", F.lit("</b></div></body></html>"))
@@ -252,6 +262,14 @@ def t09_a28_columns(spark, sf):
     return Hb.compact_columns(_cells(spark, sf))
 
 
+@query("SELECT page_id AS doc, unnest([0, 0, 0, 1, 1]) AS \"table\", unnest([0, 2, 3, 1, 2]) AS col, unnest(['account', 'period', 'period', 'account', 'period']) AS kind FROM pages")
+def t09_fallback_columns(spark, sf):
+    """A table without period columns, which takes its last two, and one whose column of numbers has empty cells."""
+    plain = "<table><tr><th>Name of it<th>a<th>b<th>c<tr><td>cash held<td>u v<td>w<td>x<tr><td>debt held<td>y z<td>v<td>w</table>"
+    made = F.concat(F.lit(plain + "<table><tr><td>n<td>Account<td>Sum<tr><td>-<td>Cash at "), _s("page_id"), F.lit("<td>5<tr><td>-<td>Debt<td>(7)<tr><td>1<td>Rest<td></table>"))
+    return Hb.compact_columns(Hb.table_cells(table(spark, sf, "pages").select("page_id", made.alias("html")), "page_id", "html"))
+
+
 @query("SELECT page_id AS doc, 0 AS \"table\", '| Item | 2023 Q4 |' || chr(10) || '| Cash | 1,000 |' AS markdown FROM pages")
 def s31_o06_markdown(spark, sf):
     return Hb.markdown_table(_cells(spark, sf), max_rows=2, max_cols=2)
@@ -375,6 +393,13 @@ def r12_question_entities(spark, sf):
     return e.select("p_partkey", F.array_join("tickers", ",").alias("tickers"), F.array_join("fin_metrics", ",").alias("fin_metrics"), F.array_join("orgs", ",").alias("orgs"))
 
 
+@query(f"SELECT o_orderkey, array_to_string(regexp_extract_all('Margin in Q' || (1 + o_orderkey % 4) || ' of fiscal ' || year(o_orderdate) || ', on ' || strftime(o_orderdate, '%Y-%m-%d') || ' and since March 5, 2019, not 1850 or 20231', '{runner.DATE}'), ';') AS dates FROM orders")
+def r12_question_dates(spark, sf):
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    q = F.concat(F.lit("Margin in Q"), (1 + F.col("o_orderkey") % 4).cast("string"), F.lit(" of fiscal "), F.substring(day, 1, 4), F.lit(", on "), day, F.lit(" and since March 5, 2019, not 1850 or 20231"))
+    return table(spark, sf, "orders").select("o_orderkey", q.alias("q")).select("o_orderkey", F.array_join(runner.dates("q"), ";").alias("dates"))
+
+
 def _equal_hits(spark: SparkSession, sf: str) -> DataFrame:
     """Hits of 100 tokens each with the same words, so that only the score decides."""
     o = table(spark, sf, "orders").select(F.col("o_custkey").alias("qid"), F.col("o_orderkey").alias("id"), F.lit("one").alias("heading"), F.repeat(F.lit("word"), 100).alias("content"), (F.col("o_totalprice") * 1.0).alias("score"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import normalize_entity, path_priority, snippet, stable_id, title_from_meta
@@ -62,11 +62,22 @@ def run(source: DataFrame, stages: str = "all") -> DataFrame:
     return out
 
 
+#: How a question names a date.
+MONTH = "(?:January|February|March|April|May|June|July|August|September|October|November|December)"
+YEAR = r"(?:19|20)\d{2}"
+DATE = rf"(?i)\b(?:\d{{4}}-\d{{2}}-\d{{2}}|{MONTH}\s+\d{{1,2}},?\s+{YEAR}|{MONTH}\s+{YEAR}|(?:Q[1-4]|(?:first|second|third|fourth) quarter)(?:\s+of)?(?:\s+(?:fiscal|FY))?\s+{YEAR}|(?:fiscal(?:\s+year)?|FY)\s*{YEAR}|{YEAR})\b"
+
+
+def dates(question: str) -> Column:
+    """Dates, quarters and years of a question as it writes them, each once."""
+    return F.array_distinct(F.regexp_extract_all(F.coalesce(F.col(question), F.lit("")), F.lit(DATE), F.lit(0)))
+
+
 def query_entities(questions: DataFrame, query_id: str, query: str, recognizer: entities.Recognizer = entities.rule_recognizer) -> DataFrame:
-    """Orgs, gpes, tickers and fin_metrics of each question."""
+    """Orgs, gpes, tickers, fin_metrics and dates of each question."""
     found = entities.extract_entities(questions, query, recognizer)
     of = lambda label: F.transform(F.filter("entities", lambda e: e["label"] == label), lambda e: e["normalized"])
-    return found.select(query_id, of("ORG").alias("orgs"), of("GPE").alias("gpes"), of("TICKER").alias("tickers"), of("FIN_METRIC").alias("fin_metrics"))
+    return found.select(query_id, of("ORG").alias("orgs"), of("GPE").alias("gpes"), of("TICKER").alias("tickers"), of("FIN_METRIC").alias("fin_metrics"), dates(query).alias("dates"))
 
 
 def search_index(index: DataFrame, questions: DataFrame, query_id: str = "qid", query: str = "query", k: int = 8, candidates: int = 200, ce_candidates: int = 256, ce_weight: float = 0.5, size: int = 64) -> DataFrame:

@@ -178,8 +178,7 @@ _STOP_E = ", ".join(f"'{w}'" for w in "the a an and or of to in for on by with a
 _WORDS = "list_distinct(list_filter(regexp_extract_all(lower(coalesce({0}, '')), '[A-Za-z0-9_\\x{{4e00}}-\\x{{9fff}}]+'), lambda t: NOT list_contains([" + _STOP_E + "], t)))"
 
 
-@query(
-    f"""
+_HYBRID = f"""
 WITH b AS ({bm25_sql('SELECT * FROM documents', 50)}), q AS (SELECT vec_id AS qid, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS qv FROM embeddings WHERE vec_id IN (SELECT item_id FROM benchmark)),
 sd AS (SELECT qid, vec_id AS doc, list_inner_product(qv, list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS score FROM q, embeddings),
 d AS (SELECT * FROM (SELECT qid, doc, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, doc) AS rank FROM sd) WHERE rank <= 50),
@@ -188,7 +187,9 @@ r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY rrf DESC, ra NULLS
 c AS (SELECT r.*, len(list_intersect({_WORDS.format('i.text')}, {_WORDS.format('t.text')})) / len({_WORDS.format('i.text')}) AS ce FROM r JOIN documents t ON r.doc = t.doc_id JOIN benchmark i ON r.qid = i.item_id WHERE r <= 256),
 m AS (SELECT *, rrf * 0.5 + CASE WHEN max(ce) OVER w > min(ce) OVER w THEN (ce - min(ce) OVER w) / (max(ce) OVER w - min(ce) OVER w) ELSE ce END * 0.5 AS final FROM c WINDOW w AS (PARTITION BY qid))
 SELECT qid, doc, CAST(rank AS INT) AS rank, round(final, 6) AS final_score FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(final, 9) DESC, r) AS rank FROM m) WHERE rank <= 8"""
-)
+
+
+@query(_HYBRID)
 def r08_hybrid(spark, sf):
     """The flagship: both legs for all benchmark items, fused, reranked, first eight."""
     docs, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
@@ -196,6 +197,18 @@ def r08_hybrid(spark, sf):
     return out.select("qid", "doc", "rank", F.round("final_score", 6).alias("final_score"))
 
 
+_PASSED = "(SELECT qid, doc, row_number() OVER (PARTITION BY qid ORDER BY rank) AS rank FROM {} JOIN documents ON doc = doc_id WHERE upper(lang) = 'EN')"
+
+
+@query(_HYBRID.replace("WITH b AS (", "WITH b0 AS (").replace(", q AS (", f", b AS {_PASSED.format('b0')}, q AS (", 1).replace("\nd AS (", "\nd0 AS (").replace("\nf AS (", f"\nd AS {_PASSED.format('d0')},\nf AS ("))
+def r08_strict(spark, sf):
+    """As the flagship, with hits of both legs held to a filter before they are fused."""
+    docs, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    strict = metadata_filter("en", lenient=False, names=("lang", "source", "n_chars"))
+    out = S.hybrid(_bm25(spark, sf, docs, 50), _dense(_item_vectors(spark, sf), table(spark, sf, "embeddings"), 50), docs, items, "doc_id", "text", "item_id", "text", strict=strict)
+    return out.select("qid", "doc", "rank", F.round("final_score", 6).alias("final_score"))
+
+
 @query("SELECT event_id, round(value * (1 + CASE WHEN user_id % 2 = 0 THEN 0.15 ELSE 0 END + CASE WHEN user_id % 3 = 0 THEN 0.05 ELSE 0 END + CASE WHEN event_type = 'error' THEN 0.10 ELSE 0 END), 6) AS s FROM events")
 def r13_entity_boost(spark, sf):
     one = lambda ok: F.when(ok, F.array(F.lit("x"))).otherwise(F.array(F.lit("y")))
