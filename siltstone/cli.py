@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators import facts as Fx
-from siltstone.operators import search
+from siltstone.operators import search, xml_files
 from siltstone.plans import runner
 from siltstone.session import session
 from siltstone.sources import files
@@ -38,9 +38,10 @@ def parser() -> argparse.ArgumentParser:
         leg.add_argument("--index", required=True)
         leg.add_argument("--question", required=True)
         leg.add_argument("--topk", type=int, default=8)
-    ingest = sub.add_parser("ingest", help="instances in XML to the store of facts")
+    ingest = sub.add_parser("ingest", help="instances and linkbases in XML to the store of facts")
     ingest.add_argument("--input", required=True)
     ingest.add_argument("--store", required=True)
+    ingest.add_argument("--rejects", help="where to write the files that cannot be read, with the error, as JSON lines")
     return p
 
 
@@ -67,13 +68,22 @@ def answer(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Instances to facts, contexts and units of the store, by file name."""
-    raw = files.texts(spark, args.input).withColumn("filing_id", F.regexp_extract("path", r"([^/]+?)(?:\.\w+)?$", 1))
+    """Instances and linkbases to all tables of the store, in one commit.
+
+    A filing goes by its files' name, without the ending of a linkbase (_lab, _cal, _pre, _def).
+    """
+    raw = files.texts(spark, args.input).withColumn("filing_id", F.regexp_extract("path", r"([^/]+?)(?:_(?:lab|cal|pre|def))?(?:\.\w+)?$", 1))
     rows = Fx.xbrl_facts(raw, "filing_id", "text")
     facts = rows.select("filing_id", "qname", F.col("value").alias("value_raw"), F.col("value").try_cast("double").isNotNull().alias("is_numeric"), "decimals", "unit_id", "context_id", F.lit(None).cast("string").alias("label_role"), F.lit(None).cast("string").alias("footnote_refs"), F.col("ord").cast("long").alias("doc_order"))
     contexts = rows.select("filing_id", "context_id", "entity", F.to_date("period_start").alias("period_start"), F.to_date("period_end").alias("period_end"), F.to_date("instant").alias("period_instant"), F.lit(False).alias("is_forever"), F.to_json("dimensions").alias("dimensions")).dropDuplicates(["filing_id", "context_id"])
     units = rows.where("unit_id IS NOT NULL").select("filing_id", "unit_id", F.to_json(F.array("unit")).alias("measures")).dropDuplicates(["filing_id", "unit_id"])
-    files.save_store({"facts": facts, "contexts": contexts, "units": units}, args.store)
+    arcs = Fx.xbrl_arcs(raw, "filing_id", "text")
+    edges = lambda kind, *columns: arcs.where(F.col("kind") == kind).select("filing_id", F.col("from_concept").alias("from_qname"), F.col("to_concept").alias("to_qname"), *columns).dropDuplicates()
+    labels = arcs.where("kind = 'label'").select("filing_id", F.col("from_concept").alias("qname"), "role", "lang", "text").dropDuplicates()
+    tables = {"facts": facts, "contexts": contexts, "units": units, "labels": labels, "calc_edges": edges("calculation", "weight", "ord"), "pre_edges": edges("presentation", "ord", "preferred_label"), "def_edges": edges("definition", "arcrole", "ord")}
+    files.save_store(tables, args.store)
+    if args.rejects:
+        files.write(xml_files.unreadable(raw, "path", "text"), args.rejects, "jsonl")
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
