@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.functions import text as X
 from siltstone.operators import aggregates as A
@@ -372,10 +373,10 @@ def r01_embed_texts(spark, sf):
 
     def encoder(texts: list[str], size: int) -> np.ndarray:
         v = np.array([[len(t), t.count("e"), 1.0] for t in texts]).reshape(-1, size)
-        return (v / np.sqrt((v * v).sum(axis=1, keepdims=True))).astype(np.float32)
+        return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
-    d = S.embed_texts(table(spark, sf, "documents"), "text", 3, encoder)
-    return d.select("doc_id", F.transform("embedding", lambda x: F.round(x.cast("double"), 4)).alias("v"))
+    d = S.embed_texts(table(spark, sf, "documents"), "text", 3, encoder, T.DoubleType())
+    return d.select("doc_id", F.transform("embedding", lambda x: F.round(x, 4)).alias("v"))
 
 
 @query("SELECT p_partkey, round(1 / (1 + exp(length(p_name) - length(p_brand))), 9) AS ce FROM part")
