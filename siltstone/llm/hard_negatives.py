@@ -135,6 +135,15 @@ def _sound(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
 
 
+def sampled(rows: DataFrame, n: int, most: int) -> list:
+    """Rows with the least hashes, about `most` of n. Tasks send a few times as many in all, however many tasks there are."""
+    share = min(1.0, 4 * most / max(n, 1))
+    hashed = rows.select("v", F.xxhash64("v", "id").alias("h"))
+    some = hashed.where(F.col("h") <= F.lit(min(2**63 - 1, -(2**63) + int(share * 2**64)))).orderBy("h", "v").limit(most).collect()
+    # rows that are all alike may have no hash in the share
+    return some or rows.select("v").limit(most).collect()
+
+
 def pivot_table(vectors: DataFrame, id_col: str, vector_col: str, label_col: str, anchor: Column, scale: int, n_pivots: int = PIVOTS, sample: int = SAMPLE) -> tuple[DataFrame, Pivots]:
     """Blocks of rows with their distances to the pivots, written; the pivots."""
     spark = vectors.sparkSession
@@ -144,7 +153,7 @@ def pivot_table(vectors: DataFrame, id_col: str, vector_col: str, label_col: str
     most, n, total = rows.agg(F.max(norm), F.count("*"), F.sum(F.col("d") + 8)).first()
     if most is not None and most >= 2**52:
         raise ValueError("scores of these vectors would leave the exact range of a double")
-    some = rows.select("v", F.xxhash64("v", "id").alias("h")).orderBy("h", "v").limit(sample).collect()
+    some = sampled(rows, n, sample)
     pivots = Pivots([np.floor(np.array(r["v"], np.float64) * scale) for r in some], most or 0.0, n_pivots)
     shared = spark.sparkContext.broadcast(pivots)
     slices = int(max(1, -(-(total or 0) * 8 // SLICE_BYTES), min(shuffle_width(spark), -(-n // (2 * BLOCK)))))
@@ -245,7 +254,7 @@ def meet(groups: DataFrame, blocks: DataFrame, slices: int, most: float, search,
     waves = max(1, -(-groups.count() // WAVE))
     bounds = blocks.groupBy("slice", "d").agg(*(f(F.get(F.col(c), F.lit(i))).alias(f"{c}{i}") for c, f in (("lo", F.min), ("hi", F.max)) for i in range(PIVOTS)))
     sides = bounds.select("slice", "d", *(F.array(*(F.col(f"{c}{i}") for i in range(PIVOTS))).alias(f"_{c}") for c in ("lo", "hi")))
-    asked = groups.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).join(sides, ["slice", "d"])
+    asked = groups.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).join(F.broadcast(sides), ["slice", "d"])
     beyond = F.zip_with(F.col("lo"), F.col("_hi"), lambda a, b: a - b)
     before = F.zip_with(F.col("_lo"), F.col("hi"), lambda a, b: a - b)
     # pivots that a small table lacks are null and say nothing
