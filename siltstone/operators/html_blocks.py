@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from siltstone.session import spread
+
 FINE = {"p", "li", "h1", "h2", "h3", "h4"}
 BLOCKS = [*sorted(FINE), "div", "section", "td", "th"]
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
@@ -214,12 +216,14 @@ def page_tables(c: Column) -> Column:
 
 def html_blocks(pages: DataFrame, page_id: str, html: str) -> DataFrame:
     """A row a block with its place, heading, part and item."""
-    return pages.select(F.col(page_id).alias("doc"), F.explode(page_blocks(F.col(html))).alias("b")).select("doc", "b.*")
+    own = spread(pages.select(F.col(page_id).alias("doc"), F.col(html).alias("_html")))
+    return own.select("doc", F.explode(page_blocks(F.col("_html"))).alias("b")).select("doc", "b.*")
 
 
 def table_cells(pages: DataFrame, page_id: str, html: str) -> DataFrame:
     """Doc, table, row, col, text."""
-    t = pages.select(F.col(page_id).alias("doc"), F.posexplode(page_tables(F.col(html))).alias("table", "rows"))
+    own = spread(pages.select(F.col(page_id).alias("doc"), F.col(html).alias("_html")))
+    t = own.select("doc", F.posexplode(page_tables(F.col("_html"))).alias("table", "rows"))
     r = t.select("doc", "table", F.posexplode("rows").alias("row", "cells"))
     return r.select("doc", "table", "row", F.posexplode("cells").alias("col", "text"))
 

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.session import spread
+
 READING = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
 FACT_COLUMNS = ["ord", "qname", "value", "context_id", "unit_id", "decimals", "entity", "period_start", "period_end", "instant", "dimensions", "unit"]
 INSTANCE_ATTRIBUTES = ["id", "contextRef", "unitRef", "decimals", "nil", "dimension"]
@@ -95,7 +97,7 @@ def unit_of(u: Column) -> Column:
 
 def facts(files: DataFrame, key: str, xml: str) -> DataFrame:
     """Facts of instances with context and unit, in order; nil ones are skipped."""
-    read = files.select(key, xml).where(well_formed(F.col(xml))).select(key, tree(F.col(xml), INSTANCE_ATTRIBUTES, 4)["e"].alias("e"))
+    read = spread(files.select(key, xml)).where(well_formed(F.col(xml))).select(key, tree(F.col(xml), INSTANCE_ATTRIBUTES, 4)["e"].alias("e"))
     looked_up = read.select(
         key,
         F.filter("e", lambda x: x["_contextRef"].isNotNull() & ~F.coalesce(x["_nil"] == "true", F.lit(False))).alias("f"),
@@ -121,7 +123,7 @@ def facts(files: DataFrame, key: str, xml: str) -> DataFrame:
 
 def arcs(files: DataFrame, key: str, xml: str) -> DataFrame:
     """Label, calculation, presentation and definition arcs with both ends resolved; others are dropped."""
-    read = files.select(key, xml).where(well_formed(F.col(xml))).select(key, F.explode(tree(F.col(xml), LINK_ATTRIBUTES, 2)["e"]).alias("link"))
+    read = spread(files.select(key, xml)).where(well_formed(F.col(xml))).select(key, F.explode(tree(F.col(xml), LINK_ATTRIBUTES, 2)["e"]).alias("link"))
     kind = F.create_map(*(F.lit(x) for pair in LINK_KINDS.items() for x in pair))
     links = read.withColumn("kind", F.try_element_at(kind, local(F.col("link._element")))).where("kind IS NOT NULL")
     concept = lambda x: F.regexp_replace(F.substring_index(F.coalesce(x["_href"], F.lit("")), "#", -1), "^([^_]*)_", "$1:")
@@ -151,4 +153,4 @@ def unreadable(files: DataFrame, key: str, xml: str) -> DataFrame:
     """Files that give neither facts nor arcs for what they are: key, error and the beginning of the text."""
     x = F.col(xml)
     error = F.when(x.isNull(), "no text").when(x.rlike(r"^\s*$"), "empty").when(~x.rlike(r"^\s*<"), "no element").when(~well_formed(x), "not well-formed").when(tree(x, [], 0)["_bad"].isNotNull(), "not read")
-    return files.select(key, error.alias("error"), F.substring(x, 1, 80).alias("beginning")).where("error IS NOT NULL")
+    return spread(files.select(key, xml)).select(key, error.alias("error"), F.substring(x, 1, 80).alias("beginning")).where("error IS NOT NULL")
