@@ -24,6 +24,7 @@ from collections.abc import Iterable
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,7 @@ RANGE = 8192  # numbers that are walked at once
 CELLS = 128  # of a range
 BLOCK = 128  # postings
 PART_DOCS = 1 << 18
+TASK_DOCS = 2048  # documents of a task, whatever the number of parts
 LISTED = 500_000  # pairs of question and term that travel to the tasks
 POSTINGS = "part int, range int, term string, block int, n int, first int, last int, most_tf int, least_length int, numbers binary, tfs binary, lengths binary"
 _POSTED = [("part", pa.int32()), ("range", pa.int32()), ("term", pa.string()), ("block", pa.int32()), ("n", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("most_tf", pa.int32()), ("least_length", pa.int32()), ("numbers", pa.binary()), ("tfs", pa.binary()), ("lengths", pa.binary())]
@@ -46,6 +48,10 @@ def part_of(doc: Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(doc.cast("string")), F.lit(parts)).cast("int")
 
 
+def tasks_for(n: int) -> int:
+    return max(1, -(-n // TASK_DOCS))
+
+
 def counted(docs: DataFrame, doc_id: str, text: str, meta: list[str], parts: int) -> DataFrame:
     """part, doc, length, terms, tfs and the columns of meta: terms of a document with their frequencies, once each."""
     tokens = docs.select(F.col(doc_id).alias("doc"), *meta, bm25_tokens(text).alias("t"))
@@ -86,16 +92,21 @@ def blocks_of(part: int, rng: int, most: int, numbers: np.ndarray, lengths: np.n
 
 
 def _write(store: SnapshotStore, rows: DataFrame, about: dict, replaced: list[int] | None) -> list[str]:
-    """Documents and postings of counted rows, in one commit; `replaced` parts go even if no row is left in them, all if it is None."""
-    meta, span, most = about["meta"], about["range"], about["block"]
-    width = max(1, min(about["parts"], int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """Documents and postings of counted rows, in one commit; `replaced` parts go even if no row is left in them, all if it is None.
+
+    A part is the work of many tasks: rows are dealt by ranges of part and id, numbered within
+    each, and moved up by what the ranges before hold; postings by ranges of part and term.
+    """
+    meta, span, most, spark = about["meta"], about["range"], about["block"], rows.sparkSession
     fields = [rows.schema[c] for c in ("doc", *meta)]
     names = [f.name for f in fields]
-    dealt = rows.select("part", *names, "length", "terms", "tfs").repartition(width, "part").sortWithinPartitions("part", "doc")
+    rows = written(rows.select("part", *names, "length", "terms", "tfs"), "rows")
+    width = tasks_for(rows.count())
+    dealt = rows.repartitionByRange(width, "part", "doc").sortWithinPartitions("part", "doc")
     shown = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
     def number(batches):
-        part, last, at = -1, None, 0
+        part, last, at, share = -1, None, 0, TaskContext.get().partitionId()
         for rb in batches:
             own = rb.column(0).to_numpy()
             ids = rb.column(1)
@@ -108,9 +119,15 @@ def _write(store: SnapshotStore, rows: DataFrame, about: dict, replaced: list[in
                 elif d == last:
                     raise ValueError(f"an index needs distinct ids; {d!r} is there twice")
                 new[i], at, last = at, at + 1, d
-            yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(new)], names=[*rb.schema.names, "number"])
+            yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(new), pa.array(np.full(len(own), share, np.int32))], names=[*rb.schema.names, "number", "share"])
 
-    numbered = written(dealt.mapInArrow(number, f"part int, {shown}, length int, terms array<string>, tfs array<int>, number int"), "numbered")
+    shares = written(dealt.mapInArrow(number, f"part int, {shown}, length int, terms array<string>, tfs array<int>, number int, share int"), "numbered")
+    starts, held = [], {}
+    for r in shares.groupBy("part", "share").count().orderBy("part", "share").collect():  # a number for each task, and for each part once more
+        starts.append((r["part"], r["share"], held.get(r["part"], 0)))
+        held[r["part"]] = held.get(r["part"], 0) + r["count"]
+    known = F.broadcast(spark.createDataFrame(starts, "part int, share int, start int"))
+    numbered = shares.join(known, ["part", "share"]).withColumn("number", F.col("number") + F.col("start")).drop("share", "start")
 
     def post(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
@@ -122,13 +139,14 @@ def _write(store: SnapshotStore, rows: DataFrame, about: dict, replaced: list[in
         return pa.Table.from_batches([out])
 
     ranged = numbered.select("part", F.floor(F.col("number") / span).cast("int").alias("range"), "number", "length", "terms", "tfs")
-    postings = ranged.groupBy("part", "range").applyInArrow(post, POSTINGS)
+    postings = written(ranged.repartition(width, "part", "range").groupBy("part", "range").applyInArrow(post, POSTINGS), "posted")
+    by_term = ["part", "term", "range", "block"]
     with store.transaction() as tx:
         if replaced is None:
             tx.next["tables"] = {}
         tx.properties |= about
         new = tx.replace("docs", numbered.select("part", "number", "doc", "length", *meta), "part", replaced)
-        tx.replace("postings", postings.repartition(width, "part").sortWithinPartitions("part", "term", "range", "block"), "part", replaced)
+        tx.replace("postings", postings.repartitionByRange(width, *by_term).sortWithinPartitions(*by_term), "part", replaced)
         sizes = numbered.groupBy("part").agg(F.count("*").alias("n"), F.sum("length").alias("words"))
         tx.replace("sizes", sizes, "part", replaced)
     return new
@@ -161,18 +179,24 @@ def upsert(store: SnapshotStore, docs: DataFrame, doc_id: str, text: str, gone:
         return []
     kept = store.read("docs", touched).join(out.select("doc"), "doc", "left_anti")
 
-    def open_blocks(batches):
-        for rb in batches:
-            n = rb.column("n").to_numpy()
-            flat = lambda c: pa.array(np.frombuffer(b"".join(rb.column(c).to_pylist()), np.int32))  # noqa: B023, E731
-            at = pa.array(np.repeat(np.arange(len(n)), n))
-            yield pa.RecordBatch.from_arrays([rb.column("part").take(at), flat("numbers"), rb.column("term").take(at), flat("tfs")], names=["part", "number", "term", "tf"])
-
-    postings = store.read("postings", touched).select("part", "n", "term", "numbers", "tfs").mapInArrow(open_blocks, "part int, number int, term string, tf int")
-    listed = postings.join(kept.select("part", "number", "doc"), ["part", "number"]).groupBy("part", "doc").agg(F.collect_list(F.struct("term", "tf")).alias("t"))
-    none = F.array().cast("array<struct<term:string,tf:int>>")
-    old = kept.drop("number").join(listed, ["part", "doc"], "left").withColumn("t", F.coalesce("t", none))
-    old = old.withColumns({"terms": F.col("t")["term"], "tfs": F.col("t")["tf"]}).drop("t")
+    def turned(t: pa.Table) -> pa.Table:
+        """Postings of a range as terms and frequencies of each document."""
+        t = t.combine_chunks()
+        flat = lambda c: np.frombuffer(b"".join(t.column(c).to_pylist()), np.int32)
+        numbers, tfs = flat("numbers"), flat("tfs")
+        order = np.argsort(numbers, kind="stable")
+        numbers = numbers[order]
+        head = np.flatnonzero(np.diff(numbers, prepend=-1))
+        ends = pa.array(np.append(head, len(numbers)).astype(np.int32))
+        row = np.repeat(np.arange(t.num_rows), t.column("n").to_numpy())[order]
+        lists = [pa.ListArray.from_arrays(ends, t.column("term").combine_chunks().take(pa.array(row))), pa.ListArray.from_arrays(ends, pa.array(tfs[order]))]
+        return pa.table([pa.array(np.full(len(head), t.column("part")[0].as_py(), np.int32)), pa.array(numbers[head]), *lists], names=["part", "number", "terms", "tfs"])
+
+    blocks = store.read("postings", touched).select("part", "range", "n", "term", "numbers", "tfs")
+    width = tasks_for(store.read("sizes", touched).agg(F.sum("n")).first()[0] or 0)
+    listed = blocks.repartition(width, "part", "range").groupBy("part", "range").applyInArrow(turned, "part int, number int, terms array<string>, tfs array<int>")
+    none = lambda c, kind: F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c)
+    old = kept.join(listed, ["part", "number"], "left").select("doc", *meta, "length", none("terms", "string"), none("tfs", "int"), "part")
     columns = ["doc", *meta, "length", "terms", "tfs", "part"]
     return _write(store, new.select(*columns).unionByName(old.select(*columns)), about, touched)
 
@@ -270,8 +294,24 @@ class Walk:
         return numbers + self.base, scores
 
 
-def _thinned(blocks: DataFrame, allowed: DataFrame) -> DataFrame:
-    """Blocks without the postings of documents that are not allowed (part, range, numbers), bounds made anew."""
+def _passing(docs: DataFrame, span: int) -> DataFrame:
+    """part, range and a bit for each number of the range, set where docs have it."""
+
+    def pack(batches):
+        for rb in batches:
+            bits = []
+            for rng, numbers in zip(rb.column(1).to_pylist(), rb.column(2), strict=True):
+                there = np.zeros(span, np.uint8)
+                there[numbers.values.to_numpy(zero_copy_only=False) - rng * span] = 1
+                bits.append(np.packbits(there, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), pa.array(bits, pa.binary())], names=["part", "range", "allowed"])
+
+    listed = docs.groupBy("part", F.floor(F.col("number") / span).cast("int").alias("range")).agg(F.collect_list("number").alias("numbers"))
+    return listed.mapInArrow(pack, "part int, range int, allowed binary")
+
+
+def _thinned(blocks: DataFrame, allowed: DataFrame, span: int) -> DataFrame:
+    """Blocks without the postings of documents that are not allowed (part, range, a bit for each of its numbers), bounds made anew."""
     joined = blocks.join(allowed, ["part", "range"])
 
     def run(batches):
@@ -279,7 +319,7 @@ def _thinned(blocks: DataFrame, allowed: DataFrame) -> DataFrame:
             rows = []
             for b in rb.to_pylist():
                 numbers, tfs, lengths = (np.frombuffer(b[c], np.int32) for c in ("numbers", "tfs", "lengths"))
-                ok = np.isin(numbers, np.array(b["allowed"], np.int32))
+                ok = np.unpackbits(np.frombuffer(b["allowed"], np.uint8), bitorder="little")[numbers - b["range"] * span] == 1
                 if ok.any():
                     n, tf, ln = numbers[ok], tfs[ok], lengths[ok]
                     rows.append((b["part"], b["range"], b["term"], b["block"], len(n), n[0], n[-1], tf.max(), ln.min(), n.tobytes(), tf.tobytes(), ln.tobytes()))
@@ -317,8 +357,7 @@ def search(store: SnapshotStore, questions: DataFrame, query_id: str, query: str
     asked = None if many else Questions(pairs)
     blocks = store.read("postings").join(terms.select("term").distinct(), "term", "left_semi") if many else postings_of(store, asked.words.to_pylist())
     if where is not None:
-        passing = docs.where(where).groupBy("part", F.floor(F.col("number") / span).cast("int").alias("range")).agg(F.collect_list("number").alias("allowed"))
-        blocks = _thinned(blocks, passing)
+        blocks = _thinned(blocks, _passing(docs.where(where), span), span)
     blocks = written(blocks.select(*(name for name, _ in _POSTED)), "blocks")
     df = blocks.groupBy("term").agg(F.sum("n").alias("df"))
     named = docs.select("part", "number", "doc")
@@ -330,6 +369,7 @@ def search(store: SnapshotStore, questions: DataFrame, query_id: str, query: str
     count = np.array([known.get(w, 0) for w in asked.words.to_pylist()], float)
     idf = np.log((n - count + 0.5) / (count + 0.5) + 1)
     shared = spark.sparkContext.broadcast((asked, idf))
+    by_range = blocks.repartition(tasks_for(n), "part", "range").groupBy("part", "range")
     schema = "q int, part int, number int, score double"
 
     def promise(t: pa.Table) -> pa.Table:
@@ -353,9 +393,9 @@ def search(store: SnapshotStore, questions: DataFrame, query_id: str, query: str
             q, number, score = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0))
             return pa.table({"q": q, "part": np.full(len(q), part, np.int32), "number": number, "score": score})
 
-        return blocks.groupBy("part", "range").applyInArrow(run, schema)
+        return by_range.applyInArrow(run, schema)
 
-    hopes = blocks.groupBy("part", "range").applyInArrow(promise, "q int, part int, range int, most double")
+    hopes = by_range.applyInArrow(promise, "q int, part int, range int, most double")
     first = hopes.groupBy("q").agg(F.max_by(F.struct("part", "range"), F.struct("most", -F.col("part"), -F.col("range"))).alias("at")).select("q", "at.*").collect()  # one row a question
     start: dict[tuple[int, int], list[int]] = {}
     for r in first:
