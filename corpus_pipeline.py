@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm._scratch import discard, owned_by, persist, release_owned
-from siltstone.llm.bpe import decode_documents, encode_documents
+from siltstone.llm.bpe import encode_documents
 from siltstone.llm.decontamination import drop_contaminated
 from siltstone.llm.pii import replace_pii, session_key
 from siltstone.llm.queries import table, vocabulary_path
@@ -48,8 +48,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token ids and the text decoded from them."""
-    path = vocabulary_path()
-    return decode_documents(encode_documents(docs, path), path)
+    return encode_documents(docs, vocabulary_path(), decoded=True)
 
 
 STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("pii", pii), ("bpe", bpe)]

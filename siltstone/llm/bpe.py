@@ -26,7 +26,7 @@ from functools import cached_property, lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm._repeats import batch, get, put, split_contents
@@ -238,8 +238,8 @@ def tell(path: str):
     return run
 
 
-def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id and ids, the ids of the text's tokens in order, a row for each row of docs."""
+def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, decoded: bool = False) -> DataFrame:
+    """doc_id and ids, the ids of the text's tokens in order, a row for each row of docs. decoded: with text as decode_documents() adds it, by the same Python worker, where a task has two if the frames are chained."""
     blocks = pack(docs, id_col, text_col, block_bytes)
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     parts = max(8, -(-total // (24 << 20)))
@@ -265,16 +265,15 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_i
                     offsets = ends[upto - upto[0]].astype(np.int32)
                     yield pa.RecordBatch.from_arrays([ids_column(np.frombuffer(ids, np.int64)[a : a + 256]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.astype(np.int32)))], names=["doc_id", "ids"])
 
+    if decoded:
+        decode = decoding(docs.sparkSession, vocabulary_path)
+        return with_replies(blocks, told).mapInArrow(trimmed(lambda batches: decode(run(batches))), "doc_id long, ids array<int>, text string")
     return with_replies(blocks, told).mapInArrow(trimmed(run), "doc_id long, ids array<int>")
 
 
-def decode_documents(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
-    """Adds text, decoded from ids; bytes that are no UTF-8 become U+FFFD. encoded: doc_id, ids.
-
-    A hash join of ids with pieces; the pieces of a row keep its order and are put together.
-    An id that the vocabulary does not have, and a null, give no text.
-    """
-    pieces = encoded.sparkSession.sparkContext.broadcast(vocabulary(vocabulary_path).pieces)
+def decoding(spark: SparkSession, vocabulary_path: str):
+    """What decode_documents() does with batches of doc_id and ids."""
+    pieces = spark.sparkContext.broadcast(vocabulary(vocabulary_path).pieces)
 
     def run(batches):
         table = pieces.value
@@ -290,4 +289,14 @@ def decode_documents(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
                 texts = [t.decode("utf-8", "replace") for t in joined.to_pylist()]
                 yield pa.RecordBatch.from_arrays([rb.column(0), ids, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
+    return run
+
+
+def decode_documents(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
+    """Adds text, decoded from ids; bytes that are no UTF-8 become U+FFFD. encoded: doc_id, ids.
+
+    A hash join of ids with pieces; the pieces of a row keep its order and are put together.
+    An id that the vocabulary does not have, and a null, give no text.
+    """
+    run = decoding(encoded.sparkSession, vocabulary_path)
     return encoded.select("doc_id", "ids").mapInArrow(trimmed(run), "doc_id long, ids array<int>, text string")

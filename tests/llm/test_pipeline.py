@@ -90,3 +90,18 @@ def test_scratch_data_goes_with_the_stages(spark):
     left = {m[0] for m in _scratch._MADE[id(spark)]} - before
     second = corpus_pipeline.run(spark, SF)
     assert len(left) <= 4 and first.count() == second.count() > 0
+
+
+def test_bpe_decodes_in_the_worker_that_encodes(spark):
+    """The last stage has one Python worker a task, with the rows of the two operators chained."""
+    import corpus_pipeline as C
+    from siltstone.llm import bpe
+    from siltstone.llm.queries import vocabulary_path
+
+    docs = spark.createDataFrame([(1, "One word, два слова 1234  \n"), (2, None), (None, ""), (4, "x" * 3000 + " ☃")], "doc_id long, text string")
+    out = C.bpe(spark, docs, "")
+    want = bpe.decode_documents(bpe.encode_documents(docs, vocabulary_path()), vocabulary_path())
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, want.collect()))
+    top = lambda df: [x for x in df._jdf.queryExecution().sparkPlan().toString().splitlines() if "MapInArrow" in x and "text" in x]
+    nodes = lambda df: df._jdf.queryExecution().sparkPlan().toString().count("MapInArrow")
+    assert nodes(out) == nodes(want) - 1 and len(top(out)) == 1
