@@ -11,6 +11,7 @@ from siltstone.functions.text import normalize_entity, path_priority, snippet, s
 from siltstone.operators import chunking, entities, evidence, html_blocks, search
 from siltstone.operators.aggregates import resolve_conflicts
 from siltstone.operators.joins import valid_citations
+from siltstone.session import written
 
 STAGES = ["parse", "clean", "ner", "chunk", "index"]
 
@@ -81,7 +82,8 @@ def query_entities(questions: DataFrame, query_id: str, query: str, recognizer:
 
 
 def search_index(index: DataFrame, questions: DataFrame, query_id: str = "qid", query: str = "query", k: int = 8, candidates: int = 200, ce_candidates: int = 256, ce_weight: float = 0.5, size: int = 64) -> DataFrame:
-    """Both legs for a table of questions, fused and reranked; qid, doc, rank, final_score."""
+    """Both legs for a table of questions, fused and reranked; qid, doc, rank, final_score. The index is made once, for all that read it."""
+    index = written(index.select("id", "content", "embedding"), "index")
     asked = search.embed_texts(questions, query, size)
     words = search.bm25(index, questions, "id", "content", query_id, query, candidates)
     near = search.dense(index, asked, "id", "embedding", query_id, "embedding", candidates)
