@@ -70,14 +70,23 @@ def s13_record_routing(spark, sf):
     return table(spark, sf, "events").select("event_id", record_type(name).alias("kind"))
 
 
+def _chunks(docs):
+    lines = document_lines(docs, "doc_id", "text").withColumn("h", heading_of("text"))
+    return chunk_documents(lines, "doc", "line", "h", "text")
+
+
 def _index(spark, sf):
-    lines = document_lines(table(spark, sf, "documents"), "doc_id", "text").withColumn("h", heading_of("text"))
-    return runner.build_index(chunk_documents(lines, "doc", "line", "h", "text"))
+    return runner.build_index(_chunks(table(spark, sf, "documents")))
 
 
 @query()
 def r02_build_index(spark, sf):
-    return _index(spark, sf).select("id", "id64", "title", "text_hash")
+    """All that the index holds, vectors included. Documents of one source were filed before with another text, and those of another also lie in a folder of lower priority with a later date; neither stays."""
+    docs = table(spark, sf, "documents")
+    filed = lambda d, path, at: _chunks(d).withColumns({"path": F.lit(path), "at": F.lit(at)})
+    other = lambda source: docs.where(F.col("source") == source).withColumn("text", F.lit("an older text"))
+    chunks = filed(docs, "clean/text_chunks.jsonl", 2).unionByName(filed(other("src3"), "clean/text_chunks.jsonl", 1)).unionByName(filed(other("src5"), "raw/text_chunks.jsonl", 3))
+    return runner.build_index(chunks, path="path", modified="at").select("id", "id64", "title", "heading", "snippet", "chunk_index", "text_hash", "embedding")
 
 
 @query()

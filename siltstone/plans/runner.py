@@ -44,11 +44,12 @@ def chunk(rows: DataFrame) -> DataFrame:
 
 
 def build_index(chunks: DataFrame, size: int = 64, path: str | None = None, modified: str | None = None) -> DataFrame:
-    """One row an id (A23), with title, snippet, 63-bit id, text hash and embedding."""
+    """One row an id (A23), with title, snippet, 63-bit id, text hash and embedding. A title that chunks bring, or that A23 filled from the same text, stays; else it is made from the heading."""
     rows = chunks.withColumns({"text_hash": F.sha2("content", 256), "_path": F.col(path) if path else F.lit(""), "_time": F.col(modified) if modified else F.lit(0), "_order": F.xxhash64("content")})
     one = resolve_conflicts(rows, "id", path_priority("_path"), "_time", "_order").drop("_path", "_time", "_order")
     none = F.lit(None).cast("string")
-    titled = one.withColumns({"title": title_from_meta(F.col("heading"), none, none, F.lit(None)), "snippet": snippet("content"), "id64": stable_id("id")})
+    given = F.nullif(F.trim("title"), F.lit("")) if "title" in one.columns else none
+    titled = one.withColumns({"title": F.coalesce(given, title_from_meta(F.col("heading"), none, none, F.lit(None))), "snippet": snippet("content"), "id64": stable_id("id")})
     return search.embed_texts(titled.withColumn("_t", F.concat_ws("\n\n", "title", "content")), "_t", size).drop("_t")
 
 
