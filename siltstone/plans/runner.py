@@ -11,6 +11,7 @@ from siltstone.functions.text import normalize_entity, path_priority, snippet, s
 from siltstone.operators import chunking, entities, evidence, html_blocks, search
 from siltstone.operators.aggregates import resolve_conflicts
 from siltstone.operators.joins import valid_citations
+from siltstone.operators.question_sets import hybrid_of_many
 from siltstone.session import written
 
 STAGES = ["parse", "clean", "ner", "chunk", "index"]
@@ -82,10 +83,15 @@ def query_entities(questions: DataFrame, query_id: str, query: str, recognizer:
     return found.select(query_id, of("ORG").alias("orgs"), of("GPE").alias("gpes"), of("TICKER").alias("tickers"), of("FIN_METRIC").alias("fin_metrics"), dates(query).alias("dates"))
 
 
-def search_index(index: DataFrame, questions: DataFrame, query_id: str = "qid", query: str = "query", k: int = 8, candidates: int = 200, ce_candidates: int = 256, ce_weight: float = 0.5, size: int = 64) -> DataFrame:
-    """Both legs for a table of questions, fused and reranked; qid, doc, rank, final_score. The index is made once, for all that read it."""
+def search_index(index: DataFrame, questions: DataFrame, query_id: str = "qid", query: str = "query", k: int = 8, candidates: int = 200, ce_candidates: int = 256, ce_weight: float = 0.5, size: int = 64, held: int = search.HELD) -> DataFrame:
+    """Both legs for a table of questions, fused and reranked; qid, doc, rank, final_score. The index is made once, for all that read it.
+
+    Questions with more than `held` hits of a leg in all are answered from the lists that they share.
+    """
     index = written(index.select("id", "content", "embedding"), "index")
     asked = search.embed_texts(questions, query, size)
+    if questions.count() * candidates > held:
+        return hybrid_of_many(index, asked, "id", "content", "embedding", query_id, query, "embedding", candidates, ce_candidates, k, ce_weight=ce_weight)
     words = search.bm25(index, questions, "id", "content", query_id, query, candidates)
     near = search.dense(index, asked, "id", "embedding", query_id, "embedding", candidates)
     return search.hybrid(words, near, index, questions, "id", "content", query_id, query, ce_candidates, k, ce_weight=ce_weight)
